@@ -62,6 +62,7 @@ F_SETUPS = """
 SELECT en.e, en.entity_id, en.country_code,
        CAST(en.e * 10 + k.k AS BIGINT) AS test_id,
        k.k,
+       CASE WHEN k.k = 1 THEN 1 ELSE 0 END AS vendor_list_id,
        CONCAT(en.entity_id, '_test_', CAST(k.k AS STRING)) AS test_name,
        CAST(CAST('1995-01-01' AS DATE) + (3 * en.e + k.k) AS TIMESTAMP) AS test_start_date,
        CAST(CAST('1995-01-01' AS DATE) + (3 * en.e + k.k + k.len0 + k.len_step * en.e) AS TIMESTAMP) AS test_end_date,
@@ -81,10 +82,16 @@ CROSS JOIN (VALUES (0, 'Control'), (1, 'Variation1'), (2, 'Variation2')) AS v(vi
 
 # Vendors of a target group: grp 0 and 2 -> priority 1, grp 1 and 2 ->
 # priority 2 (grp 2 overlaps, grp 3 is outside every group: Non_TG).
+# List 0 is used by every test except k = 1, whose list (1) leaves out the
+# darkstores vendors, so that the vertical-type filter removes orders.
 F_SETUP_VENDORS = """
-SELECT e, CAST(1 AS BIGINT) AS priority, vendor_id FROM {f_vendors} WHERE grp IN (0, 2)
+SELECT e, CAST(1 AS BIGINT) AS priority, l.list_id, vendor_id
+FROM {f_vendors} JOIN (VALUES (0), (1)) AS l(list_id) ON l.list_id = 0 OR vertical_type <> 'darkstores'
+WHERE grp IN (0, 2)
 UNION ALL
-SELECT e, CAST(2 AS BIGINT) AS priority, vendor_id FROM {f_vendors} WHERE grp IN (1, 2)
+SELECT e, CAST(2 AS BIGINT) AS priority, l.list_id, vendor_id
+FROM {f_vendors} JOIN (VALUES (0), (1)) AS l(list_id) ON l.list_id = 0 OR vertical_type <> 'darkstores'
+WHERE grp IN (1, 2)
 """
 
 # Parent verticals per test: one for k <> 1, two for k = 1, none for

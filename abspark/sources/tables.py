@@ -76,14 +76,14 @@ def derive_from_star_schema(spark: SparkSession, sf_dir: str) -> SourceTables:
 
     # experiment_setups: one row per test x priority x variant with its
     # vendor, parent-vertical and zone lists.
-    vendor_lists = v["f_setup_vendors"].groupBy("e", "priority").agg(
+    vendor_lists = v["f_setup_vendors"].groupBy("e", "priority", F.col("list_id").alias("vendor_list_id")).agg(
         F.array_sort(F.collect_list("vendor_id")).alias("matching_vendor_ids"))
     parent_lists = v["f_setup_parents"].groupBy("test_id").agg(
         F.array_sort(F.collect_list("parent_vertical")).alias("test_vertical_parents"))
     zone_lists = v["f_setup_zones"].groupBy("e").agg(F.array_sort(F.collect_list("zone_id")).alias("zone_ids"))
     setups = (
         v["f_setups"]
-        .join(vendor_lists, ["e", "priority"], "left")
+        .join(vendor_lists, ["e", "priority", "vendor_list_id"], "left")
         .join(parent_lists, ["test_id"], "left")
         .join(zone_lists, ["e"], "left")
         .select(
