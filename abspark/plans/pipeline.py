@@ -22,11 +22,23 @@ from abspark.sources.tables import SourceTables
 
 class ExperimentPipeline:
     def __init__(self, src: SourceTables, cfg: PipelineConfig | None = None,
-                 persist_reused: bool = False, checkpoint_reused: bool = False):
+                 persist_reused: bool = False, checkpoint_reused: bool = False,
+                 checkpoint_stage_outputs: bool = True):
         self.src = src
         self.cfg = cfg or PipelineConfig()
         self.persist_reused = persist_reused
         self.checkpoint_reused = checkpoint_reused
+        self.checkpoint_stage_outputs = checkpoint_stage_outputs
+
+    def _stage_output(self, df: DataFrame) -> DataFrame:
+        """End of the SQL half: the user KPI table and the share gate.
+
+        The statistics half reads these several times (means, deltas, two
+        rank tests, two granularities); a reliable checkpoint in the
+        session's checkpoint dir cuts the lineage there, so those plans stay
+        small and an executor loss does not recompute the whole SQL half.
+        """
+        return df.checkpoint(eager=True) if self.checkpoint_stage_outputs else self._reused(df)
 
     def _reused(self, df: DataFrame) -> DataFrame:
         if self.checkpoint_reused:
@@ -104,11 +116,11 @@ class ExperimentPipeline:
 
     @cached_property
     def kpis_per_user(self) -> DataFrame:
-        return self._reused(kpis.kpis_per_user(self.users_per_test, self.clean_orders))
+        return self._stage_output(kpis.kpis_per_user(self.users_per_test, self.clean_orders))
 
     @cached_property
     def treatment_order_share(self) -> DataFrame:
-        return kpis.treatment_order_share(self.clean_orders, self.cfg)
+        return self._stage_output(kpis.treatment_order_share(self.clean_orders, self.cfg))
 
     # ---- significance -------------------------------------------------------
     @cached_property

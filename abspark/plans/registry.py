@@ -55,6 +55,17 @@ STEPS: dict[str, tuple[PipelineConfig, Callable[[ExperimentPipeline], DataFrame]
     "experiment_orders_all_verticals": (ALL_VERTICALS, lambda p: p.experiment_orders),
     "order_profit": (FIXTURE_CONFIG, lambda p: p.order_profit),
     "clean_orders": (FIXTURE_CONFIG, lambda p: p.clean_orders),
+    "experiment_sessions_stg": (FIXTURE_CONFIG, lambda p: p.session_events_stg),
+    "experiment_sessions_stg_all_verticals": (ALL_VERTICALS, lambda p: p.session_events_stg),
+    "experiment_sessions": (FIXTURE_CONFIG, lambda p: p.experiment_sessions),
+    "session_treatment_flag": (FIXTURE_CONFIG, lambda p: p.session_treatment_flag),
+    "sessions_with_flag": (FIXTURE_CONFIG, lambda p: p.sessions_with_flag),
+    "users_per_test": (FIXTURE_CONFIG, lambda p: p.users_per_test),
+    "kpis_per_user": (FIXTURE_CONFIG, lambda p: p.kpis_per_user),
+    "treatment_order_share": (FIXTURE_CONFIG, lambda p: p.treatment_order_share),
+    "significance_exp": (FIXTURE_CONFIG, lambda p: p.significance_exp),
+    "significance_ts": (FIXTURE_CONFIG, lambda p: p.significance_ts),
+    "significance_combined": (FIXTURE_CONFIG, lambda p: p.significance_combined),
 }
 
 
