@@ -149,7 +149,9 @@ class ExperimentPipeline:
 
     @cached_property
     def significance_combined(self) -> DataFrame:
-        return self._reused(stats.combine(
+        # The result table of the study (uploaded there, checkpointed here):
+        # every question below reads it.
+        return self._stage_output(stats.combine(
             self.significance_exp, self.significance_ts, self.treatment_order_share, self.cfg))
 
     # ---- questions on the result ----------------------------------------------

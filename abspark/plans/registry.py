@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from abspark.config import FIXTURE_CONFIG, PipelineConfig
 from abspark.functions.columns import ring_wkt
-from abspark.operators import orders
+from abspark.operators import orders, questions, stats
 from abspark.plans.pipeline import ExperimentPipeline
 from abspark.sources.tables import derive_from_star_schema
 
@@ -66,11 +66,22 @@ STEPS: dict[str, tuple[PipelineConfig, Callable[[ExperimentPipeline], DataFrame]
     "significance_exp": (FIXTURE_CONFIG, lambda p: p.significance_exp),
     "significance_ts": (FIXTURE_CONFIG, lambda p: p.significance_ts),
     "significance_combined": (FIXTURE_CONFIG, lambda p: p.significance_combined),
+    "variant_means": (FIXTURE_CONFIG, lambda p: p.variant_means.drop(*[c for c in p.variant_means.columns
+                                                                        if c.startswith("__")])),
+    "variant_deltas": (FIXTURE_CONFIG, lambda p: stats.variant_deltas(p.variant_means)),
+    "mann_whitney": (FIXTURE_CONFIG, lambda p: stats.mann_whitney(p.gated_kpis_exp, "profit_per_user", p.cfg)),
+    "mann_whitney_order_count": (FIXTURE_CONFIG, lambda p: stats.mann_whitney(
+        p.gated_kpis_exp, "order_count_per_user", p.cfg)),
 }
+for _name in ("overview_stats", "tests_per_entity", "tests_per_entity_vertical", "ts_exp_comparison",
+              "direction_agreement", "significance_agreement", "records_in_treatment",
+              "records_in_treatment_summary", "records_in_treatment_bins", "treatment_share_summary",
+              "treatment_share_bins", "significance_by_length", "significance_by_share"):
+    STEPS[_name] = (FIXTURE_CONFIG, getattr(questions, _name))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def make(cfg, fn):
         return lambda spark, sf_dir: fn(pipeline(spark, sf_dir, cfg))
     return {name: make(cfg, fn) for name, (cfg, fn) in STEPS.items()}
-FLAGSHIP = "clean_orders"
+FLAGSHIP = "significance_combined"
