@@ -85,11 +85,13 @@ def variant_deltas(means: DataFrame) -> DataFrame:
 
 
 @F.pandas_udf(DoubleType())
-def exact_mwu_pvalue(u: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
-    """Two-sided exact p-value of U = max(U1, U2) for sample sizes n1, n2 (no ties)."""
-    out = np.empty(len(u))
+def exact_mwu_pvalue(u: pd.Series, n1: pd.Series, n2: pd.Series, exact: pd.Series) -> pd.Series:
+    """Two-sided exact p-value of U = max(U1, U2) for sample sizes n1, n2 (no ties); NaN where not exact."""
+    out = np.full(len(u), np.nan)
     cache: dict[tuple[int, int], np.ndarray] = {}
-    for i, (uu, a, b) in enumerate(zip(u.to_numpy(), n1.to_numpy(), n2.to_numpy())):
+    for i, (uu, a, b, e) in enumerate(zip(u.to_numpy(), n1.to_numpy(), n2.to_numpy(), exact.to_numpy())):
+        if not e:
+            continue
         m, n = int(min(a, b)), int(max(a, b))
         if (m, n) not in cache:
             cache[(m, n)] = _u_cdf(m, n)
@@ -100,10 +102,11 @@ def exact_mwu_pvalue(u: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
 
 
 def _u_cdf(m: int, n: int) -> np.ndarray:
-    """CDF of the Mann-Whitney U statistic for sizes (m, n).
+    """CDF of the Mann-Whitney U statistic for sizes (m, n), m the smaller one.
 
     The counts of U = k are the coefficients of the Gaussian binomial
-    [m+n choose m]_q = prod_{i=1..m} (1 - q^(n+i)) / (1 - q^i).
+    [m+n choose m]_q = prod_{i=1..m} (1 - q^(n+i)) / (1 - q^i); only used
+    for m <= exact_max_n, so the product has at most that many factors.
     """
     size = m * n + 1
     c = np.zeros(size)
@@ -112,8 +115,8 @@ def _u_cdf(m: int, n: int) -> np.ndarray:
         shift = n + i
         if shift < size:
             c[shift:] -= c[:-shift].copy()
-        for k in range(i, size):  # divide by (1 - q^i): running sum with stride i
-            c[k] += c[k - i]
+        for r in range(i):  # divide by (1 - q^i): running sum along each residue class mod i
+            c[r::i] = np.cumsum(c[r::i])
     pmf = c / math.comb(m + n, m)
     return np.cumsum(pmf)
 
@@ -157,7 +160,7 @@ def mann_whitney(df: DataFrame, metric: str, cfg: PipelineConfig) -> DataFrame:
         F.when(valid & ~exact, p_asym).alias("__p_asym"),
         u.alias("__u"),
     )
-    p_exact = exact_mwu_pvalue(F.col("__u"), F.col("n1"), F.col("n2"))
+    p_exact = exact_mwu_pvalue(F.col("__u"), F.col("n1"), F.col("n2"), F.col("method") == "exact")
     p = F.when(F.col("method") == "exact", p_exact).otherwise(F.col("__p_asym"))
     return stats.select(
         *GROUP, "variant", F.col("n1").cast("bigint").alias("n1"), F.col("n2").cast("bigint").alias("n2"),

@@ -22,7 +22,7 @@ from abspark.sources.tables import SourceTables
 
 class ExperimentPipeline:
     def __init__(self, src: SourceTables, cfg: PipelineConfig | None = None,
-                 persist_reused: bool = False, checkpoint_reused: bool = False,
+                 persist_reused: bool = True, checkpoint_reused: bool = False,
                  checkpoint_stage_outputs: bool = True):
         self.src = src
         self.cfg = cfg or PipelineConfig()
@@ -31,12 +31,14 @@ class ExperimentPipeline:
         self.checkpoint_stage_outputs = checkpoint_stage_outputs
 
     def _stage_output(self, df: DataFrame) -> DataFrame:
-        """End of the SQL half: the user KPI table and the share gate.
-
-        The statistics half reads these several times (means, deltas, two
-        rank tests, two granularities); a reliable checkpoint in the
-        session's checkpoint dir cuts the lineage there, so those plans stay
-        small and an executor loss does not recompute the whole SQL half.
+        """Tables the study itself stores and reads back several times.
+
+        Clean orders (read by the KPI join and the share gate), the user KPI
+        table and the share gate (read by means, deltas, two rank tests at two
+        granularities) and the combined result (read by every question).  A
+        reliable checkpoint in the session's checkpoint dir cuts the lineage
+        there: later plans stay small, and an executor loss recomputes from
+        the checkpoint instead of from the sources.
         """
         return df.checkpoint(eager=True) if self.checkpoint_stage_outputs else self._reused(df)
 
@@ -89,7 +91,8 @@ class ExperimentPipeline:
 
     @cached_property
     def clean_orders(self) -> DataFrame:
-        return self._reused(orders.clean_orders(self.order_profit))
+        # Read by the KPI join and by the share gate: a stage output.
+        return self._stage_output(orders.clean_orders(self.order_profit))
 
     # ---- sessions (S9-S10) ---------------------------------------------
     @cached_property
