@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from abspark.config import PipelineConfig
 from abspark.functions.columns import NON_TG, UNKNOWN_TG, round_half_away
+from abspark.sources.schemas import KPIS_PER_USER, apply_contract
 
 USER_COLS = ["entity_id", "country_code", "test_id", "test_name", "test_start_date", "test_end_date",
              "test_length", "first_parent_vertical", "second_parent_vertical", "perseus_client_id", "variant",
@@ -48,12 +49,12 @@ def kpis_per_user(users: DataFrame, clean_orders: DataFrame) -> DataFrame:
         F.sum("gross_profit_local").alias("__profit"),
     )
     j = u.join(per_key, ORDER_KEYS, "left")
-    return j.select(
+    return apply_contract(j.select(
         *USER_COLS,
         F.coalesce(F.col("__orders"), F.lit(0)).cast("bigint").alias("order_count_per_user"),
         F.coalesce(round_half_away("__revenue", 2), F.lit(0.0)).alias("revenue_per_user"),
         F.coalesce(round_half_away("__profit", 2), F.lit(0.0)).alias("profit_per_user"),
-    )
+    ), KPIS_PER_USER)
 
 
 def treatment_order_share(clean_orders: DataFrame, cfg: PipelineConfig) -> DataFrame:
