@@ -27,6 +27,11 @@ EXCLUDED_ENTITIES = ("FP_DE", "FP_JP", "TB_SA", "HS_BH")
 PLATFORM_FEE_REGIONS = ("Europe", "Asia")
 
 
+def _residual_eq(left, right):
+    """``left = right`` kept out of the join keys (NULL never matches, as with a key)."""
+    return F.coalesce(left == right, F.lit(False))
+
+
 def _floor(cfg: PipelineConfig):
     return F.lit(cfg.start_floor).cast("date")
 
@@ -91,11 +96,15 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
     a = a.join(dwh, (a.entity_id == dwh.__d_entity) & (a.platform_order_code == dwh.__d_code), "inner")
     a = a.where(point_in_ring("zone_shape", "__lon", "__lat"))
 
+    # Platform fees are looked up by (entity, order code, date): join them on
+    # (entity, order code), the key the warehouse join already partitioned
+    # the fact by, and keep the date equality as a residual condition, so the
+    # fact is not shuffled again for this lookup.
     pd_ = src.platform_orders.select(
         F.col("global_entity_id").alias("__p_entity"), F.col("code").alias("__p_code"),
         F.col("created_date_utc").alias("__p_date"), F.col("delivery_fee_local").alias("__pd_fee"))
     a = a.join(pd_, (a.entity_id == pd_.__p_entity) & (a.platform_order_code == pd_.__p_code)
-               & (a.created_date == pd_.__p_date), "left")
+               & _residual_eq(a.created_date, pd_.__p_date), "left")
     cst = costs.select(F.col("entity_id").alias("__c_entity"), F.col("order_id").alias("__c_order"),
                        F.col("country_code").alias("__c_country"), "delivery_costs_local")
     a = a.join(cst, (a.entity_id == cst.__c_entity) & (a.order_id == cst.__c_order)
