@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from abspark.config import PipelineConfig
 from abspark.functions.columns import NON_TG, UNKNOWN_TG, round_half_away
+from abspark.operators.relational import broadcast_if_small
 from abspark.sources.schemas import KPIS_PER_USER, apply_contract
 
 USER_COLS = ["entity_id", "country_code", "test_id", "test_name", "test_start_date", "test_end_date",
@@ -33,7 +34,7 @@ def users_per_test(sessions_with_flag: DataFrame, tg: DataFrame) -> DataFrame:
         F.datediff(F.to_date("test_end_date"), F.to_date("test_start_date")).cast("bigint").alias("test_length"),
         "first_parent_vertical", "second_parent_vertical").distinct()
     # distinct users x distinct tests: the join output is already distinct.
-    return users.join(tests, TEST_KEYS, "left").select(*USER_COLS)
+    return users.join(broadcast_if_small(tests), TEST_KEYS, "left").select(*USER_COLS)
 
 
 def kpis_per_user(users: DataFrame, clean_orders: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from abspark.config import PipelineConfig
 from abspark.functions.columns import NON_TG, normalize_vertical, point_in_ring
-from abspark.operators.relational import key_flag, key_semi_join
+from abspark.operators.relational import broadcast_if_small, key_flag, key_semi_join
 from abspark.sources.tables import SourceTables
 
 # Entity exclusion rules and the regions whose delivery fee
@@ -85,8 +85,8 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
 
     # Zones of the test (small) and the delivery point (big): inner joins,
     # because the spatial predicate needs both.
-    zn = geo.select(F.col("entity_id").alias("__z_entity"), F.col("country_code").alias("__z_country"),
-                    F.col("zone_id").alias("__z_zone"), F.col("test_id").alias("__z_test"), "zone_shape")
+    zn = broadcast_if_small(geo.select(F.col("entity_id").alias("__z_entity"), F.col("country_code").alias("__z_country"),
+                    F.col("zone_id").alias("__z_zone"), F.col("test_id").alias("__z_test"), "zone_shape"))
     a = a.join(zn, (a.entity_id == zn.__z_entity) & (a.country_code == zn.__z_country)
                & (a.zone_id == zn.__z_zone) & (a.experiment_id == zn.__z_test), "inner")
     dwh = src.warehouse_orders.select(
@@ -110,21 +110,21 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
     a = a.join(cst, (a.entity_id == cst.__c_entity) & (a.order_id == cst.__c_order)
                & (a.country_code == cst.__c_country), "left")
 
-    t = tg.select(F.col("entity_id").alias("__t_entity"), F.col("vendor_code").alias("__t_vendor"),
-                  F.col("test_id").alias("__t_test"), "tg_name", "parent_vertical_concat")
+    t = broadcast_if_small(tg.select(F.col("entity_id").alias("__t_entity"), F.col("vendor_code").alias("__t_vendor"),
+                                     F.col("test_id").alias("__t_test"), "tg_name", "parent_vertical_concat"))
     a = a.join(t, (a.entity_id == t.__t_entity) & (a.vendor_id == t.__t_vendor) & (a.experiment_id == t.__t_test),
                "left")
-    dat = zones.select(F.col("entity_id").alias("__s_entity"), F.col("country_code").alias("__s_country"),
+    dat = broadcast_if_small(zones.select(F.col("entity_id").alias("__s_entity"), F.col("country_code").alias("__s_country"),
                        F.col("test_id").alias("__s_test"), "test_start_date", "test_end_date",
-                       F.col("test_name").alias("__s_name")).distinct()
+                       F.col("test_name").alias("__s_name")).distinct())
     a = a.join(dat, (a.entity_id == dat.__s_entity) & (a.country_code == dat.__s_country)
                & (a.experiment_id == dat.__s_test), "left")
-    vs = scheme_concat.select(F.col("entity_id").alias("__v_entity"), F.col("country_code").alias("__v_country"),
-                              F.col("test_id").alias("__v_test"), "tg_var_scheme_concat")
+    vs = broadcast_if_small(scheme_concat.select(F.col("entity_id").alias("__v_entity"), F.col("country_code").alias("__v_country"),
+                              F.col("test_id").alias("__v_test"), "tg_var_scheme_concat"))
     a = a.join(vs, (a.entity_id == vs.__v_entity) & (a.country_code == vs.__v_country)
                & (a.experiment_id == vs.__v_test), "left")
-    ent = dps_entities(src.entities).select(F.col("entity_id").alias("__e_entity"),
-                                            F.col("region").alias("__e_region"))
+    ent = broadcast_if_small(dps_entities(src.entities).select(F.col("entity_id").alias("__e_entity"),
+                                                               F.col("region").alias("__e_region")))
     a = a.join(ent, a.entity_id == ent.__e_entity, "inner")
 
     target_group = F.coalesce(F.col("tg_name"), F.lit(NON_TG))
@@ -193,3 +193,14 @@ def with_profit(orders: DataFrame, tg: DataFrame, cfg: PipelineConfig) -> DataFr
 
 def clean_orders(orders_with_profit: DataFrame) -> DataFrame:
     return orders_with_profit.where(F.col("keep_drop_flag") == "Keep")
+
+
+def duplicate_orders(clean: DataFrame) -> DataFrame:
+    """Data-quality check: order ids that occur on more than one clean order row of a test.
+
+    Such rows are counted once by the per-user order count but summed twice
+    into revenue and profit (the study's behaviour, kept as is).
+    """
+    return (clean.groupBy("entity_id", "country_code", "test_id", "order_id")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("revenue_local").alias("revenue_local_total"))
+            .where(F.col("n_rows") > 1))

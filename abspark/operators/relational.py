@@ -8,6 +8,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Largest side (rows) that a join may broadcast after its size was checked.
+BROADCAST_MAX_ROWS = 500_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast-hint ``df`` only after its actual row count proved it small.
+
+    Spark's own broadcast choice rests on estimates, and at runtime AQE will
+    not broadcast a side whose shuffle partitions are mostly empty, which is
+    what a tiny key table looks like.  Here the side is counted once (it is
+    a small, usually cached, table) and hinted only under ``max_rows``;
+    beyond that the join is left to the planner (sort-merge / shuffled hash).
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def key_semi_join(df: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
     """Keep rows of ``df`` whose key tuple occurs in ``keys``.
 
@@ -16,7 +32,7 @@ def key_semi_join(df: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]])
     ``CONCAT(k1, ' | ', k2 ...) IN (SELECT DISTINCT CONCAT(...))`` filter does
     (CONCAT is NULL when any part is NULL), without the string building.
     """
-    k = keys.select(*[F.col(r).alias(f"__k{i}") for i, (_, r) in enumerate(on)]).distinct()
+    k = broadcast_if_small(keys.select(*[F.col(r).alias(f"__k{i}") for i, (_, r) in enumerate(on)]).distinct())
     cond = None
     for i, (left, _) in enumerate(on):
         c = df[left] == k[f"__k{i}"]
@@ -26,8 +42,8 @@ def key_semi_join(df: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]])
 
 def key_flag(df: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]], flag: str) -> DataFrame:
     """Add boolean ``flag``: does the row's key tuple occur in ``keys``? (NULL key -> False)."""
-    k = keys.select(*[F.col(r).alias(f"__k{i}") for i, (_, r) in enumerate(on)]).distinct().withColumn(
-        flag, F.lit(True))
+    k = broadcast_if_small(keys.select(*[F.col(r).alias(f"__k{i}") for i, (_, r) in enumerate(on)]).distinct()
+                           .withColumn(flag, F.lit(True)))
     cond = None
     for i, (left, _) in enumerate(on):
         c = df[left] == k[f"__k{i}"]

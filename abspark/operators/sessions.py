@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from abspark.config import PipelineConfig
 from abspark.functions.columns import NON_TG, UNKNOWN_TG, normalize_vertical, point_wkt
-from abspark.operators.relational import key_flag, key_semi_join
+from abspark.operators.relational import broadcast_if_small, key_flag, key_semi_join
 
 SESSION_KEYS = ["created_date", "entity_id", "country_code", "test_id", "variant", "events_ga_session_id"]
 TG_PATTERN = r"TG\d+"
@@ -51,8 +51,8 @@ def session_events(ga_sessions: DataFrame, geo: DataFrame, tg: DataFrame, scheme
                                ("dps.id", "zone_id"), ("test_id", "test_id")])
     x = x.select("*", F.explode_outer("events").alias("e")).drop("events")
     x = x.select("*", F.col("e.vendor_code").alias("vendor_code"), F.col("e.vertical_type").alias("vertical_type"))
-    t = tg.select(F.col("entity_id").alias("__t_entity"), F.col("vendor_code").alias("__t_vendor"),
-                  F.col("test_id").alias("__t_test"), "tg_name", "parent_vertical_concat")
+    t = broadcast_if_small(tg.select(F.col("entity_id").alias("__t_entity"), F.col("vendor_code").alias("__t_vendor"),
+                                     F.col("test_id").alias("__t_test"), "tg_name", "parent_vertical_concat"))
     x = x.join(t, (x.entity_id == t.__t_entity) & (x.vendor_code == t.__t_vendor) & (x.test_id == t.__t_test),
                "left")
     if cfg.sub_vertical_filter:

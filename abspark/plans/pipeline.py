@@ -164,3 +164,25 @@ class ExperimentPipeline:
 
     def question(self, name: str) -> DataFrame:
         return getattr(questions, name)(self)
+
+    # ---- sinks ---------------------------------------------------------------
+    STAGE_TABLES = (
+        "valid_experiments", "target_groups", "experiment_zones", "variant_schemes", "variant_scheme_concat",
+        "zone_geography", "experiment_orders", "order_profit", "clean_orders", "experiment_sessions_stg",
+        "experiment_sessions", "session_treatment_flag", "sessions_with_flag", "users_per_test", "kpis_per_user",
+        "treatment_order_share", "significance_combined",
+    )
+
+    def write(self, path: str, tables: tuple[str, ...] | None = None, mode: str = "overwrite") -> None:
+        """Write the stage tables (the study's persisted tables) as parquet under ``path``.
+
+        Each table goes to its own folder and replaces what was there (the
+        study's CREATE OR REPLACE / WRITE_TRUNCATE).  Session-grain tables are
+        partitioned by ``created_date`` so date filters prune files on read.
+        """
+        for name in tables or self.STAGE_TABLES:
+            df = getattr(self, "session_events_stg" if name == "experiment_sessions_stg" else name)
+            w = df.write.mode(mode)
+            if "created_date" in df.columns and name.startswith(("experiment_sessions", "sessions_with")):
+                w = w.partitionBy("created_date")
+            w.parquet(f"{path.rstrip('/')}/{name}")

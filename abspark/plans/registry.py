@@ -55,6 +55,7 @@ STEPS: dict[str, tuple[PipelineConfig, Callable[[ExperimentPipeline], DataFrame]
     "experiment_orders_all_verticals": (ALL_VERTICALS, lambda p: p.experiment_orders),
     "order_profit": (FIXTURE_CONFIG, lambda p: p.order_profit),
     "clean_orders": (FIXTURE_CONFIG, lambda p: p.clean_orders),
+    "duplicate_orders": (FIXTURE_CONFIG, lambda p: orders.duplicate_orders(p.clean_orders)),
     "experiment_sessions_stg": (FIXTURE_CONFIG, lambda p: p.session_events_stg),
     "experiment_sessions_stg_all_verticals": (ALL_VERTICALS, lambda p: p.session_events_stg),
     "experiment_sessions": (FIXTURE_CONFIG, lambda p: p.experiment_sessions),
