@@ -10,7 +10,7 @@ joined: the big side of the join shrinks from orders to clients.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from abspark.config import PipelineConfig
@@ -37,13 +37,31 @@ def users_per_test(sessions_with_flag: DataFrame, tg: DataFrame) -> DataFrame:
     return users.join(broadcast_if_small(tests), TEST_KEYS, "left").select(*USER_COLS)
 
 
+USER_KEYS = ["entity_id", "country_code", "test_id", "perseus_client_id"]
+
+
+def first_variant_rows(users: DataFrame) -> DataFrame:
+    """Rows of each user's first variant (sorted, NULL first): ``dense_rank() ... = 1`` without a window.
+
+    The first variant per user is an aggregate (``min`` over (has variant,
+    variant), so a NULL variant sorts first), joined back NULL-safely: users
+    whose id is NULL form one group, as in the study's window, but here that
+    group is a partial aggregate and a skewed join partition AQE can split,
+    not one window partition in one task.
+    """
+    first = users.groupBy(*USER_KEYS).agg(
+        F.min(F.struct(F.col("variant").isNotNull().alias("has"), F.col("variant").alias("v"))).alias("__first"))
+    first = first.select(*[F.col(k).alias(f"__f_{k}") for k in USER_KEYS], F.col("__first.v").alias("__f_variant"))
+    cond = F.col("variant").eqNullSafe(F.col("__f_variant"))
+    for k in USER_KEYS:
+        cond = cond & users[k].eqNullSafe(first[f"__f_{k}"])
+    return users.join(first, cond, "left_semi")
+
+
 def kpis_per_user(users: DataFrame, clean_orders: DataFrame) -> DataFrame:
     """Orders, revenue and profit per user row, on each user's first variant only."""
     u = users.where(F.col("target_group") != UNKNOWN_TG)
-    first_variant = F.dense_rank().over(
-        Window.partitionBy("entity_id", "country_code", "test_id", "perseus_client_id")
-        .orderBy(F.col("variant").asc_nulls_first()))
-    u = u.withColumn("__rank", first_variant).where("__rank = 1").drop("__rank")
+    u = first_variant_rows(u)
     per_key = clean_orders.groupBy(*ORDER_KEYS).agg(
         F.count_distinct("order_id").alias("__orders"),
         F.sum("revenue_local").alias("__revenue"),

@@ -8,7 +8,7 @@ a test zone pay for the event unnest.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from abspark.config import PipelineConfig
@@ -104,24 +104,15 @@ def session_treatment_flag(events: DataFrame) -> DataFrame:
 
 
 def with_session_flag(events: DataFrame) -> DataFrame:
-    """Every event row with its session's flag columns.
-
-    Same result as joining ``session_treatment_flag`` back on the six session
-    keys, but as a window over one shuffle of the events.  A row with a NULL
-    key would not find its group in that join, so it gets NULL flags here.
+    """Every event row with its session's flag columns (left join on the six session keys).
+
+    The flags come from the aggregate above, which combines map-side (a
+    session's distinct groups and vendors, not its events, cross the
+    shuffle).  The join back is an ordinary equi-join, so a session holding a
+    large share of all events is a skewed join partition that AQE splits,
+    which a window over the session could not do.  A NULL key matches
+    nothing, as in the study.
     """
-    w = Window.partitionBy(*SESSION_KEYS)
-    tgs = F.nullif(F.array_join(F.array_sort(F.collect_set("target_group").over(w)), ", "), F.lit(""))
-    vendors = F.nullif(F.array_join(F.array_sort(F.collect_set("vendor_code").over(w)), ", "), F.lit(""))
-    flag = _flag(F.max(F.col("target_group").rlike(TG_PATTERN)).over(w),
-                 F.max(F.col("target_group").contains(NON_TG)).over(w))
-    any_null_key = None
-    for k in SESSION_KEYS:
-        c = F.col(k).isNull()
-        any_null_key = c if any_null_key is None else any_null_key | c
-    return events.select(
-        "*",
-        F.when(~any_null_key, tgs).alias("all_tgs_per_ga_session"),
-        F.when(~any_null_key, vendors).alias("all_vendor_codes_per_ga_session"),
-        F.when(~any_null_key, flag).alias("session_in_treatment_flag"),
-    )
+    flags = session_treatment_flag(events)
+    return events.join(flags, SESSION_KEYS, "left").select(
+        *events.columns, "all_tgs_per_ga_session", "all_vendor_codes_per_ga_session", "session_in_treatment_flag")
