@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from abspark.config import PipelineConfig
 from abspark.functions.columns import split_parent_verticals
 from abspark.operators.relational import first_row_per_key, ordered_concat
+from abspark.sources.tables import SETUP_KEY
 
 TEST_COLS = ["entity_id", "country_code", "test_start_date", "test_end_date", "test_name", "test_id"]
 
@@ -30,36 +31,36 @@ def _setup_level_filter(setups: DataFrame, cfg: PipelineConfig) -> DataFrame:
     )
 
 
-def eligible_setups(setups: DataFrame, cfg: PipelineConfig) -> DataFrame:
+def eligible_setups(setups: DataFrame, setup_vendors: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """Setup rows of ended, well-configured, unconditioned tests of >= min_days.
 
-    The vendor / parent-vertical presence conditions of the study are written
-    on the unnested arrays (``CROSS JOIN UNNEST`` + ``IS NOT NULL``).  Here
-    they are ``exists`` over the arrays, which keeps one row per setup
-    instead of the vendor x vertical product.
+    The study also requires a matching vendor and a parent vertical, written
+    on the unnested lists (``CROSS JOIN UNNEST`` + ``IS NOT NULL``).  Here the
+    vendor condition is a semi-join on the flat setup-vendor table and the
+    parent-vertical one is ``exists`` over the small array, which keeps one
+    row per setup instead of the vendor x vertical product.
     """
-    return _setup_level_filter(setups, cfg).where(
-        F.exists("matching_vendor_ids", lambda v: v.isNotNull())
-        & F.exists("test_vertical_parents", lambda p: p.isNotNull())
-    )
+    base = _setup_level_filter(setups, cfg).where(F.exists("test_vertical_parents", lambda p: p.isNotNull()))
+    with_vendor = setup_vendors.where(F.col("vendor_id").isNotNull()).select(*SETUP_KEY).distinct()
+    return base.join(with_vendor, [base[k].eqNullSafe(with_vendor[k]) for k in SETUP_KEY], "left_semi")
 
 
-def valid_experiments(setups: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    return eligible_setups(setups, cfg).select("entity_id", "country_code", "test_id", "test_name").distinct()
+def valid_experiments(setups: DataFrame, setup_vendors: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    return eligible_setups(setups, setup_vendors, cfg).select("entity_id", "country_code", "test_id", "test_name").distinct()
 
 
-def experiment_zones(setups: DataFrame, cfg: PipelineConfig) -> DataFrame:
+def experiment_zones(setups: DataFrame, setup_vendors: DataFrame, cfg: PipelineConfig) -> DataFrame:
     return (
-        eligible_setups(setups, cfg)
+        eligible_setups(setups, setup_vendors, cfg)
         .select(*TEST_COLS, F.explode("zone_ids").alias("zone_id"))
         .distinct()
     )
 
 
-def variant_schemes(setups: DataFrame, cfg: PipelineConfig) -> DataFrame:
+def variant_schemes(setups: DataFrame, setup_vendors: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """Distinct (test, target group TG<priority>, variant, price scheme)."""
     return (
-        eligible_setups(setups, cfg)
+        eligible_setups(setups, setup_vendors, cfg)
         .select(
             *TEST_COLS,
             F.concat(F.lit("TG"), F.col("priority")).alias("target_group"),
@@ -77,7 +78,8 @@ def variant_scheme_concat(schemes: DataFrame) -> DataFrame:
         ordered_concat(item).alias("tg_var_scheme_concat"))
 
 
-def target_groups(setups: DataFrame, vendors: DataFrame, cfg: PipelineConfig) -> DataFrame:
+def target_groups(setups: DataFrame, setup_vendors: DataFrame, vendors: DataFrame,
+                  cfg: PipelineConfig) -> DataFrame:
     """One row per test x vendor: its target group TGn, parent verticals and vertical type.
 
     TGn is the dense rank of vendor_group_id within (entity, test_name),
@@ -88,11 +90,13 @@ def target_groups(setups: DataFrame, vendors: DataFrame, cfg: PipelineConfig) ->
     (the study's behaviour); ``cfg.multi_vertical`` keeps every parent
     vertical of the winning group instead.
     """
+    base = _setup_level_filter(setups, cfg).select(*TEST_COLS, "priority", "variation_group", "vendor_group_id",
+                                                   "test_vertical_parents")
+    sv = setup_vendors.where(F.col("vendor_id").isNotNull()).select(
+        *[F.col(k).alias(f"__sv_{k}") for k in SETUP_KEY], F.col("vendor_id").alias("vendor_code"))
     rows = (
-        _setup_level_filter(setups, cfg)
-        .select(*TEST_COLS, "vendor_group_id", F.explode("matching_vendor_ids").alias("vendor_code"),
-                "test_vertical_parents")
-        .where(F.col("vendor_code").isNotNull())
+        base.join(sv, [base[k].eqNullSafe(sv[f"__sv_{k}"]) for k in SETUP_KEY], "inner")
+        .select(*TEST_COLS, "vendor_group_id", "vendor_code", "test_vertical_parents")
         .select("*", F.explode("test_vertical_parents").alias("parent_vertical"))
         .where(F.col("parent_vertical").isNotNull())
         .drop("test_vertical_parents")

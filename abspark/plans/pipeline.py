@@ -50,21 +50,26 @@ class ExperimentPipeline:
         return df
 
     # ---- experiment setups (S1-S5) ------------------------------------
+    @cached_property
+    def _setup_vendors(self) -> DataFrame:
+        return self.src.setup_vendors()
+
     @cached_property
     def valid_experiments(self) -> DataFrame:
-        return setups.valid_experiments(self.src.experiment_setups, self.cfg)
+        return setups.valid_experiments(self.src.experiment_setups, self._setup_vendors, self.cfg)
 
     @cached_property
     def target_groups(self) -> DataFrame:
-        return self._reused(setups.target_groups(self.src.experiment_setups, self.src.vendors, self.cfg))
+        return self._reused(setups.target_groups(
+            self.src.experiment_setups, self._setup_vendors, self.src.vendors, self.cfg))
 
     @cached_property
     def experiment_zones(self) -> DataFrame:
-        return setups.experiment_zones(self.src.experiment_setups, self.cfg)
+        return setups.experiment_zones(self.src.experiment_setups, self._setup_vendors, self.cfg)
 
     @cached_property
     def variant_schemes(self) -> DataFrame:
-        return self._reused(setups.variant_schemes(self.src.experiment_setups, self.cfg))
+        return self._reused(setups.variant_schemes(self.src.experiment_setups, self._setup_vendors, self.cfg))
 
     @cached_property
     def variant_scheme_concat(self) -> DataFrame:

@@ -34,7 +34,10 @@ SOURCE_NAMES = (
     "warehouse_orders",
     "platform_orders",
     "ga_sessions",
+    "experiment_setup_vendors",
 )
+# One setup row = one test x priority x variant.
+SETUP_KEY = ["entity_id", "country_code", "test_id", "priority", "variation_group"]
 
 
 @dataclass
@@ -49,9 +52,23 @@ class SourceTables:
     warehouse_orders: DataFrame
     platform_orders: DataFrame
     ga_sessions: DataFrame
+    # Vendors of each setup row, one row per (setup, vendor).  Warehouses that
+    # keep them as the array ``experiment_setups.matching_vendor_ids`` can
+    # leave this empty: ``setup_vendors()`` unnests the arrays once.
+    experiment_setup_vendors: DataFrame | None = None
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {f.name: getattr(self, f.name) for f in fields(self) if getattr(self, f.name) is not None}
+
+    def setup_vendors(self) -> DataFrame:
+        if self.experiment_setup_vendors is not None:
+            return self.experiment_setup_vendors
+        return setup_vendors_from_arrays(self.experiment_setups)
+
+
+def setup_vendors_from_arrays(setups: DataFrame) -> DataFrame:
+    """Flat (setup key, vendor_id) rows from the array column ``matching_vendor_ids``."""
+    return setups.select(*SETUP_KEY, F.explode("matching_vendor_ids").alias("vendor_id"))
 
 
 def read_star_schema(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -75,15 +92,17 @@ def derive_from_star_schema(spark: SparkSession, sf_dir: str) -> SourceTables:
     v = flat_views(spark, sf_dir)
 
     # experiment_setups: one row per test x priority x variant with its
-    # vendor, parent-vertical and zone lists.
-    vendor_lists = v["f_setup_vendors"].groupBy("e", "priority", F.col("list_id").alias("vendor_list_id")).agg(
-        F.array_sort(F.collect_list("vendor_id")).alias("matching_vendor_ids"))
+    # parent-vertical and zone lists (a few values each).  Its vendors, whose
+    # number grows with the vendor table, are the flat table
+    # experiment_setup_vendors (one row per setup row x vendor).
+    setup_vendors = v["f_setups"].join(
+        v["f_setup_vendors"].withColumnRenamed("list_id", "vendor_list_id"), ["e", "priority", "vendor_list_id"]
+    ).select("entity_id", "country_code", "test_id", "priority", "variation_group", "vendor_id")
     parent_lists = v["f_setup_parents"].groupBy("test_id").agg(
         F.array_sort(F.collect_list("parent_vertical")).alias("test_vertical_parents"))
     zone_lists = v["f_setup_zones"].groupBy("e").agg(F.array_sort(F.collect_list("zone_id")).alias("zone_ids"))
     setups = (
         v["f_setups"]
-        .join(vendor_lists, ["e", "priority", "vendor_list_id"], "left")
         .join(parent_lists, ["test_id"], "left")
         .join(zone_lists, ["e"], "left")
         .select(
@@ -92,7 +111,6 @@ def derive_from_star_schema(spark: SparkSession, sf_dir: str) -> SourceTables:
             F.struct(F.col("schedule_id").alias("id")).alias("schedule"),
             F.struct(F.col("customer_condition_id").alias("id")).alias("customer_condition"),
             "vendor_group_id", "priority", "variation_group", "price_scheme_id",
-            F.coalesce("matching_vendor_ids", F.array().cast("array<string>")).alias("matching_vendor_ids"),
             F.coalesce("test_vertical_parents", F.array().cast("array<string>")).alias("test_vertical_parents"),
             "zone_ids",
         )
@@ -186,12 +204,14 @@ def derive_from_star_schema(spark: SparkSession, sf_dir: str) -> SourceTables:
         experiment_setups=setups, vendors=vendors, countries=countries, courier_timings=courier_timings,
         logistics_orders=logistics_orders, entities=entities, orders_sessions=orders_sessions,
         warehouse_orders=warehouse_orders, platform_orders=platform_orders, ga_sessions=ga_sessions,
+        experiment_setup_vendors=setup_vendors,
     )
 
 
 def from_parquet_dir(spark: SparkSession, path: str) -> SourceTables:
     """Read sources written by :func:`write_sources` (or any producer of the same schemas)."""
-    return SourceTables(**{n: spark.read.parquet(os.path.join(path, n)) for n in SOURCE_NAMES})
+    found = {n: spark.read.parquet(os.path.join(path, n)) for n in SOURCE_NAMES if os.path.exists(os.path.join(path, n))}
+    return SourceTables(**found)
 
 
 def write_sources(tables: SourceTables, path: str, mode: str = "overwrite") -> None:

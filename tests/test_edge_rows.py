@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from abspark.config import PipelineConfig
 from abspark.operators import kpis, relational, sessions, setups
+from abspark.sources.tables import setup_vendors_from_arrays
 
 CFG = PipelineConfig(start_floor="2021-01-01")
 SETUP_SCHEMA = (
@@ -37,7 +38,7 @@ def test_valid_experiments_filters(spark):
         _setup(11, 101, 1, "Control", ["v1"], ["Restaurant"], start=dt.datetime(2022, 1, 1, 23, 0), days=7),
     ]
     df = spark.createDataFrame(rows, SETUP_SCHEMA)
-    got = sorted(r.test_id for r in setups.valid_experiments(df, CFG).collect())
+    got = sorted(r.test_id for r in setups.valid_experiments(df, setup_vendors_from_arrays(df), CFG).collect())
     assert got == [1, 11]
 
 
@@ -50,13 +51,14 @@ def test_target_group_first_row_and_rank(spark):
     vendors = spark.createDataFrame([("E1", "v1", "restaurants"), ("E1", "v3", "groceries")],
                                     "global_entity_id string, vendor_id string, vertical_type string")
     df = spark.createDataFrame(rows, SETUP_SCHEMA)
-    got = {r.vendor_code: r for r in setups.target_groups(df, vendors, CFG).collect()}
+    sv = setup_vendors_from_arrays(df)
+    got = {r.vendor_code: r for r in setups.target_groups(df, sv, vendors, CFG).collect()}
     assert {k: v.tg_name for k, v in got.items()} == {"v1": "TG1", "v2": "TG1", "v3": "TG2"}
     assert got["v1"].parent_vertical_concat == "Restaurant"
     assert (got["v1"].first_parent_vertical, got["v1"].second_parent_vertical) == ("restaurant", None)
     assert got["v1"].vertical_type == "restaurants" and got["v2"].vertical_type is None
     multi = {r.vendor_code: r for r in setups.target_groups(
-        df, vendors, PipelineConfig(start_floor="2021-01-01", multi_vertical=True)).collect()}
+        df, sv, vendors, PipelineConfig(start_floor="2021-01-01", multi_vertical=True)).collect()}
     assert multi["v1"].parent_vertical_concat == "Restaurant, shop"
     assert (multi["v1"].first_parent_vertical, multi["v1"].second_parent_vertical) == ("restaurant", "shop")
 
