@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 
 from abspark.config import PipelineConfig
 from abspark.operators import kpis, orders, questions, sessions, setups, stats
+from abspark.session import ensure_checkpoint_dir
 from abspark.sources.tables import SourceTables
 
 
@@ -29,6 +30,9 @@ class ExperimentPipeline:
         self.persist_reused = persist_reused
         self.checkpoint_reused = checkpoint_reused
         self.checkpoint_stage_outputs = checkpoint_stage_outputs
+        if checkpoint_stage_outputs or checkpoint_reused:
+            # the session's spark.checkpoint.dir; a scratch folder only where none is set
+            ensure_checkpoint_dir(src.experiment_setups.sparkSession)
 
     def _stage_output(self, df: DataFrame) -> DataFrame:
         """Tables the study itself stores and reads back several times.

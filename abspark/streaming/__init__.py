@@ -1,0 +1,6 @@
+"""Streaming operators: none.
+
+The analysed study reads static warehouse tables only (no streams,
+watermarks, event-time windows or stateful operators), so this package is
+intentionally empty; the pipeline is a batch DataFrame graph.
+"""
