@@ -86,4 +86,4 @@ def treatment_order_share(clean_orders: DataFrame, cfg: PipelineConfig) -> DataF
 
 
 def gate_by_share(kpis: DataFrame, share: DataFrame) -> DataFrame:
-    return kpis.join(share, TEST_KEYS, "inner")
+    return kpis.join(broadcast_if_small(share), TEST_KEYS, "inner")

@@ -36,6 +36,7 @@ from pyspark.sql.types import DoubleType
 
 from abspark.config import PipelineConfig
 from abspark.functions.columns import CONTROL, norm_sf, round_half_even
+from abspark.operators.relational import broadcast_if_small
 
 GROUP = ["entity_id", "test_id"]
 SIG_KEYS = ["entity_id", "country_code", "test_id", "test_name", "test_start_date", "test_end_date", "test_length",
@@ -43,19 +44,18 @@ SIG_KEYS = ["entity_id", "country_code", "test_id", "test_name", "test_start_dat
 METRICS = ("order_count_per_user", "profit_per_user")
 
 
-def _exact_mean(c: str):
+def _exact_mean(col, alias: str):
     """Mean from an exact decimal sum (cent values), so the result does not depend on summation order."""
-    total = F.sum(F.col(c).cast("decimal(38,2)")).cast("double")
-    return total / F.nullif(F.count(c), F.lit(0)).cast("double")
+    total = F.sum(col.cast("decimal(38,2)")).cast("double")
+    return (total / F.nullif(F.count(col), F.lit(0)).cast("double")).alias(alias)
 
 
 def variant_means(df: DataFrame) -> DataFrame:
     """Means per (entity, test, variant): all users and converted users (revenue > 0), 4 decimals."""
     aggs = []
     for m in METRICS:
-        conv = F.when(F.col("revenue_per_user") > 0, F.col(m))
-        aggs.append(_exact_mean_of(conv, f"__conv_{m}"))
-        aggs.append(_exact_mean(m).alias(f"__mean_{m}"))
+        aggs.append(_exact_mean(F.when(F.col("revenue_per_user") > 0, F.col(m)), f"__conv_{m}"))
+        aggs.append(_exact_mean(F.col(m), f"__mean_{m}"))
     out = df.groupBy(*GROUP, "variant").agg(*aggs)
     return out.select(
         *GROUP, "variant",
@@ -67,15 +67,10 @@ def variant_means(df: DataFrame) -> DataFrame:
     )
 
 
-def _exact_mean_of(col, alias: str):
-    total = F.sum(col.cast("decimal(38,2)")).cast("double")
-    return (total / F.nullif(F.count(col), F.lit(0)).cast("double")).alias(alias)
-
-
 def variant_deltas(means: DataFrame) -> DataFrame:
     """Relative delta of each variant's mean against its test's Control mean (NULL if that mean is 0)."""
-    ctrl = means.where(F.col("variant") == CONTROL).select(
-        *GROUP, *[F.col(f"__mean_{m}").alias(f"__ctrl_{m}") for m in METRICS])
+    ctrl = broadcast_if_small(means.where(F.col("variant") == CONTROL).select(
+        *GROUP, *[F.col(f"__mean_{m}").alias(f"__ctrl_{m}") for m in METRICS]))
     j = means.join(ctrl, GROUP, "left")
     cols = []
     for m in METRICS:
@@ -128,7 +123,7 @@ def mann_whitney(df: DataFrame, metric: str, cfg: PipelineConfig) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
     hv = hist.where(F.col("variant") != CONTROL).withColumnRenamed("n", "n_v")
     hc = hist.where(F.col("variant") == CONTROL).select(*GROUP, "value", F.col("n").alias("n_c"))
-    pairs = hv.select(*GROUP, "variant").distinct()
+    pairs = broadcast_if_small(hv.select(*GROUP, "variant").distinct())
     hc_per_pair = hc.join(pairs, GROUP, "inner")
     merged = hv.join(hc_per_pair, [*GROUP, "variant", "value"], "full_outer").select(
         *GROUP, "variant", "value",
@@ -169,14 +164,16 @@ def mann_whitney(df: DataFrame, metric: str, cfg: PipelineConfig) -> DataFrame:
 
 def significance(df: DataFrame, granularity: str, cfg: PipelineConfig) -> DataFrame:
     """One row per distinct test variant key: means, deltas and p-values of both KPIs."""
+    # Every table joined here has one row per test variant (bounded by the
+    # number of tests, not by users): size-checked broadcasts.
     rows = df.select(*SIG_KEYS).distinct()
     means = variant_means(df)
     deltas = variant_deltas(means)
-    out = rows.join(means.drop(*[f"__mean_{m}" for m in METRICS]), [*GROUP, "variant"], "left").join(
-        deltas, [*GROUP, "variant"], "left")
+    out = rows.join(broadcast_if_small(means.drop(*[f"__mean_{m}" for m in METRICS])), [*GROUP, "variant"],
+                    "left").join(broadcast_if_small(deltas), [*GROUP, "variant"], "left")
     for m in METRICS:
         mw = mann_whitney(df, m, cfg).select(*GROUP, "variant", F.col("p_value").alias(f"{m}_p_val"))
-        out = out.join(mw, [*GROUP, "variant"], "left")
+        out = out.join(broadcast_if_small(mw), [*GROUP, "variant"], "left")
     return out.select(
         *SIG_KEYS,
         "avg_order_count_per_user_conv_only", "avg_order_count_per_user", "avg_order_count_per_user_delta",
@@ -197,4 +194,4 @@ def combine(sig_exp: DataFrame, sig_ts: DataFrame, share: DataFrame, cfg: Pipeli
         sig_flag("order_count_per_user_p_val", cfg.alpha).alias("order_count_per_user_sig_flag"),
         sig_flag("profit_per_user_p_val", cfg.alpha).alias("profit_per_user_sig_flag"),
     )
-    return both.join(share, ["entity_id", "country_code", "test_id"], "inner")
+    return both.join(broadcast_if_small(share), ["entity_id", "country_code", "test_id"], "inner")
