@@ -52,6 +52,30 @@ def key_flag(df: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]], flag
     return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
+def left_join_skip_null_keys(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """``left LEFT JOIN right ON left.a = right.b AND ...`` for big inputs with possibly-NULL keys.
+
+    A row with a NULL key never matches, but a shuffled join still sends all
+    such rows to one reducer (they hash alike): one hot partition when, say,
+    a third of the ids are missing.  Those rows bypass the join and get NULL
+    right-side columns; only rows with complete keys are shuffled.  The
+    result equals the plain left join.
+    """
+    has_null = None
+    for lk, _ in pairs:
+        c = left[lk].isNull()
+        has_null = c if has_null is None else has_null | c
+    cond = None
+    for lk, rk in pairs:
+        c = left[lk] == right[rk]
+        cond = c if cond is None else cond & c
+    complete = left.where(~has_null)
+    joined = complete.join(right, [complete[lk] == right[rk] for lk, rk in pairs], "left")
+    missing = left.where(has_null).select(
+        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields])
+    return joined.unionByName(missing)
+
+
 def first_row_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per ``keys``: the row that sorts first on ``order`` (ascending, NULLs first).
 
