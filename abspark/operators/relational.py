@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,10 +19,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     Spark's own broadcast choice rests on estimates, and at runtime AQE will
     not broadcast a side whose shuffle partitions are mostly empty, which is
     what a tiny key table looks like.  Here the side is counted once (it is
-    a small, usually cached, table) and hinted only under ``max_rows``;
-    beyond that the join is left to the planner (sort-merge / shuffled hash).
+    a small table, persisted first so the join does not compute it again)
+    and hinted only under ``max_rows``; beyond that it is unpersisted and the
+    join is left to the planner (sort-merge / shuffled hash).
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if cached.count() <= max_rows:  # the join then reads the cached rows instead of recomputing them
+        return F.broadcast(cached)
+    cached.unpersist()
+    return df
 
 
 def key_semi_join(df: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
