@@ -50,15 +50,15 @@ def _exact_mean(col, alias: str):
     return (total / F.nullif(F.count(col), F.lit(0)).cast("double")).alias(alias)
 
 
-def variant_means(df: DataFrame) -> DataFrame:
+def variant_means(df: DataFrame, group: list[str] = GROUP) -> DataFrame:
     """Means per (entity, test, variant): all users and converted users (revenue > 0), 4 decimals."""
     aggs = []
     for m in METRICS:
         aggs.append(_exact_mean(F.when(F.col("revenue_per_user") > 0, F.col(m)), f"__conv_{m}"))
         aggs.append(_exact_mean(F.col(m), f"__mean_{m}"))
-    out = df.groupBy(*GROUP, "variant").agg(*aggs)
+    out = df.groupBy(*group, "variant").agg(*aggs)
     return out.select(
-        *GROUP, "variant",
+        *group, "variant",
         *[c for m in METRICS for c in (
             round_half_even(f"__conv_{m}", 4).alias(f"avg_{m}_conv_only"),
             round_half_even(f"__mean_{m}", 4).alias(f"avg_{m}"),
@@ -67,16 +67,16 @@ def variant_means(df: DataFrame) -> DataFrame:
     )
 
 
-def variant_deltas(means: DataFrame) -> DataFrame:
+def variant_deltas(means: DataFrame, group: list[str] = GROUP) -> DataFrame:
     """Relative delta of each variant's mean against its test's Control mean (NULL if that mean is 0)."""
     ctrl = broadcast_if_small(means.where(F.col("variant") == CONTROL).select(
-        *GROUP, *[F.col(f"__mean_{m}").alias(f"__ctrl_{m}") for m in METRICS]))
-    j = means.join(ctrl, GROUP, "left")
+        *group, *[F.col(f"__mean_{m}").alias(f"__ctrl_{m}") for m in METRICS]))
+    j = means.join(ctrl, group, "left")
     cols = []
     for m in METRICS:
         delta = (F.col(f"__mean_{m}") - F.col(f"__ctrl_{m}")) / F.nullif(F.abs(F.col(f"__ctrl_{m}")), F.lit(0.0))
         cols.append(F.when(F.col("variant") != CONTROL, round_half_even(delta, 4)).alias(f"avg_{m}_delta"))
-    return j.select(*GROUP, "variant", *cols)
+    return j.select(*group, "variant", *cols)
 
 
 @F.pandas_udf(DoubleType())
@@ -116,25 +116,34 @@ def _u_cdf(m: int, n: int) -> np.ndarray:
     return np.cumsum(pmf)
 
 
-def mann_whitney(df: DataFrame, metric: str, cfg: PipelineConfig) -> DataFrame:
-    """Two-sided Mann-Whitney U test of each non-Control variant against Control, per (entity, test)."""
-    vals = df.where(F.col(metric).isNotNull() & ~F.isnan(F.col(metric)))
-    hist = vals.groupBy(*GROUP, "variant", F.col(metric).cast("double").alias("value")).agg(
-        F.count(F.lit(1)).alias("n"))
+def mann_whitney_stacked(df: DataFrame, metrics: tuple[str, ...], cfg: PipelineConfig,
+                         group: list[str] = GROUP) -> DataFrame:
+    """Two-sided Mann-Whitney U test of each non-Control variant against Control, per group and metric.
+
+    All metrics are tested in one pass: each row's metric values are stacked
+    into (metric, value) pairs before the histogram, and ``metric`` joins the
+    grouping keys everywhere after.
+    """
+    g = [*group, "metric"]
+    stacked = df.select(*group, "variant", F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])).alias("mv"))
+    vals = stacked.select(*group, "variant", "mv.metric", "mv.value").where(
+        F.col("value").isNotNull() & ~F.isnan(F.col("value")))
+    hist = vals.groupBy(*g, "variant", "value").agg(F.count(F.lit(1)).alias("n"))
     hv = hist.where(F.col("variant") != CONTROL).withColumnRenamed("n", "n_v")
-    hc = hist.where(F.col("variant") == CONTROL).select(*GROUP, "value", F.col("n").alias("n_c"))
-    pairs = broadcast_if_small(hv.select(*GROUP, "variant").distinct())
-    hc_per_pair = hc.join(pairs, GROUP, "inner")
-    merged = hv.join(hc_per_pair, [*GROUP, "variant", "value"], "full_outer").select(
-        *GROUP, "variant", "value",
+    hc = hist.where(F.col("variant") == CONTROL).select(*g, "value", F.col("n").alias("n_c"))
+    pairs = broadcast_if_small(hv.select(*g, "variant").distinct())
+    hc_per_pair = hc.join(pairs, g, "inner")
+    merged = hv.join(hc_per_pair, [*g, "variant", "value"], "full_outer").select(
+        *g, "variant", "value",
         F.coalesce("n_v", F.lit(0)).alias("n_v"), F.coalesce("n_c", F.lit(0)).alias("n_c"))
-    w = Window.partitionBy(*GROUP, "variant").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy(*g, "variant").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     t = F.col("n_v") + F.col("n_c")
     ranked = merged.select(
         "*", (F.coalesce(F.sum(t).over(w), F.lit(0)).cast("double") + (t.cast("double") + 1.0) / 2.0)
         .alias("mid_rank"))
     tot = t.cast("double")
-    agg = ranked.groupBy(*GROUP, "variant").agg(
+    agg = ranked.groupBy(*g, "variant").agg(
         F.sum("n_v").cast("double").alias("n1"),
         F.sum("n_c").cast("double").alias("n2"),
         F.sum(F.col("n_v").cast("double") * F.col("mid_rank")).alias("r1"),
@@ -150,7 +159,7 @@ def mann_whitney(df: DataFrame, metric: str, cfg: PipelineConfig) -> DataFrame:
     exact = (F.least(n1, n2) <= cfg.exact_max_n) & (F.col("tie_term") == 0)
     valid = (n1 > 0) & (n2 > 0)
     stats = agg.select(
-        *GROUP, "variant", u1.alias("u_statistic"), "n1", "n2", "tie_term",
+        *g, "variant", u1.alias("u_statistic"), "n1", "n2", "tie_term",
         F.when(valid, F.when(exact, F.lit("exact")).otherwise(F.lit("asymptotic"))).alias("method"),
         F.when(valid & ~exact, p_asym).alias("__p_asym"),
         u.alias("__u"),
@@ -158,37 +167,62 @@ def mann_whitney(df: DataFrame, metric: str, cfg: PipelineConfig) -> DataFrame:
     p_exact = exact_mwu_pvalue(F.col("__u"), F.col("n1"), F.col("n2"), F.col("method") == "exact")
     p = F.when(F.col("method") == "exact", p_exact).otherwise(F.col("__p_asym"))
     return stats.select(
-        *GROUP, "variant", F.col("n1").cast("bigint").alias("n1"), F.col("n2").cast("bigint").alias("n2"),
+        *g, "variant", F.col("n1").cast("bigint").alias("n1"), F.col("n2").cast("bigint").alias("n2"),
         "u_statistic", "tie_term", "method", round_half_even(p, 4).alias("p_value"))
 
 
-def significance(df: DataFrame, granularity: str, cfg: PipelineConfig) -> DataFrame:
-    """One row per distinct test variant key: means, deltas and p-values of both KPIs."""
+def mann_whitney(df: DataFrame, metric: str, cfg: PipelineConfig) -> DataFrame:
+    """Two-sided Mann-Whitney U test of each non-Control variant against Control, per (entity, test)."""
+    return mann_whitney_stacked(df, (metric,), cfg).drop("metric")
+
+
+def _significance(df: DataFrame, group: list[str], cfg: PipelineConfig) -> DataFrame:
+    """Means, deltas and p-values of both KPIs per distinct test-variant key (``group`` adds granularity)."""
+    extra = [c for c in group if c not in GROUP]
+    keys = [*group, "variant"]
     # Every table joined here has one row per test variant (bounded by the
     # number of tests, not by users): size-checked broadcasts.
-    rows = df.select(*SIG_KEYS).distinct()
-    means = variant_means(df)
-    deltas = variant_deltas(means)
-    out = rows.join(broadcast_if_small(means.drop(*[f"__mean_{m}" for m in METRICS])), [*GROUP, "variant"],
-                    "left").join(broadcast_if_small(deltas), [*GROUP, "variant"], "left")
-    for m in METRICS:
-        mw = mann_whitney(df, m, cfg).select(*GROUP, "variant", F.col("p_value").alias(f"{m}_p_val"))
-        out = out.join(broadcast_if_small(mw), [*GROUP, "variant"], "left")
+    rows = df.select(*extra, *SIG_KEYS).distinct()
+    means = variant_means(df, group)
+    deltas = variant_deltas(means, group)
+    tests = mann_whitney_stacked(df, METRICS, cfg, group)
+    p_vals = tests.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("metric") == m, F.col("p_value"))).alias(f"{m}_p_val") for m in METRICS])
+    out = (rows.join(broadcast_if_small(means.drop(*[f"__mean_{m}" for m in METRICS])), keys, "left")
+           .join(broadcast_if_small(deltas), keys, "left")
+           .join(broadcast_if_small(p_vals), keys, "left"))
     return out.select(
         *SIG_KEYS,
         "avg_order_count_per_user_conv_only", "avg_order_count_per_user", "avg_order_count_per_user_delta",
         "order_count_per_user_p_val",
         "avg_profit_per_user_conv_only", "avg_profit_per_user", "avg_profit_per_user_delta", "profit_per_user_p_val",
-        F.lit(granularity).alias("granularity"),
+        *extra,
     )
 
 
+def significance(df: DataFrame, granularity: str, cfg: PipelineConfig) -> DataFrame:
+    """One row per distinct test variant key: means, deltas and p-values of both KPIs at one granularity."""
+    return _significance(df.withColumn("granularity", F.lit(granularity)), ["granularity", *GROUP], cfg)
+
+
+def significance_both(kpis: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """Experiment level (all rows) and treatment scope (rows with flag 'Y') in one pass over the KPI table.
+
+    Each row is tagged 'exp', and also 'ts' when it is in treatment (one
+    explode, no second scan); every statistic then groups by granularity.
+    """
+    tagged = kpis.withColumn("granularity", F.explode(
+        F.when(F.col("session_in_treatment_flag") == "Y", F.array(F.lit("exp"), F.lit("ts")))
+        .otherwise(F.array(F.lit("exp")))))
+    return _significance(tagged, ["granularity", *GROUP], cfg)
+
+
 def sig_flag(p_col: str, alpha: float):
     return F.when(F.col(p_col) <= F.lit(alpha), "Sig").otherwise("Not Sig")
 
 
-def combine(sig_exp: DataFrame, sig_ts: DataFrame, share: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    both = sig_exp.unionByName(sig_ts)
+def combine(both: DataFrame, share: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """Significance flags at level ``alpha`` (a missing p-value is 'Not Sig'), and the share gate."""
     both = both.select(
         "*",
         sig_flag("order_count_per_user_p_val", cfg.alpha).alias("order_count_per_user_sig_flag"),

@@ -14,6 +14,7 @@ from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from abspark.config import PipelineConfig
 from abspark.operators import kpis, orders, questions, sessions, setups, stats
@@ -151,20 +152,24 @@ class ExperimentPipeline:
     def mann_whitney(self) -> DataFrame:
         return stats.mann_whitney(self.gated_kpis_exp, "profit_per_user", self.cfg)
 
+    @cached_property
+    def significance_both(self) -> DataFrame:
+        """exp and ts statistics in one pass over the gated KPI table."""
+        return stats.significance_both(self.gated_kpis_exp, self.cfg)
+
     @cached_property
     def significance_exp(self) -> DataFrame:
-        return stats.significance(self.gated_kpis_exp, "exp", self.cfg)
+        return self.significance_both.where(F.col("granularity") == "exp")
 
     @cached_property
     def significance_ts(self) -> DataFrame:
-        return stats.significance(self.gated_kpis_ts, "ts", self.cfg)
+        return self.significance_both.where(F.col("granularity") == "ts")
 
     @cached_property
     def significance_combined(self) -> DataFrame:
         # The result table of the study (uploaded there, checkpointed here):
         # every question below reads it.
-        return self._stage_output(stats.combine(
-            self.significance_exp, self.significance_ts, self.treatment_order_share, self.cfg))
+        return self._stage_output(stats.combine(self.significance_both, self.treatment_order_share, self.cfg))
 
     # ---- questions on the result ----------------------------------------------
     @cached_property
