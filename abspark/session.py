@@ -38,3 +38,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="abspark-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large cluster run, sized from the input volume.
+
+    Scan splits and shuffle partitions target ``target_partition_bytes``
+    each (so a task's data fits an executor's memory share); AQE coalesces
+    small partitions and splits skewed ones at runtime.  Apply with
+    ``spark.conf.set`` before building the pipeline; the broadcast threshold
+    is left at Spark's default because the pipeline checks the sizes of the
+    sides it broadcasts itself.
+    """
+    partitions = max(200, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.parquet.filterPushdown": "true",
+    }

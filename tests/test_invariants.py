@@ -45,3 +45,13 @@ def test_write_stage_tables(pipe, tmp_path):
     spark = pipe.kpis_per_user.sparkSession
     assert spark.read.parquet(str(tmp_path / "kpis_per_user")).count() == pipe.kpis_per_user.count()
     assert spark.read.parquet(str(tmp_path / "experiment_sessions")).count() == pipe.experiment_sessions.count()
+
+
+def test_one_pass_statistics_equal_per_granularity(pipe):
+    from abspark.operators import stats
+
+    both = stats.significance_both(pipe.gated_kpis_exp, pipe.cfg)
+    for g, src in (("exp", pipe.gated_kpis_exp), ("ts", pipe.gated_kpis_ts)):
+        one = stats.significance(src, g, pipe.cfg)
+        a = both.where(F.col("granularity") == g)
+        assert a.exceptAll(one).count() == 0 and one.exceptAll(a).count() == 0
