@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from abspark.config import PipelineConfig
 from abspark.functions.columns import NON_TG, UNKNOWN_TG, round_half_away
-from abspark.operators.relational import broadcast_if_small, left_join_skip_null_keys
+from abspark.operators.relational import broadcast_if_small, left_join_spread_null_keys
 from abspark.sources.schemas import KPIS_PER_USER, apply_contract
 
 USER_COLS = ["entity_id", "country_code", "test_id", "test_name", "test_start_date", "test_end_date",
@@ -68,7 +68,7 @@ def kpis_per_user(users: DataFrame, clean_orders: DataFrame) -> DataFrame:
         F.sum("gross_profit_local").alias("__profit"),
     )
     per_key = per_key.select(*[F.col(k).alias(f"__o_{k}") for k in ORDER_KEYS], "__orders", "__revenue", "__profit")
-    j = left_join_skip_null_keys(u, per_key, [(k, f"__o_{k}") for k in ORDER_KEYS])
+    j = left_join_spread_null_keys(u, per_key, [(k, f"__o_{k}") for k in ORDER_KEYS])
     return apply_contract(j.select(
         *USER_COLS,
         F.coalesce(F.col("__orders"), F.lit(0)).cast("bigint").alias("order_count_per_user"),

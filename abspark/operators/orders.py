@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from abspark.config import PipelineConfig
 from abspark.functions.columns import NON_TG, normalize_vertical, point_in_ring
-from abspark.operators.relational import broadcast_if_small, key_flag, key_semi_join, left_join_skip_null_keys
+from abspark.operators.relational import broadcast_if_small, key_flag, key_semi_join, left_join_spread_null_keys
 from abspark.sources.tables import SourceTables
 
 # Entity exclusion rules and the regions whose delivery fee
@@ -107,8 +107,10 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
                & _residual_eq(a.created_date, pd_.__p_date), "left")
     cst = costs.select(F.col("entity_id").alias("__c_entity"), F.col("order_id").alias("__c_order"),
                        F.col("country_code").alias("__c_country"), "delivery_costs_local")
-    a = left_join_skip_null_keys(a, cst, [("entity_id", "__c_entity"), ("order_id", "__c_order"),
-                                          ("country_code", "__c_country")])
+    # NULL order ids (never matched) are spread over many partitions
+    # instead of landing on one reducer.
+    a = left_join_spread_null_keys(a, cst, [("entity_id", "__c_entity"), ("order_id", "__c_order"),
+                                            ("country_code", "__c_country")])
 
     t = broadcast_if_small(tg.select(F.col("entity_id").alias("__t_entity"), F.col("vendor_code").alias("__t_vendor"),
                                      F.col("test_id").alias("__t_test"), "tg_name", "parent_vertical_concat"))

@@ -58,28 +58,39 @@ def key_flag(df: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]], flag
     return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
-def left_join_skip_null_keys(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+# Partitions over which rows with a NULL join key are spread.
+NULL_KEY_BUCKETS = 256
+
+
+def left_join_spread_null_keys(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
+                               residual: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """``left LEFT JOIN right ON left.a = right.b AND ...`` for big inputs with possibly-NULL keys.
 
     A row with a NULL key never matches, but a shuffled join still sends all
     such rows to one reducer (they hash alike): one hot partition when, say,
-    a third of the ids are missing.  Those rows bypass the join and get NULL
-    right-side columns; only rows with complete keys are shuffled.  The
-    result equals the plain left join.
+    a third of the ids are missing.  Each such row gets a salt in
+    1..NULL_KEY_BUCKETS (a hash of the row, so task retries place it the
+    same way) and every other row salt 0; the salt is one more join key,
+    with 0 on the right side.  NULL-key rows spread over that many
+    partitions and still match nothing; the result equals the plain left
+    join, in one plan (no second pass over ``left``).  ``residual`` pairs
+    are further equalities kept out of the join keys; NULL never matches
+    there either.
     """
     has_null = None
     for lk, _ in pairs:
         c = left[lk].isNull()
         has_null = c if has_null is None else has_null | c
-    cond = None
+    salt = F.when(has_null, F.pmod(F.xxhash64(*[left[c] for c in left.columns]), F.lit(NULL_KEY_BUCKETS)) + 1) \
+        .otherwise(F.lit(0)).cast("bigint")
+    lft = left.withColumn("__null_salt", salt)
+    rgt = right.withColumn("__null_salt_r", F.lit(0).cast("bigint"))
+    on = lft["__null_salt"] == rgt["__null_salt_r"]
     for lk, rk in pairs:
-        c = left[lk] == right[rk]
-        cond = c if cond is None else cond & c
-    complete = left.where(~has_null)
-    joined = complete.join(right, [complete[lk] == right[rk] for lk, rk in pairs], "left")
-    missing = left.where(has_null).select(
-        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields])
-    return joined.unionByName(missing)
+        on = on & (lft[lk] == rgt[rk])
+    for lk, rk in residual:
+        on = on & F.coalesce(lft[lk] == rgt[rk], F.lit(False))
+    return lft.join(rgt, on, "left").drop("__null_salt", "__null_salt_r")
 
 
 def first_row_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

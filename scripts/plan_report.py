@@ -57,7 +57,8 @@ def main():
                   "kpis_per_user", "significance_exp"):
         df = getattr(p, stage)
         df.collect()
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        # AQE prints its final plan and then its initial plan: keep the final one
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         counts = collections.Counter(re.findall(NODES, _own_nodes(plan)))
         print(f"## {stage}\n")
         print("| node | count |\n| --- | --- |")

@@ -138,13 +138,23 @@ def test_share_gate(spark):
     assert got == {1: 0.3333}  # test 2 has no treatment orders: below the gate
 
 
-def test_left_join_skip_null_keys_equals_left_join(spark):
+def test_left_join_spread_null_keys_equals_left_join(spark):
     left = spark.createDataFrame([(1, "a", 10), (None, "a", 11), (2, None, 12), (2, "b", 13), (3, "c", 14)],
                                  "k1 int, k2 string, v int")
     right = spark.createDataFrame([(1, "a", 1.5), (2, "b", 2.5), (2, "b", 3.5), (None, "a", 9.0)],
                                   "r1 int, r2 string, x double")
-    got = relational.left_join_skip_null_keys(left, right, [("k1", "r1"), ("k2", "r2")])
+    got = relational.left_join_spread_null_keys(left, right, [("k1", "r1"), ("k2", "r2")])
     want = left.join(right, (left.k1 == right.r1) & (left.k2 == right.r2), "left")
     from collections import Counter
     assert Counter(tuple(r) for r in got.collect()) == Counter(tuple(r) for r in want.collect())
     assert got.columns == want.columns
+
+
+def test_left_join_spread_null_keys_with_residual(spark):
+    from collections import Counter
+    left = spark.createDataFrame([(1, "a", 10), (1, "b", 11), (None, "a", 12), (2, None, 13)],
+                                 "k int, c string, v int")
+    right = spark.createDataFrame([(1, "a", 1.0), (1, "x", 2.0), (2, None, 3.0)], "rk int, rc string, x double")
+    got = relational.left_join_spread_null_keys(left, right, [("k", "rk")], residual=[("c", "rc")])
+    want = left.join(right, (left.k == right.rk) & (left.c == right.rc), "left")
+    assert Counter(tuple(r) for r in got.collect()) == Counter(tuple(r) for r in want.collect())
