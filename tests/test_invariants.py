@@ -55,3 +55,13 @@ def test_one_pass_statistics_equal_per_granularity(pipe):
         one = stats.significance(src, g, pipe.cfg)
         a = both.where(F.col("granularity") == g)
         assert a.exceptAll(one).count() == 0 and one.exceptAll(a).count() == 0
+
+
+def test_runner_writes_tables_and_questions(spark, tmp_path):
+    from abspark.plans.run import QUESTIONS, run
+
+    out = str(tmp_path / "out")
+    p = run(spark, out, star_schema="/root/testdata/sf0.001")
+    assert spark.read.parquet(f"{out}/tables/significance_combined").count() == p.significance_combined.count()
+    for q in QUESTIONS:
+        spark.read.parquet(f"{out}/questions/{q}")
