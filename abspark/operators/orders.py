@@ -77,11 +77,13 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
         (F.col("created_date") >= _floor(cfg)) & (F.col("delivery_status") == "completed"))
     a = key_semi_join(a, schemes, [("entity_id", "entity_id"), ("country_code", "country_code"),
                                    ("experiment_id", "test_id"), ("variant", "variant")])
-    a = key_semi_join(a, tg, [("entity_id", "entity_id"), ("country_code", "country_code"),
-                              ("experiment_id", "test_id")])
+    test_key = [("entity_id", "entity_id"), ("country_code", "country_code"), ("experiment_id", "test_id")]
     if cfg.sub_vertical_filter:
-        a = key_semi_join(a, tg, [("entity_id", "entity_id"), ("country_code", "country_code"),
-                                  ("experiment_id", "test_id"), ("vertical_type", "vertical_type")])
+        # (test, vertical type) in the target groups implies test in the target
+        # groups, so this one semi-join also applies the test filter.
+        a = key_semi_join(a, tg, test_key + [("vertical_type", "vertical_type")])
+    else:
+        a = key_semi_join(a, tg, test_key)
 
     # Zones of the test (small) and the delivery point (big): inner joins,
     # because the spatial predicate needs both.

@@ -85,13 +85,15 @@ CROSS JOIN (VALUES (0, 'Control'), (1, 'Variation1'), (2, 'Variation2')) AS v(vi
 # List 0 is used by every test except k = 1, whose list (1) leaves out the
 # darkstores vendors, so that the vertical-type filter removes orders.
 F_SETUP_VENDORS = """
-SELECT e, CAST(1 AS BIGINT) AS priority, l.list_id, vendor_id
-FROM {f_vendors} JOIN (VALUES (0), (1)) AS l(list_id) ON l.list_id = 0 OR vertical_type <> 'darkstores'
-WHERE grp IN (0, 2)
+SELECT e, CAST(1 AS BIGINT) AS priority, 0 AS list_id, vendor_id FROM {f_vendors} WHERE grp IN (0, 2)
 UNION ALL
-SELECT e, CAST(2 AS BIGINT) AS priority, l.list_id, vendor_id
-FROM {f_vendors} JOIN (VALUES (0), (1)) AS l(list_id) ON l.list_id = 0 OR vertical_type <> 'darkstores'
-WHERE grp IN (1, 2)
+SELECT e, CAST(1 AS BIGINT) AS priority, 1 AS list_id, vendor_id FROM {f_vendors}
+WHERE grp IN (0, 2) AND vertical_type <> 'darkstores'
+UNION ALL
+SELECT e, CAST(2 AS BIGINT) AS priority, 0 AS list_id, vendor_id FROM {f_vendors} WHERE grp IN (1, 2)
+UNION ALL
+SELECT e, CAST(2 AS BIGINT) AS priority, 1 AS list_id, vendor_id FROM {f_vendors}
+WHERE grp IN (1, 2) AND vertical_type <> 'darkstores'
 """
 
 # Parent verticals per test: one for k <> 1, two for k = 1, none for
