@@ -158,3 +158,22 @@ def test_left_join_spread_null_keys_with_residual(spark):
     got = relational.left_join_spread_null_keys(left, right, [("k", "rk")], residual=[("c", "rc")])
     want = left.join(right, (left.k == right.rk) & (left.c == right.rc), "left")
     assert Counter(tuple(r) for r in got.collect()) == Counter(tuple(r) for r in want.collect())
+
+
+def test_broadcast_if_small_respects_the_bound(spark):
+    df = spark.range(10)
+    small = relational.broadcast_if_small(df, max_rows=10)
+    big = relational.broadcast_if_small(df, max_rows=9)
+    probe = spark.range(100).withColumnRenamed("id", "k")
+    plan_small = probe.join(small, probe.k == small.id)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan_small or "BroadcastExchange" in plan_small
+    assert sorted(r.id for r in big.collect()) == list(range(10))  # same rows, no hint
+
+
+def test_scale_conf_sizes_partitions():
+    from abspark.session import scale_conf
+
+    conf = scale_conf(100 * 2 ** 40)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2 ** 40 // (256 << 20)
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(scale_conf(1 << 20)["spark.sql.shuffle.partitions"]) == 200
