@@ -5,11 +5,13 @@ returns a DataFrame; nothing runs until an action.  Steps that several later
 steps read (target groups, schemes, zone geography, clean orders, sessions
 with flags, the user KPI table) can be persisted with ``persist_reused``;
 for a long lineage ``checkpoint_reused`` cuts it with ``checkpoint()`` into
-the session's ``spark.checkpoint.dir`` (a shared folder on a cluster).
+the session's ``spark.checkpoint.dir`` (a shared folder on a cluster).  The
+stage tables the study stores are written there as parquet and read back.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -25,27 +27,38 @@ from abspark.sources.tables import SourceTables
 class ExperimentPipeline:
     def __init__(self, src: SourceTables, cfg: PipelineConfig | None = None,
                  persist_reused: bool = True, checkpoint_reused: bool = False,
-                 checkpoint_stage_outputs: bool = True):
+                 checkpoint_stage_outputs: bool = True, stage_format: str = "parquet"):
         self.src = src
         self.cfg = cfg or PipelineConfig()
         self.persist_reused = persist_reused
         self.checkpoint_reused = checkpoint_reused
         self.checkpoint_stage_outputs = checkpoint_stage_outputs
+        self.stage_format = stage_format
+        self._run_id = uuid.uuid4().hex
+        self._ckpt_dir = None
         if checkpoint_stage_outputs or checkpoint_reused:
             # the session's spark.checkpoint.dir; a scratch folder only where none is set
-            ensure_checkpoint_dir(src.experiment_setups.sparkSession)
+            self._ckpt_dir = ensure_checkpoint_dir(src.experiment_setups.sparkSession)
 
-    def _stage_output(self, df: DataFrame) -> DataFrame:
+    def _stage_output(self, df: DataFrame, name: str) -> DataFrame:
         """Tables the study itself stores and reads back several times.
 
         Clean orders (read by the KPI join and the share gate), the user KPI
-        table and the share gate (read by means, deltas, two rank tests at two
-        granularities) and the combined result (read by every question).  A
-        reliable checkpoint in the session's checkpoint dir cuts the lineage
-        there: later plans stay small, and an executor loss recomputes from
-        the checkpoint instead of from the sources.
+        table and the share gate (read by the statistics) and the combined
+        result (read by every question).  Each is written as a parquet table
+        into this run's folder under the session's ``spark.checkpoint.dir``
+        (the cluster's shared folder) and read back: the lineage is cut there,
+        an executor loss recomputes from that table instead of from the
+        sources, and later reads prune columns and push filters into it.
+        ``stage_format="checkpoint"`` uses ``DataFrame.checkpoint()`` instead.
         """
-        return df.checkpoint(eager=True) if self.checkpoint_stage_outputs else self._reused(df)
+        if not self.checkpoint_stage_outputs:
+            return self._reused(df)
+        if self.stage_format == "checkpoint":
+            return df.checkpoint(eager=True)
+        path = f"{self._ckpt_dir.rstrip('/')}/abspark-{self._run_id}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
     def _reused(self, df: DataFrame) -> DataFrame:
         if self.checkpoint_reused:
@@ -102,7 +115,7 @@ class ExperimentPipeline:
     @cached_property
     def clean_orders(self) -> DataFrame:
         # Read by the KPI join and by the share gate: a stage output.
-        return self._stage_output(orders.clean_orders(self.order_profit))
+        return self._stage_output(orders.clean_orders(self.order_profit), "clean_orders")
 
     # ---- sessions (S9-S10) ---------------------------------------------
     @cached_property
@@ -129,11 +142,11 @@ class ExperimentPipeline:
 
     @cached_property
     def kpis_per_user(self) -> DataFrame:
-        return self._stage_output(kpis.kpis_per_user(self.users_per_test, self.clean_orders))
+        return self._stage_output(kpis.kpis_per_user(self.users_per_test, self.clean_orders), "kpis_per_user")
 
     @cached_property
     def treatment_order_share(self) -> DataFrame:
-        return self._stage_output(kpis.treatment_order_share(self.clean_orders, self.cfg))
+        return self._stage_output(kpis.treatment_order_share(self.clean_orders, self.cfg), "treatment_order_share")
 
     # ---- significance -------------------------------------------------------
     @cached_property
@@ -169,7 +182,8 @@ class ExperimentPipeline:
     def significance_combined(self) -> DataFrame:
         # The result table of the study (uploaded there, checkpointed here):
         # every question below reads it.
-        return self._stage_output(stats.combine(self.significance_both, self.treatment_order_share, self.cfg))
+        return self._stage_output(stats.combine(self.significance_both, self.treatment_order_share, self.cfg),
+                                  "significance_combined")
 
     # ---- questions on the result ----------------------------------------------
     @cached_property
