@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abspark.llm.common import new_folder
+from abspark.llm.common import new_folder, staged
 
 
 @dataclass(frozen=True)
@@ -124,12 +124,18 @@ class SecretLedger:
         counts = [F.count_if(F.col("kind") == r.kind).alias(f"n_{r.kind}") for r in self.rules]
         return rows.groupBy("blob").agg(*counts, text.alias("spans"))
 
+    def joined(self, rows: DataFrame, blob: str) -> DataFrame:
+        """``rows`` with columns n_<kind>... and spans of the content whose address is in column ``blob``."""
+        # Written first, and merged at any size: copies of one content in many rows can be split over tasks.
+        found = staged(self.summary(), "secret-summary").withColumnRenamed("blob", "__found").hint("merge")
+        rows = rows.join(found, F.col(blob) == F.col("__found"), "left")
+        counts = {f"n_{r.kind}": F.coalesce(f"n_{r.kind}", F.lit(0)).cast("long") for r in self.rules}
+        return rows.withColumns(counts | {"spans": F.coalesce("spans", F.lit(""))}).drop("__found")
+
     def per_row(self, docs: DataFrame) -> DataFrame:
         """Columns (row, n_<kind>..., spans) for every row of ``docs``; rows without findings have zeros and ''."""
-        rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-        rows = rows.withColumn("b", blob_of(F.col("row.text"))).join(self.summary(), F.col("b") == F.col("blob"), "left")
-        zeros = [F.coalesce(f"n_{r.kind}", F.lit(0)).cast("long").alias(f"n_{r.kind}") for r in self.rules]
-        return rows.select("row", *zeros, F.coalesce("spans", F.lit("")).alias("spans"))
+        rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), blob_of(docs["text"]).alias("__blob"))
+        return self.joined(rows, "__blob").drop("__blob")
 
 
 def redact(text: Column, rules: tuple[Rule, ...] = RULES, placeholder: str = PLACEHOLDER) -> Column:
@@ -143,8 +149,7 @@ def redact(text: Column, rules: tuple[Rule, ...] = RULES, placeholder: str = PLA
 
 def op9_secret_ledger(docs: DataFrame) -> DataFrame:
     ledger = SecretLedger(docs.sparkSession)
-    rows = docs.select("doc_id", "text")
-    ledger.scan(rows)
+    ledger.scan(docs.select("text"))
     # The versions' rows carry only their content address from here on.
-    out = ledger.per_row(rows.select("doc_id", "text"))
-    return out.select("row.doc_id", "n_assign", "n_access", "n_hex", F.sha2("spans", 256).alias("base_sha256"), "spans")
+    out = ledger.joined(docs.select("doc_id", blob_of(F.col("text")).alias("__blob")), "__blob")
+    return out.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("spans", 256).alias("base_sha256"), "spans")
