@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from abspark.llm import oracle
 from abspark.llm.common import table
 from abspark.llm.kk_packing import op4_kk_packing
 from abspark.llm.language_id import op2_marginal_unigrams
@@ -43,4 +44,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_nn_descent": oracle.NEAR_VECTORS,
+        "op5_line_dedup": oracle.LINE_DEDUP,
+        "op7_warc_bundles": oracle.WARC,
+        "op9_secret_ledger": oracle.SECRETS,
+    }

@@ -31,7 +31,7 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import xxhash
@@ -70,7 +70,7 @@ def record(page_id, url: str | None, payload: bytes, digest: bytes, refers_to=No
     head = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: <urn:page:{'null' if page_id is None else page_id}>",
+        f"WARC-Record-ID: {_name(page_id)}",
         f"WARC-Date: {DATE}",
         f"WARC-Payload-Digest: sha1:{base64.b32encode(digest).decode()}",
         f"Content-Type: application/http; msgtype=response\r\nContent-Length: {len(block)}",
@@ -78,13 +78,21 @@ def record(page_id, url: str | None, payload: bytes, digest: bytes, refers_to=No
     if url is not None:
         head.insert(4, f"WARC-Target-URI: {quote(url, safe=_URL_SAFE)}")
     if revisit:
-        head[-1:-1] = [f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+        head[-1:-1] = [f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: {_name(refers_to)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
 _URL_SAFE = "%/:?#[]@!$&'()*+,;=-._~"
 
 
+def _name(page_id) -> str:
+    return "<urn:page>" if page_id is None else f"<urn:page:{quote(str(page_id), safe='')}>"
+
+
+def _page_id(name: str) -> str | None:
+    return None if name == "<urn:page>" else unquote(name[10:-1])
+
+
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes, int, int]]:
     """(headers, block, offset, length) of every record of a frame."""
     at = 0
@@ -160,6 +168,7 @@ def write_archive(pages: DataFrame, folder: str | None = None) -> tuple[str, Dat
     # Summed by digest before the shuffle; only payloads met more than once are kept.
     again = rows.select("page_id", "digest", "n").filter(F.col("n") >= REVISIT_BYTES).groupBy("digest", "n")
     again = again.agg(F.max("page_id").alias("first"), F.count("*").alias("copies")).filter("copies > 1 and first is not null").drop("copies")
+    again = staged(again, "responses", folder)  # a table of its own: the join can split a payload of many pages
     rows = rows.join(again, ["digest", "n"], "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     rows = rows.select("page_id", "url", "html", "first", revisit.alias("revisit"))
@@ -215,10 +224,10 @@ def _described(headers: dict[str, str], block: bytes) -> tuple:
     top = block.index(b"\r\n\r\n") + 4
     length = int(next(x for x in block[:top].decode().split("\r\n") if x.startswith("Content-Length: "))[16:])
     digest = base64.b32decode(headers["WARC-Payload-Digest"][5:])
-    kind, name = headers["WARC-Type"], lambda x: None if x == "<urn:page:null>" else x[10:-1]
+    kind = headers["WARC-Type"]
     if kind == "response" and (len(block) - top != length or hashlib.sha1(block[top:]).digest() != digest):
         raise ValueError("a payload does not match its digest")
-    return name(headers["WARC-Record-ID"]), length, digest.hex(), kind, name(headers["WARC-Refers-To"]) if kind == "revisit" else None
+    return _page_id(headers["WARC-Record-ID"]), length, digest.hex(), kind, _page_id(headers["WARC-Refers-To"]) if kind == "revisit" else None
 
 
 def read_archive(index: DataFrame, folder: str) -> DataFrame:
