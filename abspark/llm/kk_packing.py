@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from abspark.llm.common import bounded_batches
-from abspark.llm.word_ids import WordIds
+from abspark.llm.word_ids import word_ids
 
 CAPACITY = 4096
 END_ID = 2
@@ -103,7 +103,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     schema = T.StructType([T.StructField("doc_id", kind), *[T.StructField(c, T.LongType()) for c in longs]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = WordIds(tokenizer), np.array([end_id], "<u4").tobytes()
+        words, end = word_ids(tokenizer), np.array([end_id], "<u4").tobytes()
         context = TaskContext.get()
         first = (context.partitionId() if context else 0) << 33
         used, items, waiting = 0, [], 0

@@ -9,6 +9,7 @@ of at most ``MEMO`` chunks each: its memory does not grow with the corpus.
 from __future__ import annotations
 
 import os
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,12 @@ LONG_CHUNK = 200
 _STOPS = ".,;:!?"
 
 
+@lru_cache(maxsize=1)
+def word_ids(path: str | None = None) -> WordIds:
+    """The worker process's own: its tasks follow each other and share the memo."""
+    return WordIds(path)
+
+
 class WordIds:
     def __init__(self, path: str | None = None, memo: int = MEMO):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
