@@ -19,8 +19,9 @@ repeated rows get equal results; other columns are not read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from abspark.llm.chunks import Chunks, lossless
 from abspark.llm.common import bounded_batches
-from abspark.llm.lattice import Edges, Lattice
+from abspark.llm.lattice import Edges, Lattice, lattice
 
 UNKNOWN = "und"
 FOLDS = 5
@@ -57,6 +58,17 @@ class LanguageModel:
     prior: np.ndarray  # log share of each language
     logp: np.ndarray  # (pieces, languages)
     path: str | None = None
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
+
+
+_SCORERS: dict[str, _Scorer] = {}  # the worker process's last model: its tasks follow each other and share the memo
+
+
+def _scorer(model: LanguageModel) -> _Scorer:
+    if model.name not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[model.name] = _Scorer(model)
+    return _SCORERS[model.name]
 
 
 class _Expected:
@@ -110,7 +122,7 @@ def train(docs: DataFrame, path: str | None = None, power: float = POWER, smooth
         return LanguageModel([], np.zeros(0), np.zeros((0, 0)), path)
 
     def expected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = _Expected(Lattice(path), len(langs), power)
+        sums = _Expected(lattice(path), len(langs), power)
         for batch in batches:
             lang = pc.index_in(batch.column(1), pa.array(langs, batch.column(1).type)).to_numpy(zero_copy_only=False)
             sums.add(_cut(batch.column(0)), lang.astype(np.int64))
@@ -121,7 +133,7 @@ def train(docs: DataFrame, path: str | None = None, power: float = POWER, smooth
 
     parts = rows.mapInArrow(expected, "lang int, piece int, n double")
     table = parts.groupBy("lang", "piece").agg(F.sum("n").alias("n"))
-    size = Lattice(path).size
+    size = lattice(path).size
     sums = np.zeros((size, len(langs)))
     for r in table.toLocalIterator():  # at most vocabulary x languages rows
         sums[r.piece, r.lang] = r.n
@@ -134,7 +146,7 @@ class _Scorer:
     """Log probability under every language of the words met; the first ``MEMO_WORDS`` are kept."""
 
     def __init__(self, model: LanguageModel):
-        self.model, self.lattice = model, Lattice(model.path)
+        self.model, self.lattice = model, lattice(model.path)
         self.words: dict[str, int] = {}
         self.known = np.zeros((0, len(model.langs)))
 
@@ -173,7 +185,7 @@ def predict(model: LanguageModel, spark):
 
     @F.arrow_udf("lang_pred string, score double")
     def of(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        scorer = _Scorer(sent.value) if sent.value.langs else None
+        scorer = _scorer(sent.value) if sent.value.langs else None
         for texts in columns:
             letters = pc.fill_null(pc.match_substring_regex(texts.cast(pa.large_string()), r"\p{L}"), False).to_numpy(zero_copy_only=False)
             names, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))

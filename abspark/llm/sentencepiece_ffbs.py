@@ -24,6 +24,7 @@ table gives an empty table; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from pyspark.sql import types as T
 
 from abspark.llm.chunks import lossless
 from abspark.llm.common import bounded_batches, mix64
-from abspark.llm.lattice import Lattice
+from abspark.llm.lattice import lattice as shared_lattice
 
 SEED = 17
 POWER = 1.0
@@ -46,7 +47,7 @@ class Sampler:
     """Cumulated backward probabilities of words: the first ``memo`` stay, those of a batch beyond them go after it."""
 
     def __init__(self, path: str | None = None, power: float = POWER, memo: int = MEMO_WORDS):
-        self.lattice, self.memo = Lattice(path), memo
+        self.lattice, self.memo = shared_lattice(path), memo
         self.logp, self.byte_logp = self.lattice.rank_weights(power)
         self.words: dict[str, int] = {}
         self.last = np.zeros(0, np.int64)  # a word's last node
@@ -139,13 +140,19 @@ class Sampler:
         return pieces, begin, scores
 
 
+@lru_cache(maxsize=1)
+def _sampler(path: str | None, power: float) -> Sampler:
+    """The worker process's own: its tasks follow each other and share the memo."""
+    return Sampler(path, power)
+
+
 def encode(docs: DataFrame, seed: int = SEED, power: float = POWER, model: str | None = None) -> DataFrame:
     """(doc_id, ids array<int>, log_prob double): one sampled segmentation per row and its natural log probability as a piece sequence."""
     bounded_batches(docs.sparkSession)
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("log_prob", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler = Sampler(model, power)
+        sampler = _sampler(model, power)
         for batch in batches:
             names = batch.column(0).cast(pa.large_string()).to_pylist()
             keys = np.fromiter((xxhash.xxh64_intdigest(n or "") for n in names), np.uint64, len(names))
@@ -163,7 +170,7 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
 
     @F.arrow_udf("string")
     def text_of(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        lattice = Lattice(model)
+        lattice = shared_lattice(model)
         for ids in columns:
             if isinstance(ids, pa.ChunkedArray):
                 ids = ids.combine_chunks()
