@@ -2,17 +2,19 @@
 
 Documents become token ids and are cut at the capacity: every full stretch is
 a sequence of its own, the rest of the document is an item.  Items gather
-until they fill ``WINDOWS`` sequences but for a small slack, the last tenth of
+until they fill ``WINDOWS`` sequences but for a small slack, the last 15 % of
 them cut into short items that even out the rest; then the multiway differencing method
 splits them into that many windows of near-equal size: each item starts as a
 partial partition with one filled window, and the two partitions of largest
 spread are merged, the fullest window of one with the emptiest of the other,
 until one partition is left.  When its fullest window exceeds the capacity,
-the window count rises by one and the differencing is done again.
+the window count rises by one and the differencing is done again.  A
+partition's last group is packed alike; tokens beyond its whole windows fill
+sequences of a power of two.
 
 Each partition of the input is packed on its own as it streams by, so nothing
-is shuffled, a hot key does not matter, and a task holds the lengths of a few
-thousand items and the ids of one batch of documents.  A lost task is redone
+is shuffled, a hot key does not matter, and a task holds the ids of one
+group and of one batch of documents.  A lost task is redone
 alone: its sequence ids are its partition number and a counter.
 
 A sequence is padded to the capacity unless its length is a power of two
@@ -43,7 +45,9 @@ CAPACITY = 4096
 END_ID = 2
 WINDOWS = 256
 #: Share of a group's tokens left free, share cut into short items, and their length.
-SLACK, FINE_SHARE, FINE = 0.003, 0.1, 128
+SLACK, FINE_SHARE, FINE = 0.002, 0.15, 64
+#: Shortest sequence made of a partition's last tokens (unless they fill no window at all).
+LEAST_POWER = 64
 
 
 def padded_length(length: int, capacity: int = CAPACITY) -> int:
@@ -95,6 +99,47 @@ def windows_of(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
         count += 1
 
 
+def _cut(item: tuple, tokens: int) -> tuple[tuple, tuple]:
+    doc, at, raw, total = item
+    return (doc, at, raw[: 4 * tokens], total), (doc, at + tokens, raw[4 * tokens :], total)
+
+
+def sequences(items: list[tuple], capacity: int = CAPACITY) -> Iterator[tuple[tuple, int]]:
+    """(piece, window number) of all ``items`` (document, start, ids, tokens of the document)."""
+    size = lambda item: len(item[2]) // 4
+    total, usual = sum(map(size, items)), capacity * (1 - SLACK)
+    count = int(total / usual + 1e-9)
+    main = total if abs(total - count * usual) < 1 else int(count * usual)
+    over = total - main
+    # What is over whole windows fills sequences of a power of two, which need no padding; the last few tokens go to the windows.
+    powers = [1 << b for b in range(over.bit_length() - 1, -1, -1) if over >> b & 1 and (count == 0 or 1 << b >= LEAST_POWER)]
+    main = total - sum(powers)
+    whole, fine = int(main * (1 - FINE_SHARE)), max(1, min(FINE, capacity))
+    left, parts, done = list(reversed(items)), [], 0
+    while done < main:
+        item = left.pop()
+        most = min(main - done, size(item) if done < whole else fine)
+        if size(item) > most:
+            item, rest = _cut(item, most)
+            left.append(rest)
+        parts.append(item)
+        done += size(item)
+    first = 0
+    if parts:
+        label = windows_of(np.array([size(x) for x in parts], np.int64), capacity)
+        for at in np.argsort(label, kind="stable").tolist():
+            yield parts[at], int(label[at])
+        first = int(label.max()) + 1
+    for n, power in enumerate(powers):
+        while power:
+            item = left.pop()
+            if size(item) > power:
+                item, rest = _cut(item, power)
+                left.append(rest)
+            power -= size(item)
+            yield item, first + n
+
+
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, windows: int = WINDOWS, end_id: int = END_ID) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     bounded_batches(docs.sparkSession)
@@ -106,9 +151,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
         words, end = word_ids(tokenizer), np.array([end_id], "<u4").tobytes()
         context = TaskContext.get()
         first = (context.partitionId() if context else 0) << 33
-        used, items, waiting = 0, [], 0
+        used, items, waiting = 0, [], 0  # items: (document, start, ids, tokens of the document)
         target = max(1, int(windows * capacity * (1 - SLACK)))
-        whole, fine = int(target * (1 - FINE_SHARE)), max(1, min(FINE, capacity))
 
         def rows(pieces: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*pieces, strict=True))
@@ -117,13 +161,13 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
 
         def packed() -> pa.RecordBatch:
             nonlocal used, items, waiting
-            label = windows_of(np.array([x[2] for x in items], np.int64), capacity)
-            filled = np.zeros(int(label.max()) + 1, np.int64)
-            pieces = []
-            for at in np.argsort(label, kind="stable").tolist():
-                w = int(label[at])
-                pieces.append((*items[at], first + used + w, int(filled[w])))
-                filled[w] += items[at][2]
+            filled, pieces = [], []
+            for piece, w in sequences(items, capacity):
+                while w >= len(filled):
+                    filled.append(0)
+                doc, at, raw, total = piece
+                pieces.append((doc, at, len(raw) // 4, zlib.crc32(raw), total, first + used + w, filled[w]))
+                filled[w] += len(raw) // 4
             used, items, waiting = used + len(filled), [], 0
             return rows(pieces)
 
@@ -142,8 +186,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
                     used += 1
                     at += capacity
                 while at < total:
-                    size = min(total - at, target - waiting, capacity if waiting < whole else fine)
-                    items.append((doc, at, size, zlib.crc32(memoryview(encoded)[4 * at : 4 * (at + size)]), total))
+                    size = min(total - at, target - waiting)
+                    items.append((doc, at, encoded[4 * at : 4 * (at + size)], total))
                     waiting, at = waiting + size, at + size
                     if waiting >= target:
                         yield packed()
