@@ -140,10 +140,13 @@ class SecretLedger:
 
 def redact(text: Column, rules: tuple[Rule, ...] = RULES, placeholder: str = PLACEHOLDER) -> Column:
     """``text`` with every finding replaced, one rule after the other (linear in the text)."""
-    for r in rules:
-        values = _matches(text, r, r.value_group)
-        whole = F.zip_with(_matches(text, r), values, lambda m, v, r=r: F.when(F.length(v) >= r.min_value, F.lit(placeholder)).otherwise(m))
-        text = F.array_join(F.zip_with(F.split(text, r.pattern, -1), whole, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
+    def replaced(text: Column, rule: Rule) -> Column:
+        whole = F.zip_with(_matches(text, rule), _matches(text, rule, rule.value_group),
+                           lambda m, v: F.when(F.length(v) >= rule.min_value, F.lit(placeholder)).otherwise(m))
+        return F.array_join(F.zip_with(F.split(text, rule.pattern, -1), whole, lambda gap, m: F.concat(gap, F.coalesce(m, F.lit("")))), "")
+
+    for rule in rules:
+        text = replaced(text, rule)
     return text
 
 
