@@ -28,6 +28,11 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
+def _small(x: np.ndarray) -> np.ndarray:
+    """Short integers sort by radix."""
+    return x.astype(np.int16) if len(x) and np.abs(x).max() < 1 << 15 else x
+
+
 @dataclass
 class Edges:
     """Edges sorted by end node; ``nodes[w]`` is word w's first node, the last entry is the node count."""
@@ -43,7 +48,7 @@ class Edges:
         """Log sum over all segmentations from the word's begin to each node; logw (edges, models)."""
         alpha = np.full((int(self.nodes[-1]), logw.shape[1]), -np.inf)
         alpha[self.nodes[:-1]] = 0.0
-        order = np.argsort(self.depth, kind="stable")  # by position, then by end node
+        order = np.argsort(_small(self.depth), kind="stable")  # by position, then by end node
         self._sweep(alpha, order, self.depth[order], self.start[order], self.end[order], logw[order])
         return alpha
 
@@ -52,7 +57,8 @@ class Edges:
         beta = np.full((int(self.nodes[-1]), logw.shape[1]), -np.inf)
         beta[self.nodes[1:] - 1] = 0.0
         at = self.depth - self.size
-        order = np.lexsort((self.start, -at))
+        order = np.argsort(self.start, kind="stable")
+        order = order[np.argsort(_small(-at[order]), kind="stable")]  # by falling position, then by start node
         self._sweep(beta, order, at[order], self.end[order], self.start[order], logw[order])
         return beta
 
@@ -105,6 +111,9 @@ class Lattice:
                     h = h * _BASE + x
                     prefixes.setdefault(int(h), -1)
             prefixes[int(h)] = i
+        self.width = np.fromiter(map(len, self.text), np.int64, self.size)
+        self.place = np.cumsum(self.width) - self.width
+        self.pool = np.frombuffer(b"".join(self.text), np.uint8)
         self.keys = np.array(sorted(prefixes), np.uint64)
         self.ids = np.array([prefixes[int(k)] for k in self.keys], np.int64)
         # Hash slots of the keys: the first key of a slot, then those behind it (few).
@@ -193,6 +202,10 @@ class Lattice:
     def byte_ids(self, piece: int) -> list[int]:
         return self.byte[list(chr(-1 - piece).encode("utf-8", "surrogatepass"))].tolist()
 
-    def decode(self, ids) -> bytes:
-        text = self.text
-        return b"".join([text[i] for i in ids])
+    def decode(self, ids: np.ndarray, begin: np.ndarray) -> list[bytes]:
+        """The bytes of every list ids[begin[i]:begin[i + 1]]."""
+        stops = np.cumsum(self.width[ids])
+        total = int(stops[-1]) if len(stops) else 0
+        raw = self.pool[np.repeat(self.place[ids] - (stops - self.width[ids]), self.width[ids]) + np.arange(total)].tobytes()
+        cuts = np.concatenate([[0], stops])[begin].tolist()
+        return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]

@@ -36,11 +36,13 @@ from pyspark.sql import types as T
 
 from abspark.llm.chunks import lossless
 from abspark.llm.common import bounded_batches, mix64
+from abspark.llm.lattice import Lattice
 from abspark.llm.lattice import lattice as shared_lattice
 
 SEED = 17
 POWER = 1.0
-MEMO_WORDS = 100_000
+MEMO_WORDS = 200_000
+BATCH_ROWS = 400
 
 
 class Sampler:
@@ -50,11 +52,11 @@ class Sampler:
         self.lattice, self.memo = shared_lattice(path), memo
         self.logp, self.byte_logp = self.lattice.rank_weights(power)
         self.words: dict[str, int] = {}
-        self.last = np.zeros(0, np.int64)  # a word's last node
-        self.edge_of = np.zeros(1, np.int64)  # node n's edges: edge_of[n]:edge_of[n + 1]
-        self.upto = np.zeros(0)
-        self.size = np.zeros(0, np.int64)
-        self.piece = np.zeros(0, np.int64)
+        self.last = np.zeros(0, np.int32)  # a word's last node
+        self.edge_of = np.zeros(1, np.int32)  # node n's edges: edge_of[n]:edge_of[n + 1]
+        self.upto = np.zeros(0, np.float32)
+        self.size = np.zeros(0, np.int8)
+        self.piece = np.zeros(0, np.int32)
 
     def log_weights(self, piece: np.ndarray) -> np.ndarray:
         return self.lattice.log_weights(piece, self.logp, self.byte_logp)
@@ -71,11 +73,9 @@ class Sampler:
         cum[first[1:][first[1:] > first[:-1]] - 1] = 2.0  # a node's last edge takes what rounding leaves
         base = len(self.edge_of) - 1
         self.words.update(zip(words, range(len(self.words), len(self.words) + len(words)), strict=True))
-        self.last = np.concatenate([self.last, base + e.nodes[1:] - 1])
-        self.edge_of = np.concatenate([self.edge_of, len(self.upto) + first[1:]])
-        self.upto = np.concatenate([self.upto, cum])
-        self.size = np.concatenate([self.size, e.size])
-        self.piece = np.concatenate([self.piece, e.piece])
+        more = lambda old, new: np.concatenate([old, new.astype(old.dtype)])
+        self.last, self.edge_of = more(self.last, base + e.nodes[1:] - 1), more(self.edge_of, len(self.upto) + first[1:])
+        self.upto, self.size, self.piece = more(self.upto, cum), more(self.size, e.size), more(self.piece, e.piece)
 
     def encode(self, texts: pa.Array, keys: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, begins, log probability of the sampled pieces) of the texts, whose keys are unsigned 64-bit hashes."""
@@ -146,10 +146,15 @@ def _sampler(path: str | None, power: float) -> Sampler:
     return Sampler(path, power)
 
 
-def encode(docs: DataFrame, seed: int = SEED, power: float = POWER, model: str | None = None) -> DataFrame:
-    """(doc_id, ids array<int>, log_prob double): one sampled segmentation per row and its natural log probability as a piece sequence."""
-    bounded_batches(docs.sparkSession)
+def encode(docs: DataFrame, seed: int = SEED, power: float = POWER, model: str | None = None, decoded: bool = False) -> DataFrame:
+    """(doc_id, ids array<int>, log_prob double): one sampled segmentation per row and its natural log probability as a piece sequence.
+
+    With ``decoded`` the ids are decoded in the same task, into a column ``text``.
+    """
+    bounded_batches(docs.sparkSession, BATCH_ROWS)
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("log_prob", T.DoubleType())])
+    if decoded:
+        schema = schema.add("text", T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = _sampler(model, power)
@@ -160,11 +165,19 @@ def encode(docs: DataFrame, seed: int = SEED, power: float = POWER, model: str |
             ids, begin, score = sampler.encode(texts, keys, seed)
             null = pc.is_null(texts).to_numpy(zero_copy_only=False)
             lists = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(ids.astype(np.int32)), mask=pa.array(null))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(score, mask=null)], names=["doc_id", "ids", "log_prob"])
+            columns = [batch.column(0), lists, pa.array(score, mask=null)]
+            if decoded:
+                columns.append(_texts(sampler.lattice, ids, begin, null))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def _texts(lattice: Lattice, ids: np.ndarray, begin: np.ndarray, null: np.ndarray) -> pa.Array:
+    """Texts of the id lists, without the space that encoding put before them."""
+    return pa.array([None if missing else raw[1:].decode("utf-8", "surrogatepass") for raw, missing in zip(lattice.decode(ids, begin), null.tolist(), strict=True)], pa.string())
+
+
 def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
     """Adds column ``text``: the exact text of each row's ids."""
 
@@ -174,19 +187,14 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
         for ids in columns:
             if isinstance(ids, pa.ChunkedArray):
                 ids = ids.combine_chunks()
-            flat, begin = ids.values.to_numpy(), ids.offsets.to_numpy()
-            null = pc.is_null(ids).to_pylist()
-            out = []
-            for i, missing in enumerate(null):
-                raw = lattice.decode(flat[begin[i] : begin[i + 1]].tolist())
-                out.append(None if missing else raw[1:].decode("utf-8", "surrogatepass"))
-            yield pa.array(out, pa.string())
+            begin = ids.offsets.to_numpy()
+            yield _texts(lattice, ids.flatten().to_numpy(), begin - begin[0], pc.is_null(ids).to_numpy(zero_copy_only=False))
 
     return encoded.withColumn("text", text_of("ids"))
 
 
 def op1_sentencepiece_ffbs(docs: DataFrame) -> DataFrame:
     """The ids of every text, and whether they decode to it."""
-    out = decode(encode(docs))
+    out = encode(docs, decoded=True)
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
     return out.select("doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"), "log_prob", digest.alias("decoded_sha256"))
