@@ -38,7 +38,8 @@ FOLDS = 5
 POWER = 1.0
 SMOOTHING = 0.05
 MIN_SCORE = 0.5
-FLUSH_WORDS = 150_000
+FLUSH_WORDS = 250_000
+WORD_BLOCK = 16_384
 MEMO_WORDS = 400_000
 
 
@@ -93,21 +94,23 @@ class _Expected:
     def flush(self) -> None:
         words, counts = list(self.words), self.counts
         self.words, self.counts = {}, np.zeros((0, self.langs))
-        if not words:
-            return
+        for at in range(0, len(words), WORD_BLOCK):
+            self._expect(words[at : at + WORD_BLOCK], counts[at : at + WORD_BLOCK])
+
+    def _expect(self, words: list[str], counts: np.ndarray) -> None:
         e = self.lattice.edges(words)
         logw = self.lattice.log_weights(e.piece, self.logp, self.byte)[:, None]
-        alpha, beta = e.forward(logw), e.backward(logw)
-        word = np.searchsorted(e.nodes, e.end, side="right") - 1
-        total = alpha[e.nodes[1:] - 1, 0]
-        share = np.exp(alpha[e.start, 0] + logw[:, 0] + beta[e.end, 0] - total[word])
-        plain = e.piece >= 0
-        for k in range(self.langs):
-            weight = share * counts[word, k]
-            self.sums[k] += np.bincount(e.piece[plain], weights=weight[plain], minlength=self.lattice.size)
-            for piece, w in zip(e.piece[~plain].tolist(), weight[~plain].tolist(), strict=True):
-                if w:
-                    np.add.at(self.sums[k], self.lattice.byte_ids(piece), w)
+        alpha, beta = e.forward(logw)[:, 0], e.backward(logw)[:, 0]
+        word = np.repeat(np.arange(len(words)), np.diff(np.searchsorted(e.end, e.nodes)))
+        share = np.exp(alpha[e.start] + logw[:, 0] + beta[e.end] - alpha[e.nodes[1:] - 1][word])
+        used = counts[: len(words)] > 0
+        for k in range(self.langs):  # most words are of one language: each pass takes that language's edges
+            at = np.flatnonzero(used[word, k])
+            piece, weight = e.piece[at], share[at] * counts[word[at], k]
+            plain = piece >= 0
+            self.sums[k] += np.bincount(piece[plain], weights=weight[plain], minlength=self.lattice.size)
+            for p, w in zip(piece[~plain].tolist(), weight[~plain].tolist(), strict=True):
+                np.add.at(self.sums[k], self.lattice.byte_ids(p), w)
 
 
 def train(docs: DataFrame, path: str | None = None, power: float = POWER, smoothing: float = SMOOTHING) -> LanguageModel:
@@ -167,7 +170,8 @@ class _Scorer:
         fresh = np.flatnonzero(at < 0)
         if len(fresh):
             words = [cut.words[i] for i in fresh.tolist()]
-            scores[fresh] = found = self._score(words)
+            found = np.concatenate([self._score(words[i : i + WORD_BLOCK]) for i in range(0, len(words), WORD_BLOCK)])
+            scores[fresh] = found
             room = MEMO_WORDS - len(self.words)
             if room > 0:
                 n = len(self.words)
