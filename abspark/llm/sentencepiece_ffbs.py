@@ -43,6 +43,7 @@ SEED = 17
 POWER = 1.0
 MEMO_WORDS = 200_000
 BATCH_ROWS = 400
+WORD_BLOCK = 16_384
 
 
 class Sampler:
@@ -62,6 +63,20 @@ class Sampler:
         return self.lattice.log_weights(piece, self.logp, self.byte_logp)
 
     def _add(self, words: list[str]) -> None:
+        found = [self._cumulated(words[at : at + WORD_BLOCK]) for at in range(0, len(words), WORD_BLOCK)]
+        self.words.update(zip(words, range(len(self.words), len(self.words) + len(words)), strict=True))
+        nodes, edges = len(self.edge_of) - 1, len(self.upto)
+        lasts, ends = [], []
+        for last, end, upto, _, _ in found:
+            lasts.append(last + nodes)
+            ends.append(end + edges)
+            nodes, edges = nodes + len(end), edges + len(upto)
+        more = lambda old, new: np.concatenate([old, *(x.astype(old.dtype) for x in new)])
+        self.last, self.edge_of = more(self.last, lasts), more(self.edge_of, ends)
+        self.upto, self.size, self.piece = (more(old, [x[i] for x in found]) for i, old in ((2, self.upto), (3, self.size), (4, self.piece)))
+
+    def _cumulated(self, words: list[str]) -> tuple[np.ndarray, ...]:
+        """Last node of each word, last edge of each node, and per edge the cumulated probability, size and piece."""
         e = self.lattice.edges(words)
         logw = self.log_weights(e.piece)
         alpha = e.forward(logw[:, None])[:, 0]
@@ -71,11 +86,7 @@ class Sampler:
         cum = np.cumsum(p)
         cum -= np.concatenate([[0.0], cum])[first[end]]
         cum[first[1:][first[1:] > first[:-1]] - 1] = 2.0  # a node's last edge takes what rounding leaves
-        base = len(self.edge_of) - 1
-        self.words.update(zip(words, range(len(self.words), len(self.words) + len(words)), strict=True))
-        more = lambda old, new: np.concatenate([old, new.astype(old.dtype)])
-        self.last, self.edge_of = more(self.last, base + e.nodes[1:] - 1), more(self.edge_of, len(self.upto) + first[1:])
-        self.upto, self.size, self.piece = more(self.upto, cum), more(self.size, e.size), more(self.piece, e.piece)
+        return e.nodes[1:] - 1, first[1:], cum.astype(np.float32), e.size.astype(np.int8), e.piece.astype(np.int32)
 
     def encode(self, texts: pa.Array, keys: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, begins, log probability of the sampled pieces) of the texts, whose keys are unsigned 64-bit hashes."""
