@@ -156,17 +156,13 @@ def bin_edge(k, width: float) -> Column:
     return _col(k).cast("double") * F.lit(float(width))
 
 
-def custom_bin(c, edges: list[float], labels: list[str]) -> Column:
-    """Right-closed bins over explicit edges, labelled; outside -> NULL."""
-    v = _col(c)
-    out = None
-    for lo, hi, label in zip(edges[:-1], edges[1:], labels):
-        cond = (v > F.lit(float(lo))) & (v <= F.lit(float(hi)))
-        out = F.when(cond, label) if out is None else out.when(cond, label)
-    return out
+def rings_box(rings, f, axis: str) -> Column:
+    """``f`` (``F.array_min`` or ``F.array_max``) of one coordinate over all rings."""
+    return f(F.transform(_col(rings), lambda r: f(F.transform(r, lambda p: p[axis]))))
 
 
-def ring_wkt(ring) -> Column:
-    """WKT text of a single-ring polygon ``array<struct<x,y>>``."""
-    pts = F.transform(_col(ring), lambda p: F.concat(p["x"].cast("string"), F.lit(" "), p["y"].cast("string")))
-    return F.concat(F.lit("POLYGON(("), F.array_join(pts, ", "), F.lit("))"))
+def rings_wkt(rings) -> Column:
+    """WKT text of a polygon of several rings ``array<array<struct<x,y>>>``."""
+    ring = lambda r: F.concat(F.lit("("), F.array_join(F.transform(
+        r, lambda p: F.concat(p["x"].cast("string"), F.lit(" "), p["y"].cast("string"))), ", "), F.lit(")"))
+    return F.concat(F.lit("POLYGON("), F.array_join(F.transform(_col(rings), ring), ", "), F.lit(")"))

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from abspark.config import PipelineConfig
 from abspark.functions.columns import split_parent_verticals
 from abspark.operators.relational import first_row_per_key, ordered_concat
-from abspark.sources.tables import SETUP_KEY
 
 TEST_COLS = ["entity_id", "country_code", "test_start_date", "test_end_date", "test_name", "test_id"]
 
@@ -31,36 +30,31 @@ def _setup_level_filter(setups: DataFrame, cfg: PipelineConfig) -> DataFrame:
     )
 
 
-def eligible_setups(setups: DataFrame, setup_vendors: DataFrame, cfg: PipelineConfig) -> DataFrame:
+def eligible_setups(setups: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """Setup rows of ended, well-configured, unconditioned tests of >= min_days.
 
-    The study also requires a matching vendor and a parent vertical, written
-    on the unnested lists (``CROSS JOIN UNNEST`` + ``IS NOT NULL``).  Here the
-    vendor condition is a semi-join on the flat setup-vendor table and the
-    parent-vertical one is ``exists`` over the small array, which keeps one
-    row per setup instead of the vendor x vertical product.
+    The study also requires a matching vendor and a parent vertical of the
+    setup row itself, written on the unnested lists (``CROSS JOIN UNNEST`` +
+    ``IS NOT NULL``).  ``exists`` over the row's own arrays says the same and
+    keeps one row per setup instead of the vendor x vertical product.
     """
-    base = _setup_level_filter(setups, cfg).where(F.exists("test_vertical_parents", lambda p: p.isNotNull()))
-    with_vendor = setup_vendors.where(F.col("vendor_id").isNotNull()).select(*SETUP_KEY).distinct()
-    return base.join(with_vendor, [base[k].eqNullSafe(with_vendor[k]) for k in SETUP_KEY], "left_semi")
+    return _setup_level_filter(setups, cfg).where(
+        F.exists("matching_vendor_ids", lambda v: v.isNotNull())
+        & F.exists("test_vertical_parents", lambda p: p.isNotNull()))
 
 
-def valid_experiments(setups: DataFrame, setup_vendors: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    return eligible_setups(setups, setup_vendors, cfg).select("entity_id", "country_code", "test_id", "test_name").distinct()
+def valid_experiments(setups: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    return eligible_setups(setups, cfg).select("entity_id", "country_code", "test_id", "test_name").distinct()
 
 
-def experiment_zones(setups: DataFrame, setup_vendors: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    return (
-        eligible_setups(setups, setup_vendors, cfg)
-        .select(*TEST_COLS, F.explode("zone_ids").alias("zone_id"))
-        .distinct()
-    )
+def experiment_zones(setups: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    return eligible_setups(setups, cfg).select(*TEST_COLS, F.explode("zone_ids").alias("zone_id")).distinct()
 
 
-def variant_schemes(setups: DataFrame, setup_vendors: DataFrame, cfg: PipelineConfig) -> DataFrame:
+def variant_schemes(setups: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """Distinct (test, target group TG<priority>, variant, price scheme)."""
     return (
-        eligible_setups(setups, setup_vendors, cfg)
+        eligible_setups(setups, cfg)
         .select(
             *TEST_COLS,
             F.concat(F.lit("TG"), F.col("priority")).alias("target_group"),
@@ -78,8 +72,7 @@ def variant_scheme_concat(schemes: DataFrame) -> DataFrame:
         ordered_concat(item).alias("tg_var_scheme_concat"))
 
 
-def target_groups(setups: DataFrame, setup_vendors: DataFrame, vendors: DataFrame,
-                  cfg: PipelineConfig) -> DataFrame:
+def target_groups(setups: DataFrame, vendors: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """One row per test x vendor: its target group TGn, parent verticals and vertical type.
 
     TGn is the dense rank of vendor_group_id within (entity, test_name),
@@ -90,32 +83,41 @@ def target_groups(setups: DataFrame, setup_vendors: DataFrame, vendors: DataFram
     (the study's behaviour); ``cfg.multi_vertical`` keeps every parent
     vertical of the winning group instead.
     """
-    base = _setup_level_filter(setups, cfg).select(*TEST_COLS, "priority", "variation_group", "vendor_group_id",
-                                                   "test_vertical_parents")
-    sv = setup_vendors.where(F.col("vendor_id").isNotNull()).select(
-        *[F.col(k).alias(f"__sv_{k}") for k in SETUP_KEY], F.col("vendor_id").alias("vendor_code"))
     rows = (
-        base.join(sv, [base[k].eqNullSafe(sv[f"__sv_{k}"]) for k in SETUP_KEY], "inner")
-        .select(*TEST_COLS, "vendor_group_id", "vendor_code", "test_vertical_parents")
-        .select("*", F.explode("test_vertical_parents").alias("parent_vertical"))
+        eligible_setups(setups, cfg)
+        .select(*TEST_COLS, "vendor_group_id", "test_vertical_parents",
+                F.explode("matching_vendor_ids").alias("vendor_code"))
+        .where(F.col("vendor_code").isNotNull())
+        .select(*TEST_COLS, "vendor_group_id", "vendor_code",
+                F.explode("test_vertical_parents").alias("parent_vertical"))
         .where(F.col("parent_vertical").isNotNull())
-        .drop("test_vertical_parents")
     )
     ranks = (
         rows.select("entity_id", "test_name", "vendor_group_id").distinct()
-        .withColumn("tg_name", F.concat(F.lit("TG"), F.dense_rank().over(
-            Window.partitionBy("entity_id", "test_name").orderBy(F.col("vendor_group_id").asc_nulls_first()))))
+        .select(
+            F.col("entity_id").alias("__r_entity"), F.col("test_name").alias("__r_test"),
+            F.col("vendor_group_id").alias("__r_group"),
+            F.concat(F.lit("TG"), F.dense_rank().over(
+                Window.partitionBy("entity_id", "test_name").orderBy(F.col("vendor_group_id").asc_nulls_first())))
+            .alias("tg_name"))
     )
     vendor_key = ["entity_id", "country_code", "test_name", "vendor_code"]
     if cfg.multi_vertical:
-        best = rows.groupBy(*vendor_key).agg(F.min("vendor_group_id").alias("__best"))
-        kept = (rows.join(best, vendor_key)
-                .where(F.col("vendor_group_id").eqNullSafe(F.col("__best"))).drop("__best").distinct())
+        # The winning group is the first one, a NULL group before all others.
+        best = rows.groupBy(*vendor_key).agg(
+            F.min(F.struct(F.col("vendor_group_id").isNotNull().alias("known"), "vendor_group_id")).alias("__best"))
+        best = best.select(*[F.col(k).alias(f"__b_{k}") for k in vendor_key], "__best.vendor_group_id")
+        same = rows["vendor_group_id"].eqNullSafe(best["vendor_group_id"])
+        for k in vendor_key:
+            same = same & rows[k].eqNullSafe(best[f"__b_{k}"])
+        kept = rows.join(best, same, "left_semi").distinct()
     else:
         kept = first_row_per_key(
             rows, vendor_key,
             ["vendor_group_id", "parent_vertical", "test_id", "test_start_date", "test_end_date"])
-    kept = kept.join(ranks, ["entity_id", "test_name", "vendor_group_id"], "left")
+    kept = kept.join(
+        ranks, kept.entity_id.eqNullSafe(ranks["__r_entity"]) & kept.test_name.eqNullSafe(ranks["__r_test"])
+        & kept.vendor_group_id.eqNullSafe(ranks["__r_group"]), "left").drop("__r_entity", "__r_test", "__r_group")
     group_cols = TEST_COLS + ["vendor_group_id", "vendor_code", "tg_name"]
     agg = kept.groupBy(*group_cols).agg(ordered_concat("parent_vertical").alias("parent_vertical_concat"))
     first, second = split_parent_verticals("parent_vertical_concat")
@@ -130,7 +132,7 @@ def target_groups(setups: DataFrame, setup_vendors: DataFrame, vendors: DataFram
 
 
 def zone_geography(countries: DataFrame, zones: DataFrame) -> DataFrame:
-    """Active zones (in active cities) of each test, with their polygon ring."""
+    """Active zones (in active cities) of each test, with their polygon rings."""
     geo = (
         countries
         .select("country_code", F.explode_outer("platforms").alias("p"), "cities")

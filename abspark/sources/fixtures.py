@@ -30,8 +30,15 @@ from __future__ import annotations
 #   k = 2 active, 3 misconfigured, 4 shorter than 7 days, 5 with a schedule,
 #   6 with a customer condition; priority 1 / 2 -> vendor_group_id 101 / 102;
 #   variants Control, Variation1, Variation2 -> price_scheme_id
-#   10*priority + variant index; zones 10*e + 0..3 are the test zones,
-#   zone 10*e + 4 is inactive, the second city of each entity is inactive.
+#   10*priority + variant index (123 in place of 12 for entity 3, test 0);
+#   zones 10*e + 0..3 are the test zones, zone 10*e + 4 is inactive, the
+#   second city of each entity is inactive.
+# Setup rows that share a key (entity, test, priority, variant) with another
+# row: a second vendor group with its own vendors (entity 0), a scheduled twin
+# (entity 0), a twin without vendors (entity 1), a NULL vendor group (entity
+# 2); a test k = 7 whose rows all lack vendors (entity 1).
+# One more valid test and one more zone per supplier: the setups grow with
+# the data.
 START_FLOOR = "1995-01-01"
 
 F_ENTITIES = """
@@ -56,44 +63,62 @@ FROM {supplier} s
 JOIN {f_entities} en ON en.e = CAST(s.s_suppkey % 5 AS INT)
 """
 
-# One row per entity x test k x priority x variant (5 x 7 x 2 x 3 rows: a
-# fixed-size dimension, independent of the scale factor).
+# One row per setup row.  vendor_list_id and zone_list_id name its vendor and
+# zone lists.
 F_SETUPS = """
-SELECT en.e, en.entity_id, en.country_code,
-       CAST(en.e * 10 + k.k AS BIGINT) AS test_id,
-       k.k,
-       CASE WHEN k.k = 1 THEN 1 ELSE 0 END AS vendor_list_id,
-       CONCAT(en.entity_id, '_test_', CAST(k.k AS STRING)) AS test_name,
-       CAST(CAST('1995-01-01' AS DATE) + (3 * en.e + k.k) AS TIMESTAMP) AS test_start_date,
-       CAST(CAST('1995-01-01' AS DATE) + (3 * en.e + k.k + k.len0 + k.len_step * en.e) AS TIMESTAMP) AS test_end_date,
-       k.k = 2 AS is_active,
-       k.k = 3 AS misconfigured,
-       CASE WHEN k.k = 5 THEN CAST(1 AS BIGINT) ELSE CAST(NULL AS BIGINT) END AS schedule_id,
-       CASE WHEN k.k = 6 THEN CAST(1 AS BIGINT) ELSE CAST(NULL AS BIGINT) END AS customer_condition_id,
-       CAST(100 + p.priority AS BIGINT) AS vendor_group_id,
-       CAST(p.priority AS BIGINT) AS priority,
-       v.variation_group,
-       CAST(10 * p.priority + v.vi AS BIGINT) AS price_scheme_id
-FROM {f_entities} en
-CROSS JOIN (VALUES (0, 7, 14), (1, 70, 4), (2, 30, 0), (3, 30, 0), (4, 6, 0), (5, 30, 0), (6, 30, 0)) AS k(k, len0, len_step)
-CROSS JOIN (VALUES (1), (2)) AS p(priority)
-CROSS JOIN (VALUES (0, 'Control'), (1, 'Variation1'), (2, 'Variation2')) AS v(vi, variation_group)
+SELECT e, entity_id, country_code, test_id, k, vendor_list_id, zone_list_id, test_name,
+       CAST(CAST('1995-01-01' AS DATE) + (3 * e + k) AS TIMESTAMP) AS test_start_date,
+       CAST(CAST('1995-01-01' AS DATE) + (3 * e + k + days) AS TIMESTAMP) AS test_end_date,
+       k = 2 AS is_active, k = 3 AS misconfigured,
+       CASE WHEN k = 5 OR scheduled = 1 THEN CAST(1 AS BIGINT) ELSE CAST(NULL AS BIGINT) END AS schedule_id,
+       CASE WHEN k = 6 THEN CAST(1 AS BIGINT) ELSE CAST(NULL AS BIGINT) END AS customer_condition_id,
+       CAST(vendor_group_id AS BIGINT) AS vendor_group_id, CAST(priority AS BIGINT) AS priority, variation_group,
+       CAST(price_scheme_id AS BIGINT) AS price_scheme_id
+FROM (
+  SELECT en.e, en.entity_id, en.country_code, CAST(en.e * 10 + t.k AS BIGINT) AS test_id, t.k,
+         CAST(10 * t.priority + CASE WHEN t.k = 1 THEN 1 ELSE 0 END AS BIGINT) AS vendor_list_id,
+         CAST(0 AS BIGINT) AS zone_list_id, CONCAT(en.entity_id, '_test_', CAST(t.k AS STRING)) AS test_name,
+         t.len0 + t.len_step * en.e AS days, 0 AS scheduled, 100 + t.priority AS vendor_group_id, t.priority,
+         t.variation_group,
+         CASE WHEN en.e = 3 AND t.k = 0 AND t.priority = 1 AND t.vi = 2 THEN 123
+              ELSE 10 * t.priority + t.vi END AS price_scheme_id
+  FROM {f_entities} en
+  JOIN (SELECT * FROM (VALUES (0, 7, 14), (1, 70, 4), (2, 30, 0), (3, 30, 0), (4, 6, 0), (5, 30, 0), (6, 30, 0)) AS k(k, len0, len_step)
+        CROSS JOIN (VALUES (1), (2)) AS p(priority)
+        CROSS JOIN (VALUES (0, 'Control'), (1, 'Variation1'), (2, 'Variation2')) AS v(vi, variation_group)) t ON en.e >= 0
+  UNION ALL
+  SELECT en.e, en.entity_id, en.country_code, CAST(en.e * 10 + x.k AS BIGINT), x.k, CAST(x.vendor_list_id AS BIGINT),
+         CAST(x.zone_list_id AS BIGINT), CONCAT(en.entity_id, '_test_', CAST(x.k AS STRING)), x.days, x.scheduled,
+         x.vendor_group_id, x.priority, x.variation_group, x.price_scheme_id
+  FROM (VALUES (0, 0, 30, 0, 7, 0, 103, 1, 'Control', 13),
+               (0, 0, 31, 0, 7, 1, 104, 1, 'Control', 97),
+               (1, 0, 99, 1, 21, 0, 101, 1, 'Control', 99),
+               (2, 1, 30, 0, 78, 0, CAST(NULL AS INT), 3, 'Variation1', 31),
+               (1, 7, 99, 1, 30, 0, 101, 1, 'Control', 10))
+       AS x(e, k, vendor_list_id, zone_list_id, days, scheduled, vendor_group_id, priority, variation_group, price_scheme_id)
+  JOIN {f_entities} en ON en.e = x.e
+  UNION ALL
+  SELECT en.e, en.entity_id, en.country_code, CAST(1000 + s.s_suppkey AS BIGINT), 10, CAST(1000 + s.s_suppkey AS BIGINT),
+         CAST(1000 + s.s_suppkey AS BIGINT), CONCAT(en.entity_id, '_test_s', CAST(s.s_suppkey AS STRING)), 14, 0, 101, 1,
+         v.variation_group, 10 + v.vi
+  FROM {supplier} s JOIN {f_entities} en ON en.e = CAST(s.s_suppkey % 5 AS INT)
+  JOIN (VALUES (0, 'Control'), (1, 'Variation1')) AS v(vi, variation_group) ON v.vi >= 0
+) r
 """
 
-# Vendors of a target group: grp 0 and 2 -> priority 1, grp 1 and 2 ->
-# priority 2 (grp 2 overlaps, grp 3 is outside every group: Non_TG).
-# List 0 is used by every test except k = 1, whose list (1) leaves out the
-# darkstores vendors, so that the vertical-type filter removes orders.
+# Vendors of a vendor list: grp 0 and 2 -> priority 1, grp 1 and 2 ->
+# priority 2 (grp 2 overlaps, grp 3 is outside every group: Non_TG).  The
+# lists of test k = 1 leave out the darkstores vendors, so that the
+# vertical-type filter removes orders.  Lists 30 and 31 split grp 3; list 99
+# is empty; the supplier tests list their supplier.
 F_SETUP_VENDORS = """
-SELECT e, CAST(1 AS BIGINT) AS priority, 0 AS list_id, vendor_id FROM {f_vendors} WHERE grp IN (0, 2)
-UNION ALL
-SELECT e, CAST(1 AS BIGINT) AS priority, 1 AS list_id, vendor_id FROM {f_vendors}
-WHERE grp IN (0, 2) AND vertical_type <> 'darkstores'
-UNION ALL
-SELECT e, CAST(2 AS BIGINT) AS priority, 0 AS list_id, vendor_id FROM {f_vendors} WHERE grp IN (1, 2)
+SELECT v.e, CAST(l.list_id AS BIGINT) AS list_id, v.vendor_id
+FROM {f_vendors} v
+JOIN (VALUES (10, 0, 1, 1), (10, 2, 1, 1), (11, 0, 1, 0), (11, 2, 1, 0), (20, 1, 1, 1), (20, 2, 1, 1), (21, 1, 1, 0),
+             (21, 2, 1, 0), (30, 3, 1, 0), (31, 3, 0, 1)) AS l(list_id, grp, others, dark)
+  ON v.grp = l.grp AND ((v.vertical_type = 'darkstores' AND l.dark = 1) OR (v.vertical_type <> 'darkstores' AND l.others = 1))
 UNION ALL
-SELECT e, CAST(2 AS BIGINT) AS priority, 1 AS list_id, vendor_id FROM {f_vendors}
-WHERE grp IN (1, 2) AND vertical_type <> 'darkstores'
+SELECT e, CAST(1000 + vendor_key AS BIGINT) AS list_id, vendor_id FROM {f_vendors}
 """
 
 # Parent verticals per test: one for k <> 1, two for k = 1, none for
@@ -118,37 +143,48 @@ SELECT e, test_id, parent_vertical FROM (
 """
 
 F_SETUP_ZONES = """
-SELECT en.e, CAST(en.e * 10 + z.z AS BIGINT) AS zone_id
-FROM {f_entities} en CROSS JOIN (VALUES (0), (1), (2), (3)) AS z(z)
+SELECT en.e, CAST(z.list_id AS BIGINT) AS list_id, CAST(en.e * 10 + z.z AS BIGINT) AS zone_id
+FROM {f_entities} en JOIN (VALUES (0, 0), (0, 1), (0, 2), (0, 3), (1, 4), (1, 5)) AS z(list_id, z) ON en.e >= 0
+UNION ALL
+SELECT e, CAST(1000 + vendor_key AS BIGINT), CAST(100000 + vendor_key AS BIGINT) FROM {f_vendors}
 """
 
-# Zone polygons, flat: the ring of zone 10e+z is the axis-parallel unit
-# square [10e+2z, 10e+2z+1] x [0, 1].  City 100e+1 is active and holds the
-# four test zones plus an inactive zone 10e+4 (zone 13 of entity 1 is
-# inactive too); city 100e+2 is inactive and
-# holds a second copy of zone 10e+1 that covers everything.
+# Zones.  City 100e+1 is active and holds the four test zones plus an
+# inactive zone 10e+4 (zone 13 of entity 1 is inactive too) and the supplier
+# zones; city 100e+2 is inactive and holds a second copy of zone 10e+1 that
+# covers everything.
 F_ZONES = """
-SELECT en.e, en.entity_id, en.country_code,
-       CAST(en.e * 100 + 1 AS BIGINT) AS city_id,
-       CONCAT('city_', CAST(en.e AS STRING), '_a') AS city_name,
-       TRUE AS city_active,
-       CAST(en.e * 10 + z.z AS BIGINT) AS zone_id,
-       CONCAT('zone_', CAST(en.e * 10 + z.z AS STRING)) AS zone_name,
-       NOT (z.z = 4 OR (en.e = 1 AND z.z = 3)) AS zone_active,
-       CAST(10 * en.e + 2 * z.z AS DOUBLE) AS x0, CAST(0 AS DOUBLE) AS y0,
-       CAST(10 * en.e + 2 * z.z + 1 AS DOUBLE) AS x1, CAST(1 AS DOUBLE) AS y1
-FROM {f_entities} en CROSS JOIN (VALUES (0), (1), (2), (3), (4)) AS z(z)
-UNION ALL
-SELECT en.e, en.entity_id, en.country_code,
-       CAST(en.e * 100 + 2 AS BIGINT) AS city_id,
-       CONCAT('city_', CAST(en.e AS STRING), '_b') AS city_name,
-       FALSE AS city_active,
-       CAST(en.e * 10 + 1 AS BIGINT) AS zone_id,
-       CONCAT('zone_', CAST(en.e * 10 + 1 AS STRING), '_old') AS zone_name,
-       TRUE AS zone_active,
-       CAST(-1000 AS DOUBLE) AS x0, CAST(-1000 AS DOUBLE) AS y0,
-       CAST(1000 AS DOUBLE) AS x1, CAST(1000 AS DOUBLE) AS y1
+SELECT en.e, en.entity_id, en.country_code, CAST(en.e * 100 + z.city AS BIGINT) AS city_id,
+       CONCAT('city_', CAST(en.e AS STRING), CASE WHEN z.city = 1 THEN '_a' ELSE '_b' END) AS city_name,
+       z.city = 1 AS city_active, CAST(en.e * 10 + z.z AS BIGINT) AS zone_id,
+       CONCAT('zone_', CAST(en.e * 10 + z.z AS STRING), CASE WHEN z.city = 1 THEN '' ELSE '_old' END) AS zone_name,
+       NOT (z.z = 4 OR (en.e = 1 AND z.z = 3 AND z.city = 1)) AS zone_active,
+       z.shape, CAST(10 * en.e + 2 * z.z AS DOUBLE) AS x0
 FROM {f_entities} en
+JOIN (VALUES (1, 0, 0), (1, 1, 1), (1, 2, 2), (1, 3, 3), (1, 4, 4), (2, 1, 5)) AS z(city, z, shape) ON en.e >= 0
+UNION ALL
+SELECT en.e, en.entity_id, en.country_code, CAST(en.e * 100 + 1 AS BIGINT), CONCAT('city_', CAST(en.e AS STRING), '_a'),
+       TRUE, CAST(100000 + v.vendor_key AS BIGINT), CONCAT('zone_s', v.vendor_id), TRUE, 4,
+       CAST(1000000 + 2 * v.vendor_key AS DOUBLE)
+FROM {f_vendors} v JOIN {f_entities} en ON en.e = v.e
+"""
+
+# Ring points of the zones, relative to x0: 0 a square, 1 a square with a
+# hole, 2 a concave shape, 3 two polygons, 4 a triangle, 5 a box over all.
+F_ZONE_POINTS = """
+SELECT z.entity_id, z.country_code, z.city_id, z.zone_id, p.ring, p.pt,
+       z.x0 + CAST(p.dx AS DOUBLE) AS x, CAST(p.dy AS DOUBLE) AS y
+FROM {f_zones} z
+JOIN (VALUES
+  (0, 0, 0, 0.0, 0.0), (0, 0, 1, 1.0, 0.0), (0, 0, 2, 1.0, 1.0), (0, 0, 3, 0.0, 1.0),
+  (1, 0, 0, 0.0, 0.0), (1, 0, 1, 1.0, 0.0), (1, 0, 2, 1.0, 1.0), (1, 0, 3, 0.0, 1.0),
+  (1, 1, 0, 0.31, 0.26), (1, 1, 1, 0.77, 0.26), (1, 1, 2, 0.77, 0.69), (1, 1, 3, 0.31, 0.69),
+  (2, 0, 0, 0.0, 0.0), (2, 0, 1, 1.0, 0.0), (2, 0, 2, 1.0, 1.0), (2, 0, 3, 0.52, 0.33), (2, 0, 4, 0.0, 1.0),
+  (3, 0, 0, 0.0, 0.0), (3, 0, 1, 0.44, 0.0), (3, 0, 2, 0.44, 1.0), (3, 0, 3, 0.0, 1.0),
+  (3, 1, 0, 0.61, 0.0), (3, 1, 1, 1.0, 0.0), (3, 1, 2, 1.0, 1.0), (3, 1, 3, 0.61, 1.0),
+  (4, 0, 0, 0.0, 0.0), (4, 0, 1, 1.0, 0.0), (4, 0, 2, 0.5, 1.0),
+  (5, 0, 0, -2000.0, -2000.0), (5, 0, 1, 2000.0, -2000.0), (5, 0, 2, 2000.0, 2000.0), (5, 0, 3, -2000.0, 2000.0)
+) AS p(shape, ring, pt, dx, dy) ON p.shape = z.shape
 """
 
 # One row per lineitem: the order fact of the sessions-to-orders table.
@@ -178,7 +214,7 @@ SELECT l.l_orderkey * 8 + l.l_linenumber AS order_id,
        CONCAT('city_', CAST(l.l_suppkey % 5 AS STRING), '_a') AS city_name,
        CAST(10 * (l.l_suppkey % 5) + 2 * (o.o_custkey % 4) AS DOUBLE)
          + (CAST(l.l_orderkey % 97 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / 90 AS lon,
-       CAST(0.5 AS DOUBLE) AS lat,
+       (CAST((l.l_orderkey * 7 + l.l_linenumber * 13) % 89 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / 80 AS lat,
        CASE WHEN o.o_orderstatus = 'P' THEN 'cancelled' ELSE 'completed' END AS delivery_status,
        CAST(o.o_orderdate AS DATE) AS created_date,
        o.o_orderdate AS order_placed_at,
@@ -268,7 +304,7 @@ FROM {f_session_events}
 GROUP BY ga_session_id, created_date, entity_id, country_code, e, client_id, perseus_client_id, test_id, variant, day_of_month
 """
 
-# DPS zones seen in a session: two per session, none when client_id % 7 = 0.
+# Delivery zones seen in a session: two per session, none when client_id % 7 = 0.
 F_SESSION_ZONES = """
 SELECT events_ga_session_id, slot, zone_id,
        CONCAT('zone_', CAST(zone_id AS STRING)) AS zone_name,
@@ -292,6 +328,7 @@ FLAT_VIEWS: list[tuple[str, str]] = [
     ("f_setup_parents", F_SETUP_PARENTS),
     ("f_setup_zones", F_SETUP_ZONES),
     ("f_zones", F_ZONES),
+    ("f_zone_points", F_ZONE_POINTS),
     ("f_orders", F_ORDERS),
     ("f_session_events", F_SESSION_EVENTS),
     ("f_sessions", F_SESSIONS),

@@ -6,7 +6,7 @@ them from a folder of parquet files (one per source, written by
 ``derive_from_star_schema`` builds them from the driver's star-schema tables
 through the shared fixture SQL, nesting flat rows into arrays of structs where
 the warehouse has them (setup vendor lists, country -> city -> zone trees,
-session events and DPS zones).
+session events and zones).
 
 Nesting is a per-key ``collect_list``: one setup's vendor list, one city's
 zones, one GA session's events.  Each list is bounded by the size of its
@@ -34,11 +34,7 @@ SOURCE_NAMES = (
     "warehouse_orders",
     "platform_orders",
     "ga_sessions",
-    "experiment_setup_vendors",
 )
-# One setup row = one test x priority x variant.
-SETUP_KEY = ["entity_id", "country_code", "test_id", "priority", "variation_group"]
-
 
 @dataclass
 class SourceTables:
@@ -52,23 +48,9 @@ class SourceTables:
     warehouse_orders: DataFrame
     platform_orders: DataFrame
     ga_sessions: DataFrame
-    # Vendors of each setup row, one row per (setup, vendor).  Warehouses that
-    # keep them as the array ``experiment_setups.matching_vendor_ids`` can
-    # leave this empty: ``setup_vendors()`` unnests the arrays once.
-    experiment_setup_vendors: DataFrame | None = None
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self) if getattr(self, f.name) is not None}
-
-    def setup_vendors(self) -> DataFrame:
-        if self.experiment_setup_vendors is not None:
-            return self.experiment_setup_vendors
-        return setup_vendors_from_arrays(self.experiment_setups)
-
-
-def setup_vendors_from_arrays(setups: DataFrame) -> DataFrame:
-    """Flat (setup key, vendor_id) rows from the array column ``matching_vendor_ids``."""
-    return setups.select(*SETUP_KEY, F.explode("matching_vendor_ids").alias("vendor_id"))
+        return {f.name: getattr(self, f.name) for f in fields(self)}
 
 
 def read_star_schema(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -91,43 +73,44 @@ def _point(x, y):
 def derive_from_star_schema(spark: SparkSession, sf_dir: str) -> SourceTables:
     v = flat_views(spark, sf_dir)
 
-    # experiment_setups: one row per test x priority x variant with its
-    # parent-vertical and zone lists (a few values each).  Its vendors, whose
-    # number grows with the vendor table, are the flat table
-    # experiment_setup_vendors (one row per setup row x vendor).
-    setup_vendors = v["f_setups"].join(
-        v["f_setup_vendors"].withColumnRenamed("list_id", "vendor_list_id"), ["e", "priority", "vendor_list_id"]
-    ).select("entity_id", "country_code", "test_id", "priority", "variation_group", "vendor_id")
+    # experiment_setups: one row per setup row with its vendor, parent-vertical and zone lists.
+    vendor_lists = v["f_setup_vendors"].groupBy("e", F.col("list_id").alias("vendor_list_id")).agg(
+        F.array_sort(F.collect_list("vendor_id")).alias("matching_vendor_ids"))
     parent_lists = v["f_setup_parents"].groupBy("test_id").agg(
         F.array_sort(F.collect_list("parent_vertical")).alias("test_vertical_parents"))
-    zone_lists = v["f_setup_zones"].groupBy("e").agg(F.array_sort(F.collect_list("zone_id")).alias("zone_ids"))
+    zone_lists = v["f_setup_zones"].groupBy("e", F.col("list_id").alias("zone_list_id")).agg(
+        F.array_sort(F.collect_list("zone_id")).alias("zone_ids"))
+    none = F.array().cast("array<string>")
     setups = (
         v["f_setups"]
+        .join(vendor_lists, ["e", "vendor_list_id"], "left")
         .join(parent_lists, ["test_id"], "left")
-        .join(zone_lists, ["e"], "left")
+        .join(zone_lists, ["e", "zone_list_id"], "left")
         .select(
             "entity_id", "country_code", "test_id", "test_name", "test_start_date", "test_end_date",
             "is_active", "misconfigured",
             F.struct(F.col("schedule_id").alias("id")).alias("schedule"),
             F.struct(F.col("customer_condition_id").alias("id")).alias("customer_condition"),
             "vendor_group_id", "priority", "variation_group", "price_scheme_id",
-            F.coalesce("test_vertical_parents", F.array().cast("array<string>")).alias("test_vertical_parents"),
+            F.coalesce("matching_vendor_ids", none).alias("matching_vendor_ids"),
+            F.coalesce("test_vertical_parents", none).alias("test_vertical_parents"),
             "zone_ids",
         )
     )
 
     vendors = v["f_vendors"].select("global_entity_id", "vendor_id", "vertical_type")
 
-    # countries: country -> platforms, cities -> zones -> ring.
-    z = v["f_zones"]
-    ring = F.array(
-        _point(F.col("x0"), F.col("y0")), _point(F.col("x1"), F.col("y0")), _point(F.col("x1"), F.col("y1")),
-        _point(F.col("x0"), F.col("y1")), _point(F.col("x0"), F.col("y0")),
-    )
-    zones = z.select(
+    # countries: country -> platforms, cities -> zones -> rings of points.
+    zone_key = ["entity_id", "country_code", "city_id", "zone_id"]
+    rings = v["f_zone_points"].groupBy(*zone_key, "ring").agg(
+        F.array_sort(F.collect_list(F.struct("pt", "x", "y"))).alias("points"))
+    shapes = rings.groupBy(*zone_key).agg(F.array_sort(F.collect_list(F.struct("ring", "points"))).alias("rings"))
+    shapes = shapes.select(*zone_key, F.transform(
+        "rings", lambda r: F.transform(r["points"], lambda p: _point(p["x"], p["y"]))).alias("shape"))
+    zones = v["f_zones"].drop("shape").join(shapes, zone_key).select(
         "country_code", "entity_id", "city_id", "city_name", "city_active",
         F.struct(F.col("zone_id").alias("id"), F.col("zone_name").alias("name"),
-                 F.col("zone_active").alias("is_active"), ring.alias("shape")).alias("zone"),
+                 F.col("zone_active").alias("is_active"), "shape").alias("zone"),
     )
     cities = zones.groupBy("country_code", "entity_id", "city_id", "city_name", "city_active").agg(
         F.array_sort(F.collect_list("zone")).alias("zones"))
@@ -168,7 +151,7 @@ def derive_from_star_schema(spark: SparkSession, sf_dir: str) -> SourceTables:
         F.col("created_date").alias("created_date_utc"), F.col("pd_delivery_fee_local").alias("delivery_fee_local"),
     ).distinct()
 
-    # ga_sessions: one row per GA session with nested events and DPS zones.
+    # ga_sessions: one row per GA session with nested events and zones.
     ev = v["f_session_events"]
     events = ev.groupBy("ga_session_id").agg(F.array_sort(F.collect_list(F.struct(
         "event_time", "event_action", "vendor_code", "vertical_type", "transaction_id", "expedition_type",
@@ -204,16 +187,20 @@ def derive_from_star_schema(spark: SparkSession, sf_dir: str) -> SourceTables:
         experiment_setups=setups, vendors=vendors, countries=countries, courier_timings=courier_timings,
         logistics_orders=logistics_orders, entities=entities, orders_sessions=orders_sessions,
         warehouse_orders=warehouse_orders, platform_orders=platform_orders, ga_sessions=ga_sessions,
-        experiment_setup_vendors=setup_vendors,
     )
 
 
 def from_parquet_dir(spark: SparkSession, path: str) -> SourceTables:
-    """Read sources written by :func:`write_sources` (or any producer of the same schemas)."""
-    found = {n: spark.read.parquet(os.path.join(path, n)) for n in SOURCE_NAMES if os.path.exists(os.path.join(path, n))}
-    return SourceTables(**found)
+    """Read sources written by :func:`write_sources` (or any producer of the same schemas); any Spark path."""
+    return SourceTables(**{n: spark.read.parquet(f"{path.rstrip('/')}/{n}") for n in SOURCE_NAMES})
+
+
+def from_catalog(spark: SparkSession, database: str, names: dict[str, str] | None = None) -> SourceTables:
+    """Read the sources from catalog tables of ``database``; ``names`` maps a source to another table name."""
+    names = names or {}
+    return SourceTables(**{n: spark.table(f"{database}.{names.get(n, n)}") for n in SOURCE_NAMES})
 
 
 def write_sources(tables: SourceTables, path: str, mode: str = "overwrite") -> None:
     for name, df in tables.as_dict().items():
-        df.write.mode(mode).parquet(os.path.join(path, name))
+        df.write.mode(mode).parquet(f"{path.rstrip('/')}/{name}")
