@@ -1,13 +1,14 @@
 """Order-side operators: delivery costs, orders in test zones, revenue/profit, cleaning.
 
 Plan shape for the big fact (``orders_sessions``): every cheap row filter and
-every semi-join against a small key table (variants, tests, vertical types)
-runs first, so the fact is reduced before it meets the other big tables.
-The zone join (small, broadcastable) and the warehouse-orders join (big,
-keyed by entity + order code) are inner joins, because the spatial predicate
-needs both sides; the point-in-polygon test is a native expression over the
-zone ring, evaluated right after those two joins.  Only then come the left
-joins to platform orders and delivery costs, and the small per-test lookups.
+every semi-join against a small key table (variants, tests, vertical types,
+test zones) runs first, on the columns that are used later, so the fact is
+reduced and narrow before it meets the other big tables.  The warehouse join
+(big, keyed by entity + order code) brings the delivery point; only then are
+the zone rings joined (broadcast after a size check), a bounding box goes
+before the point-in-polygon test, and rings and point are dropped at once, so
+no shuffle carries a polygon.  Then come the left joins to platform orders
+(same partitioning) and delivery costs, and the small per-test lookups.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from abspark.config import PipelineConfig
-from abspark.functions.columns import NON_TG, normalize_vertical, point_in_ring
+from abspark.functions.columns import NON_TG, normalize_vertical, point_in_rings, rings_box
 from abspark.operators.relational import broadcast_if_small, key_flag, key_semi_join, left_join_spread_null_keys
 from abspark.sources.tables import SourceTables
 
@@ -27,6 +28,18 @@ EXCLUDED_ENTITIES = ("FP_DE", "FP_JP", "TB_SA", "HS_BH")
 PLATFORM_FEE_REGIONS = ("Europe", "Asia")
 
 
+# Columns of the order fact that any later step reads.
+ORDER_COLUMNS = (
+    "created_date", "order_placed_at", "region", "entity_id", "country_code", "city_name", "city_id", "zone_name",
+    "zone_id", "variant", "experiment_id", "perseus_client_id", "ga_session_id", "dps_sessionid", "dps_customer_tag",
+    "order_id", "platform_order_code", "scheme_id", "vendor_price_scheme_type", "vendor_id", "chain_id", "chain_name",
+    "vertical_type", "vendor_vertical_parent", "delivery_status", "is_own_delivery", "exchange_rate",
+    "dps_delivery_fee_local", "delivery_fee_local", "commission_local", "joker_vendor_fee_local", "service_fee",
+    "gfv_local", "dps_minimum_order_value_local", "is_delivery_fee_covered_by_discount",
+    "is_delivery_fee_covered_by_voucher",
+)
+
+
 def _residual_eq(left, right):
     """``left = right`` kept out of the join keys (NULL never matches, as with a key)."""
     return F.coalesce(left == right, F.lit(False))
@@ -37,16 +50,19 @@ def _floor(cfg: PipelineConfig):
 
 
 def delivery_costs(courier_timings: DataFrame, logistics_orders: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """Delivery cost per order: courier cost rows bridged to the order code, summed."""
-    p = courier_timings.where(F.col("created_date") >= _floor(cfg))
+    """Delivery cost per order: courier cost rows summed per order, then bridged to the order code."""
+    p = (courier_timings.where(F.col("created_date") >= _floor(cfg))
+         .groupBy("entity_id", "country_code", "order_id")
+         .agg(F.sum("costs").alias("__costs"), F.sum("costs_eur").alias("__costs_eur")))
     o = logistics_orders.where(F.col("created_date") >= _floor(cfg)).select(
         F.col("entity.id").alias("__o_entity"), F.col("order_id").alias("__o_order"), "platform_order_code")
     j = p.join(o, (p.entity_id == o.__o_entity) & (p.order_id == o.__o_order), "inner")
+    # An order bridged by several rows counts its costs once for each, as in the study.
     return j.groupBy("entity_id", "country_code", "order_id", "platform_order_code").agg(
-        F.sum("costs").alias("delivery_costs_local"), F.sum("costs_eur").alias("delivery_costs_eur"))
+        F.sum("__costs").alias("delivery_costs_local"), F.sum("__costs_eur").alias("delivery_costs_eur"))
 
 
-def dps_entities(entities: DataFrame) -> DataFrame:
+def platform_entities(entities: DataFrame) -> DataFrame:
     """Platform entities with their region, minus the excluded entity ids."""
     ent = entities.select("region", "country_iso", "country_name", F.explode_outer("platforms").alias("p")).select(
         "region", F.col("p.entity_id").alias("entity_id"), "country_iso", "country_name")
@@ -57,7 +73,7 @@ def dps_entities(entities: DataFrame) -> DataFrame:
 
 
 def orders_in_zone(orders_sessions: DataFrame, geo: DataFrame, warehouse_orders: DataFrame) -> DataFrame:
-    """Spatial join: each order with its test zone's ring and the delivery point inside or not."""
+    """Spatial join: each order with its test zone and the delivery point, inside the zone's rings or not."""
     a = orders_sessions.select("entity_id", "country_code", "zone_id", F.col("experiment_id").alias("test_id"),
                                "order_id", "platform_order_code")
     z = geo.select("entity_id", "country_code", "zone_id", "test_id", "zone_shape")
@@ -67,7 +83,7 @@ def orders_in_zone(orders_sessions: DataFrame, geo: DataFrame, warehouse_orders:
     j = a.join(z, ["entity_id", "country_code", "zone_id", "test_id"], "inner")
     j = j.join(d, (j.entity_id == d.__d_entity) & (j.platform_order_code == d.__d_code), "inner")
     return j.select("entity_id", "country_code", "zone_id", "test_id", "order_id", "longitude", "latitude",
-                    point_in_ring("zone_shape", "longitude", "latitude").alias("in_zone"))
+                    point_in_rings("zone_shape", "longitude", "latitude").alias("in_zone"))
 
 
 def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, scheme_concat: DataFrame,
@@ -85,18 +101,23 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
     else:
         a = key_semi_join(a, tg, test_key)
 
-    # Zones of the test (small) and the delivery point (big): inner joins,
-    # because the spatial predicate needs both.
-    zn = broadcast_if_small(geo.select(F.col("entity_id").alias("__z_entity"), F.col("country_code").alias("__z_country"),
-                    F.col("zone_id").alias("__z_zone"), F.col("test_id").alias("__z_test"), "zone_shape"))
-    a = a.join(zn, (a.entity_id == zn.__z_entity) & (a.country_code == zn.__z_country)
-               & (a.zone_id == zn.__z_zone) & (a.experiment_id == zn.__z_test), "inner")
+    a = key_semi_join(a, geo, test_key + [("zone_id", "zone_id")])
+    a = a.select(*ORDER_COLUMNS)
     dwh = src.warehouse_orders.select(
         F.col("global_entity_id").alias("__d_entity"), F.col("order_id").alias("__d_code"),
         F.col("value.mov_customer_fee_local").alias("sof_local_cdwh"),
         F.col("delivery_location.longitude").alias("__lon"), F.col("delivery_location.latitude").alias("__lat"))
     a = a.join(dwh, (a.entity_id == dwh.__d_entity) & (a.platform_order_code == dwh.__d_code), "inner")
-    a = a.where(point_in_ring("zone_shape", "__lon", "__lat"))
+    zn = broadcast_if_small(geo.select(
+        F.col("entity_id").alias("__z_entity"), F.col("country_code").alias("__z_country"),
+        F.col("zone_id").alias("__z_zone"), F.col("test_id").alias("__z_test"), "zone_shape",
+        *[rings_box("zone_shape", f, axis).alias(name) for name, f, axis in (
+            ("__x0", F.array_min, "x"), ("__x1", F.array_max, "x"), ("__y0", F.array_min, "y"),
+            ("__y1", F.array_max, "y"))]))
+    a = a.join(zn, (a.entity_id == zn.__z_entity) & (a.country_code == zn.__z_country)
+               & (a.zone_id == zn.__z_zone) & (a.experiment_id == zn.__z_test)
+               & a.__lon.between(zn.__x0, zn.__x1) & a.__lat.between(zn.__y0, zn.__y1), "inner")
+    a = a.where(point_in_rings("zone_shape", "__lon", "__lat")).select(*ORDER_COLUMNS, "sof_local_cdwh")
 
     # Platform fees are looked up by (entity, order code, date): join them on
     # (entity, order code), the key the warehouse join already partitioned
@@ -112,7 +133,8 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
     # NULL order ids (never matched) are spread over many partitions
     # instead of landing on one reducer.
     a = left_join_spread_null_keys(a, cst, [("entity_id", "__c_entity"), ("order_id", "__c_order"),
-                                            ("country_code", "__c_country")])
+                                            ("country_code", "__c_country")],
+                                   spread_by=("platform_order_code", "perseus_client_id"))
 
     t = broadcast_if_small(tg.select(F.col("entity_id").alias("__t_entity"), F.col("vendor_code").alias("__t_vendor"),
                                      F.col("test_id").alias("__t_test"), "tg_name", "parent_vertical_concat"))
@@ -127,7 +149,7 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
                               F.col("test_id").alias("__v_test"), "tg_var_scheme_concat"))
     a = a.join(vs, (a.entity_id == vs.__v_entity) & (a.country_code == vs.__v_country)
                & (a.experiment_id == vs.__v_test), "left")
-    ent = broadcast_if_small(dps_entities(src.entities).select(F.col("entity_id").alias("__e_entity"),
+    ent = broadcast_if_small(platform_entities(src.entities).select(F.col("entity_id").alias("__e_entity"),
                                                                F.col("region").alias("__e_region")))
     a = a.join(ent, a.entity_id == ent.__e_entity, "inner")
 
@@ -158,6 +180,7 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
         scheme_ok = F.like(F.col("tg_var_scheme_concat"), pattern)
     keep = F.when((target_group == NON_TG) | scheme_ok, "Keep").otherwise("Drop")
 
+    # The result table's column names.
     return a.select(
         "created_date", "order_placed_at", "region", "entity_id", "country_code", "city_name", "city_id",
         "zone_name", "zone_id", "variant", F.col("experiment_id").alias("test_id"), "test_start_date",

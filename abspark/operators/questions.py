@@ -26,6 +26,29 @@ TS_EXP_KEYS = ["entity_id", "country_code", "test_id", "test_name", "test_start_
                "test_length", "first_parent_vertical", "second_parent_vertical", "variant"]
 
 
+# Presentation order of the written tables (columns, descending where marked).
+ORDER = {
+    "tests_per_entity": ["-n_tests", "entity_id"],
+    "tests_per_entity_vertical": ["entity_id", "-n_tests", "first_parent_vertical"],
+    "ts_exp_comparison": ["entity_id", "test_name", "variant"],
+    "direction_agreement": ["kpi", "-freq"],
+    "significance_agreement": ["kpi", "data_cut"],
+    "records_in_treatment": ["-perc_in_treatment", "entity_id", "test_name"],
+    "records_in_treatment_bins": ["bin"],
+    "treatment_share_bins": ["bin"],
+    "significance_by_length": ["kpi", "granularity", "test_length_bin", "sig_flag"],
+    "significance_by_share": ["kpi", "granularity", "share_bin", "sig_flag"],
+}
+
+
+def presented(name: str, df: DataFrame) -> DataFrame:
+    """Question table ``name`` in its presentation order (a few rows per test: one sorted file)."""
+    keys = ORDER.get(name)
+    if not keys:
+        return df
+    return df.orderBy(*[F.col(k[1:]).desc() if k.startswith("-") else F.col(k) for k in keys]).coalesce(1)
+
+
 def analysis_rows(sig: DataFrame) -> DataFrame:
     return sig.where(F.col("variant") != CONTROL)
 
@@ -124,11 +147,12 @@ def significance_agreement(p) -> DataFrame:
 
 # ---- Q1': share of records / orders in treatment ---------------------------------
 def records_in_treatment(p) -> DataFrame:
-    raw = p.gated_kpis_exp.where(
-        F.col("entity_id").isNotNull() & F.col("test_name").isNotNull()
-        & F.col("session_in_treatment_flag").isNotNull())
-    piv = raw.groupBy("entity_id", "test_name").pivot("session_in_treatment_flag", ["N", "Unknown", "Y"]).agg(
-        F.count("perseus_client_id"))
+    # As in the study, which turns client ids and flags into text before it
+    # counts: a NULL id counts, a NULL flag belongs to no counted column but
+    # keeps its test in the table.
+    raw = p.gated_kpis_exp.where(F.col("entity_id").isNotNull() & F.col("test_name").isNotNull())
+    flag = lambda f: F.nullif(F.count_if(F.col("session_in_treatment_flag") == f), F.lit(0)).alias(f)
+    piv = raw.groupBy("entity_id", "test_name").agg(flag("N"), flag("Unknown"), flag("Y"))
     n_n, n_y = F.col("N").cast("bigint"), F.col("Y").cast("bigint")
     perc = F.when(n_n.isNotNull() & n_y.isNotNull() & ((n_n + n_y) > 0),
                   round_half_even(n_y / (n_y + n_n), 4)).otherwise(F.lit(1.0))
@@ -205,11 +229,16 @@ def significance_by_length(p) -> DataFrame:
         # Sig count over Not-Sig count (odds, as the study computes it): n/0 -> inf, 0/0 -> 0.
         sig_pct = (F.when(F.col("__not") > 0, round_half_even(F.col("__sig") / F.col("__not"), 3))
                    .when(F.col("__sig") > 0, F.lit(float("inf"))).otherwise(F.lit(0.0)))
-        res = cells.join(odds.select("granularity", "bin", sig_pct.alias("sig_pct")), ["granularity", "bin"])
+        # The share of Sig among all, which the study's column name suggests.
+        both = F.col("__sig") + F.col("__not")
+        share = F.when(both > 0, round_half_even(F.col("__sig") / both, 3))
+        res = cells.join(odds.select("granularity", "bin", sig_pct.alias("sig_pct"), share.alias("sig_share")),
+                         ["granularity", "bin"])
         parts.append(res.select(
             F.lit(kpi).alias("kpi"), "granularity", F.col("bin").cast("bigint").alias("test_length_bin"),
             (F.col("bin") * LENGTH_BIN_WIDTH - LENGTH_BIN_WIDTH).cast("bigint").alias("length_lo"),
-            (F.col("bin") * LENGTH_BIN_WIDTH).cast("bigint").alias("length_hi"), "sig_flag", "freq", "sig_pct"))
+            (F.col("bin") * LENGTH_BIN_WIDTH).cast("bigint").alias("length_hi"), "sig_flag", "freq", "sig_pct",
+            "sig_share"))
     return parts[0].unionByName(parts[1])
 
 

@@ -4,30 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-# Largest side (rows) that a join may broadcast after its size was checked.
-BROADCAST_MAX_ROWS = 500_000
+# Largest side (bytes of its rows as text) that a join may broadcast after its size was checked.
+BROADCAST_MAX_BYTES = 32 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only after its actual row count proved it small.
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all rows of ``df`` written as text: one aggregate, nothing kept."""
+    row = F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})
+    return df.agg(F.sum(F.octet_length(row))).first()[0] or 0
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast-hint ``df`` only after its measured size proved it small.
 
     Spark's own broadcast choice rests on estimates, and at runtime AQE will
     not broadcast a side whose shuffle partitions are mostly empty, which is
-    what a tiny key table looks like.  Here the side is counted once (it is
-    a small table, persisted first so the join does not compute it again)
-    and hinted only under ``max_rows``; beyond that it is unpersisted and the
-    join is left to the planner (sort-merge / shuffled hash).
+    what a tiny key table looks like.  Here the side's bytes are summed first
+    (wide rows such as polygons count by their width) and it is hinted only
+    under ``max_bytes``; beyond that the join is left to the planner
+    (sort-merge / shuffled hash).  Nothing is cached.
     """
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if cached.count() <= max_rows:  # the join then reads the cached rows instead of recomputing them
-        return F.broadcast(cached)
-    cached.unpersist()
-    return df
+    return F.broadcast(df) if measured_bytes(df) <= max_bytes else df
 
 
 def key_semi_join(df: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
@@ -63,33 +64,31 @@ NULL_KEY_BUCKETS = 256
 
 
 def left_join_spread_null_keys(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
-                               residual: Sequence[tuple[str, str]] = ()) -> DataFrame:
+                               spread_by: Sequence[str] = ()) -> DataFrame:
     """``left LEFT JOIN right ON left.a = right.b AND ...`` for big inputs with possibly-NULL keys.
 
     A row with a NULL key never matches, but a shuffled join still sends all
     such rows to one reducer (they hash alike): one hot partition when, say,
     a third of the ids are missing.  Each such row gets a salt in
-    1..NULL_KEY_BUCKETS (a hash of the row, so task retries place it the
-    same way) and every other row salt 0; the salt is one more join key,
-    with 0 on the right side.  NULL-key rows spread over that many
-    partitions and still match nothing; the result equals the plain left
-    join, in one plan (no second pass over ``left``).  ``residual`` pairs
-    are further equalities kept out of the join keys; NULL never matches
-    there either.
+    1..NULL_KEY_BUCKETS (a hash of the join keys and the ``spread_by``
+    columns, so task retries place it the same way) and every other row salt
+    0; the salt is one more join key.  On the right it is 0 for every row, as
+    an expression over the keys: a literal would let the optimizer turn the
+    equality into a filter on the left and leave the salt out of the shuffle.
+    NULL-key rows spread over that many partitions and still match nothing;
+    the result equals the plain left join, in one plan.
     """
     has_null = None
     for lk, _ in pairs:
         c = left[lk].isNull()
         has_null = c if has_null is None else has_null | c
-    salt = F.when(has_null, F.pmod(F.xxhash64(*[left[c] for c in left.columns]), F.lit(NULL_KEY_BUCKETS)) + 1) \
-        .otherwise(F.lit(0)).cast("bigint")
+    spread = [left[c] for c in dict.fromkeys([*(lk for lk, _ in pairs), *spread_by])]
+    salt = F.when(has_null, F.pmod(F.xxhash64(*spread), F.lit(NULL_KEY_BUCKETS)) + 1).otherwise(F.lit(0)).cast("bigint")
     lft = left.withColumn("__null_salt", salt)
-    rgt = right.withColumn("__null_salt_r", F.lit(0).cast("bigint"))
+    rgt = right.withColumn("__null_salt_r", F.pmod(F.xxhash64(*[right[rk] for _, rk in pairs]), F.lit(1)).cast("bigint"))
     on = lft["__null_salt"] == rgt["__null_salt_r"]
     for lk, rk in pairs:
         on = on & (lft[lk] == rgt[rk])
-    for lk, rk in residual:
-        on = on & F.coalesce(lft[lk] == rgt[rk], F.lit(False))
     return lft.join(rgt, on, "left").drop("__null_salt", "__null_salt_r")
 
 

@@ -1,6 +1,6 @@
 """Click-stream operators: session events in test zones, and the per-session treatment flag.
 
-A GA session row carries two arrays: its events and the DPS zones it was
+A GA session row carries two arrays: its events and the delivery zones it was
 seen in.  The study unnests both and takes their product; here the zones
 are unnested first and semi-joined to the test zones, so only sessions in
 a test zone pay for the event unnest.
@@ -21,7 +21,7 @@ TG_PATTERN = r"TG\d+"
 
 def session_events(ga_sessions: DataFrame, geo: DataFrame, tg: DataFrame, schemes: DataFrame,
                    cfg: PipelineConfig) -> DataFrame:
-    """One distinct row per session x event x DPS zone of valid test variants in test zones."""
+    """One distinct row per session x event x zone of valid test variants in test zones."""
     x = ga_sessions.where(F.col("created_date") >= F.lit(cfg.start_floor).cast("date")).select(
         "created_date", "entity_id", "country_code", "platform", "brand", "events_ga_session_id",
         "fullvisitor_id", "visit_id", "has_transaction", "total_transactions", "ga_dps_session_id",
@@ -42,7 +42,7 @@ def session_events(ga_sessions: DataFrame, geo: DataFrame, tg: DataFrame, scheme
     x = key_semi_join(x, schemes, [("entity_id", "entity_id"), ("country_code", "country_code"),
                                    ("test_id", "test_id"), ("variant", "variant")])
     x = key_semi_join(x, tg, [("entity_id", "entity_id"), ("country_code", "country_code"), ("test_id", "test_id")])
-    # DPS zones: an inner join on the test zones (a NULL zone never matches,
+    # Session zones: an inner join on the test zones (a NULL zone never matches,
     # so the outer unnest of the study reduces to a plain one).  The zone
     # table's own columns are not kept and the result is DISTINCT, so the
     # join is a semi-join on the zone key.
@@ -113,6 +113,10 @@ def with_session_flag(events: DataFrame) -> DataFrame:
     which a window over the session could not do.  A NULL key matches
     nothing, as in the study.
     """
-    flags = session_treatment_flag(events)
+    # Rows with a NULL key match nothing: they need no flags (and would meet in one group).
+    known = None
+    for k in SESSION_KEYS:
+        known = F.col(k).isNotNull() if known is None else known & F.col(k).isNotNull()
+    flags = session_treatment_flag(events.where(known))
     return events.join(flags, SESSION_KEYS, "left").select(
         *events.columns, "all_tgs_per_ga_session", "all_vendor_codes_per_ga_session", "session_in_treatment_flag")

@@ -3,22 +3,21 @@
 The study slices a frame per test and variant in a Python loop and calls a
 library test on two arrays.  Here one plan does every test at once:
 
-1. value histogram per (entity, test, variant, value): a partial aggregate,
-   so the data shrinks to distinct values before any shuffle;
-2. each non-Control variant's histogram is put next to its test's Control
-   histogram (full outer join on the value);
-3. a running sum over the merged histogram, ordered by value, gives the mid
-   rank of every value (ties share the average rank);
-4. one aggregate per pair gives n1, n2, the variant's rank sum R1 and the
+1. one histogram per (granularity, test variant, metric, converted?, value):
+   the only pass over the KPI table, a partial aggregate, so the data shrinks
+   to distinct values before any shuffle; everything below reads it;
+2. means are sums of value x count; deltas compare them with Control's;
+3. for the rank test each variant's counts and its Control's are summed by
+   value (a conditional-sum group-by);
+4. values of a pair are dealt into RANK_BUCKETS ranges; bucket totals give
+   every bucket its offset, and a running sum inside a bucket gives the mid
+   rank of every value (ties share the average rank), so no task sorts a
+   whole pair;
+5. one aggregate per pair gives n1, n2, the variant's rank sum R1 and the
    tie term sum(t^3 - t);
-5. U, the tie- and continuity-corrected normal approximation and its
+6. U, the tie- and continuity-corrected normal approximation and its
    two-sided p-value are column expressions.
 
-The window in step 3 sees one row per distinct value of a pair, so its size
-is bounded by the value domain (profits are rounded to cents, counts are
-small integers), not by the number of users: a test holding a third of all
-users still yields a histogram of bounded length.
-
 The exact distribution is used, like the library default, when one sample
 has at most ``exact_max_n`` values and nothing is tied.  Its p-value depends
 only on (U, n1, n2); a vectorised pandas UDF computes it for those rows.
@@ -42,21 +41,27 @@ GROUP = ["entity_id", "test_id"]
 SIG_KEYS = ["entity_id", "country_code", "test_id", "test_name", "test_start_date", "test_end_date", "test_length",
             "first_parent_vertical", "second_parent_vertical", "variant"]
 METRICS = ("order_count_per_user", "profit_per_user")
+RANK_BUCKETS = 256
 
 
-def _exact_mean(col, alias: str):
-    """Mean from an exact decimal sum (cent values), so the result does not depend on summation order."""
-    total = F.sum(col.cast("decimal(38,2)")).cast("double")
-    return (total / F.nullif(F.count(col), F.lit(0)).cast("double")).alias(alias)
+def value_histogram(df: DataFrame, keys: list[str], metrics: tuple[str, ...] = METRICS) -> DataFrame:
+    """(keys, metric, conv, value, n): rows of ``df`` counted by metric value; conv: revenue > 0."""
+    conv = F.coalesce(F.col("revenue_per_user") > 0, F.lit(False)) if "revenue_per_user" in df.columns else F.lit(False)
+    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]))
+    stacked = df.select(*keys, conv.alias("conv"), pairs.alias("mv")).select(*keys, "conv", "mv.metric", "mv.value")
+    return stacked.groupBy(*keys, "metric", "conv", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def variant_means(df: DataFrame, group: list[str] = GROUP) -> DataFrame:
-    """Means per (entity, test, variant): all users and converted users (revenue > 0), 4 decimals."""
+def _means_of(hist: DataFrame, group: list[str]) -> DataFrame:
+    """Means per (group, variant) from exact decimal sums (cent values): the order of summation does not matter."""
+    total = F.col("value").cast("decimal(38,2)") * F.col("n")
     aggs = []
     for m in METRICS:
-        aggs.append(_exact_mean(F.when(F.col("revenue_per_user") > 0, F.col(m)), f"__conv_{m}"))
-        aggs.append(_exact_mean(F.col(m), f"__mean_{m}"))
-    out = df.groupBy(*group, "variant").agg(*aggs)
+        for name, cond in ((f"__conv_{m}", F.col("conv")), (f"__mean_{m}", F.lit(True))):
+            own = (F.col("metric") == m) & cond & F.col("value").isNotNull()
+            mean = F.sum(F.when(own, total)).cast("double") / F.nullif(F.sum(F.when(own, F.col("n"))), F.lit(0)).cast("double")
+            aggs.append(mean.alias(name))
+    out = hist.groupBy(*group, "variant").agg(*aggs)
     return out.select(
         *group, "variant",
         *[c for m in METRICS for c in (
@@ -67,6 +72,11 @@ def variant_means(df: DataFrame, group: list[str] = GROUP) -> DataFrame:
     )
 
 
+def variant_means(df: DataFrame, group: list[str] = GROUP) -> DataFrame:
+    """Means per (entity, test, variant): all users and converted users (revenue > 0), 4 decimals."""
+    return _means_of(value_histogram(df, [*group, "variant"]), group)
+
+
 def variant_deltas(means: DataFrame, group: list[str] = GROUP) -> DataFrame:
     """Relative delta of each variant's mean against its test's Control mean (NULL if that mean is 0)."""
     ctrl = broadcast_if_small(means.where(F.col("variant") == CONTROL).select(
@@ -116,32 +126,35 @@ def _u_cdf(m: int, n: int) -> np.ndarray:
     return np.cumsum(pmf)
 
 
-def mann_whitney_stacked(df: DataFrame, metrics: tuple[str, ...], cfg: PipelineConfig,
-                         group: list[str] = GROUP) -> DataFrame:
-    """Two-sided Mann-Whitney U test of each non-Control variant against Control, per group and metric.
-
-    All metrics are tested in one pass: each row's metric values are stacked
-    into (metric, value) pairs before the histogram, and ``metric`` joins the
-    grouping keys everywhere after.
-    """
+def _mid_ranks(merged: DataFrame, pair: list[str]) -> DataFrame:
+    """``merged`` (pair, value, n_v, n_c) with the mid rank of every value within its pair."""
+    t = F.col("n_v") + F.col("n_c")
+    span = broadcast_if_small(merged.groupBy(*pair).agg(F.min("value").alias("__lo"), F.max("value").alias("__hi")))
+    share = (F.col("value") - F.col("__lo")) / F.nullif(F.col("__hi") - F.col("__lo"), F.lit(0.0))
+    bucket = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * RANK_BUCKETS), F.lit(RANK_BUCKETS - 1)).cast("int")
+    dealt = merged.join(span, pair).withColumn("__bucket", bucket).drop("__lo", "__hi")
+    sums = dealt.groupBy(*pair, "__bucket").agg(F.sum(t).alias("__in"))  # RANK_BUCKETS rows a pair at most
+    before = Window.partitionBy(*pair).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offset = sums.select(*pair, "__bucket", F.coalesce(F.sum("__in").over(before), F.lit(0)).alias("__offset"))
+    w = Window.partitionBy(*pair, "__bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    rank = (F.col("__offset") + F.coalesce(F.sum(t).over(w), F.lit(0))).cast("double") + (t.cast("double") + 1.0) / 2.0
+    return dealt.join(offset, [*pair, "__bucket"]).select(*pair, "value", "n_v", "n_c", rank.alias("mid_rank"))
+
+
+def _rank_tests(hist: DataFrame, group: list[str], cfg: PipelineConfig) -> DataFrame:
+    """Two-sided Mann-Whitney U test of each non-Control variant against Control, per group and metric."""
     g = [*group, "metric"]
-    stacked = df.select(*group, "variant", F.explode(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])).alias("mv"))
-    vals = stacked.select(*group, "variant", "mv.metric", "mv.value").where(
-        F.col("value").isNotNull() & ~F.isnan(F.col("value")))
-    hist = vals.groupBy(*g, "variant", "value").agg(F.count(F.lit(1)).alias("n"))
-    hv = hist.where(F.col("variant") != CONTROL).withColumnRenamed("n", "n_v")
-    hc = hist.where(F.col("variant") == CONTROL).select(*g, "value", F.col("n").alias("n_c"))
-    pairs = broadcast_if_small(hv.select(*g, "variant").distinct())
-    hc_per_pair = hc.join(pairs, g, "inner")
-    merged = hv.join(hc_per_pair, [*g, "variant", "value"], "full_outer").select(
-        *g, "variant", "value",
-        F.coalesce("n_v", F.lit(0)).alias("n_v"), F.coalesce("n_c", F.lit(0)).alias("n_c"))
-    w = Window.partitionBy(*g, "variant").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    counts = hist.where(F.col("value").isNotNull() & ~F.isnan(F.col("value"))).groupBy(*g, "variant", "value").agg(
+        F.sum("n").alias("n"))
+    own = counts.where(F.col("variant") != CONTROL)
+    pairs = broadcast_if_small(own.select(*g, "variant").distinct())
+    control = counts.where(F.col("variant") == CONTROL).select(*g, "value", "n").join(pairs, g, "inner")
+    none = F.lit(0).cast("bigint")
+    both = own.select(*g, "variant", "value", F.col("n").alias("n_v"), none.alias("n_c")).unionByName(
+        control.select(*g, "variant", "value", none.alias("n_v"), F.col("n").alias("n_c")))
+    merged = both.groupBy(*g, "variant", "value").agg(F.sum("n_v").alias("n_v"), F.sum("n_c").alias("n_c"))
+    ranked = _mid_ranks(merged, [*g, "variant"])
     t = F.col("n_v") + F.col("n_c")
-    ranked = merged.select(
-        "*", (F.coalesce(F.sum(t).over(w), F.lit(0)).cast("double") + (t.cast("double") + 1.0) / 2.0)
-        .alias("mid_rank"))
     tot = t.cast("double")
     agg = ranked.groupBy(*g, "variant").agg(
         F.sum("n_v").cast("double").alias("n1"),
@@ -171,21 +184,27 @@ def mann_whitney_stacked(df: DataFrame, metrics: tuple[str, ...], cfg: PipelineC
         "u_statistic", "tie_term", "method", round_half_even(p, 4).alias("p_value"))
 
 
+def mann_whitney_stacked(df: DataFrame, metrics: tuple[str, ...], cfg: PipelineConfig,
+                         group: list[str] = GROUP) -> DataFrame:
+    """The rank test of several metrics in one pass (column ``metric``)."""
+    return _rank_tests(value_histogram(df, [*group, "variant"], metrics), group, cfg)
+
+
 def mann_whitney(df: DataFrame, metric: str, cfg: PipelineConfig) -> DataFrame:
     """Two-sided Mann-Whitney U test of each non-Control variant against Control, per (entity, test)."""
     return mann_whitney_stacked(df, (metric,), cfg).drop("metric")
 
 
-def _significance(df: DataFrame, group: list[str], cfg: PipelineConfig) -> DataFrame:
+def _significance(hist: DataFrame, group: list[str], cfg: PipelineConfig) -> DataFrame:
     """Means, deltas and p-values of both KPIs per distinct test-variant key (``group`` adds granularity)."""
     extra = [c for c in group if c not in GROUP]
     keys = [*group, "variant"]
     # Every table joined here has one row per test variant (bounded by the
     # number of tests, not by users): size-checked broadcasts.
-    rows = df.select(*extra, *SIG_KEYS).distinct()
-    means = variant_means(df, group)
+    rows = hist.select(*extra, *SIG_KEYS).distinct()
+    means = _means_of(hist, group)
     deltas = variant_deltas(means, group)
-    tests = mann_whitney_stacked(df, METRICS, cfg, group)
+    tests = _rank_tests(hist, group, cfg)
     p_vals = tests.groupBy(*keys).agg(*[
         F.max(F.when(F.col("metric") == m, F.col("p_value"))).alias(f"{m}_p_val") for m in METRICS])
     out = (rows.join(broadcast_if_small(means.drop(*[f"__mean_{m}" for m in METRICS])), keys, "left")
@@ -202,11 +221,12 @@ def _significance(df: DataFrame, group: list[str], cfg: PipelineConfig) -> DataF
 
 def significance(df: DataFrame, granularity: str, cfg: PipelineConfig) -> DataFrame:
     """One row per distinct test variant key: means, deltas and p-values of both KPIs at one granularity."""
-    return _significance(df.withColumn("granularity", F.lit(granularity)), ["granularity", *GROUP], cfg)
+    hist = value_histogram(df.withColumn("granularity", F.lit(granularity)), ["granularity", *SIG_KEYS])
+    return _significance(hist, ["granularity", *GROUP], cfg)
 
 
-def significance_both(kpis: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """Experiment level (all rows) and treatment scope (rows with flag 'Y') in one pass over the KPI table.
+def kpi_histogram(kpis: DataFrame) -> DataFrame:
+    """Both granularities' histograms: experiment level (all rows), treatment scope (rows with flag 'Y').
 
     Each row is tagged 'exp', and also 'ts' when it is in treatment (one
     explode, no second scan); every statistic then groups by granularity.
@@ -214,7 +234,12 @@ def significance_both(kpis: DataFrame, cfg: PipelineConfig) -> DataFrame:
     tagged = kpis.withColumn("granularity", F.explode(
         F.when(F.col("session_in_treatment_flag") == "Y", F.array(F.lit("exp"), F.lit("ts")))
         .otherwise(F.array(F.lit("exp")))))
-    return _significance(tagged, ["granularity", *GROUP], cfg)
+    return value_histogram(tagged, ["granularity", *SIG_KEYS])
+
+
+def significance_both(hist: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """The statistics of :func:`kpi_histogram`'s table, both granularities."""
+    return _significance(hist, ["granularity", *GROUP], cfg)
 
 
 def sig_flag(p_col: str, alpha: float):

@@ -29,28 +29,42 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "abs
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a scratch folder only when none is set (tests)."""
-    current = spark.sparkContext.getCheckpointDir() or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+
+    A scratch folder is made only for a local master (tests) that sets none;
+    on a cluster a machine-local folder would lose rows, so that is an error.
+    """
+    context = spark.sparkContext
+    current = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir", None)
     if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(current)
         return current
+    if not context.master.startswith("local[") and context.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="abspark-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
+    context.setCheckpointDir(path)
     return path
 
 
-def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Settings for a large cluster run, sized from the input volume.
+# More shuffle partitions than this cost the driver more in map-output
+# bookkeeping than they save; AQE splits what is still too large.
+MAX_SHUFFLE_PARTITIONS = 20_000
+
+
+def scale_conf(shuffled_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large cluster run, sized from the largest shuffle.
 
-    Scan splits and shuffle partitions target ``target_partition_bytes``
-    each (so a task's data fits an executor's memory share); AQE coalesces
-    small partitions and splits skewed ones at runtime.  Apply with
-    ``spark.conf.set`` before building the pipeline; the broadcast threshold
-    is left at Spark's default because the pipeline checks the sizes of the
-    sides it broadcasts itself.
+    ``shuffled_bytes`` is the volume of the largest shuffle, i.e. of the
+    reduced order or session fact after its filters and column pruning, not
+    of the raw tables.  Shuffle partitions target ``target_partition_bytes``
+    each, within 200 .. MAX_SHUFFLE_PARTITIONS; AQE coalesces small
+    partitions and splits skewed ones at runtime.  The session time zone is
+    UTC: dates are taken from timestamps.  The broadcast threshold is left at
+    Spark's default because the pipeline checks the sizes of the sides it
+    broadcasts itself.
     """
-    partitions = max(200, input_bytes // target_partition_bytes)
+    partitions = min(MAX_SHUFFLE_PARTITIONS, max(200, shuffled_bytes // target_partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -60,4 +74,5 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dic
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.session.timeZone": "UTC",
     }
