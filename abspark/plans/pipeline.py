@@ -1,12 +1,16 @@
-"""The whole study as one lazily-built graph of DataFrames.
+"""The whole study as a chain of DataFrames.
 
 ``ExperimentPipeline`` exposes every step of the study as a property that
-returns a DataFrame; nothing runs until an action.  Steps that several later
-steps read (target groups, schemes, zone geography, clean orders, sessions
-with flags, the user KPI table) can be persisted with ``persist_reused``;
-for a long lineage ``checkpoint_reused`` cuts it with ``checkpoint()`` into
-the session's ``spark.checkpoint.dir`` (a shared folder on a cluster).  The
-stage tables the study stores are written there as parquet and read back.
+returns a DataFrame.  Tables that several later steps read are stage tables:
+on first use each is computed once, written as parquet and read back, which
+cuts the lineage there (a lost executor recomputes from that table), lets
+later reads prune columns, and leaves nothing cached.  The sizes of broadcast
+sides are summed when a step is built, so building a step can run small jobs.
+
+With ``out`` every persisted table of the study is such a stage table at its
+final place ``out/<name>``: each fact is computed once for the whole run.
+Without it only the tables read more than once are staged, in a folder of this
+run under the session's ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -14,7 +18,6 @@ from __future__ import annotations
 import uuid
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,77 +28,73 @@ from abspark.sources.tables import SourceTables
 
 
 class ExperimentPipeline:
-    def __init__(self, src: SourceTables, cfg: PipelineConfig | None = None,
-                 persist_reused: bool = True, checkpoint_reused: bool = False,
-                 checkpoint_stage_outputs: bool = True, stage_format: str = "parquet"):
+    # The study's persisted tables.
+    STAGE_TABLES = (
+        "valid_experiments", "target_groups", "experiment_zones", "variant_schemes", "variant_scheme_concat",
+        "zone_geography", "experiment_orders", "order_profit", "clean_orders", "experiment_sessions_stg",
+        "experiment_sessions", "session_treatment_flag", "sessions_with_flag", "users_per_test", "kpis_per_user",
+        "treatment_order_share", "significance_combined",
+    )
+    # Tables that more than one later step reads.
+    REUSED = ("target_groups", "variant_schemes", "zone_geography", "clean_orders", "experiment_sessions",
+              "sessions_with_flag", "kpis_per_user", "treatment_order_share", "kpi_histogram", "significance_combined")
+    # Session-grain tables are laid out by date, so date filters prune files on read.
+    BY_DATE = ("experiment_sessions_stg", "experiment_sessions", "sessions_with_flag")
+
+    def __init__(self, src: SourceTables, cfg: PipelineConfig | None = None, out: str | None = None,
+                 stage: bool = True):
         self.src = src
         self.cfg = cfg or PipelineConfig()
-        self.persist_reused = persist_reused
-        self.checkpoint_reused = checkpoint_reused
-        self.checkpoint_stage_outputs = checkpoint_stage_outputs
-        self.stage_format = stage_format
-        self._run_id = uuid.uuid4().hex
-        self._ckpt_dir = None
-        if checkpoint_stage_outputs or checkpoint_reused:
-            # the session's spark.checkpoint.dir; a scratch folder only where none is set
-            self._ckpt_dir = ensure_checkpoint_dir(src.experiment_setups.sparkSession)
-
-    def _stage_output(self, df: DataFrame, name: str) -> DataFrame:
-        """Tables the study itself stores and reads back several times.
-
-        Clean orders (read by the KPI join and the share gate), the user KPI
-        table and the share gate (read by the statistics) and the combined
-        result (read by every question).  Each is written as a parquet table
-        into this run's folder under the session's ``spark.checkpoint.dir``
-        (the cluster's shared folder) and read back: the lineage is cut there,
-        an executor loss recomputes from that table instead of from the
-        sources, and later reads prune columns and push filters into it.
-        ``stage_format="checkpoint"`` uses ``DataFrame.checkpoint()`` instead.
-        """
-        if not self.checkpoint_stage_outputs:
-            return self._reused(df)
-        if self.stage_format == "checkpoint":
-            return df.checkpoint(eager=True)
-        path = f"{self._ckpt_dir.rstrip('/')}/abspark-{self._run_id}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
-
-    def _reused(self, df: DataFrame) -> DataFrame:
-        if self.checkpoint_reused:
-            return df.checkpoint(eager=True)
-        if self.persist_reused:
-            return df.persist(StorageLevel.MEMORY_AND_DISK)
-        return df
+        self.out = out.rstrip("/") if out else None
+        self.stage = stage
+        self._scratch: str | None = None
+
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        final = self.out is not None and name in self.STAGE_TABLES
+        if not self.stage or not (final or name in self.REUSED):
+            return df
+        spark = df.sparkSession
+        if final:
+            path = f"{self.out}/{name}"
+            written = df
+            if name == "kpis_per_user":
+                written = df.withColumn("data_pull_timestamp", F.current_timestamp())
+            if name in self.BY_DATE:
+                # One date's rows meet in as many tasks as their size needs, not in every task.
+                written.hint("rebalance", "created_date").write.mode("overwrite").partitionBy("created_date").parquet(path)
+            else:
+                written.write.mode("overwrite").parquet(path)
+        else:
+            if self._scratch is None:
+                self._scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/abspark-{uuid.uuid4().hex}"
+            path = f"{self._scratch}/{name}"
+            df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
     # ---- experiment setups (S1-S5) ------------------------------------
-    @cached_property
-    def _setup_vendors(self) -> DataFrame:
-        return self.src.setup_vendors()
-
     @cached_property
     def valid_experiments(self) -> DataFrame:
-        return setups.valid_experiments(self.src.experiment_setups, self._setup_vendors, self.cfg)
+        return self._stage(setups.valid_experiments(self.src.experiment_setups, self.cfg), "valid_experiments")
 
     @cached_property
     def target_groups(self) -> DataFrame:
-        return self._reused(setups.target_groups(
-            self.src.experiment_setups, self._setup_vendors, self.src.vendors, self.cfg))
+        return self._stage(setups.target_groups(self.src.experiment_setups, self.src.vendors, self.cfg), "target_groups")
 
     @cached_property
     def experiment_zones(self) -> DataFrame:
-        return setups.experiment_zones(self.src.experiment_setups, self._setup_vendors, self.cfg)
+        return self._stage(setups.experiment_zones(self.src.experiment_setups, self.cfg), "experiment_zones")
 
     @cached_property
     def variant_schemes(self) -> DataFrame:
-        return self._reused(setups.variant_schemes(self.src.experiment_setups, self._setup_vendors, self.cfg))
+        return self._stage(setups.variant_schemes(self.src.experiment_setups, self.cfg), "variant_schemes")
 
     @cached_property
     def variant_scheme_concat(self) -> DataFrame:
-        return setups.variant_scheme_concat(self.variant_schemes)
+        return self._stage(setups.variant_scheme_concat(self.variant_schemes), "variant_scheme_concat")
 
     @cached_property
     def zone_geography(self) -> DataFrame:
-        return self._reused(setups.zone_geography(self.src.countries, self.experiment_zones))
+        return self._stage(setups.zone_geography(self.src.countries, self.experiment_zones), "zone_geography")
 
     # ---- orders (S6-S8) -------------------------------------------------
     @cached_property
@@ -104,49 +103,50 @@ class ExperimentPipeline:
 
     @cached_property
     def experiment_orders(self) -> DataFrame:
-        return orders.experiment_orders(
+        return self._stage(orders.experiment_orders(
             self.src, self.target_groups, self.variant_schemes, self.variant_scheme_concat,
-            self.zone_geography, self.experiment_zones, self.delivery_costs, self.cfg)
+            self.zone_geography, self.experiment_zones, self.delivery_costs, self.cfg), "experiment_orders")
 
     @cached_property
     def order_profit(self) -> DataFrame:
-        return orders.with_profit(self.experiment_orders, self.target_groups, self.cfg)
+        return self._stage(orders.with_profit(self.experiment_orders, self.target_groups, self.cfg), "order_profit")
 
     @cached_property
     def clean_orders(self) -> DataFrame:
-        # Read by the KPI join and by the share gate: a stage output.
-        return self._stage_output(orders.clean_orders(self.order_profit), "clean_orders")
+        return self._stage(orders.clean_orders(self.order_profit), "clean_orders")
 
     # ---- sessions (S9-S10) ---------------------------------------------
     @cached_property
-    def session_events_stg(self) -> DataFrame:
-        return sessions.session_events(
-            self.src.ga_sessions, self.zone_geography, self.target_groups, self.variant_schemes, self.cfg)
+    def experiment_sessions_stg(self) -> DataFrame:
+        return self._stage(sessions.session_events(
+            self.src.ga_sessions, self.zone_geography, self.target_groups, self.variant_schemes, self.cfg),
+            "experiment_sessions_stg")
 
     @cached_property
     def experiment_sessions(self) -> DataFrame:
-        return sessions.parent_vertical_filter(self.session_events_stg, self.target_groups)
+        return self._stage(sessions.parent_vertical_filter(self.experiment_sessions_stg, self.target_groups),
+                           "experiment_sessions")
 
     @cached_property
     def session_treatment_flag(self) -> DataFrame:
-        return sessions.session_treatment_flag(self.experiment_sessions)
+        return self._stage(sessions.session_treatment_flag(self.experiment_sessions), "session_treatment_flag")
 
     @cached_property
     def sessions_with_flag(self) -> DataFrame:
-        return self._reused(sessions.with_session_flag(self.experiment_sessions))
+        return self._stage(sessions.with_session_flag(self.experiment_sessions), "sessions_with_flag")
 
     # ---- users and KPIs (S11-S12) ----------------------------------------
     @cached_property
     def users_per_test(self) -> DataFrame:
-        return kpis.users_per_test(self.sessions_with_flag, self.target_groups)
+        return self._stage(kpis.users_per_test(self.sessions_with_flag, self.target_groups), "users_per_test")
 
     @cached_property
     def kpis_per_user(self) -> DataFrame:
-        return self._stage_output(kpis.kpis_per_user(self.users_per_test, self.clean_orders), "kpis_per_user")
+        return self._stage(kpis.kpis_per_user(self.users_per_test, self.clean_orders), "kpis_per_user")
 
     @cached_property
     def treatment_order_share(self) -> DataFrame:
-        return self._stage_output(kpis.treatment_order_share(self.clean_orders, self.cfg), "treatment_order_share")
+        return self._stage(kpis.treatment_order_share(self.clean_orders, self.cfg), "treatment_order_share")
 
     # ---- significance -------------------------------------------------------
     @cached_property
@@ -165,10 +165,15 @@ class ExperimentPipeline:
     def mann_whitney(self) -> DataFrame:
         return stats.mann_whitney(self.gated_kpis_exp, "profit_per_user", self.cfg)
 
+    @cached_property
+    def kpi_histogram(self) -> DataFrame:
+        """The statistics' only pass over the KPI table."""
+        return self._stage(stats.kpi_histogram(self.gated_kpis_exp), "kpi_histogram")
+
     @cached_property
     def significance_both(self) -> DataFrame:
-        """exp and ts statistics in one pass over the gated KPI table."""
-        return stats.significance_both(self.gated_kpis_exp, self.cfg)
+        """exp and ts statistics."""
+        return stats.significance_both(self.kpi_histogram, self.cfg)
 
     @cached_property
     def significance_exp(self) -> DataFrame:
@@ -180,9 +185,7 @@ class ExperimentPipeline:
 
     @cached_property
     def significance_combined(self) -> DataFrame:
-        # The result table of the study (uploaded there, checkpointed here):
-        # every question below reads it.
-        return self._stage_output(stats.combine(self.significance_both, self.treatment_order_share, self.cfg),
+        return self._stage(stats.combine(self.significance_both, self.treatment_order_share, self.cfg),
                                   "significance_combined")
 
     # ---- questions on the result ----------------------------------------------
@@ -194,23 +197,13 @@ class ExperimentPipeline:
         return getattr(questions, name)(self)
 
     # ---- sinks ---------------------------------------------------------------
-    STAGE_TABLES = (
-        "valid_experiments", "target_groups", "experiment_zones", "variant_schemes", "variant_scheme_concat",
-        "zone_geography", "experiment_orders", "order_profit", "clean_orders", "experiment_sessions_stg",
-        "experiment_sessions", "session_treatment_flag", "sessions_with_flag", "users_per_test", "kpis_per_user",
-        "treatment_order_share", "significance_combined",
-    )
-
-    def write(self, path: str, tables: tuple[str, ...] | None = None, mode: str = "overwrite") -> None:
-        """Write the stage tables (the study's persisted tables) as parquet under ``path``.
+    def write(self, tables: tuple[str, ...] | None = None) -> None:
+        """Compute the stage tables (the study's persisted tables) into ``out``, each once, in order.
 
-        Each table goes to its own folder and replaces what was there (the
-        study's CREATE OR REPLACE / WRITE_TRUNCATE).  Session-grain tables are
-        partitioned by ``created_date`` so date filters prune files on read.
+        Each goes to its own folder and replaces what was there (the study's
+        CREATE OR REPLACE / WRITE_TRUNCATE).
         """
+        if self.out is None or not self.stage:
+            raise ValueError("give the pipeline a folder: ExperimentPipeline(..., out=...)")
         for name in tables or self.STAGE_TABLES:
-            df = getattr(self, "session_events_stg" if name == "experiment_sessions_stg" else name)
-            w = df.write.mode(mode)
-            if "created_date" in df.columns and name.startswith(("experiment_sessions", "sessions_with")):
-                w = w.partitionBy("created_date")
-            w.parquet(f"{path.rstrip('/')}/{name}")
+            getattr(self, name)

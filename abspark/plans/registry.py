@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abspark.config import FIXTURE_CONFIG, PipelineConfig
-from abspark.functions.columns import ring_wkt
+from abspark.functions.columns import rings_wkt
 from abspark.operators import orders, questions, stats
 from abspark.plans.pipeline import ExperimentPipeline
 from abspark.sources.tables import derive_from_star_schema
@@ -22,7 +22,11 @@ _CACHE: dict[tuple, ExperimentPipeline] = {}
 
 
 def pipeline(spark: SparkSession, sf_dir: str, cfg: PipelineConfig = FIXTURE_CONFIG) -> ExperimentPipeline:
-    key = (id(spark), sf_dir, cfg)
+    # A stopped session's DataFrames are of no use to the next one.
+    app = spark.sparkContext.applicationId
+    for old in [k for k in _CACHE if k[0] != app]:
+        del _CACHE[old]
+    key = (app, sf_dir, cfg)
     if key not in _CACHE:
         _CACHE[key] = ExperimentPipeline(derive_from_star_schema(spark, sf_dir), cfg)
     return _CACHE[key]
@@ -30,11 +34,13 @@ def pipeline(spark: SparkSession, sf_dir: str, cfg: PipelineConfig = FIXTURE_CON
 
 ALL_VERTICALS = PipelineConfig(start_floor=FIXTURE_CONFIG.start_floor, sub_vertical_filter=False)
 MULTI_VERTICAL = PipelineConfig(start_floor=FIXTURE_CONFIG.start_floor, multi_vertical=True)
+EXACT_SCHEME = PipelineConfig(start_floor=FIXTURE_CONFIG.start_floor, exact_scheme_match=True)
+PROFIT_FALLBACK = PipelineConfig(start_floor=FIXTURE_CONFIG.start_floor, fix_profit_fallback=True)
 
 
 def _zone_geography(p: ExperimentPipeline) -> DataFrame:
     g = p.zone_geography
-    return g.select(*[c for c in g.columns if c != "zone_shape"], ring_wkt("zone_shape").alias("zone_wkt"))
+    return g.select(*[c for c in g.columns if c != "zone_shape"], rings_wkt("zone_shape").alias("zone_wkt"))
 
 
 def _orders_in_zone(p: ExperimentPipeline) -> DataFrame:
@@ -56,8 +62,8 @@ STEPS: dict[str, tuple[PipelineConfig, Callable[[ExperimentPipeline], DataFrame]
     "order_profit": (FIXTURE_CONFIG, lambda p: p.order_profit),
     "clean_orders": (FIXTURE_CONFIG, lambda p: p.clean_orders),
     "duplicate_orders": (FIXTURE_CONFIG, lambda p: orders.duplicate_orders(p.clean_orders)),
-    "experiment_sessions_stg": (FIXTURE_CONFIG, lambda p: p.session_events_stg),
-    "experiment_sessions_stg_all_verticals": (ALL_VERTICALS, lambda p: p.session_events_stg),
+    "experiment_sessions_stg": (FIXTURE_CONFIG, lambda p: p.experiment_sessions_stg),
+    "experiment_sessions_stg_all_verticals": (ALL_VERTICALS, lambda p: p.experiment_sessions_stg),
     "experiment_sessions": (FIXTURE_CONFIG, lambda p: p.experiment_sessions),
     "session_treatment_flag": (FIXTURE_CONFIG, lambda p: p.session_treatment_flag),
     "sessions_with_flag": (FIXTURE_CONFIG, lambda p: p.sessions_with_flag),
@@ -74,6 +80,13 @@ STEPS: dict[str, tuple[PipelineConfig, Callable[[ExperimentPipeline], DataFrame]
     "mann_whitney_order_count": (FIXTURE_CONFIG, lambda p: stats.mann_whitney(
         p.gated_kpis_exp, "order_count_per_user", p.cfg)),
 }
+# The variant with the vertical-type filter off, and the options, to the end.
+for _name in ("experiment_sessions", "clean_orders", "kpis_per_user", "treatment_order_share", "significance_combined"):
+    STEPS[f"{_name}_all_verticals"] = (ALL_VERTICALS, lambda p, n=_name: getattr(p, n))
+for _name in ("order_profit", "experiment_sessions", "kpis_per_user"):
+    STEPS[f"{_name}_multi_vertical"] = (MULTI_VERTICAL, lambda p, n=_name: getattr(p, n))
+STEPS["clean_orders_exact_scheme"] = (EXACT_SCHEME, lambda p: p.clean_orders)
+STEPS["order_profit_fee_fallback"] = (PROFIT_FALLBACK, lambda p: p.order_profit)
 for _name in ("overview_stats", "tests_per_entity", "tests_per_entity_vertical", "ts_exp_comparison",
               "direction_agreement", "significance_agreement", "records_in_treatment",
               "records_in_treatment_summary", "records_in_treatment_bins", "treatment_share_summary",

@@ -3,15 +3,15 @@
     python -m abspark.plans.run --sources PATH --out PATH [--all-verticals] [--start-floor 2021-01-01]
     python -m abspark.plans.run --star-schema DIR --out PATH      # derive the sources first (test data)
 
-Writes every stage table (the study's persisted tables) and one folder per
-question under ``--out``.  The Spark session is the one spark-submit gives
-(its checkpoint dir is used for the stage checkpoints).
+Writes every stage table (the study's persisted tables, each computed once)
+and one folder per question under ``--out``/<variant>.  Sources and out are
+any paths Spark reads and writes; the session is the one spark-submit gives,
+with its ``spark.checkpoint.dir`` for what only this run reads.
 """
 
 from __future__ import annotations
 
 import argparse
-import os
 from dataclasses import replace
 
 from pyspark.sql import SparkSession
@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 from abspark.config import FIXTURE_CONFIG, PipelineConfig
 from abspark.operators import questions
 from abspark.plans.pipeline import ExperimentPipeline
-from abspark.sources.tables import derive_from_star_schema, from_parquet_dir
+from abspark.sources.tables import derive_from_star_schema, from_catalog, from_parquet_dir
 
 QUESTIONS = ("overview_stats", "tests_per_entity", "tests_per_entity_vertical", "ts_exp_comparison",
              "direction_agreement", "significance_agreement", "records_in_treatment",
@@ -27,38 +27,47 @@ QUESTIONS = ("overview_stats", "tests_per_entity", "tests_per_entity_vertical",
              "treatment_share_bins", "significance_by_length", "significance_by_share")
 
 
+def variant_folder(out: str, cfg: PipelineConfig) -> str:
+    """The study's two variants write to folders of their own."""
+    return f"{out.rstrip('/')}/{'with' if cfg.sub_vertical_filter else 'without'}_sub_vertical_filter"
+
+
 def run(spark: SparkSession, out: str, sources: str | None = None, star_schema: str | None = None,
-        cfg: PipelineConfig | None = None) -> ExperimentPipeline:
-    if (sources is None) == (star_schema is None):
-        raise ValueError("give exactly one of sources / star_schema")
-    if sources is not None:
-        src = from_parquet_dir(spark, sources)
-        cfg = cfg or PipelineConfig()
-    else:
+        cfg: PipelineConfig | None = None, database: str | None = None) -> ExperimentPipeline:
+    """Write the stage tables and question tables of one variant under ``variant_folder(out, cfg)``."""
+    if sum(x is not None for x in (sources, star_schema, database)) != 1:
+        raise ValueError("give exactly one of sources / star_schema / database")
+    # Dates are taken from timestamps: the study's warehouse works in UTC.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if star_schema is not None:
         src = derive_from_star_schema(spark, star_schema)
-        cfg = cfg or FIXTURE_CONFIG
-    p = ExperimentPipeline(src, cfg)
-    p.write(os.path.join(out, "tables"))
+    else:
+        src = from_parquet_dir(spark, sources) if sources is not None else from_catalog(spark, database)
+    cfg = cfg or (FIXTURE_CONFIG if star_schema is not None else PipelineConfig())
+    folder = variant_folder(out, cfg)
+    p = ExperimentPipeline(src, cfg, out=f"{folder}/tables")
+    p.write()
     for q in QUESTIONS:
-        getattr(questions, q)(p).write.mode("overwrite").parquet(os.path.join(out, "questions", q))
+        questions.presented(q, p.question(q)).write.mode("overwrite").parquet(f"{folder}/questions/{q}")
     return p
 
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--sources", help="folder of source tables (one parquet folder per source)")
+    ap.add_argument("--database", help="catalog database of the source tables")
     ap.add_argument("--star-schema", help="folder of the star-schema test tables to derive the sources from")
     ap.add_argument("--out", required=True)
     ap.add_argument("--all-verticals", action="store_true", help="turn the vertical-type filter off")
     ap.add_argument("--start-floor", help="first test start date / fact date (default 2021-01-01)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("abspark").getOrCreate()
-    cfg = PipelineConfig() if args.sources else FIXTURE_CONFIG
+    cfg = FIXTURE_CONFIG if args.star_schema else PipelineConfig()
     if args.all_verticals:
         cfg = replace(cfg, sub_vertical_filter=False)
     if args.start_floor:
         cfg = replace(cfg, start_floor=args.start_floor)
-    run(spark, args.out, args.sources, args.star_schema, cfg)
+    run(spark, args.out, args.sources, args.star_schema, cfg, args.database)
 
 
 if __name__ == "__main__":

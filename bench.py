@@ -18,16 +18,11 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from abspark.config import FIXTURE_CONFIG  # noqa: E402
-from abspark.operators import questions  # noqa: E402
 from abspark.plans.pipeline import ExperimentPipeline  # noqa: E402
+from abspark.plans.run import QUESTIONS  # noqa: E402
 from abspark.session import local_session  # noqa: E402
 from abspark.sources.tables import derive_from_star_schema, from_parquet_dir, write_sources  # noqa: E402
 
-QUESTIONS = ("overview_stats", "tests_per_entity", "ts_exp_comparison", "direction_agreement",
-             "significance_agreement", "records_in_treatment", "records_in_treatment_bins",
-             "treatment_share_summary", "treatment_share_bins", "significance_by_length", "significance_by_share")
-
-
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -60,13 +55,15 @@ def main() -> None:
         times[name] = time.time() - t
     t = time.time()
     for q in QUESTIONS:
-        run(getattr(questions, q)(p))
+        run(p.question(q))
     times["questions"] = time.time() - t
 
-    pipeline_total = sum(v for k, v in times.items() if k != "sources")
+    # Everything counts: deriving and writing the sources, the jobs that size
+    # broadcast sides (they run while a stage is built), all thirteen questions.
+    total = sum(times.values())
     print(json.dumps({
         "metric": "experiment_pipeline_end_to_end",
-        "value": round(pipeline_total, 3),
+        "value": round(total, 3),
         "unit": "sec",
         "queries": {k: round(v, 3) for k, v in times.items()},
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),

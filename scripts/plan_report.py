@@ -60,16 +60,15 @@ def main():
     spark.conf.set("spark.sql.maxMetadataStringLength", "400")
     path = tempfile.mkdtemp(prefix="abspark-plans-")
     write_sources(derive_from_star_schema(spark, sf_dir), path)
-    p = ExperimentPipeline(from_parquet_dir(spark, path), FIXTURE_CONFIG, checkpoint_stage_outputs=False)
+    p = ExperimentPipeline(from_parquet_dir(spark, path), FIXTURE_CONFIG, stage=False)
     mode = "automatic broadcasts off" if "--no-auto-broadcast" in sys.argv else "default broadcasts"
     print(f"# Plan report ({os.path.basename(sf_dir)}, AQE final plans, {mode})\n")
-    print("Small setup dimensions are persisted (counted once, as `InMemoryTableScan`, not again below it).")
     print("Stage tables are not cut here, so each stage shows the whole plan that produces it; in a run,")
     print("clean orders / KPI table / share gate / result are parquet tables that later stages scan.\n")
     for stage in ("target_groups", "experiment_orders", "clean_orders", "experiment_sessions", "sessions_with_flag",
-                  "kpis_per_user", "significance_both"):
+                  "kpis_per_user", "kpi_histogram", "significance_both"):
         df = getattr(p, stage)
-        df.collect()
+        df.write.format("noop").mode("overwrite").save()
         # AQE prints its final plan and then its initial plan: keep the final one
         plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         counts = collections.Counter(re.findall(NODES, _own_nodes(plan)))

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from abspark.config import PipelineConfig
 from abspark.operators import kpis, relational, sessions, setups
-from abspark.sources.tables import setup_vendors_from_arrays
 
 CFG = PipelineConfig(start_floor="2021-01-01")
 SETUP_SCHEMA = (
@@ -38,7 +37,7 @@ def test_valid_experiments_filters(spark):
         _setup(11, 101, 1, "Control", ["v1"], ["Restaurant"], start=dt.datetime(2022, 1, 1, 23, 0), days=7),
     ]
     df = spark.createDataFrame(rows, SETUP_SCHEMA)
-    got = sorted(r.test_id for r in setups.valid_experiments(df, setup_vendors_from_arrays(df), CFG).collect())
+    got = sorted(r.test_id for r in setups.valid_experiments(df, CFG).collect())
     assert got == [1, 11]
 
 
@@ -51,14 +50,13 @@ def test_target_group_first_row_and_rank(spark):
     vendors = spark.createDataFrame([("E1", "v1", "restaurants"), ("E1", "v3", "groceries")],
                                     "global_entity_id string, vendor_id string, vertical_type string")
     df = spark.createDataFrame(rows, SETUP_SCHEMA)
-    sv = setup_vendors_from_arrays(df)
-    got = {r.vendor_code: r for r in setups.target_groups(df, sv, vendors, CFG).collect()}
+    got = {r.vendor_code: r for r in setups.target_groups(df, vendors, CFG).collect()}
     assert {k: v.tg_name for k, v in got.items()} == {"v1": "TG1", "v2": "TG1", "v3": "TG2"}
     assert got["v1"].parent_vertical_concat == "Restaurant"
     assert (got["v1"].first_parent_vertical, got["v1"].second_parent_vertical) == ("restaurant", None)
     assert got["v1"].vertical_type == "restaurants" and got["v2"].vertical_type is None
     multi = {r.vendor_code: r for r in setups.target_groups(
-        df, sv, vendors, PipelineConfig(start_floor="2021-01-01", multi_vertical=True)).collect()}
+        df, vendors, PipelineConfig(start_floor="2021-01-01", multi_vertical=True)).collect()}
     assert multi["v1"].parent_vertical_concat == "Restaurant, shop"
     assert (multi["v1"].first_parent_vertical, multi["v1"].second_parent_vertical) == ("restaurant", "shop")
 
@@ -150,30 +148,82 @@ def test_left_join_spread_null_keys_equals_left_join(spark):
     assert got.columns == want.columns
 
 
-def test_left_join_spread_null_keys_with_residual(spark):
-    from collections import Counter
-    left = spark.createDataFrame([(1, "a", 10), (1, "b", 11), (None, "a", 12), (2, None, 13)],
-                                 "k int, c string, v int")
-    right = spark.createDataFrame([(1, "a", 1.0), (1, "x", 2.0), (2, None, 3.0)], "rk int, rc string, x double")
-    got = relational.left_join_spread_null_keys(left, right, [("k", "rk")], residual=[("c", "rc")])
-    want = left.join(right, (left.k == right.rk) & (left.c == right.rc), "left")
-    assert Counter(tuple(r) for r in got.collect()) == Counter(tuple(r) for r in want.collect())
+def test_null_key_salt_is_in_the_exchange(spark):
+    left = spark.range(1000).selectExpr("if(id % 3 = 0, null, id) as k", "id as v")
+    right = spark.range(1000).selectExpr("id as r", "id * 2 as x")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = relational.left_join_spread_null_keys(left, right, [("k", "r")], spread_by=["v"])
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 2 and all("__null_salt" in line for line in exchanges), plan
+    assert joined.where("x is not null").count() == 666
+
+
+def _pairs(spark, setup_rows, cfg=CFG):
+    vendors = spark.createDataFrame([], "global_entity_id string, vendor_id string, vertical_type string")
+    df = spark.createDataFrame(setup_rows, SETUP_SCHEMA)
+    return df, {r.vendor_code: (r.vendor_group_id, r.tg_name) for r in setups.target_groups(df, vendors, cfg).collect()}
+
+
+def test_setup_rows_that_share_a_key_keep_their_own_vendors(spark):
+    _, got = _pairs(spark, [_setup(1, 101, 1, "Control", ["v1"], ["shop"]), _setup(1, 102, 1, "Control", ["v2"], ["shop"])])
+    assert got == {"v1": (101, "TG1"), "v2": (102, "TG2")}
+
+
+def test_scheduled_twin_does_not_leak_its_vendor(spark):
+    _, got = _pairs(spark, [_setup(1, 101, 1, "Control", ["v1"], ["shop"]),
+                            _setup(1, 101, 1, "Control", ["v9"], ["shop"], schedule=3)])
+    assert set(got) == {"v1"}
 
 
-def test_broadcast_if_small_respects_the_bound(spark):
+def test_twin_without_vendors_emits_nothing(spark):
+    twin = list(_setup(1, 101, 1, "Control", [], ["shop"]))
+    twin[13], twin[16] = 99, [7]
+    df, _ = _pairs(spark, [_setup(1, 101, 1, "Control", ["v1"], ["shop"]), tuple(twin)])
+    assert {r.price_scheme_id for r in setups.variant_schemes(df, CFG).collect()} == {10}
+    assert {r.zone_id for r in setups.experiment_zones(df, CFG).collect()} == {1, 2}
+
+
+def test_null_vendor_group_is_ranked_first(spark):
+    for cfg in (CFG, PipelineConfig(start_floor="2021-01-01", multi_vertical=True)):
+        _, got = _pairs(spark, [_setup(1, None, 1, "Control", ["v1", "v2"], ["shop"]),
+                                _setup(1, 102, 2, "Control", ["v2", "v3"], ["shop"])], cfg)
+        assert got == {"v1": (None, "TG1"), "v2": (None, "TG1"), "v3": (102, "TG2")}
+
+
+def test_broadcast_if_small_measures_bytes(spark):
     df = spark.range(10)
-    small = relational.broadcast_if_small(df, max_rows=10)
-    big = relational.broadcast_if_small(df, max_rows=9)
+    small = relational.broadcast_if_small(df, max_bytes=1000)
+    wide = df.selectExpr("id", "repeat('x', 200) as ring")
+    assert relational.measured_bytes(wide) > 2000
     probe = spark.range(100).withColumnRenamed("id", "k")
-    plan_small = probe.join(small, probe.k == small.id)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan_small or "BroadcastExchange" in plan_small
-    assert sorted(r.id for r in big.collect()) == list(range(10))  # same rows, no hint
+    hinted = lambda side: "ResolvedHint" in probe.join(side, probe.k == side.id)._jdf.queryExecution().analyzed().toString()
+    assert hinted(small) and not hinted(relational.broadcast_if_small(wide, max_bytes=1000))
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
 
 
-def test_scale_conf_sizes_partitions():
-    from abspark.session import scale_conf
+def test_scale_conf_bounds_the_shuffle_partitions():
+    from abspark.session import MAX_SHUFFLE_PARTITIONS, scale_conf
 
-    conf = scale_conf(100 * 2 ** 40)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2 ** 40 // (256 << 20)
-    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    conf = scale_conf(2 * 2 ** 40)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 2 * 2 ** 40 // (256 << 20)
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true" and conf["spark.sql.session.timeZone"] == "UTC"
     assert int(scale_conf(1 << 20)["spark.sql.shuffle.partitions"]) == 200
+    assert int(scale_conf(100 * 2 ** 40)["spark.sql.shuffle.partitions"]) == MAX_SHUFFLE_PARTITIONS
+
+
+def test_records_in_treatment_counts_null_ids_and_keeps_null_flags(spark):
+    from types import SimpleNamespace
+
+    from abspark.operators import questions
+
+    rows = [("E", "t1", None, "Y"), ("E", "t1", "u1", "N"), ("E", "t1", "u2", None), ("E", "t2", "u3", None)]
+    kpi = spark.createDataFrame(rows, "entity_id string, test_name string, perseus_client_id string, session_in_treatment_flag string")
+    got = {r.test_name: (r.n_n, r.n_unknown, r.n_y, r.perc_in_treatment)
+           for r in questions.records_in_treatment(SimpleNamespace(gated_kpis_exp=kpi)).collect()}
+    assert got == {"t1": (1, None, 1, 0.5), "t2": (None, None, None, 1.0)}

@@ -10,7 +10,9 @@ from scripts.check_oracle import rows_of
 
 SF = "/root/testdata/sf0.001"
 KEYS = ["target_groups", "zone_geography", "orders_in_zone", "clean_orders", "experiment_sessions",
-        "kpis_per_user", "significance_combined", "significance_by_length", "records_in_treatment_bins"]
+        "kpis_per_user", "significance_combined", "significance_by_length", "records_in_treatment_bins",
+        "clean_orders_exact_scheme", "order_profit_fee_fallback", "kpis_per_user_all_verticals",
+        "order_profit_multi_vertical"]
 
 
 @pytest.fixture(scope="module")
@@ -32,4 +34,6 @@ def test_matches_oracle(spark, con, key):
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
-    assert df.count() >= 0 and "profit_per_user_p_val" in df.columns
+    rows = df.collect()
+    assert rows and {r.granularity for r in rows} == {"exp", "ts"}
+    assert all(0 <= r.profit_per_user_p_val <= 1 for r in rows if r.profit_per_user_p_val is not None)

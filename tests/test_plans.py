@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 def pipe(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("sources"))
     write_sources(derive_from_star_schema(spark, SF), path)
-    return ExperimentPipeline(from_parquet_dir(spark, path), FIXTURE_CONFIG, checkpoint_stage_outputs=False)
+    return ExperimentPipeline(from_parquet_dir(spark, path), FIXTURE_CONFIG, stage=False)
 
 
 def _plan(df) -> str:
@@ -41,3 +41,24 @@ def test_rank_test_has_no_python_on_the_data_path(pipe):
     # (both KPIs and both granularities are tested in one stacked pass)
     assert plan.count("ArrowEvalPython") >= 1
     assert "BatchEvalPython" not in plan
+
+
+def test_no_shuffle_of_a_fact_carries_a_polygon(pipe):
+    from abspark.operators import orders
+
+    plan = orders.experiment_orders(
+        pipe.src, pipe.target_groups, pipe.variant_schemes, pipe.variant_scheme_concat, pipe.zone_geography,
+        pipe.experiment_zones, pipe.delivery_costs, pipe.cfg)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line and "platform_order_code" in line or "__null_salt" in line:
+            below = lines[i + 1] if i + 1 < len(lines) else ""
+            assert "zone_shape" not in line and "zone_shape" not in below.split("Filter")[0], below
+
+
+def test_statistics_scan_the_kpi_table_once(pipe):
+    from abspark.operators import stats
+
+    plan = _plan(stats.kpi_histogram(pipe.gated_kpis_exp))
+    assert plan.count("orders_sessions") == _plan(pipe.kpis_per_user).count("orders_sessions") + _plan(
+        pipe.treatment_order_share).count("orders_sessions")
