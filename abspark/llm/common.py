@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -76,3 +76,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+_MEMO: dict[tuple, object] = {}
+
+
+def process_memo(key: tuple, make: Callable[[], object]):
+    """What ``make`` gives, kept for the worker process's next tasks of the same kind; another kind takes its place."""
+    if key not in _MEMO:
+        _MEMO.clear()  # before the new one is made: one operator's memory at a time
+        _MEMO[key] = make()
+    return _MEMO[key]

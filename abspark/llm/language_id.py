@@ -30,17 +30,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abspark.llm.chunks import Chunks, lossless
-from abspark.llm.common import bounded_batches
-from abspark.llm.lattice import Edges, Lattice, lattice
+from abspark.llm.common import bounded_batches, process_memo
+from abspark.llm.lattice import Edges, Lattice
 
 UNKNOWN = "und"
 FOLDS = 5
 POWER = 1.0
 SMOOTHING = 0.05
 MIN_SCORE = 0.5
-FLUSH_WORDS = 250_000
+FLUSH_WORDS = 150_000
 WORD_BLOCK = 16_384
-MEMO_WORDS = 400_000
+MEMO_WORDS = 300_000
 
 
 def held_out(doc_id: Column, folds: int = FOLDS, fold: int = 0) -> Column:
@@ -62,14 +62,9 @@ class LanguageModel:
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
-_SCORERS: dict[str, _Scorer] = {}  # the worker process's last model: its tasks follow each other and share the memo
-
-
 def _scorer(model: LanguageModel) -> _Scorer:
-    if model.name not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[model.name] = _Scorer(model)
-    return _SCORERS[model.name]
+    """The worker process's own: its tasks follow each other and share the memo."""
+    return process_memo(("language", model.name), lambda: _Scorer(model))
 
 
 class _Expected:
@@ -125,7 +120,8 @@ def train(docs: DataFrame, path: str | None = None, power: float = POWER, smooth
         return LanguageModel([], np.zeros(0), np.zeros((0, 0)), path)
 
     def expected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = _Expected(lattice(path), len(langs), power)
+        lattice = process_memo(("lattice", path), lambda: Lattice(path))
+        sums = _Expected(lattice, len(langs), power)
         for batch in batches:
             lang = pc.index_in(batch.column(1), pa.array(langs, batch.column(1).type)).to_numpy(zero_copy_only=False)
             sums.add(_cut(batch.column(0)), lang.astype(np.int64))
@@ -136,7 +132,7 @@ def train(docs: DataFrame, path: str | None = None, power: float = POWER, smooth
 
     parts = rows.mapInArrow(expected, "lang int, piece int, n double")
     table = parts.groupBy("lang", "piece").agg(F.sum("n").alias("n"))
-    size = lattice(path).size
+    size = Lattice(path).size
     sums = np.zeros((size, len(langs)))
     for r in table.toLocalIterator():  # at most vocabulary x languages rows
         sums[r.piece, r.lang] = r.n
@@ -149,7 +145,7 @@ class _Scorer:
     """Log probability under every language of the words met; the first ``MEMO_WORDS`` are kept."""
 
     def __init__(self, model: LanguageModel):
-        self.model, self.lattice = model, lattice(model.path)
+        self.model, self.lattice = model, Lattice(model.path)
         self.words: dict[str, int] = {}
         self.known = np.zeros((0, len(model.langs)))
 

@@ -12,7 +12,6 @@ piece is one edge for its UTF-8 byte pieces (byte fallback).
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 
@@ -74,12 +73,6 @@ class Edges:
             sums[to[first]] = np.logaddexp.reduceat(sums[source[a:b]] + logw[a:b], first, axis=0)
 
 
-@lru_cache(maxsize=1)
-def lattice(path: str | None = None) -> Lattice:
-    """The worker process's own: its tasks follow each other and share it."""
-    return Lattice(path)
-
-
 class Lattice:
     def __init__(self, path: str | None = None):
         import sentencepiece

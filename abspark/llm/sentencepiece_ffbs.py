@@ -24,7 +24,6 @@ table gives an empty table; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from abspark.llm.chunks import lossless
-from abspark.llm.common import bounded_batches, mix64
+from abspark.llm.common import bounded_batches, mix64, process_memo
 from abspark.llm.lattice import Lattice
-from abspark.llm.lattice import lattice as shared_lattice
 
 SEED = 17
 POWER = 1.0
@@ -50,7 +48,7 @@ class Sampler:
     """Cumulated backward probabilities of words: the first ``memo`` stay, those of a batch beyond them go after it."""
 
     def __init__(self, path: str | None = None, power: float = POWER, memo: int = MEMO_WORDS):
-        self.lattice, self.memo = shared_lattice(path), memo
+        self.lattice, self.memo = Lattice(path), memo
         self.logp, self.byte_logp = self.lattice.rank_weights(power)
         self.words: dict[str, int] = {}
         self.last = np.zeros(0, np.int32)  # a word's last node
@@ -151,10 +149,9 @@ class Sampler:
         return pieces, begin, scores
 
 
-@lru_cache(maxsize=1)
 def _sampler(path: str | None, power: float) -> Sampler:
     """The worker process's own: its tasks follow each other and share the memo."""
-    return Sampler(path, power)
+    return process_memo(("sampler", path, power), lambda: Sampler(path, power))
 
 
 def encode(docs: DataFrame, seed: int = SEED, power: float = POWER, model: str | None = None, decoded: bool = False) -> DataFrame:
@@ -194,7 +191,7 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
 
     @F.arrow_udf("string")
     def text_of(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        lattice = shared_lattice(model)
+        lattice = process_memo(("lattice", model), lambda: Lattice(model))
         for ids in columns:
             if isinstance(ids, pa.ChunkedArray):
                 ids = ids.combine_chunks()

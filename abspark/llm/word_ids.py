@@ -9,23 +9,22 @@ of at most ``MEMO`` chunks each: its memory does not grow with the corpus.
 from __future__ import annotations
 
 import os
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 from abspark.llm.chunks import spaced
+from abspark.llm.common import process_memo
 
 MEMO = 500_000
 LONG_CHUNK = 200
 _STOPS = ".,;:!?"
 
 
-@lru_cache(maxsize=1)
 def word_ids(path: str | None = None) -> WordIds:
     """The worker process's own: its tasks follow each other and share the memo."""
-    return WordIds(path)
+    return process_memo(("word ids", path), lambda: WordIds(path))
 
 
 class WordIds:
