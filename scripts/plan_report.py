@@ -7,8 +7,8 @@ pipeline's own size-checked hints remain: the plan shape a cluster run on
 big inputs gets.
 
 For each stage: shuffles, join strategies, windows, Python nodes, and the
-filters pushed into the order / session scans.  Sources are written to
-parquet first so that scans and pushdown look as they would on a cluster.
+filters pushed into the scans of the facts.  Sources are written to parquet
+first so that scans and pushdown look as they would on a cluster.
 """
 
 from __future__ import annotations
@@ -31,23 +31,25 @@ NODES = r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJ
         r"BatchEvalPython|InMemoryTableScan)"
 
 
-def _own_nodes(plan: str) -> str:
-    """Plan text without the subtrees of cached relations (they ran once, when cached)."""
-    keep, skip_col, first_cached_seen = [], None, False
-    for line in plan.splitlines():
-        m = re.search(r"[A-Za-z*(]", line)
-        col = m.start() if m else 0
-        if skip_col is not None and col > skip_col:
-            continue
-        skip_col = None
-        keep.append(line)
-        if "InMemoryTableScan" in line:
-            # the stage's own cached result (the first one, at the top) is expanded;
-            # cached inputs below it are counted once, without their subtree
-            if first_cached_seen or len(keep) > 6:
-                skip_col = col
-            first_cached_seen = True
-    return "\n".join(keep)
+REPORTED = ("target_groups", "experiment_orders", "order_profit", "clean_orders", "experiment_sessions_stg",
+            "experiment_sessions", "sessions_with_flag", "kpis_per_user", "treatment_order_share", "kpi_histogram",
+            "significance_combined")
+
+
+class Reporting(ExperimentPipeline):
+    """Runs each stage as a pipeline with ``out`` does, and keeps its final plan."""
+
+    def __init__(self, *args, **kw):
+        super().__init__(*args, **kw)
+        self.plans: dict[str, str] = {}
+
+    def _stage(self, df, name):
+        if name in REPORTED:
+            execution = df._jdf.queryExecution()
+            execution.toRdd().count()  # rows are counted where they are; AQE settles the plan
+            # AQE prints its final plan and then its initial plan: keep the final one
+            self.plans[name] = execution.executedPlan().toString().split("== Initial Plan ==")[0]
+        return super()._stage(df, name)
 
 
 def main():
@@ -59,30 +61,24 @@ def main():
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.maxMetadataStringLength", "400")
     path = tempfile.mkdtemp(prefix="abspark-plans-")
-    write_sources(derive_from_star_schema(spark, sf_dir), path)
-    p = ExperimentPipeline(from_parquet_dir(spark, path), FIXTURE_CONFIG, stage=False)
+    write_sources(derive_from_star_schema(spark, sf_dir), f"{path}/sources")
+    p = Reporting(from_parquet_dir(spark, f"{path}/sources"), FIXTURE_CONFIG, out=f"{path}/out")
+    p.write()
     mode = "automatic broadcasts off" if "--no-auto-broadcast" in sys.argv else "default broadcasts"
     print(f"# Plan report ({os.path.basename(sf_dir)}, AQE final plans, {mode})\n")
-    print("Stage tables are not cut here, so each stage shows the whole plan that produces it; in a run,")
-    print("clean orders / KPI table / share gate / result are parquet tables that later stages scan.\n")
-    for stage in ("target_groups", "experiment_orders", "clean_orders", "experiment_sessions", "sessions_with_flag",
-                  "kpis_per_user", "kpi_histogram", "significance_both"):
-        df = getattr(p, stage)
-        df.write.format("noop").mode("overwrite").save()
-        # AQE prints its final plan and then its initial plan: keep the final one
-        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-        counts = collections.Counter(re.findall(NODES, _own_nodes(plan)))
+    print("Each stage is shown as a run with an output folder executes it: it reads the tables of earlier stages.\n")
+    for stage in REPORTED:
+        plan = p.plans[stage]
+        counts = collections.Counter(re.findall(NODES, plan))
         print(f"## {stage}\n")
         print("| node | count |\n| --- | --- |")
         for k, v in sorted(counts.items()):
             print(f"| {k} | {v} |")
-        for line in plan.splitlines():
-            if "FileScan parquet" in line and ("orders_sessions" in line or "ga_sessions" in line):
-                m = re.search(r"PushedFilters: (\[[^\]]*\]?)", line)
-                if m:
-                    print(f"\nscan {'orders_sessions' if 'orders_sessions' in line else 'ga_sessions'}: "
-                          f"`PushedFilters: {m.group(1)[:300]}`")
-                    break
+        for name in ("orders_sessions", "ga_sessions", "warehouse_orders", "courier_timings"):
+            for line in plan.splitlines():
+                if "FileScan parquet" in line and f"/{name}]" in line:
+                    m = re.search(r"PushedFilters: (\[[^\]]*\]?)", line)
+                    print(f"\nscan {name}: `PushedFilters: {m.group(1)[:300] if m else '[]'}`")
         print()
     spark.stop()
 
