@@ -171,11 +171,18 @@ def _shard(shards: int):
 
 class LineDedupIndex:
     def __init__(self, spark: SparkSession, path: str | None = None, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS,
-                 shard_keys: int = SHARD_KEYS, filter_bytes: int = FILTER_BYTES):
+                 shard_keys: int = SHARD_KEYS, filter_bytes: int = FILTER_BYTES, resume: bool = False):
+        """``resume`` goes on with the index stored at ``path`` by an earlier session."""
         self.spark, self.path = spark, path or new_folder(spark, "line-dedup")
         self.min_docs, self.min_chars = min_docs, min_chars
         self.shard_keys, self.filter_bytes = shard_keys, filter_bytes
         self.version, self.logs, self.shards = 0, [], 0
+        if resume:
+            states = spark.read.parquet(f"{self.path}/state").collect()  # a row per change
+            last = max(states, key=lambda r: r.version)
+            self.version, self.shards, self.min_docs, self.min_chars = last.version, last.shards, last.min_docs, last.min_chars
+            self.logs = sorted(r.version for r in states)
+            self.log_schema = spark.read.parquet(f"{self.path}/log/{self.version}").schema
 
     # -- stored tables -------------------------------------------------------
     def _read(self, name: str, schema: str | T.StructType) -> DataFrame:
@@ -210,10 +217,14 @@ class LineDedupIndex:
             old, gone = self.members(), doc_ids.select("doc_id").distinct()
             self._change(old.join(gone, old.doc_id.eqNullSafe(gone.doc_id), "left_semi"), -1)
 
+    def _write(self, df: DataFrame, name: str) -> None:
+        """A change that broke off before its state was written is written over by the next."""
+        df.write.mode("overwrite").parquet(f"{self.path}/{name}")
+
     def _change(self, keys: DataFrame, sign: int) -> None:
         n = self.version + 1
         rows = keys.withColumn("sign", F.lit(sign).cast("int"))
-        rows.write.parquet(f"{self.path}/log/{n}")
+        self._write(rows, f"log/{n}")
         self.log_schema = rows.schema
         delta = self._read(f"log/{n}", self.log_schema).groupBy("hi", "lo").agg(F.sum("sign").alias("d"))
         if self.version:
@@ -222,12 +233,15 @@ class LineDedupIndex:
         else:
             both = delta.withColumn("was", F.lit(0).cast("long"))
         both = both.select("hi", "lo", F.coalesce("was", F.lit(0)).alias("was"), (F.coalesce("was", F.lit(0)) + F.coalesce("d", F.lit(0))).cast("long").alias("n_docs"))
-        both.filter("n_docs > 0 or was > 0").write.parquet(f"{self.path}/moves/{n}")
+        self._write(both.filter("n_docs > 0 or was > 0"), f"moves/{n}")
         moves = self._read(f"moves/{n}", "hi long, lo long, was long, n_docs long")
-        moves.filter("n_docs > 0").select("hi", "lo", "n_docs").write.parquet(f"{self.path}/counts/{n}")
+        self._write(moves.filter("n_docs > 0").select("hi", "lo", "n_docs"), f"counts/{n}")
         had, self.version = self.filters() if self.version else None, n
         self.logs.append(n)
         self._update_filters(moves, had, n)
+        # Written last: it makes the change part of the index.
+        state = self.spark.range(1).selectExpr(f"{n} as version", f"{self.shards} as shards", f"{self.min_docs} as min_docs", f"{self.min_chars} as min_chars")
+        state.write.mode("append").parquet(f"{self.path}/state")
 
     def _update_filters(self, moves: DataFrame, had: DataFrame | None, n: int) -> None:
         frequent = self.counts().filter(F.col("n_docs") >= self.min_docs)
@@ -254,12 +268,12 @@ class LineDedupIndex:
                 return pd.DataFrame({"shard": [key[0]], "cells": [cuckoo.dump() if fits else None]})
 
             now = had.groupBy("shard").cogroup(crossed.groupBy("shard")).applyInPandas(changed, schema)
-            now.write.parquet(f"{self.path}/filters-tried/{n}")
+            self._write(now, f"filters-tried/{n}")
             now = self._read(f"filters-tried/{n}", schema)
             full = now.filter("cells is null").select("shard")
             again = self._built(frequent.withColumn("shard", _shard(self.shards)).join(full, "shard", "left_semi"))
             built = now.filter("cells is not null").unionAll(again)
-        built.write.parquet(f"{self.path}/filters/{n}")
+        self._write(built, f"filters/{n}")
 
     def _built(self, frequent: DataFrame) -> DataFrame:
         """Filters from the exact counts: a shard holds about ``shard_keys`` keys whatever the corpus size."""

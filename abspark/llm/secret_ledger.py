@@ -62,9 +62,12 @@ def _matches(text: Column, rule: Rule, group: int = 0) -> Column:
 
 
 class SecretLedger:
-    def __init__(self, spark: SparkSession, path: str | None = None, rules: tuple[Rule, ...] = RULES):
+    def __init__(self, spark: SparkSession, path: str | None = None, rules: tuple[Rule, ...] = RULES, resume: bool = False):
+        """``resume`` goes on with the ledger stored at ``path`` by an earlier session."""
         self.spark, self.path, self.rules = spark, path or new_folder(spark, "secret-ledger"), rules
         self.batches: list[int] = []
+        if resume:
+            self.batches = sorted(r.batch for r in spark.read.parquet(f"{self.path}/state").collect())  # a row per scan
 
     def scans(self) -> DataFrame:
         return self._all("scans", "blob string, rule string")
@@ -103,16 +106,18 @@ class SecretLedger:
                                   lengths(F.col(f"m{i}")).alias("m"), lengths(gaps).alias("g"), lengths(values).alias("v")))
         found = blobs.select("blob", F.array_except(F.array(*map(F.lit, names)), "done").alias("rules"),
                              F.filter(F.array(*parts), lambda p: F.size(p["m"]) > 0).alias("parts"))
-        found.write.parquet(f"{self.path}/matches/{n}")
+        found.write.mode("overwrite").parquet(f"{self.path}/matches/{n}")
         found = self.spark.read.schema(found.schema).parquet(f"{self.path}/matches/{n}")
-        found.select("blob", F.explode("rules").alias("rule")).write.parquet(f"{self.path}/scans/{n}")
+        found.select("blob", F.explode("rules").alias("rule")).write.mode("overwrite").parquet(f"{self.path}/scans/{n}")
         one = found.select("blob", F.explode("parts").alias("p")).select(
             "blob", "p.rule", "p.kind", "p.least",
             F.posexplode(F.arrays_zip(F.col("p.m"), F.slice("p.g", F.lit(1), F.size("p.m")).alias("g"), F.col("p.v"))).alias("i", "x"))
         # A text's matches of one rule, in order: at most as many as the text has characters.
         upto = "sum(x.m + x.g) over (partition by blob, rule order by i rows unbounded preceding)"
         spans = one.select("blob", "rule", "kind", "least", "x.m", "x.v", F.expr(upto).alias("end"))
-        spans.filter("v >= least").select("blob", "rule", "kind", F.expr("cast(`end` - m as long)").alias("start"), F.col("end").cast("long")).write.parquet(f"{self.path}/findings/{n}")
+        spans.filter("v >= least").select("blob", "rule", "kind", F.expr("cast(`end` - m as long)").alias("start"), F.col("end").cast("long")).write.mode("overwrite").parquet(f"{self.path}/findings/{n}")
+        # Written last: it makes the scan part of the ledger; one that broke off is written over by the next.
+        self.spark.range(1).selectExpr(f"{n} as batch").write.mode("append").parquet(f"{self.path}/state")
         self.batches.append(n)
 
     def summary(self) -> DataFrame:
