@@ -61,8 +61,7 @@ def test_only_unseen_pairs_are_scanned(spark):
     before = ledger.findings().count()
     ledger.scan(docs)
     assert (ledger.scans().count(), ledger.findings().count()) == (len(TEXTS) * len(RULES), before)
-    newer = SecretLedger(spark, ledger.path, (*RULES, Rule("word", "1", "deadbeef")))
-    newer.batches = list(ledger.batches)
+    newer = SecretLedger(spark, ledger.path, (*RULES, Rule("word", "1", "deadbeef")), resume=True)
     newer.scan(docs)
     assert newer.scans().groupBy("rule").count().filter(F.col("count") != len(TEXTS)).count() == 0
     assert newer.findings().filter("kind <> 'word'").count() == before
