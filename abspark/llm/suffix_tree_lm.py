@@ -84,15 +84,19 @@ def symbols(cut: Chunks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def grams(stream: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """The ``DEPTH`` bytes before each symbol and the symbol, in 56 bits; END marks the text's begin, zeros what is before that."""
+    """Each symbol and the ``DEPTH`` bytes before it, nearest first, in 56 bits from the top.
+
+    END marks the text's begin, zeros what is before that.  A shorter context
+    is a prefix of the number, so sorted grams are sorted at every length.
+    """
     place = np.arange(len(stream)) - np.repeat(begins[:-1], np.diff(begins))
-    out = stream.astype(np.uint64)
+    out = stream.astype(np.uint64) << np.uint64(8 * DEPTH)
     for back in range(1, DEPTH + 1):
         byte = np.zeros(len(stream), np.uint64)
         byte[back:] = stream[:-back]
         byte[place == back - 1] = END
         byte[place < back - 1] = 0
-        out |= byte << np.uint64(8 * back)
+        out |= byte << np.uint64(8 * (DEPTH - back))
     return out
 
 
@@ -162,20 +166,20 @@ class SuffixTree:
     levels: list[Level] = field(default_factory=list)  # lengths 1, 2, ...
 
     def score(self, gram: np.ndarray) -> np.ndarray:
-        """log10 probability of each gram's symbol after its context."""
+        """log10 probability of each gram's symbol after its context (quickest for sorted grams)."""
         out = np.zeros(len(gram))
         todo = np.arange(len(gram))
         for k in range(len(self.levels), 0, -1):
             level = self.levels[k - 1]
             if not len(level.contexts) or not len(todo):
                 continue
-            pair = gram[todo] & np.uint64((1 << 8 * (k + 1)) - 1)
+            pair = gram[todo] >> np.uint64(8 * (DEPTH - k))
             at, hit = _find(level.pairs, pair)
             out[todo[hit]] += level.logp[at[hit]]
             todo, pair = todo[~hit], pair[~hit]
-            at, hit = _find(level.contexts, pair >> np.uint64(8))
+            at, hit = _find(level.contexts, pair & np.uint64(_mask(k)))
             out[todo[hit]] += level.fall[at[hit]]
-        out[todo] += self.root[(gram[todo] & np.uint64(255)).astype(np.int64)]
+        out[todo] += self.root[(gram[todo] >> np.uint64(8 * DEPTH)).astype(np.int64)]
         return out
 
 
@@ -192,7 +196,7 @@ def grow(counts: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, mi
     """The tree of the summed gram counts (key, n)."""
     spark = counts.sparkSession
     folder = new_folder(spark, "suffix-tree")
-    by_byte = counts.groupBy(F.col("key").bitwiseAND(255).alias("s")).agg(F.sum("n").alias("n")).collect()  # 256 rows at most
+    by_byte = counts.groupBy(F.shiftright("key", 8 * DEPTH).alias("s")).agg(F.sum("n").alias("n")).collect()  # 256 rows at most
     total = sum(r.n for r in by_byte)
     root = np.ones(256)
     for r in by_byte:
@@ -204,9 +208,10 @@ def grow(counts: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, mi
     # Counts by level: contexts of length k with their next symbols; shorter ones are sums over the longer.
     tables, gathered = {}, counts
     for k in range(depth, 0, -1):
-        gathered = staged(gathered.groupBy(F.col("key").bitwiseAND(_mask(k + 1)).alias("key")).agg(F.sum("n").alias("n")), f"grams-{k}", folder)
-        oldest = F.shiftrightunsigned("key", 8 * k)
-        tables[k] = gathered.filter(oldest != 0).select(F.shiftrightunsigned("key", 8).alias("ctx"), F.col("key").bitwiseAND(255).alias("s"), "n")
+        shorter = F.shiftright("key", 8 * (DEPTH - depth) if k == depth else 8)
+        gathered = staged(gathered.groupBy(shorter.alias("key")).agg(F.sum("n").alias("n")), f"grams-{k}", folder)
+        oldest = F.col("key").bitwiseAND(255)
+        tables[k] = gathered.filter(oldest != 0).select(F.col("key").bitwiseAND(_mask(k)).alias("ctx"), F.shiftright("key", 8 * k).alias("s"), "n")
     tables[0] = spark.createDataFrame([(0, r.s, r.n) for r in by_byte], "ctx long, s long, n long")
     kept = None
     retained = {}
@@ -215,12 +220,12 @@ def grow(counts: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, mi
         sums = t.groupBy("ctx").agg(F.sum("n").alias("c")).filter(F.col("c") >= least)
         up = tables[k - 1].withColumnRenamed("n", "un").withColumnRenamed("ctx", "up")
         up_sums = up.groupBy("up").agg(F.sum("un").alias("uc"))
-        rows = t.join(sums, "ctx").withColumn("up", F.col("ctx").bitwiseAND(_mask(k - 1)))
+        rows = t.join(sums, "ctx").withColumn("up", F.shiftright("ctx", 8))
         rows = rows.join(up, ["up", "s"]).join(up_sums, "up")
         gain = F.sum(F.col("n") * F.log((F.col("n") / F.col("c")) / (F.col("un") / F.col("uc"))))
         tested = rows.groupBy("ctx").agg(gain.alias("gain")).filter(F.col("gain") >= min_gain).select("ctx")
         if kept is not None:
-            tested = tested.unionAll(kept.select(F.col("ctx").bitwiseAND(_mask(k)).alias("ctx"))).distinct()
+            tested = tested.unionAll(kept.select(F.shiftright("ctx", 8).alias("ctx"))).distinct()
         kept = staged(tested, f"kept-{k}", folder)
         retained[k] = kept
     # Smoothed distributions from the root down; a symbol below the share is left to the suffix.
@@ -231,18 +236,18 @@ def grow(counts: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, mi
         t = tables[k].join(retained[k], "ctx")
         state = t.groupBy("ctx").agg(F.sum("n").alias("c"), F.sum(F.when(F.col("n") >= few, F.col("n")).otherwise(0)).alias("held"), F.count_if(F.col("n") >= few).alias("d"))
         state = state.withColumn("w", F.col("d") + (F.col("c") - F.col("held")) + 1.0)
-        rows = t.filter(F.col("n") >= few).join(state, "ctx").withColumn("up", F.col("ctx").bitwiseAND(_mask(k - 1)))
+        rows = t.filter(F.col("n") >= few).join(state, "ctx").withColumn("up", F.shiftright("ctx", 8))
         up = sub.select(F.col("ctx").alias("up"), "s", F.col("p").alias("q"))
         rows = rows.join(up, ["up", "s"]).select("ctx", "s", ((F.col("n") + F.col("w") * F.col("q")) / (F.col("held") + F.col("w"))).alias("p"))
         sub = staged(rows, f"level-{k}", folder)
         falls = state.select("ctx", F.log10(F.col("w") / (F.col("held") + F.col("w"))).alias("fall"))
-        tree.levels.append(_level(falls, sub))
+        tree.levels.append(_level(falls, sub, k))
     return tree
 
 
-def _level(falls: DataFrame, pairs: DataFrame) -> Level:
+def _level(falls: DataFrame, pairs: DataFrame, k: int) -> Level:
     """Bring one level to the driver: at most 1 / MIN_SHARE contexts and 8 / MIN_SHARE pairs by the share test."""
-    f, p = falls.toArrow(), pairs.select(F.shiftleft("ctx", 8).bitwiseOR(F.col("s")).alias("key"), F.log10("p").alias("logp")).toArrow()
+    f, p = falls.toArrow(), pairs.select(F.shiftleft("s", 8 * k).bitwiseOR(F.col("ctx")).alias("key"), F.log10("p").alias("logp")).toArrow()
     ctx, fall = f["ctx"].to_numpy().view(np.uint64), f["fall"].to_numpy()
     key, logp = p["key"].to_numpy().view(np.uint64), p["logp"].to_numpy()
     a, b = np.argsort(ctx), np.argsort(key)
