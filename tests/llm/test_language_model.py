@@ -23,7 +23,7 @@ def test_symbols_and_grams():
     assert bytes(stream) == b"ab c \n\n\nx \n"
     assert begins.tolist() == [0, 6, 7, 8, 11] and tokens.tolist() == [0, 3, 5, 6, 7, 8, 10, 11]
     got = lm.grams(stream, begins)
-    assert [int(x) for x in got[:3]] == [0x0A61, 0x0A6162, 0x0A616220] and int(got[8]) == 0x0A78
+    assert [int(x) for x in got[:3]] == [0x610A << 40, 0x62610A << 32, 0x2062610A << 24] and int(got[8]) == 0x780A << 40
     stream, begins, _ = lm.symbols(ascii_words(pa.array([], pa.string())))
     assert len(stream) == 0 and len(lm.grams(stream, begins)) == 0
 
@@ -75,7 +75,7 @@ def test_tree_matches_the_plain_tree(spark, texts):
     kept, p = plain_tree(texts, 4, 16, 8.0)
     assert sum(len(x.contexts) for x in tree.levels) == len(kept)
     stream, begins, _ = lm.symbols(ascii_words(pa.array(["there sted qqq", prose(5, 30)])))
-    got = tree.score(lm.grams(stream, begins) & np.uint64((1 << 40) - 1))
+    got = tree.score(lm.grams(stream, begins))
     raw = bytes(stream)
     want = []
     for i in range(len(raw)):
@@ -87,8 +87,9 @@ def test_tree_matches_the_plain_tree(spark, texts):
 def test_next_symbols_sum_to_one(spark, texts):
     docs = spark.createDataFrame([(t,) for t in texts], "text string")
     tree = lm.grow(lm.corpus_counts(docs).filter("kind = 1").groupBy("key").sum("n").toDF("key", "n"), min_share=1e-3)
-    for context in (0x0A, 0x0A7468, 0x207468206572, 0x7A7A7A):
-        grams = np.array([context << 8 | s for s in range(256)], np.uint64)
+    for context in (b"\n", b"\nth", b" th er", b"zzz"):  # in reading order; the nearest byte goes first
+        own = int.from_bytes(context[::-1].ljust(lm.DEPTH, b"\0"), "big")
+        grams = np.array([s << 8 * lm.DEPTH | own for s in range(256)], np.uint64)
         assert (10.0 ** tree.score(grams)).sum() == pytest.approx(1.0, abs=1e-4)
 
 
