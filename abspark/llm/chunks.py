@@ -31,20 +31,27 @@ def _encoded(lists: pa.LargeListArray | pa.ListArray) -> Chunks:
     return Chunks(values.dictionary.to_numpy(zero_copy_only=False).tolist(), codes, starts - starts[0])
 
 
-def _plain(texts: pa.Array) -> pa.Array:
+def plain(texts: pa.Array | pa.ChunkedArray) -> pa.Array:
+    """A large string array of its own without nulls (null: empty).
+
+    A slice of a longer array is copied: some kernels of Arrow read a widened
+    slice's bytes at the wrong place.
+    """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
+    if texts.offset:
+        return pa.array([x or "" for x in texts.to_pylist()], pa.large_string())
     return pc.fill_null(texts.cast(pa.large_string()), "")
 
 
 def spaced(texts: pa.Array) -> Chunks:
     """Split at every space and newline, which go."""
-    return _encoded(pc.split_pattern(pc.replace_substring(_plain(texts), "\n", " "), " "))
+    return _encoded(pc.split_pattern(pc.replace_substring(plain(texts), "\n", " "), " "))
 
 
 def ascii_words(texts: pa.Array) -> Chunks:
     """Words `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased."""
-    flat = pc.ascii_lower(_plain(texts))
+    flat = pc.ascii_lower(plain(texts))
     for white in "\t\n\x0b\x0c\r":
         flat = pc.replace_substring(flat, white, " ")
     got = _encoded(pc.split_pattern(flat, " "))
@@ -57,7 +64,7 @@ def ascii_words(texts: pa.Array) -> Chunks:
 
 def lossless(texts: pa.Array) -> Chunks:
     """Cut before each run of spaces and around each newline; the chunks joined are the text."""
-    flat = _plain(texts)
+    flat = plain(texts)
     odd = pc.any(pc.match_substring(flat, _MARK)).as_py()
     if odd:
         import re

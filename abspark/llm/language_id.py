@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abspark.llm.chunks import Chunks, lossless
+from abspark.llm.chunks import Chunks, lossless, plain
 from abspark.llm.common import bounded_batches, process_memo
 from abspark.llm.lattice import Edges, Lattice
 
@@ -48,7 +48,7 @@ def held_out(doc_id: Column, folds: int = FOLDS, fold: int = 0) -> Column:
 
 
 def _cut(texts: pa.Array) -> Chunks:
-    flat = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    flat = pc.utf8_lower(plain(texts))
     space = pa.scalar(" ", pa.large_string())
     return lossless(pc.binary_join_element_wise(space, flat, pa.scalar("", pa.large_string())))
 

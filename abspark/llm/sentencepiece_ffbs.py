@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from abspark.llm.chunks import lossless
+from abspark.llm.chunks import lossless, plain
 from abspark.llm.common import bounded_batches, mix64, process_memo
 from abspark.llm.lattice import Lattice
 
@@ -88,7 +88,7 @@ class Sampler:
 
     def encode(self, texts: pa.Array, keys: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, begins, log probability of the sampled pieces) of the texts, whose keys are unsigned 64-bit hashes."""
-        flat = pc.fill_null(texts.cast(pa.large_string()), "")
+        flat = plain(texts)
         # The vocabulary's words begin with a space: one goes before every text but the empty one.
         flat = pc.if_else(pc.equal(flat, ""), flat, pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), flat, pa.scalar("", pa.large_string())))
         cut = lossless(flat)

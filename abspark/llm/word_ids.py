@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from abspark.llm.chunks import spaced
+from abspark.llm.chunks import plain, spaced
 from abspark.llm.common import process_memo
 
 MEMO = 500_000
@@ -46,7 +46,7 @@ class WordIds:
 
     def _lower(self, texts: pa.Array) -> pa.Array:
         """The tokenizer lowers letters itself; lowering A-Z before leaves fewer distinct chunks."""
-        texts = texts.cast(pa.large_string())
+        texts = plain(texts)
         for token in ("<|startoftext|>", "<|endoftext|>"):  # matched as written, before any lowering
             if pc.any(pc.match_substring(texts, token, ignore_case=True)).as_py():
                 return texts
