@@ -56,6 +56,19 @@ def test_ids_are_the_tokenizers(odd_texts):
                 assert ids[begin[i] : begin[i + 1]].tolist() == plain.encode(t or "", add_special_tokens=False).ids, t
 
 
+def test_slices_of_an_array_are_read_at_their_own_place():
+    import pyarrow as pa
+
+    from abspark.llm.chunks import ascii_words, lossless, spaced
+
+    texts = [prose(i, 30, "de") + " Ü É" for i in range(40)]
+    for cut in (ascii_words, lossless, spaced):
+        a, b = cut(pa.array(texts).slice(13, 20)), cut(pa.array(texts[13:33]))
+        assert [a.words[c] for c in a.codes] == [b.words[c] for c in b.codes]
+    ids, _ = WordIds().encode(pa.array(texts).slice(13, 20))
+    assert ids.tolist() == WordIds().encode(pa.array(texts[13:33]))[0].tolist()
+
+
 def check(docs, pieces, capacity=4096):
     plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     ids = defaultdict(list)
