@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -78,6 +79,22 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers live on beside the executor's heap, whatever they run next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
+
+
+def thrifty(batches: Iterator, every: int = 4) -> Iterator:
+    for i, batch in enumerate(batches):
+        yield batch
+        if i % every == every - 1:
+            give_back()
+    give_back()
+
+
 _MEMO: dict[tuple, object] = {}
 
 
@@ -85,5 +102,6 @@ def process_memo(key: tuple, make: Callable[[], object]):
     """What ``make`` gives, kept for the worker process's next tasks of the same kind; another kind takes its place."""
     if key not in _MEMO:
         _MEMO.clear()  # before the new one is made: one operator's memory at a time
+        give_back()
         _MEMO[key] = make()
     return _MEMO[key]

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from abspark.llm.common import bounded_batches
+from abspark.llm.common import bounded_batches, thrifty
 from abspark.llm.word_ids import word_ids
 
 CAPACITY = 4096
@@ -171,7 +171,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
             used, items, waiting = used + len(filled), [], 0
             return rows(pieces)
 
-        for batch in batches:
+        for batch in thrifty(batches):
             ids = batch.column(0)
             full = []
             flat, begin = words.encode(batch.column(1))

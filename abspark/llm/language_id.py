@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abspark.llm.chunks import Chunks, lossless, plain
-from abspark.llm.common import bounded_batches, process_memo
+from abspark.llm.common import bounded_batches, thrifty, process_memo
 from abspark.llm.lattice import Edges, Lattice
 
 UNKNOWN = "und"
@@ -122,7 +122,7 @@ def train(docs: DataFrame, path: str | None = None, power: float = POWER, smooth
     def expected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = process_memo(("lattice", path), lambda: Lattice(path))
         sums = _Expected(lattice, len(langs), power)
-        for batch in batches:
+        for batch in thrifty(batches):
             lang = pc.index_in(batch.column(1), pa.array(langs, batch.column(1).type)).to_numpy(zero_copy_only=False)
             sums.add(_cut(batch.column(0)), lang.astype(np.int64))
         sums.flush()
@@ -186,7 +186,7 @@ def predict(model: LanguageModel, spark):
     @F.arrow_udf("lang_pred string, score double")
     def of(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = _scorer(sent.value) if sent.value.langs else None
-        for texts in columns:
+        for texts in thrifty(columns):
             letters = pc.fill_null(pc.match_substring_regex(texts.cast(pa.large_string()), r"\p{L}"), False).to_numpy(zero_copy_only=False)
             names, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
             if scorer and letters.any():

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from abspark.llm.chunks import lossless, plain
-from abspark.llm.common import bounded_batches, mix64, process_memo
+from abspark.llm.common import bounded_batches, thrifty, mix64, process_memo
 from abspark.llm.lattice import Lattice
 
 SEED = 17
@@ -166,7 +166,7 @@ def encode(docs: DataFrame, seed: int = SEED, power: float = POWER, model: str |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = _sampler(model, power)
-        for batch in batches:
+        for batch in thrifty(batches):
             names = batch.column(0).cast(pa.large_string()).to_pylist()
             keys = np.fromiter((xxhash.xxh64_intdigest(n or "") for n in names), np.uint64, len(names))
             texts = batch.column(1)

@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abspark.llm.chunks import Chunks, ascii_words
-from abspark.llm.common import bounded_batches, new_folder, staged
+from abspark.llm.common import bounded_batches, new_folder, staged, thrifty
 
 FOLDS, FOLD = 7, 2
 DEPTH = 6
@@ -134,7 +134,7 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen = _Counts(), _Counts()
-        for batch in batches:
+        for batch in thrifty(batches):
             cut = ascii_words(batch.column(0))
             count = np.bincount(cut.codes, minlength=len(cut.words))
             words.add(word_hashes(cut.words)[count > 0], count[count > 0])
@@ -286,7 +286,7 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top, counted, tree = sent.value
         made = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in thrifty(batches):
             cut = ascii_words(batch.column(1))
             n_texts = len(cut.starts) - 1
             stream, begins, tokens = symbols(cut)

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from abspark.llm.chunks import plain, spaced
 from abspark.llm.common import process_memo
 
-MEMO = 500_000
+MEMO = 400_000
 LONG_CHUNK = 200
 _STOPS = ".,;:!?"
 
