@@ -16,19 +16,23 @@ from abspark.config import FIXTURE_CONFIG, PipelineConfig
 from abspark.functions.columns import rings_wkt
 from abspark.operators import orders, questions, stats
 from abspark.plans.pipeline import ExperimentPipeline
-from abspark.sources.tables import derive_from_star_schema
+from abspark.sources.tables import SourceTables, derive_from_star_schema
 
 _CACHE: dict[tuple, ExperimentPipeline] = {}
+_SOURCES: dict[tuple, SourceTables] = {}
 
 
 def pipeline(spark: SparkSession, sf_dir: str, cfg: PipelineConfig = FIXTURE_CONFIG) -> ExperimentPipeline:
     # A stopped session's DataFrames are of no use to the next one.
     app = spark.sparkContext.applicationId
-    for old in [k for k in _CACHE if k[0] != app]:
-        del _CACHE[old]
+    for cache in (_CACHE, _SOURCES):
+        for old in [k for k in cache if k[0] != app]:
+            del cache[old]
+    if (app, sf_dir) not in _SOURCES:
+        _SOURCES[app, sf_dir] = derive_from_star_schema(spark, sf_dir)
     key = (app, sf_dir, cfg)
     if key not in _CACHE:
-        _CACHE[key] = ExperimentPipeline(derive_from_star_schema(spark, sf_dir), cfg)
+        _CACHE[key] = ExperimentPipeline(_SOURCES[app, sf_dir], cfg)
     return _CACHE[key]
 
 

@@ -16,11 +16,13 @@ parent record, never by the size of a table.
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from abspark.session import ensure_checkpoint_dir
 from abspark.sources import fixtures
 
 SOURCE_NAMES = (
@@ -57,12 +59,20 @@ def read_star_schema(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")) for name in fixtures.BASE_TABLES}
 
 
+# Views that several sources are made of: derived once, kept as parquet.
+SHARED_VIEWS = ("f_orders", "f_session_events", "f_sessions")
+
+
 def flat_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Run the shared fixture SQL in Spark; returns every flat view by name."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fixture-{uuid.uuid4().hex}"
     frames: dict[str, DataFrame] = read_star_schema(spark, sf_dir)
     for name, sql in fixtures.FLAT_VIEWS:
         needed = {k: v for k, v in frames.items() if "{" + k + "}" in sql}
         frames[name] = spark.sql(sql, **needed)
+        if name in SHARED_VIEWS:
+            frames[name].write.parquet(f"{folder}/{name}")
+            frames[name] = spark.read.schema(frames[name].schema).parquet(f"{folder}/{name}")
     return frames
 
 
