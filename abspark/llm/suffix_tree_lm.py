@@ -89,13 +89,14 @@ def grams(stream: np.ndarray, begins: np.ndarray) -> np.ndarray:
     END marks the text's begin, zeros what is before that.  A shorter context
     is a prefix of the number, so sorted grams are sorted at every length.
     """
-    place = np.arange(len(stream)) - np.repeat(begins[:-1], np.diff(begins))
+    size = np.diff(begins)
+    first = [begins[:-1][size > place] + place for place in range(DEPTH)]  # each text's first places
     out = stream.astype(np.uint64) << np.uint64(8 * DEPTH)
     for back in range(1, DEPTH + 1):
         byte = np.zeros(len(stream), np.uint64)
         byte[back:] = stream[:-back]
-        byte[place == back - 1] = END
-        byte[place < back - 1] = 0
+        for place in range(back):
+            byte[first[place]] = END if place == back - 1 else 0
         out |= byte << np.uint64(8 * (DEPTH - back))
     return out
 
