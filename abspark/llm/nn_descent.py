@@ -7,7 +7,9 @@
 3. NN-descent: around every class its neighbours and a bounded sample of
    reverse neighbours are joined with each other (pairs of two old neighbours
    are skipped); better pairs enter the lists.  A class whose whole list is at
-   or above the threshold is saturated: its list is enlarged to twice the size.
+   or above the threshold is saturated: its list is enlarged to twice the size,
+   up to ``LARGEST``.  No threshold link that was met is lost to a full list: the
+   starts' links and a spanning forest of those in every join are kept beside.
    Rounds go on until few lists change.
 4. Audit: a bounded sample of classes is compared with every class in blocks;
    while the share of its threshold links that lie in one component is below
@@ -44,7 +46,7 @@ from abspark.llm.vectors import matrix, packed, unit, width
 
 THRESHOLD = 0.95
 LIST = 8
-LARGEST = 4 * LIST  # of an enlarged list; the exact count within components does the rest
+LARGEST = 4 * LIST  # of an enlarged list; threshold links beyond it are kept as ties
 TABLES = 6
 NEXT = 3
 ROUNDS = 4
@@ -60,6 +62,24 @@ def _pairs(a: pa.Array, b: pa.Array, cos: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([a, b, pa.array(cos)], names=["u", "v", "cos"])
 
 
+def _forest(near: np.ndarray) -> tuple[list[int], list[int]]:
+    """Edges of a spanning forest of the symmetric ``near`` (its diagonal is not read)."""
+    left, right = [], []
+    todo = near.sum(axis=1) > near.diagonal()
+    while todo.any():
+        queue = [int(np.argmax(todo))]
+        todo[queue[0]] = False
+        for i in queue:
+            new = np.flatnonzero(near[i] & todo).tolist()
+            todo[new] = False
+            left += [i] * len(new)
+            right += new
+            queue += new
+            if not todo.any():
+                break
+    return left, right
+
+
 class NeighbourGraph:
     """Neighbour lists of ``classes`` (rep, m, dim, vec)."""
 
@@ -68,6 +88,7 @@ class NeighbourGraph:
         self.n = classes.count()
         self.id_type = classes.schema["rep"].dataType.simpleString()
         self.lists: DataFrame | None = None  # u, v, cos, fresh, room
+        self.ties: list[DataFrame] = []  # (u, v): threshold links that were met, whether or not a list has room
         self.step = 0
 
     def _staged(self, df: DataFrame, name: str) -> DataFrame:
@@ -136,7 +157,7 @@ class NeighbourGraph:
 
     def descend(self) -> int:
         """One round: join the neighbours of every class with each other."""
-        lists, kind = self.lists, self.kind
+        lists, kind, threshold = self.lists, self.kind, self.threshold
         degree = lists.groupBy("v").agg(F.count("*").alias("degree"))
         back = lists.join(degree, "v")
         # About as many reverse neighbours as the list has room for, chosen by a hash.
@@ -157,7 +178,7 @@ class NeighbourGraph:
                 for dim in np.unique(dims).tolist():
                     at = np.flatnonzero(dims == dim)
                     x[at, :dim] = unit(matrix([raw[i] for i in at], kind))
-                left, right, cosines = [], [], []
+                left, right, cosines, tie = [], [], [], []
                 for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
                     own = x[a:b]
                     cos = own @ own.T
@@ -167,21 +188,35 @@ class NeighbourGraph:
                     left.append(i + a)
                     right.append(j + a)
                     cosines.append(cos[i, j])
+                    # What connects the links met here, for lists too full to take them.
+                    i, j = (np.array(e, np.int64) for e in _forest((cos >= threshold) & (dims[a:b, None] == dims[None, a:b])))
+                    left.append(i + a)
+                    right.append(j + a)
+                    cosines.append(cos[i, j])
+                    tie += [np.zeros(len(left[-2]), bool), np.ones(len(i), bool)]
                 if left:
                     ids = flat.field(0)
-                    yield _pairs(ids.take(pa.array(np.concatenate(left))), ids.take(pa.array(np.concatenate(right))), np.concatenate(cosines))
+                    pairs = _pairs(ids.take(pa.array(np.concatenate(left))), ids.take(pa.array(np.concatenate(right))), np.concatenate(cosines))
+                    yield pairs.append_column("tie", pa.array(np.concatenate(tie)))
 
-        found = joined.select("near").mapInArrow(local, f"u {self.id_type}, v {self.id_type}, cos double")
+        found = self._staged(joined.select("near").mapInArrow(local, f"u {self.id_type}, v {self.id_type}, cos double, tie boolean"), "found")
+        self.ties.append(found.filter("tie").select("u", "v"))
+        found = found.filter("not tie")
         return self.merge(found.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.max("cos").alias("cos")))
 
     def refine(self, restart: int) -> None:
-        self.merge(self.start(restart))
+        pairs = self._staged(self.start(restart), "start")
+        self.ties.append(pairs.filter(F.col("cos") >= self.threshold).select("u", "v"))
+        self.merge(pairs)
         for _ in range(ROUNDS):
             if self.descend() <= SETTLED * self.size * self.n:
                 break
 
     def components(self) -> DataFrame:
-        return components(self.lists.filter(F.col("cos") >= self.threshold).select(F.col("u").alias("a"), F.col("v").alias("b")))
+        links = self.lists.filter(F.col("cos") >= self.threshold).select("u", "v")
+        for more in self.ties:
+            links = links.unionAll(more)
+        return components(links.toDF("a", "b"))
 
     def audit(self, roots: DataFrame, sample: int = AUDIT) -> float:
         """Share of the threshold links of a bounded sample that lie within one component."""

@@ -116,3 +116,37 @@ def test_given_table_recall(spark):
     rows = d.collect()
     ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], np.float32)
     assert check_search(ids, x, op8_permutation_index(d).collect(), 20, [i for i in ids.tolist() if i % 20 == 0]) >= 0.9
+
+
+def bridged(groups=6, size=60, dim=32, seed=0):
+    """Pairs of tight groups of distinct vectors (cosine about 0.99 inside), linked at about 0.96, the pairs far apart."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for _ in range(groups):
+        a, b = np.linalg.qr(rng.standard_normal((dim, 2)))[0].T
+        turn = np.arccos(0.962)
+        for c in (a, np.cos(turn) * a + np.sin(turn) * b):
+            rows += list(c + 0.1 / np.sqrt(dim) * rng.standard_normal((size, dim)))
+    x = np.array(rows, np.float32)
+    return rng.permutation(len(x)).astype(int), x
+
+
+def test_full_lists_lose_no_link_between_groups(spark, tmp_path):
+    """Own members fill all lists; links met between two groups still reach the components."""
+    ids, x = bridged()
+    rows = [(int(i), v.tolist(), 0) for i, v in zip(ids, x, strict=True)]
+    classes = nn.packed(spark.createDataFrame(rows, SCHEMA)).selectExpr("vec_id as rep", "dim", "vec", "1L as m").cache()
+    graph = nn.NeighbourGraph(classes, "<f4", nn.THRESHOLD, str(tmp_path))
+    # Every list is full of its own group; all links between groups come after.
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    cos, group = u @ u.T, np.arange(len(x)) // 60
+    i, j = np.nonzero((group[:, None] == group) & ~np.eye(len(x), dtype=bool))
+    pairs = lambda i, j: spark.createDataFrame(list(zip(ids[i].tolist(), ids[j].tolist(), cos[i, j].tolist(), strict=True)), "u long, v long, cos double")
+    for _ in range(3):
+        graph.merge(pairs(i, j))
+    i, j = np.nonzero((group[:, None] != group) & (cos >= nn.THRESHOLD))
+    assert len(i) and cos[i, j].max() < 0.985
+    graph.start = lambda restart: pairs(i, j)
+    graph.refine(0)
+    found = {r.node: r.root for r in graph.components().collect()}
+    assert [found[k] for k in ids.tolist()] == brute(ids, x)[1].tolist()
