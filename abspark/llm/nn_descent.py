@@ -11,9 +11,13 @@
    up to ``LARGEST``.  No threshold link that was met is lost to a full list: the
    starts' links and a spanning forest of those in every join are kept beside.
    Rounds go on until few lists change.
-4. Audit: a bounded sample of classes is compared with every class in blocks;
-   while the share of its threshold links that lie in one component is below
-   ``RECALL``, the graph gets new random starts and more rounds.
+4. Audit: classes drawn from every component, and every class of the small
+   ones, are compared with all classes in blocks until ``LINKED`` classes of
+   small components have links (or all drawn are compared).  While the share of
+   the links that lie in one component, averaged per component, is below
+   ``RECALL``, the graph gets new random starts and more rounds; if that does
+   not reach it, all classes are compared with all, in blocks.  Links that the
+   comparison meets between components join them.
 5. Edges of at least the threshold are kept (cosines are doubles throughout)
    and give the components.  What a list of any size may lack, links between
    members of one component, is counted exactly, in blocks: members within half
@@ -37,6 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +56,8 @@ TABLES = 6
 NEXT = 3
 ROUNDS = 4
 SETTLED = 0.02
-AUDIT = 256
+CHUNK = 8192
+LINKED = 200
 RECALL = 0.99
 RESTARTS = 3
 BLOCK = 512
@@ -90,6 +96,8 @@ class NeighbourGraph:
         self.lists: DataFrame | None = None  # u, v, cos, fresh, room
         self.ties: list[DataFrame] = []  # (u, v): threshold links that were met, whether or not a list has room
         self.step = 0
+        # The sign codes grow with log2(n), and so does the search.
+        self.tables, self.rounds = max(TABLES, int(np.log2(max(2, self.n))) - 6), max(ROUNDS, int(np.log2(max(2, self.n))) // 3)
 
     def _staged(self, df: DataFrame, name: str) -> DataFrame:
         self.step += 1
@@ -98,7 +106,8 @@ class NeighbourGraph:
     def start(self, restart: int) -> DataFrame:
         """Pairs (u, v, cos) next to each other in random-projection order."""
         kind, bits = self.kind, max(1, min(30, int(np.log2(max(2, self.n))) - 3))
-        first = restart * TABLES
+        tables = self.tables
+        first = restart * tables
 
         def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -107,7 +116,7 @@ class NeighbourGraph:
                 for dim in np.unique(dims).tolist():
                     at = np.flatnonzero(dims == dim)
                     x = unit(matrix([raw[i] for i in at], kind))
-                    for t in range(first, first + TABLES):
+                    for t in range(first, first + tables):
                         plane = np.random.default_rng([SEED, t, dim]).standard_normal((dim, bits + 1))
                         side = x @ plane
                         sign = ((side[:, :-1] > 0) << np.arange(bits)).sum(axis=1)
@@ -208,7 +217,7 @@ class NeighbourGraph:
         pairs = self._staged(self.start(restart), "start")
         self.ties.append(pairs.filter(F.col("cos") >= self.threshold).select("u", "v"))
         self.merge(pairs)
-        for _ in range(ROUNDS):
+        for _ in range(self.rounds):
             if self.descend() <= SETTLED * self.size * self.n:
                 break
 
@@ -218,30 +227,87 @@ class NeighbourGraph:
             links = links.unionAll(more)
         return components(links.toDF("a", "b"))
 
-    def audit(self, roots: DataFrame, sample: int = AUDIT) -> float:
-        """Share of the threshold links of a bounded sample that lie within one component."""
-        kind, threshold = self.kind, self.threshold
-        rows = self.classes.join(roots, F.col("rep") == F.col("node"), "left").select("rep", "dim", "vec", F.coalesce("root", "rep").alias("root"))
-        chosen = [(r.rep, r.dim, bytes(r.vec), r.root) for r in rows.orderBy(F.xxhash64("rep", F.lit(SEED)), "rep").limit(sample).collect()]
+    def audit(self, roots: DataFrame, whole: bool = False) -> tuple[float, DataFrame | None]:
+        """Recall of the threshold links, averaged per component, and links met between components (a, b).
 
-        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                dims, raw, root = batch.column(1).to_numpy(), batch.column(2).to_pylist(), np.array(batch.column(3).to_pylist(), object)
-                ids = np.array(batch.column(0).to_pylist(), object)
-                true = joined = 0
-                for dim in np.unique(dims).tolist():
-                    own = [c for c in chosen if c[1] == dim]
-                    at = np.flatnonzero(dims == dim)
-                    if not own:
-                        continue
-                    near = unit(matrix([raw[i] for i in at], kind)) @ unit(matrix([c[2] for c in own], kind)).T >= threshold
-                    near &= ids[at][:, None] != np.array([c[0] for c in own], object)[None, :]
-                    true += int(near.sum())
-                    joined += int((near & (root[at][:, None] == np.array([c[3] for c in own], object)[None, :])).sum())
-                yield pa.RecordBatch.from_arrays([pa.array([true]), pa.array([joined])], names=["t", "j"])
-
-        true, joined = rows.mapInArrow(count, "t long, j long").agg(F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("j"), F.lit(0))).first()
-        return joined / true if true else 1.0
+        About ``LIST`` classes of every component are drawn (all of a smaller
+        one) and compared with every class, ``CHUNK`` at a time, until ``LINKED``
+        of small components have links; ``whole`` compares all classes.
+        """
+        kind, threshold, id_type = self.kind, self.threshold, self.id_type
+        rows = self.classes.join(roots, F.col("rep") == F.col("node"), "left").select("rep", "dim", "vec", F.coalesce("root", "rep").alias("root"))
+        size = rows.groupBy(F.col("root").alias("r")).agg(F.count("*").alias("size"))
+        places = 1 << 20
+        rows = rows.join(size, F.col("root") == F.col("r")).select("rep", "dim", "vec", "root", "size", F.pmod(F.xxhash64("rep", F.lit(SEED)), F.lit(places)).alias("place"))
+        rows = self._staged(rows, "audit")
+        drawn = rows if whole else rows.filter(F.pmod(F.xxhash64("rep", F.lit(SEED + 1)), F.lit(places)) * F.col("size") < LIST * places)
+        n = drawn.count()
+        chunks = max(1, -(-n // CHUNK))
+        true, small, links = {}, 0, []
+        for at in range(chunks):
+            part = drawn.filter((F.col("place") >= at * places // chunks) & (F.col("place") < (at + 1) * places // chunks)).select("rep", "dim", "vec", "root", "size").toArrow().combine_chunks()
+            if not part.num_rows:
+                continue
+            sent = self.classes.sparkSession.sparkContext.broadcast(part)
+
+            def compare(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+                own = sent.value
+                reps, own_root = (own.column(c).combine_chunks() for c in (0, 3))
+                known = pc.unique(own_root)
+                code, own_dims, raw = pc.index_in(own_root, known).to_numpy(zero_copy_only=False), own.column(1).to_numpy(), own.column(2).to_pylist()
+                units = {dim: (np.flatnonzero(own_dims == dim), unit(matrix([raw[i] for i in np.flatnonzero(own_dims == dim)], kind))) for dim in np.unique(own_dims).tolist()}
+                t, j = np.zeros(len(raw), np.int64), np.zeros(len(raw), np.int64)
+                for batch in batches:
+                    for start in range(0, batch.num_rows, BLOCK):
+                        cut = batch.slice(start, BLOCK)
+                        dims, vecs = cut.column(1).to_numpy(), cut.column(2).to_pylist()
+                        self_at = pc.fill_null(pc.index_in(cut.column(0), reps), -1).to_numpy(zero_copy_only=False)
+                        root = pc.fill_null(pc.index_in(cut.column(3), known), -1).to_numpy(zero_copy_only=False)
+                        for dim in np.unique(dims).tolist():
+                            if dim not in units:
+                                continue
+                            here, (there, x) = np.flatnonzero(dims == dim), units[dim]
+                            left, right = np.nonzero(unit(matrix([vecs[i] for i in here], kind)) @ x.T >= threshold)
+                            left, right = here[left], there[right]
+                            other = self_at[left] != right
+                            left, right = left[other], right[other]
+                            same = root[left] == code[right]
+                            t += np.bincount(right, minlength=len(t))
+                            j += np.bincount(right[same], minlength=len(t))
+                            left, right = left[~same], right[~same]
+                            if len(left):
+                                ends = pa.table([cut.column(3).take(pa.array(left)), own_root.take(pa.array(right))], names=["a", "b"]).group_by(["a", "b"]).aggregate([]).combine_chunks()
+                                none = np.zeros(len(ends), np.int64)
+                                yield pa.RecordBatch.from_arrays([ends["a"].combine_chunks(), ends["b"].combine_chunks(), pa.array(none - 1), pa.array(none), pa.array(none)], names=["a", "b", "i", "t", "j"])
+                i = np.flatnonzero(t)
+                if len(i):
+                    none = pa.nulls(len(i), own_root.type)
+                    yield pa.RecordBatch.from_arrays([none, none, pa.array(i), pa.array(t[i]), pa.array(j[i])], names=["a", "b", "i", "t", "j"])
+
+            met = self._staged(rows.select("rep", "dim", "vec", "root").mapInArrow(compare, f"a {id_type}, b {id_type}, i long, t long, j long"), "met")
+            sums = met.filter("i >= 0").groupBy("i").agg(F.sum("t").alias("t"), F.sum("j").alias("j")).toArrow()  # CHUNK rows at most
+            sent.destroy()
+            links.append(met.filter("i < 0").select("a", "b").distinct())
+            of, sizes = part["root"].to_pylist(), part["size"].to_numpy()
+            for i, t, j in zip(*(sums[c].to_pylist() for c in ("i", "t", "j")), strict=True):
+                true.setdefault(of[i], []).append(j / t)
+                small += int(sizes[i] <= LIST)
+            if not whole and small >= LINKED:
+                break
+        recall = float(np.mean([np.mean(x) for x in true.values()])) if true else 1.0
+        between = None
+        for part in links:
+            between = part if between is None else between.unionAll(part)
+        return recall, between
+
+    def complete(self, roots: DataFrame, between: DataFrame | None) -> DataFrame:
+        """``roots`` with components joined that ``between`` (a, b) links; a lone class has no row in ``roots``."""
+        if between is None or between.isEmpty():
+            return roots
+        over = components(between).withColumnRenamed("root", "top")
+        old = roots.select("node", "root").unionAll(between.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(roots.select("node"), "node", "left_anti").select("node", F.col("node").alias("root")))
+        over = over.withColumnRenamed("node", "r")
+        return self._staged(old.join(over, F.col("root") == F.col("r"), "left").select("node", F.coalesce("top", "root").alias("root")), "roots")
 
 
 def _link_counts(members: DataFrame, kind: str, threshold: float, id_type: str) -> DataFrame:
@@ -290,13 +356,17 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> tupl
     vectors = staged(packed(embeddings).distinct(), "vectors", folder)
     classes = staged(vectors.groupBy("dim", "vec").agg(F.min("vec_id").alias("rep"), F.count("*").alias("m")), "classes", folder)
     graph = NeighbourGraph(classes, kind, threshold, folder)
-    recall = 1.0
     for restart in range(RESTARTS):
         graph.refine(restart)
         roots = staged(graph.components(), f"roots-{restart}", folder)
-        recall = graph.audit(roots)
+        recall, between = graph.audit(roots)
         if recall >= RECALL:
             break
+    else:
+        # The search falls short: every class is compared with every other.
+        _, between = graph.audit(roots, whole=True)
+        recall = 1.0
+    roots = graph.complete(roots, between)
     members = classes.join(roots, F.col("rep") == F.col("node")).drop("node")
     links = _link_counts(members, kind, threshold, graph.id_type)
     found = classes.select("rep", "m", "dim", "vec").join(roots, F.col("rep") == F.col("node"), "left").join(links, "rep", "left")

@@ -150,3 +150,28 @@ def test_full_lists_lose_no_link_between_groups(spark, tmp_path):
     graph.refine(0)
     found = {r.node: r.root for r in graph.components().collect()}
     assert [found[k] for k in ids.tolist()] == brute(ids, x)[1].tolist()
+
+
+def test_audit_sees_missed_pairs_beside_a_hot_group(spark, tmp_path, monkeypatch):
+    """A group that holds most links does not hide that every isolated pair was missed; what is missed gets joined."""
+    rng = np.random.default_rng(5)
+    hot = rng.standard_normal(32) + 0.02 * rng.standard_normal((300, 32))
+    one = rng.standard_normal((40, 32))
+    x = np.concatenate([hot, one, one + 0.02 * rng.standard_normal(one.shape)]).astype(np.float32)
+    ids = rng.permutation(len(x)).astype(int)
+    data = spark.createDataFrame([(int(i), v.tolist(), 0) for i, v in zip(ids, x, strict=True)], SCHEMA)
+    classes = nn.packed(data).selectExpr("vec_id as rep", "dim", "vec", "1L as m").cache()
+    graph = nn.NeighbourGraph(classes, "<f4", nn.THRESHOLD, str(tmp_path))
+    low = int(ids[:300].min())
+    roots = spark.createDataFrame([(int(i), low) for i in ids[:300]], "node long, root long")
+    recall, _ = graph.audit(roots)
+    assert recall < 0.1
+    # A search that finds nothing at all ends in the comparison of all classes.
+    monkeypatch.setattr(nn, "CHUNK", 64)
+    monkeypatch.setattr(nn.NeighbourGraph, "refine", lambda self, restart: None)
+    monkeypatch.setattr(nn.NeighbourGraph, "components", lambda self: roots.limit(0))
+    got, recall = nn.near_duplicates(data)
+    links, label = brute(ids, x)
+    rows = {r.vec_id: r for r in got.collect()}
+    assert [(rows[i].n_links, rows[i].component_id) for i in ids.tolist()] == list(zip(links.tolist(), label.tolist(), strict=True))
+    assert recall == 1.0
