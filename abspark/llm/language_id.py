@@ -37,7 +37,6 @@ UNKNOWN = "und"
 FOLDS = 5
 POWER = 1.0
 SMOOTHING = 0.05
-MIN_SCORE = 0.5
 FLUSH_WORDS = 150_000
 WORD_BLOCK = 16_384
 MEMO_WORDS = 300_000
@@ -207,11 +206,11 @@ def op2_marginal_unigrams(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
-def known_language(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose text has a language by the model learned from their own labels."""
+def known_language(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text op2 does not call ``und``; with no label to learn from, those with a letter."""
     model = train(docs.filter(~held_out(F.col("doc_id"))))
     if not model.langs:
-        return docs.limit(0) if docs.isEmpty() else docs
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    kept = rows.withColumn("p", predict(model, docs.sparkSession)(F.col("row.text"))).filter((F.col("p.lang_pred") != UNKNOWN) & (F.col("p.score") >= min_score))
+    kept = rows.withColumn("p", predict(model, docs.sparkSession)(F.col("row.text"))).filter(F.col("p.lang_pred") != UNKNOWN)
     return kept.select("row.*")

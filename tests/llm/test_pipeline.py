@@ -68,3 +68,11 @@ def test_sql_agrees(spark):
         names = [c[0] for c in want.description]
         got = registry.queries()[name](spark, d).select(*names).collect()
         assert sorted(map(str, map(tuple, got))) == sorted(map(str, want.fetchall())), name
+
+
+def test_short_shared_texts_stay_and_letterless_ones_go(spark):
+    rows = [(i, "De. A.", lang) for i, lang in enumerate(("en", "de", "fr", "es") * 5)] + [(90, "12 !", "en"), (91, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    ids = lambda d: sorted(r.doc_id for r in corpus_pipeline.language_id(spark, d, "").collect())
+    assert ids(docs) == list(range(20))
+    assert ids(docs.selectExpr("doc_id", "text", "cast(null as string) lang")) == list(range(20))
