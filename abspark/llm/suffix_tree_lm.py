@@ -6,10 +6,10 @@ begin another's, so a token has the product of its bytes' probabilities.  The
 tree's contexts are of variable length, up to ``DEPTH`` bytes back into the text:
 
 * counts of every context and next symbol, over all training texts;
-* a context is a candidate when its share of all symbols is at least
-  ``MIN_SHARE`` (the P_min of the learning algorithm), so a level has at most
-  1 / MIN_SHARE of them however large the corpus: the proven size of the model
-  that is broadcast;
+* a context is a candidate when it occurs ``MIN_COUNT`` times, however large the
+  corpus, so the tree grows with it; contexts of the largest counts, up to
+  ``TREE_ROOM`` pairs, are looked up in the tasks, and what may have a longer
+  context beyond them is scored by a join with the rest of the tree;
 * a candidate is retained when its next-symbol distribution diverges from its
   suffix's by at least ``MIN_GAIN`` nats over its occurrences, and so are all
   suffixes of a retained one;
@@ -50,7 +50,8 @@ from abspark.llm.common import bounded_batches, new_folder, staged, thrifty
 
 FOLDS, FOLD = 7, 2
 DEPTH = 6
-MIN_SHARE = 2e-6
+MIN_COUNT = 16
+TREE_ROOM = 2_000_000
 MIN_GAIN = 8.0
 WORD_SHARE = 0.5
 FREQUENT = 1 << 18
@@ -159,12 +160,27 @@ class Level:
     fall: np.ndarray
     pairs: np.ndarray
     logp: np.ndarray
+    open: np.ndarray  # of each context: a longer one is in the rest of the tree
 
 
 @dataclass
 class SuffixTree:
     root: np.ndarray  # log10 probability of each byte
     levels: list[Level] = field(default_factory=list)  # lengths 1, 2, ...
+    root_open: bool = False
+
+    def open(self, gram: np.ndarray) -> np.ndarray:
+        """Whether a longer context of each gram may be in the rest of the tree."""
+        out, todo = np.zeros(len(gram), bool), np.arange(len(gram))
+        for k in range(len(self.levels), 0, -1):
+            level = self.levels[k - 1]
+            if not len(level.contexts) or not len(todo):
+                continue
+            at, hit = _find(level.contexts, (gram[todo] >> np.uint64(8 * (DEPTH - k))) & np.uint64(_mask(k)))
+            out[todo[hit]] = level.open[at[hit]]
+            todo = todo[~hit]
+        out[todo] = self.root_open
+        return out
 
     def score(self, gram: np.ndarray) -> np.ndarray:
         """log10 probability of each gram's symbol after its context (quickest for sorted grams)."""
@@ -193,8 +209,13 @@ def _mask(k: int) -> int:
     return (1 << 8 * k) - 1
 
 
-def grow(counts: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, min_gain: float = MIN_GAIN) -> SuffixTree:
-    """The tree of the summed gram counts (key, n)."""
+def grow(counts: DataFrame, depth: int = DEPTH, min_share: float = 0.0, min_gain: float = MIN_GAIN) -> SuffixTree:
+    """The whole tree of the summed gram counts (key, n), in memory."""
+    return grown(counts, depth, min_share, min_gain, None)[0]
+
+
+def grown(counts: DataFrame, depth: int, min_share: float, min_gain: float, room: int | None) -> tuple[SuffixTree, DataFrame | None]:
+    """The tree's most frequent contexts with ``room`` pairs (None: all), and the rest as a table (key, v)."""
     spark = counts.sparkSession
     folder = new_folder(spark, "suffix-tree")
     by_byte = counts.groupBy(F.shiftright("key", 8 * DEPTH).alias("s")).agg(F.sum("n").alias("n")).collect()  # 256 rows at most
@@ -204,8 +225,8 @@ def grow(counts: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, mi
         root[r.s] += r.n
     root = np.log10(root / root.sum())
     if not total:
-        return SuffixTree(root)
-    least = max(2, int(np.ceil(min_share * total)))
+        return SuffixTree(root), None
+    least = max(MIN_COUNT, int(np.ceil(min_share * total)))
     # Counts by level: contexts of length k with their next symbols; shorter ones are sums over the longer.
     tables, gathered = {}, counts
     for k in range(depth, 0, -1):
@@ -233,26 +254,65 @@ def grow(counts: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, mi
     tree = SuffixTree(root)
     sub = spark.createDataFrame([(0, i, float(10 ** root[i])) for i in range(256)], "ctx long, s long, p double")
     few = max(1, least // 8)
+    states, subs = {}, {}
     for k in range(1, depth + 1):
         t = tables[k].join(retained[k], "ctx")
         state = t.groupBy("ctx").agg(F.sum("n").alias("c"), F.sum(F.when(F.col("n") >= few, F.col("n")).otherwise(0)).alias("held"), F.count_if(F.col("n") >= few).alias("d"))
-        state = state.withColumn("w", F.col("d") + (F.col("c") - F.col("held")) + 1.0)
+        state = states[k] = staged(state.withColumn("w", F.col("d") + (F.col("c") - F.col("held")) + 1.0), f"state-{k}", folder)
         rows = t.filter(F.col("n") >= few).join(state, "ctx").withColumn("up", F.shiftright("ctx", 8))
         up = sub.select(F.col("ctx").alias("up"), "s", F.col("p").alias("q"))
-        rows = rows.join(up, ["up", "s"]).select("ctx", "s", ((F.col("n") + F.col("w") * F.col("q")) / (F.col("held") + F.col("w"))).alias("p"))
-        sub = staged(rows, f"level-{k}", folder)
-        falls = state.select("ctx", F.log10(F.col("w") / (F.col("held") + F.col("w"))).alias("fall"))
-        tree.levels.append(_level(falls, sub, k))
-    return tree
+        rows = rows.join(up, ["up", "s"]).select("ctx", "s", "c", ((F.col("n") + F.col("w") * F.col("q")) / (F.col("held") + F.col("w"))).alias("p"))
+        sub = subs[k] = staged(rows, f"level-{k}", folder)
+    # A context is at most as frequent as its suffixes, so what a count cuts off leaves a tree.
+    floor = 0
+    if room is not None:
+        size = None
+        for k in states:
+            part = states[k].groupBy(F.floor(F.log2("c")).alias("band")).agg(F.sum(F.col("d") + 1).alias("n"))
+            size = part if size is None else size.unionAll(part)
+        bands = sorted(((r.band, r.n) for r in size.groupBy("band").agg(F.sum("n").alias("n")).collect()), reverse=True)
+        floor = 1 << 62
+        for band, many in bands:
+            if many > room:
+                break
+            floor, room = 2**band, room - many
+    rest = None
+    fall = F.log10(F.col("w") / (F.col("held") + F.col("w"))).alias("fall")
+    for k in range(1, depth + 1):
+        top = F.col("c") >= floor
+        longer = states[k + 1].filter(~top).select(F.shiftright("ctx", 8).alias("ctx")).distinct() if k < depth else states[k].select("ctx").limit(0)
+        falls = states[k].filter(top).join(longer.withColumn("open", F.lit(True)), "ctx", "left").select("ctx", fall, F.coalesce("open", F.lit(False)).alias("open"))
+        tree.levels.append(_level(falls, subs[k].filter(top), k))
+        more = states[k].filter(~top).select(F.col("ctx").bitwiseOR(F.lit(1 << 60 | k << 56)).alias("key"), fall.alias("v"))
+        more = more.unionAll(subs[k].filter(~top).select(F.shiftleft("s", 8 * k).bitwiseOR(F.col("ctx")).bitwiseOR(F.lit(k << 56)), F.log10("p")))
+        rest = more if rest is None else rest.unionAll(more)
+    tree.root_open = not states[1].filter(F.col("c") < floor).isEmpty()
+    rest = staged(rest, "rest", folder)
+    return tree, None if rest.isEmpty() else rest
 
 
 def _level(falls: DataFrame, pairs: DataFrame, k: int) -> Level:
-    """Bring one level to the driver: at most 1 / MIN_SHARE contexts and 8 / MIN_SHARE pairs by the share test."""
+    """Bring the frequent part of one level to the driver."""
     f, p = falls.toArrow(), pairs.select(F.shiftleft("s", 8 * k).bitwiseOR(F.col("ctx")).alias("key"), F.log10("p").alias("logp")).toArrow()
     ctx, fall = f["ctx"].to_numpy().view(np.uint64), f["fall"].to_numpy()
     key, logp = p["key"].to_numpy().view(np.uint64), p["logp"].to_numpy()
     a, b = np.argsort(ctx), np.argsort(key)
-    return Level(ctx[a], fall[a].astype(np.float32), key[b], logp[b].astype(np.float32))
+    return Level(ctx[a], fall[a].astype(np.float32), key[b], logp[b].astype(np.float32), f["open"].to_numpy()[a].astype(bool))
+
+
+def looked_up(need: DataFrame, rest: DataFrame) -> DataFrame:
+    """(gram, full) of grams (gram, q), q by the frequent contexts: scored in the longest context of ``rest``, if any."""
+    probe = []
+    for k in range(1, DEPTH + 1):
+        pair = F.shiftright("gram", 8 * (DEPTH - k))
+        for context, key in ((False, pair.bitwiseOR(F.lit(k << 56))), (True, pair.bitwiseAND(F.lit(_mask(k))).bitwiseOR(F.lit(1 << 60 | k << 56)))):
+            probe.append(F.struct(F.lit(k).alias("k"), F.lit(context).alias("context"), key.alias("key")))
+    hits = need.select("gram", F.explode(F.array(*probe)).alias("p")).select("gram", "p.*").join(rest, "key")
+    pair = F.when(~F.col("context"), F.col("k"))
+    hits = hits.groupBy("gram").agg(F.max(pair).alias("at"), F.max_by("v", pair).alias("own"), F.collect_list(F.when(F.col("context"), F.struct("k", "v"))).alias("falls"))
+    fell = F.aggregate(F.filter("falls", lambda x: x["k"] > F.coalesce(F.col("at"), F.lit(0))), F.lit(0.0), lambda a, x: a + x["v"])
+    hits = hits.select("gram", F.when(F.col("at").isNotNull(), F.col("own")).alias("own"), fell.alias("fell"))
+    return need.join(hits, "gram", "left").select("gram", (F.coalesce("own", "q") + F.coalesce("fell", F.lit(0.0))).alias("full"))
 
 
 # -- scoring -----------------------------------------------------------------
@@ -264,7 +324,7 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
     train.select("text").transform(corpus_counts).write.parquet(f"{folder}/parts")
     parts = spark.read.schema("kind byte, key long, n long").parquet(f"{folder}/parts")
     words = staged(parts.filter("kind = 0").groupBy("key").agg(F.sum("n").alias("c")), "words", folder)
-    tree = grow(parts.filter("kind = 1").select("key", "n"))
+    tree, rest = grown(parts.filter("kind = 1").select("key", "n"), DEPTH, 0.0, MIN_GAIN, TREE_ROOM)
     texts = train.count()
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     tokens_, types = n + texts, v + (texts > 0)
@@ -282,7 +342,7 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
     base = lambda c: np.log10((c + 1.0) / (tokens_ + types + 1.0))
     end_score, end_known = float(base(texts)), int(texts > 0)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"row long, doc_id {kind}, n_tokens long, known long, base double, score double, rare array<struct<key:long,lp:double>>"
+    schema = f"row long, doc_id {kind}, n_tokens long, known long, base double, score double, rare array<struct<key:long,base:double,lp:double,open:array<struct<gram:long,q:double>>>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top, counted, tree = sent.value
@@ -292,11 +352,13 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
             n_texts = len(cut.starts) - 1
             stream, begins, tokens = symbols(cut)
             gram, at = np.unique(grams(stream, begins), return_inverse=True)
-            logp = np.concatenate([[0.0], np.cumsum(tree.score(gram)[at])])
+            own_logp, more = tree.score(gram), tree.open(gram)
+            logp = np.concatenate([[0.0], np.cumsum(np.where(more, 0.0, own_logp)[at])])
             lp = np.diff(logp[tokens])
+            later = np.flatnonzero(more[at])  # symbols for the rest of the tree
+            n_open = np.diff(np.searchsorted(later, tokens))
             is_end = np.zeros(len(lp), bool)
             is_end[cut.starts[1:] + np.arange(n_texts)] = True
-            end_lp, lp = lp[is_end], lp[~is_end]
             key = word_hashes(cut.words)
             if len(top):
                 where = np.minimum(np.searchsorted(top, key), len(top) - 1)
@@ -305,13 +367,22 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
             else:
                 hit, own = np.zeros(len(key), bool), np.zeros(len(key), np.int64)
             text, code = cut.texts, cut.codes
-            seen = hit[code]
-            word = base(own)[code[seen]]
-            parts = np.bincount(text[seen], weights=word, minlength=n_texts) + end_score
-            mixed = np.bincount(text[seen], weights=_mixed(word, lp[seen]), minlength=n_texts) + _mixed(np.float64(end_score), end_lp)
-            known = np.bincount(text[seen], minlength=n_texts) + end_known
-            begin = np.concatenate([[0], np.cumsum(~seen)])[cut.starts]
-            rare = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.StructArray.from_arrays([pa.array(key[code[~seen]]), pa.array(lp[~seen])], names=["key", "lp"]))
+            known = np.bincount(text[hit[code]], minlength=n_texts) + end_known
+            # Of every token, ends too: its text, its word's share (NaN: by the join) and its key.
+            of, share, keys_ = np.zeros(len(lp), np.int64), np.full(len(lp), end_score), np.arange(len(lp)) + made
+            of[is_end], of[~is_end] = np.arange(n_texts), text
+            share[~is_end] = np.where(hit, base(own), np.nan)[code]
+            keys_[~is_end] = key[code]
+            seen = ~np.isnan(share)
+            done = seen & (n_open == 0)
+            # Without a row, bincount gives integers.
+            parts = np.bincount(of[seen], weights=share[seen], minlength=n_texts).astype(float)
+            mixed = np.bincount(of[done], weights=_mixed(share[done], lp[done]), minlength=n_texts).astype(float)
+            begin = np.concatenate([[0], np.cumsum(np.bincount(of[~done], minlength=n_texts))])
+            grams_ = pa.StructArray.from_arrays([pa.array(gram[at[later]].view(np.int64)), pa.array(own_logp[at[later]])], names=["gram", "q"])
+            open_ = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_open[~done])]), pa.int32()), grams_)
+            fields = [pa.array(keys_[~done]), pa.array(share[~done], mask=~seen[~done]), pa.array(lp[~done]), open_]
+            rare = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.StructArray.from_arrays(fields, names=["key", "base", "lp", "open"]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(made + np.arange(n_texts)), batch.column(0), pa.array(np.diff(cut.starts) + 1), pa.array(known), pa.array(parts), pa.array(mixed), rare],
                 names=["row", "doc_id", "n_tokens", "known", "base", "score", "rare"],
@@ -319,11 +390,17 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
             made += n_texts
 
     rows = staged(docs.select("doc_id", "text").mapInArrow(run, schema), "rows", folder)
-    rare = rows.select("row", F.explode("rare").alias("r")).select("row", "r.key", "r.lp")
-    rare = rare.join(words, "key", "left").withColumn("b", F.log10((F.coalesce("c", F.lit(0)) + 1.0) / (tokens_ + types + 1.0)))
+    rare = rows.select("row", F.posexplode("rare").alias("pos", "r")).select("row", "pos", "r.*")
+    if rest is not None:
+        opened = rare.select("row", "pos", F.explode("open").alias("o")).select("row", "pos", "o.*")
+        full = staged(looked_up(opened.groupBy("gram").agg(F.max("q").alias("q")), rest), "full", folder)
+        full = opened.join(full, "gram").groupBy("row", "pos").agg(F.sum("full").alias("full"))
+        rare = rare.join(full, ["row", "pos"], "left").withColumn("lp", F.col("lp") + F.coalesce("full", F.lit(0.0)))
+    new = F.col("base").isNull()
+    rare = rare.drop("open").join(words, "key", "left").withColumn("b", F.coalesce("base", F.log10((F.coalesce("c", F.lit(0)) + 1.0) / (tokens_ + types + 1.0))))
     top = F.greatest("b", "lp")
     mix = top + F.log10(WORD_SHARE * F.pow(F.lit(10.0), F.col("b") - top) + (1 - WORD_SHARE) * F.pow(F.lit(10.0), F.col("lp") - top))
-    more = rare.groupBy("row").agg(F.sum("b").alias("more"), F.sum(mix).alias("gain"), F.count_if(F.col("c") > 0).alias("found"))
+    more = rare.groupBy("row").agg(F.sum(F.when(new, F.col("b"))).alias("more"), F.sum(mix).alias("gain"), F.count_if(new & (F.col("c") > 0)).alias("found"))
     out = rows.drop("rare").join(more, "row", "left")
     nothing = F.lit(0.0)
     return out.select("doc_id", "n_tokens", (F.col("known") + F.coalesce("found", F.lit(0))).alias("n_known"), F.lit(tokens_).cast("long").alias("train_tokens"),

@@ -117,3 +117,21 @@ def test_no_documents(no_docs, spark):
     docs = spark.createDataFrame([("a",), ("b",)], "text string").selectExpr("cast(2 as long) doc_id", "text")
     got = lm.score(docs, docs.limit(0)).first()
     assert (got.n_known, got.train_tokens, got.base_score) == (0, 0, 0.0)
+
+
+def test_rest_of_the_tree_is_joined(spark, texts, monkeypatch):
+    """A small broadcast part and the join give the scores of the whole tree."""
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    by = lambda: {r.doc_id: (r.n_known, pytest.approx(r.base_score, abs=1e-6), pytest.approx(r.score, abs=1e-3)) for r in lm.op10_suffix_tree(docs).collect()}
+    whole = by()
+    for room in (400, 0):
+        monkeypatch.setattr(lm, "TREE_ROOM", room)
+        got = {r.doc_id: (r.n_known, r.base_score, r.score) for r in lm.op10_suffix_tree(docs).collect()}
+        assert got == whole
+
+
+def test_retention_does_not_rise_with_the_corpus(spark):
+    """A context seen 40 times stays a context beside 50 million other symbols."""
+    rows = [(ord("a") << 48 | ord("b") << 40, 50_000_000), (ord("x") << 48 | ord("q") << 40, 40)]
+    tree = lm.grow(spark.createDataFrame(rows, "key long, n long"))
+    assert ord("q") in tree.levels[0].contexts.tolist()
