@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from abspark.llm import oracle
+from abspark.llm.byte_bpe import op13_byte_bpe
 from abspark.llm.common import table
 from abspark.llm.kk_packing import op4_kk_packing
 from abspark.llm.language_id import op2_marginal_unigrams
@@ -32,6 +33,7 @@ _OPERATORS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
         ("embeddings", op8_permutation_index),
         ("documents", op9_secret_ledger),
         ("documents", op10_suffix_tree),
+        ("documents", op13_byte_bpe),
     )
 }
 
