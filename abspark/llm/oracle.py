@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from abspark.llm.heap_kmeans import CENTROIDS, DIM, ROUNDS, SCALE, SEED
 from abspark.llm.line_dedup import MIN_CHARS, MIN_DOCS
 from abspark.llm.nn_descent import THRESHOLD
 from abspark.llm.warc_bundles import REVISIT_BYTES
@@ -84,3 +85,38 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
        sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM texts d LEFT JOIN listed USING (doc_id)
 """
+
+
+def _kmeans() -> str:
+    """Lloyd's rounds unrolled; integers up to 2**53 in doubles, so every product and sum is exact."""
+    steps = [f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS v FROM embeddings
+    WHERE len(embedding) = {DIM} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v FROM (
+        SELECT sha256('{SEED}:' || vec_id) AS h, v FROM kept WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT {CENTROIDS})
+)"""]
+    near = """a{r} AS MATERIALIZED (
+    SELECT i, min(d * 64 + c) % 64 AS c, min(d * 64 + c) // 64 AS d FROM (
+        SELECT i, c, (list_inner_product(k.v, k.v) - 2 * list_inner_product(k.v, m.v) + list_inner_product(m.v, m.v))::BIGINT AS d
+        FROM kept k CROSS JOIN c{r} m) GROUP BY i
+)"""
+    mean = """c{n} AS MATERIALIZED (
+    SELECT m.c, coalesce(n.v, m.v) AS v FROM c{r} m LEFT JOIN (
+        SELECT c, list(floor(s / n) ORDER BY place) AS v FROM (
+            SELECT c, place, sum(x) AS s, count(*) AS n
+            FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM a{r} JOIN kept USING (i)) GROUP BY c, place
+        ) GROUP BY c) n ON n.c = m.c
+)"""
+    for r in range(ROUNDS):
+        steps += [near.format(r=r), mean.format(r=r, n=r + 1)]
+    steps.append(near.format(r=ROUNDS))
+    return ", ".join(steps) + f"""
+SELECT k.vec_id, a.c::INTEGER AS cluster, a.d AS distance, (sum(a.d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+       (sum(a.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(list_transform(m.v, lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM a{ROUNDS} a JOIN kept k USING (i) JOIN c{ROUNDS} m ON m.c = a.c
+"""
+
+
+HEAP_KMEANS = _kmeans()

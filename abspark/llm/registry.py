@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from abspark.llm import oracle
 from abspark.llm.byte_bpe import op13_byte_bpe
 from abspark.llm.common import table
+from abspark.llm.heap_kmeans import op11_heap_kmeans
 from abspark.llm.kk_packing import op4_kk_packing
 from abspark.llm.language_id import op2_marginal_unigrams
 from abspark.llm.line_dedup import op5_line_dedup
@@ -33,6 +34,7 @@ _OPERATORS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
         ("embeddings", op8_permutation_index),
         ("documents", op9_secret_ledger),
         ("documents", op10_suffix_tree),
+        ("embeddings", op11_heap_kmeans),
         ("documents", op13_byte_bpe),
     )
 }
@@ -51,4 +53,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_line_dedup": oracle.LINE_DEDUP,
         "op7_warc_bundles": oracle.WARC,
         "op9_secret_ledger": oracle.SECRETS,
+        "op11_heap_kmeans": oracle.HEAP_KMEANS,
     }
