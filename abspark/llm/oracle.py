@@ -5,6 +5,7 @@ from __future__ import annotations
 from abspark.llm.heap_kmeans import CENTROIDS, DIM, ROUNDS, SCALE, SEED
 from abspark.llm.line_dedup import MIN_CHARS, MIN_DOCS
 from abspark.llm.nn_descent import THRESHOLD
+from abspark.llm.prefix_trie import GROUP, MOST_SHARED
 from abspark.llm.warc_bundles import REVISIT_BYTES
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -120,3 +121,39 @@ FROM a{ROUNDS} a JOIN kept k USING (i) JOIN c{ROUNDS} m ON m.c = a.c
 
 
 HEAP_KMEANS = _kmeans()
+
+# CRC-32 by its definition: reflected, polynomial 0xEDB88320, start and end inverted.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(conv_id::VARCHAR, '.'), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+PREFIX_TRIE = f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT conv_id, list({{'turn': md5(json_array(role, text)::VARCHAR), 'bytes': strlen(text)}} ORDER BY turn NULLS FIRST, role, text) AS turns
+    FROM turns GROUP BY conv_id
+), convs AS (
+    SELECT conv_id, turns, conv_id - ((conv_id % {GROUP}) + {GROUP}) % {GROUP} AS base, {_CRC32} % {MOST_SHARED + 1} AS h FROM own
+), rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS path FROM convs c LEFT JOIN own b ON b.conv_id = c.base
+), steps AS (
+    SELECT conv_id, path, unnest(range(len(path) + 1)) AS depth FROM rebuilt
+), keyed AS (
+    SELECT conv_id, depth, len(path) = depth AS ends, list_transform(path[1:depth], lambda t: t.turn) AS node, coalesce(path[depth].bytes, 0) AS bytes FROM steps
+), nodes AS MATERIALIZED (
+    SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(bytes) AS bytes,
+           string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends) AS ends
+    FROM keyed GROUP BY node, depth
+), children AS (
+    SELECT node[1:depth - 1] AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1
+), facts AS MATERIALIZED (
+    SELECT n.*, coalesce(c.n, 0) AS n_children, p.conv_id AS parent FROM nodes n
+    LEFT JOIN children c ON c.node = n.node LEFT JOIN nodes p ON n.depth > 0 AND p.node = n.node[1:n.depth - 1]
+), ancestors AS (
+    SELECT node[1:up] AS node, n_children = 0 AS leaf, (n_convs - 1) * bytes AS saved FROM (SELECT *, unnest(range(depth + 1)) AS up FROM facts)
+), below AS (
+    SELECT node, count(*) FILTER (WHERE leaf) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM ancestors GROUP BY node
+)
+SELECT f.conv_id, f.depth, f.parent AS parent_conv_id, f.n_convs, f.n_children, b.n_leaves, b.saved_tokens, sha256(coalesce(f.ends, '')) AS ends_sha256
+FROM facts f JOIN below b ON b.node = f.node
+"""

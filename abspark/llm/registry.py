@@ -15,6 +15,7 @@ from abspark.llm.language_id import op2_marginal_unigrams
 from abspark.llm.line_dedup import op5_line_dedup
 from abspark.llm.nn_descent import op3_nn_descent
 from abspark.llm.permutation_index import op8_permutation_index
+from abspark.llm.prefix_trie import op12_prefix_trie
 from abspark.llm.secret_ledger import op9_secret_ledger
 from abspark.llm.sentencepiece_ffbs import op1_sentencepiece_ffbs
 from abspark.llm.simhash_ball import op6_simhash_ball
@@ -35,6 +36,7 @@ _OPERATORS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
         ("documents", op9_secret_ledger),
         ("documents", op10_suffix_tree),
         ("embeddings", op11_heap_kmeans),
+        ("conversations", op12_prefix_trie),
         ("documents", op13_byte_bpe),
     )
 }
@@ -54,4 +56,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_warc_bundles": oracle.WARC,
         "op9_secret_ledger": oracle.SECRETS,
         "op11_heap_kmeans": oracle.HEAP_KMEANS,
+        "op12_prefix_trie": oracle.PREFIX_TRIE,
     }
