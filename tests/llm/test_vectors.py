@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from abspark.llm import nn_descent as nn
+from abspark.llm.common import staged
 from abspark.llm.permutation_index import PermutationIndex, op8_permutation_index
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
@@ -135,7 +136,7 @@ def test_full_lists_lose_no_link_between_groups(spark, tmp_path):
     """Own members fill all lists; links met between two groups still reach the components."""
     ids, x = bridged()
     rows = [(int(i), v.tolist(), 0) for i, v in zip(ids, x, strict=True)]
-    classes = nn.packed(spark.createDataFrame(rows, SCHEMA)).selectExpr("vec_id as rep", "dim", "vec", "1L as m").cache()
+    classes = staged(nn.packed(spark.createDataFrame(rows, SCHEMA)).selectExpr("vec_id as rep", "dim", "vec", "1L as m"), "classes")
     graph = nn.NeighbourGraph(classes, "<f4", nn.THRESHOLD, str(tmp_path))
     # Every list is full of its own group; all links between groups come after.
     u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
@@ -160,7 +161,7 @@ def test_audit_sees_missed_pairs_beside_a_hot_group(spark, tmp_path, monkeypatch
     x = np.concatenate([hot, one, one + 0.02 * rng.standard_normal(one.shape)]).astype(np.float32)
     ids = rng.permutation(len(x)).astype(int)
     data = spark.createDataFrame([(int(i), v.tolist(), 0) for i, v in zip(ids, x, strict=True)], SCHEMA)
-    classes = nn.packed(data).selectExpr("vec_id as rep", "dim", "vec", "1L as m").cache()
+    classes = staged(nn.packed(data).selectExpr("vec_id as rep", "dim", "vec", "1L as m"), "classes")
     graph = nn.NeighbourGraph(classes, "<f4", nn.THRESHOLD, str(tmp_path))
     low = int(ids[:300].min())
     roots = spark.createDataFrame([(int(i), low) for i in ids[:300]], "node long, root long")
