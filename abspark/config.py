@@ -27,6 +27,9 @@ class PipelineConfig:
     multi_vertical: bool = False
     exact_scheme_match: bool = False
     fix_profit_fallback: bool = False
+    # Zone edges: straight lines in longitude and latitude, or great-circle
+    # arcs (what the warehouse's geography type means).
+    geodesic: bool = False
     # Exact Mann-Whitney p-value when one sample has at most this many
     # values and nothing is tied (normal approximation otherwise).
     exact_max_n: int = 8

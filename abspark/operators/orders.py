@@ -4,11 +4,10 @@ Plan shape for the big fact (``orders_sessions``): every cheap row filter and
 every semi-join against a small key table (variants, tests, vertical types,
 test zones) runs first, on the columns that are used later, so the fact is
 reduced and narrow before it meets the other big tables.  The warehouse join
-(big, keyed by entity + order code) brings the delivery point; only then are
-the zone rings joined (broadcast after a size check), a bounding box goes
-before the point-in-polygon test, and rings and point are dropped at once, so
-no shuffle carries a polygon.  Then come the left joins to platform orders
-(same partitioning) and delivery costs, and the small per-test lookups.
+(big, keyed by entity + order code) brings the delivery point; only then does
+the zone's cell index decide (:mod:`abspark.operators.zone_cover`), and the
+point is dropped at once.  Then come the left joins to platform orders (same
+partitioning) and delivery costs, and the small per-test lookups.
 """
 
 from __future__ import annotations
@@ -17,8 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from abspark.config import PipelineConfig
-from abspark.functions.columns import NON_TG, normalize_vertical, point_in_rings, rings_box
+from abspark.functions.columns import NON_TG, normalize_vertical
 from abspark.operators.relational import broadcast_if_small, key_flag, key_semi_join, left_join_spread_null_keys
+from abspark.operators.zone_cover import ZONE_KEY, locate
 from abspark.sources.tables import SourceTables
 
 # Entity exclusion rules and the regions whose delivery fee
@@ -72,22 +72,27 @@ def platform_entities(entities: DataFrame) -> DataFrame:
     return ent.where(cond)
 
 
-def orders_in_zone(orders_sessions: DataFrame, geo: DataFrame, warehouse_orders: DataFrame) -> DataFrame:
-    """Spatial join: each order with its test zone and the delivery point, inside the zone's rings or not."""
+def orders_in_zone(orders_sessions: DataFrame, grid: DataFrame, cover: DataFrame, warehouse_orders: DataFrame,
+                   geodesic: bool = False) -> DataFrame:
+    """Spatial join: each order of a test zone with its delivery point, and whether that lies in the zone.
+
+    Orders meet the warehouse on the order code first; the zones come to them
+    as grids and cover cells, so no outline is shuffled.
+    """
     a = orders_sessions.select("entity_id", "country_code", "zone_id", F.col("experiment_id").alias("test_id"),
                                "order_id", "platform_order_code")
-    z = geo.select("entity_id", "country_code", "zone_id", "test_id", "zone_shape")
+    a = key_semi_join(a, grid, [(c, c) for c in ZONE_KEY])
     d = warehouse_orders.select(
         F.col("global_entity_id").alias("__d_entity"), F.col("order_id").alias("__d_code"),
         F.col("delivery_location.longitude").alias("longitude"), F.col("delivery_location.latitude").alias("latitude"))
-    j = a.join(z, ["entity_id", "country_code", "zone_id", "test_id"], "inner")
-    j = j.join(d, (j.entity_id == d.__d_entity) & (j.platform_order_code == d.__d_code), "inner")
-    return j.select("entity_id", "country_code", "zone_id", "test_id", "order_id", "longitude", "latitude",
-                    point_in_rings("zone_shape", "longitude", "latitude").alias("in_zone"))
+    j = a.join(d, (a.entity_id == d.__d_entity) & (a.platform_order_code == d.__d_code), "inner")
+    j = j.select(*ZONE_KEY, "order_id", "longitude", "latitude")
+    return locate(j, grid, cover, {c: c for c in ZONE_KEY}, "longitude", "latitude", geodesic, keep_outside=True)
 
 
 def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, scheme_concat: DataFrame,
-                      geo: DataFrame, zones: DataFrame, costs: DataFrame, cfg: PipelineConfig) -> DataFrame:
+                      grid: DataFrame, cover: DataFrame, zones: DataFrame, costs: DataFrame,
+                      cfg: PipelineConfig) -> DataFrame:
     """Completed orders of valid test variants, inside a test zone, with fee components and keep/drop flag."""
     a = src.orders_sessions.where(
         (F.col("created_date") >= _floor(cfg)) & (F.col("delivery_status") == "completed"))
@@ -101,23 +106,16 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
     else:
         a = key_semi_join(a, tg, test_key)
 
-    a = key_semi_join(a, geo, test_key + [("zone_id", "zone_id")])
+    a = key_semi_join(a, grid, test_key + [("zone_id", "zone_id")])
     a = a.select(*ORDER_COLUMNS)
     dwh = src.warehouse_orders.select(
         F.col("global_entity_id").alias("__d_entity"), F.col("order_id").alias("__d_code"),
         F.col("value.mov_customer_fee_local").alias("sof_local_cdwh"),
         F.col("delivery_location.longitude").alias("__lon"), F.col("delivery_location.latitude").alias("__lat"))
     a = a.join(dwh, (a.entity_id == dwh.__d_entity) & (a.platform_order_code == dwh.__d_code), "inner")
-    zn = broadcast_if_small(geo.select(
-        F.col("entity_id").alias("__z_entity"), F.col("country_code").alias("__z_country"),
-        F.col("zone_id").alias("__z_zone"), F.col("test_id").alias("__z_test"), "zone_shape",
-        *[rings_box("zone_shape", f, axis).alias(name) for name, f, axis in (
-            ("__x0", F.array_min, "x"), ("__x1", F.array_max, "x"), ("__y0", F.array_min, "y"),
-            ("__y1", F.array_max, "y"))]))
-    a = a.join(zn, (a.entity_id == zn.__z_entity) & (a.country_code == zn.__z_country)
-               & (a.zone_id == zn.__z_zone) & (a.experiment_id == zn.__z_test)
-               & a.__lon.between(zn.__x0, zn.__x1) & a.__lat.between(zn.__y0, zn.__y1), "inner")
-    a = a.where(point_in_rings("zone_shape", "__lon", "__lat")).select(*ORDER_COLUMNS, "sof_local_cdwh")
+    a = locate(a, grid, cover, {"entity_id": "entity_id", "country_code": "country_code", "zone_id": "zone_id",
+                                "test_id": "experiment_id"}, "__lon", "__lat", cfg.geodesic)
+    a = a.select(*ORDER_COLUMNS, "sof_local_cdwh")
 
     # Platform fees are looked up by (entity, order code, date): join them on
     # (entity, order code), the key the warehouse join already partitioned

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from abspark.config import PipelineConfig
-from abspark.operators import kpis, orders, questions, sessions, setups, stats
+from abspark.operators import kpis, orders, questions, sessions, setups, stats, zone_cover
 from abspark.session import ensure_checkpoint_dir
 from abspark.sources.tables import SourceTables
 
@@ -36,7 +36,7 @@ class ExperimentPipeline:
         "treatment_order_share", "significance_combined",
     )
     # Tables that more than one later step reads.
-    REUSED = ("target_groups", "variant_schemes", "zone_geography", "clean_orders", "experiment_sessions",
+    REUSED = ("target_groups", "variant_schemes", "zone_geography", "zone_grid", "zone_cover", "clean_orders", "experiment_sessions",
               "sessions_with_flag", "kpis_per_user", "treatment_order_share", "kpi_histogram", "significance_combined")
     # Session-grain tables are laid out by date, so date filters prune files on read.
     BY_DATE = ("experiment_sessions_stg", "experiment_sessions", "sessions_with_flag")
@@ -96,6 +96,14 @@ class ExperimentPipeline:
     def zone_geography(self) -> DataFrame:
         return self._stage(setups.zone_geography(self.src.countries, self.experiment_zones), "zone_geography")
 
+    @cached_property
+    def zone_grid(self) -> DataFrame:
+        return self._stage(zone_cover.zone_grid(self.zone_geography, self.cfg.geodesic), "zone_grid")
+
+    @cached_property
+    def zone_cover(self) -> DataFrame:
+        return self._stage(zone_cover.zone_cover(self.zone_geography, self.cfg.geodesic), "zone_cover")
+
     # ---- orders (S6-S8) -------------------------------------------------
     @cached_property
     def delivery_costs(self) -> DataFrame:
@@ -105,7 +113,7 @@ class ExperimentPipeline:
     def experiment_orders(self) -> DataFrame:
         return self._stage(orders.experiment_orders(
             self.src, self.target_groups, self.variant_schemes, self.variant_scheme_concat,
-            self.zone_geography, self.experiment_zones, self.delivery_costs, self.cfg), "experiment_orders")
+            self.zone_grid, self.zone_cover, self.experiment_zones, self.delivery_costs, self.cfg), "experiment_orders")
 
     @cached_property
     def order_profit(self) -> DataFrame:

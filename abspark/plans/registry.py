@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from abspark.config import FIXTURE_CONFIG, PipelineConfig
 from abspark.functions.columns import rings_wkt
-from abspark.operators import orders, questions, stats
+from abspark.operators import orders, questions, stats, zone_cover
 from abspark.plans.pipeline import ExperimentPipeline
-from abspark.sources.tables import SourceTables, derive_from_star_schema
+from abspark.sources.tables import SourceTables, derive_from_star_schema, globe_sources
 
 _CACHE: dict[tuple, ExperimentPipeline] = {}
 _SOURCES: dict[tuple, SourceTables] = {}
@@ -39,6 +39,7 @@ def pipeline(spark: SparkSession, sf_dir: str, cfg: PipelineConfig = FIXTURE_CON
 ALL_VERTICALS = PipelineConfig(start_floor=FIXTURE_CONFIG.start_floor, sub_vertical_filter=False)
 MULTI_VERTICAL = PipelineConfig(start_floor=FIXTURE_CONFIG.start_floor, multi_vertical=True)
 EXACT_SCHEME = PipelineConfig(start_floor=FIXTURE_CONFIG.start_floor, exact_scheme_match=True)
+GEODESIC = PipelineConfig(start_floor=FIXTURE_CONFIG.start_floor, geodesic=True)
 PROFIT_FALLBACK = PipelineConfig(start_floor=FIXTURE_CONFIG.start_floor, fix_profit_fallback=True)
 
 
@@ -48,7 +49,15 @@ def _zone_geography(p: ExperimentPipeline) -> DataFrame:
 
 
 def _orders_in_zone(p: ExperimentPipeline) -> DataFrame:
-    return orders.orders_in_zone(p.src.orders_sessions, p.zone_geography, p.src.warehouse_orders)
+    return orders.orders_in_zone(
+        p.src.orders_sessions, p.zone_grid, p.zone_cover, p.src.warehouse_orders).drop("ring_tested")
+
+
+def orders_in_zone_geodesic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders on the globe in zones with great-circle edges, across the 180th meridian and around the poles."""
+    zones, sessions, warehouse = globe_sources(spark, sf_dir)
+    grid, cover = zone_cover.zone_grid(zones, geodesic=True), zone_cover.zone_cover(zones, geodesic=True)
+    return orders.orders_in_zone(sessions, grid, cover, warehouse, geodesic=True).drop("ring_tested")
 
 
 STEPS: dict[str, tuple[PipelineConfig, Callable[[ExperimentPipeline], DataFrame]]] = {
@@ -90,6 +99,7 @@ for _name in ("experiment_sessions", "clean_orders", "kpis_per_user", "treatment
 for _name in ("order_profit", "experiment_sessions", "kpis_per_user"):
     STEPS[f"{_name}_multi_vertical"] = (MULTI_VERTICAL, lambda p, n=_name: getattr(p, n))
 STEPS["clean_orders_exact_scheme"] = (EXACT_SCHEME, lambda p: p.clean_orders)
+STEPS["clean_orders_geodesic"] = (GEODESIC, lambda p: p.clean_orders)
 STEPS["order_profit_fee_fallback"] = (PROFIT_FALLBACK, lambda p: p.order_profit)
 for _name in ("overview_stats", "tests_per_entity", "tests_per_entity_vertical", "ts_exp_comparison",
               "direction_agreement", "significance_agreement", "records_in_treatment",
@@ -101,5 +111,8 @@ for _name in ("overview_stats", "tests_per_entity", "tests_per_entity_vertical",
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def make(cfg, fn):
         return lambda spark, sf_dir: fn(pipeline(spark, sf_dir, cfg))
-    return {name: make(cfg, fn) for name, (cfg, fn) in STEPS.items()}
+    found = {name: make(cfg, fn) for name, (cfg, fn) in STEPS.items()}
+    return found | {"orders_in_zone_geodesic": orders_in_zone_geodesic}
+
+
 FLAGSHIP = "significance_combined"

@@ -319,6 +319,41 @@ FROM (
 WHERE client_id % 7 <> 0
 """
 
+# Zones on the globe, where great-circle edges and straight lines in longitude
+# and latitude differ: 0 a box in high latitudes, 1 a concave zone across the
+# 180th meridian, 2 around the north pole, 3 around the south pole with a hole,
+# 4 a long triangle, 5 two polygons.  Every entity has all of them.
+F_GLOBE_POINTS = """
+SELECT en.entity_id, en.country_code, CAST(200000 + p.shape AS BIGINT) AS zone_id, p.ring, p.pt,
+       CAST(p.lon AS DOUBLE) AS x, CAST(p.lat AS DOUBLE) AS y
+FROM {f_entities} en
+JOIN (VALUES
+  (0, 0, 0, 0, 55), (0, 0, 1, 60, 55), (0, 0, 2, 60, 70), (0, 0, 3, 0, 70),
+  (1, 0, 0, 170, -10), (1, 0, 1, -170, -10), (1, 0, 2, -170, 20), (1, 0, 3, 179, 2), (1, 0, 4, 170, 20),
+  (2, 0, 0, 10, 75), (2, 0, 1, 100, 75), (2, 0, 2, -170, 75), (2, 0, 3, -80, 75),
+  (3, 0, 0, 5, -60), (3, 0, 1, -55, -60), (3, 0, 2, -115, -60), (3, 0, 3, -175, -60), (3, 0, 4, 125, -60), (3, 0, 5, 65, -60),
+  (3, 1, 0, 0, -80), (3, 1, 1, 90, -80), (3, 1, 2, 180, -80), (3, 1, 3, -90, -80),
+  (4, 0, 0, 100, 0), (4, 0, 1, 140, 5), (4, 0, 2, 120, 85),
+  (5, 0, 0, -30, 40), (5, 0, 1, -10, 40), (5, 0, 2, -10, 50), (5, 0, 3, -30, 50),
+  (5, 1, 0, 0, 40), (5, 1, 1, 20, 40), (5, 1, 2, 20, 50), (5, 1, 3, 0, 50)
+) AS p(shape, ring, pt, lon, lat) ON en.e >= 0
+"""
+
+# Every order with a point on the globe, spread over a box around one of those zones.
+F_GLOBE_ORDERS = """
+SELECT DISTINCT entity_id, country_code, zone_id, order_id, platform_order_code,
+       CASE WHEN lon > 180 THEN lon - 360 ELSE lon END AS lon, lat
+FROM (
+  SELECT o.entity_id, o.country_code, CAST(200000 + b.shape AS BIGINT) AS zone_id, o.order_id, o.platform_order_code,
+         CAST(b.lon0 AS DOUBLE) + CAST(b.width AS DOUBLE) * (CAST(o.order_id % 97 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / 97 AS lon,
+         CAST(b.lat0 AS DOUBLE) + CAST(b.height AS DOUBLE) * (CAST(o.order_id * 7 % 89 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / 89 AS lat
+  FROM {f_orders} o
+  JOIN (VALUES (0, -5, 70, 50, 28), (1, 165, 30, -15, 40), (2, -180, 360, 65, 25), (3, -180, 360, -90, 40),
+               (4, 95, 50, -5, 95), (5, -35, 60, 35, 20)) AS b(shape, lon0, width, lat0, height)
+    ON b.shape = CAST(FLOOR(o.order_id / 8) AS BIGINT) % 6
+) t
+"""
+
 # Flat views in dependency order: (name, sql, placeholders).
 FLAT_VIEWS: list[tuple[str, str]] = [
     ("f_entities", F_ENTITIES),
@@ -333,6 +368,8 @@ FLAT_VIEWS: list[tuple[str, str]] = [
     ("f_session_events", F_SESSION_EVENTS),
     ("f_sessions", F_SESSIONS),
     ("f_session_zones", F_SESSION_ZONES),
+    ("f_globe_points", F_GLOBE_POINTS),
+    ("f_globe_orders", F_GLOBE_ORDERS),
 ]
 
 BASE_TABLES = ("supplier", "lineitem", "orders", "events")

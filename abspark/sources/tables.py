@@ -63,11 +63,17 @@ def read_star_schema(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 SHARED_VIEWS = ("f_orders", "f_session_events", "f_sessions")
 
 
-def flat_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Run the shared fixture SQL in Spark; returns every flat view by name."""
+def flat_views(spark: SparkSession, sf_dir: str, only: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
+    """Run the shared fixture SQL in Spark; returns every flat view by name (``only`` those, with what they need)."""
+    wanted = set(only or [name for name, _ in fixtures.FLAT_VIEWS])
+    for name, sql in reversed(fixtures.FLAT_VIEWS):
+        if name in wanted:
+            wanted |= {other for other, _ in fixtures.FLAT_VIEWS if "{" + other + "}" in sql}
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fixture-{uuid.uuid4().hex}"
     frames: dict[str, DataFrame] = read_star_schema(spark, sf_dir)
     for name, sql in fixtures.FLAT_VIEWS:
+        if name not in wanted:
+            continue
         needed = {k: v for k, v in frames.items() if "{" + k + "}" in sql}
         frames[name] = spark.sql(sql, **needed)
         if name in SHARED_VIEWS:
@@ -200,6 +206,22 @@ def derive_from_star_schema(spark: SparkSession, sf_dir: str) -> SourceTables:
     )
 
 
+def globe_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(zones, orders, warehouse orders) on the globe, in the shapes of zone geography and of the two sources."""
+    v = flat_views(spark, sf_dir, ("f_globe_points", "f_globe_orders"))
+    key = ["entity_id", "country_code", "zone_id"]
+    rings = v["f_globe_points"].groupBy(*key, "ring").agg(F.array_sort(F.collect_list(F.struct("pt", "x", "y"))).alias("points"))
+    zones = rings.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("ring", "points"))).alias("rings")).select(
+        *key, F.lit(0).cast("bigint").alias("test_id"),
+        F.transform("rings", lambda r: F.transform(r["points"], lambda p: _point(p["x"], p["y"]))).alias("zone_shape"))
+    o = v["f_globe_orders"]
+    orders = o.select(*key, F.lit(0).cast("bigint").alias("experiment_id"), "order_id", "platform_order_code")
+    warehouse = o.select(
+        F.col("entity_id").alias("global_entity_id"), F.col("platform_order_code").alias("order_id"),
+        F.struct(F.col("lon").alias("longitude"), F.col("lat").alias("latitude")).alias("delivery_location"))
+    return zones, orders, warehouse
+
+
 def from_parquet_dir(spark: SparkSession, path: str) -> SourceTables:
     """Read sources written by :func:`write_sources` (or any producer of the same schemas); any Spark path."""
     return SourceTables(**{n: spark.read.parquet(f"{path.rstrip('/')}/{n}") for n in SOURCE_NAMES})

@@ -46,10 +46,15 @@ def test_rank_test_has_no_python_on_the_data_path(pipe):
 def test_no_shuffle_of_a_fact_carries_a_polygon(pipe):
     from abspark.operators import orders
 
-    plan = orders.experiment_orders(
-        pipe.src, pipe.target_groups, pipe.variant_schemes, pipe.variant_scheme_concat, pipe.zone_geography,
-        pipe.experiment_zones, pipe.delivery_costs, pipe.cfg)._jdf.queryExecution().executedPlan().toString()
-    lines = plan.splitlines()
+    def plan_of(df):
+        return df._jdf.queryExecution().executedPlan().toString().splitlines()
+
+    lines = plan_of(orders.experiment_orders(
+        pipe.src, pipe.target_groups, pipe.variant_schemes, pipe.variant_scheme_concat, pipe.zone_grid,
+        pipe.zone_cover, pipe.experiment_zones, pipe.delivery_costs, pipe.cfg))
+    lines += plan_of(orders.orders_in_zone(pipe.src.orders_sessions, pipe.zone_grid, pipe.zone_cover, pipe.src.warehouse_orders))
+    # The cell index decides: an equi-join on (shape, cell).
+    assert any("HashJoin" in line and "__cell" in line and "shape_id" in line for line in lines)
     for i, line in enumerate(lines):
         if "Exchange hashpartitioning" in line and "platform_order_code" in line or "__null_salt" in line:
             below = lines[i + 1] if i + 1 < len(lines) else ""
