@@ -7,31 +7,27 @@ library test on two arrays.  Here one plan does every test at once:
    the only pass over the KPI table, a partial aggregate, so the data shrinks
    to distinct values before any shuffle; everything below reads it;
 2. means are sums of value x count; deltas compare them with Control's;
-3. for the rank test each variant's counts and its Control's are summed by
-   value (a conditional-sum group-by);
-4. values of a pair are dealt into RANK_BUCKETS ranges; bucket totals give
-   every bucket its offset, and a running sum inside a bucket gives the mid
-   rank of every value (ties share the average rank), so no task sorts a
-   whole pair;
-5. one aggregate per pair gives n1, n2, the variant's rank sum R1 and the
-   tie term sum(t^3 - t);
-6. U, the tie- and continuity-corrected normal approximation and its
-   two-sided p-value are column expressions.
+3. for the rank test a test's values are dealt into RANK_RANGES ranges of
+   even size by a quantile sketch; Control's totals give every range its
+   offset, and a running sum inside a range tells of each value how many
+   Control users are below and beside it (its mid rank among Control), for
+   all variants at once, so no task sorts a whole test;
+4. one aggregate per variant sums those placements (that is U), the sizes and
+   the tie term sum(t^3 - t);
+5. the tie- and continuity-corrected normal approximation and its two-sided
+   p-value are column expressions.
 
 The exact distribution is used, like the library default, when one sample
-has at most ``exact_max_n`` values and nothing is tied.  Its p-value depends
-only on (U, n1, n2); a vectorised pandas UDF computes it for those rows.
+has at most ``exact_max_n`` values and nothing is tied: a table (m, n, u,
+P(U >= u)) of the sizes that occur, joined.  No Python runs in any task.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from abspark.config import PipelineConfig
 from abspark.functions.columns import CONTROL, norm_sf, round_half_even
@@ -41,7 +37,7 @@ GROUP = ["entity_id", "test_id"]
 SIG_KEYS = ["entity_id", "country_code", "test_id", "test_name", "test_start_date", "test_end_date", "test_length",
             "first_parent_vertical", "second_parent_vertical", "variant"]
 METRICS = ("order_count_per_user", "profit_per_user")
-RANK_BUCKETS = 256
+RANK_RANGES = 256  # a square
 
 
 def value_histogram(df: DataFrame, keys: list[str], metrics: tuple[str, ...] = METRICS) -> DataFrame:
@@ -89,56 +85,61 @@ def variant_deltas(means: DataFrame, group: list[str] = GROUP) -> DataFrame:
     return j.select(*group, "variant", *cols)
 
 
-@F.pandas_udf(DoubleType())
-def exact_mwu_pvalue(u: pd.Series, n1: pd.Series, n2: pd.Series, exact: pd.Series) -> pd.Series:
-    """Two-sided exact p-value of U = max(U1, U2) for sample sizes n1, n2 (no ties); NaN where not exact."""
-    out = np.full(len(u), np.nan)
-    cache: dict[tuple[int, int], np.ndarray] = {}
-    for i, (uu, a, b, e) in enumerate(zip(u.to_numpy(), n1.to_numpy(), n2.to_numpy(), exact.to_numpy())):
-        if not e:
-            continue
-        m, n = int(min(a, b)), int(max(a, b))
-        if (m, n) not in cache:
-            cache[(m, n)] = _u_cdf(m, n)
-        cdf = cache[(m, n)]
-        k = m * n - int(round(uu))  # P(U >= u) = P(U <= mn - u) by symmetry
-        out[i] = min(1.0, 2.0 * cdf[k]) if k >= 0 else 1.0
-    return pd.Series(out)
-
-
-def _u_cdf(m: int, n: int) -> np.ndarray:
-    """CDF of the Mann-Whitney U statistic for sizes (m, n), m the smaller one.
-
-    The counts of U = k are the coefficients of the Gaussian binomial
-    [m+n choose m]_q = prod_{i=1..m} (1 - q^(n+i)) / (1 - q^i); only used
-    for m <= exact_max_n, so the product has at most that many factors.
+def u_distribution(sizes: DataFrame, most: int) -> DataFrame:
+    """(m, n, u, p_upper): P(U >= u) of the Mann-Whitney statistic without ties, for every row (m, n) of ``sizes``.
+
+    ``m`` is the smaller sample, at most ``most``.  The number of ways to reach
+    U = k is the coefficient of q^k in the product over i = 1..m of
+    (1 - q^(n+i)) / (1 - q^i).  Each factor is one step over rows (m, n, k, c):
+    the numerator adds every row once more, shifted and negative, the
+    denominator is a running sum along k modulo i.
+    """
+    span = F.sequence(F.lit(0).cast("bigint"), F.col("m") * F.col("n"))
+    rows = sizes.select("m", "n", F.explode(span).alias("k")).withColumn("c", F.when(F.col("k") == 0, 1.0).otherwise(0.0))
+    for i in range(1, most + 1):
+        own = F.struct("k", "c", F.lit(True).alias("own"))
+        shifted = F.struct((F.col("k") + F.col("n") + i).alias("k"), (-F.col("c")).alias("c"), F.lit(False).alias("own"))
+        parts = rows.select("m", "n", F.explode(F.when(F.col("m") >= i, F.array(own, shifted)).otherwise(F.array(own))).alias("r"))
+        parts = parts.select("m", "n", "r.*").where(F.col("k") <= F.col("m") * F.col("n"))
+        along = Window.partitionBy("m", "n", F.pmod("k", F.lit(i))).orderBy("k").rangeBetween(Window.unboundedPreceding, 0)
+        summed = F.when(F.col("m") >= i, F.sum("c").over(along)).otherwise(F.col("c"))
+        rows = parts.select("m", "n", "k", summed.alias("c"), "own").where("own").drop("own")
+    upper = Window.partitionBy("m", "n").orderBy(F.col("k").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.select("m", "n", F.col("k").alias("u"), (F.sum("c").over(upper) / F.sum("c").over(Window.partitionBy("m", "n"))).alias("p_upper"))
+
+
+def rank_ranges(counts: DataFrame, g: list[str]) -> DataFrame:
+    """``counts`` with ``__range``: its group's values dealt into RANK_RANGES ranges of about equal numbers of rows.
+
+    The splitters come from one quantile sketch a group (combined map-side), so
+    the ranges are even however the values are distributed.  A value finds its
+    range in two steps over some 2 * sqrt(RANK_RANGES) splitters; equal values
+    share a range.
     """
-    size = m * n + 1
-    c = np.zeros(size)
-    c[0] = 1.0
-    for i in range(1, m + 1):
-        shift = n + i
-        if shift < size:
-            c[shift:] -= c[:-shift].copy()
-        for r in range(i):  # divide by (1 - q^i): running sum along each residue class mod i
-            c[r::i] = np.cumsum(c[r::i])
-    pmf = c / math.comb(m + n, m)
-    return np.cumsum(pmf)
-
-
-def _mid_ranks(merged: DataFrame, pair: list[str]) -> DataFrame:
-    """``merged`` (pair, value, n_v, n_c) with the mid rank of every value within its pair."""
-    t = F.col("n_v") + F.col("n_c")
-    span = merged.groupBy(*pair).agg(F.min("value").alias("__lo"), F.max("value").alias("__hi"))
-    share = (F.col("value") - F.col("__lo")) / F.nullif(F.col("__hi") - F.col("__lo"), F.lit(0.0))
-    bucket = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * RANK_BUCKETS), F.lit(RANK_BUCKETS - 1)).cast("int")
-    dealt = merged.join(span, pair).withColumn("__bucket", bucket).drop("__lo", "__hi")
-    sums = dealt.groupBy(*pair, "__bucket").agg(F.sum(t).alias("__in"))  # RANK_BUCKETS rows a pair at most
-    before = Window.partitionBy(*pair).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offset = sums.select(*pair, "__bucket", F.coalesce(F.sum("__in").over(before), F.lit(0)).alias("__offset"))
-    w = Window.partitionBy(*pair, "__bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    rank = (F.col("__offset") + F.coalesce(F.sum(t).over(w), F.lit(0))).cast("double") + (t.cast("double") + 1.0) / 2.0
-    return dealt.join(offset, [*pair, "__bucket"]).select(*pair, "value", "n_v", "n_c", rank.alias("mid_rank"))
+    step = math.isqrt(RANK_RANGES)
+    shares = [i / RANK_RANGES for i in range(1, RANK_RANGES)]
+    cuts = counts.groupBy(*g).agg(F.percentile_approx("value", shares, 8 * RANK_RANGES).alias("__cuts"))
+    below = lambda part: F.size(F.filter(part, lambda x: x < F.col("value")))
+    coarse = F.transform(F.sequence(F.lit(step), F.lit(RANK_RANGES - 1), F.lit(step)), lambda i: F.element_at("__cuts", i))
+    cuts = cuts.withColumn("__coarse", coarse)
+    dealt = counts.join(cuts, g).withColumn("__at", below(F.col("__coarse")) * step)
+    dealt = dealt.withColumn("__range", F.col("__at") + below(F.slice("__cuts", F.col("__at") + 1, F.lit(step - 1))))
+    return dealt.drop("__cuts", "__coarse", "__at")
+
+
+def _placements(counts: DataFrame, g: list[str]) -> DataFrame:
+    """``counts`` (g, variant, value, n) with the Control rows of the same value (``n_c``) and below it (``below``)."""
+    dealt = rank_ranges(counts, g)
+    control = F.when(F.col("variant") == CONTROL, F.col("n")).otherwise(0)
+    sums = dealt.groupBy(*g, "__range").agg(F.sum(control).alias("__in"))  # RANK_RANGES rows a group at most
+    before = Window.partitionBy(*g).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offset = sums.select(*g, "__range", F.coalesce(F.sum("__in").over(before), F.lit(0)).alias("__offset"))
+    in_order = Window.partitionBy(*g, "__range").orderBy("value")
+    same = F.sum(control).over(in_order.rangeBetween(Window.currentRow, Window.currentRow))
+    up_to = F.sum(control).over(in_order.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = dealt.withColumns({"n_c": same, "__upto": up_to})
+    return placed.join(offset, [*g, "__range"]).select(
+        *g, "variant", "value", "n", "n_c", (F.col("__offset") + F.col("__upto") - F.col("n_c")).alias("below"))
 
 
 def _rank_tests(hist: DataFrame, group: list[str], cfg: PipelineConfig) -> DataFrame:
@@ -146,40 +147,37 @@ def _rank_tests(hist: DataFrame, group: list[str], cfg: PipelineConfig) -> DataF
     g = [*group, "metric"]
     counts = hist.where(F.col("value").isNotNull() & ~F.isnan(F.col("value"))).groupBy(*g, "variant", "value").agg(
         F.sum("n").alias("n"))
-    own = counts.where(F.col("variant") != CONTROL)
-    pairs = own.select(*g, "variant").distinct()
-    control = counts.where(F.col("variant") == CONTROL).select(*g, "value", "n").join(pairs, g, "inner")
-    none = F.lit(0).cast("bigint")
-    both = own.select(*g, "variant", "value", F.col("n").alias("n_v"), none.alias("n_c")).unionByName(
-        control.select(*g, "variant", "value", none.alias("n_v"), F.col("n").alias("n_c")))
-    merged = both.groupBy(*g, "variant", "value").agg(F.sum("n_v").alias("n_v"), F.sum("n_c").alias("n_c"))
-    ranked = _mid_ranks(merged, [*g, "variant"])
-    t = F.col("n_v") + F.col("n_c")
-    tot = t.cast("double")
-    agg = ranked.groupBy(*g, "variant").agg(
-        F.sum("n_v").cast("double").alias("n1"),
-        F.sum("n_c").cast("double").alias("n2"),
-        F.sum(F.col("n_v").cast("double") * F.col("mid_rank")).alias("r1"),
-        F.sum(tot * tot * tot - tot).alias("tie_term"),
-    )
+    cubed = lambda t: t.cast("double") * t.cast("double") * t.cast("double") - t.cast("double")
+    control = counts.where(F.col("variant") == CONTROL).groupBy(*g).agg(
+        F.sum("n").cast("double").alias("__n2"), F.sum(cubed(F.col("n"))).alias("__ties"))
+    # A value's mid rank among Control is its placement; U is the sum of a variant's placements.
+    placement = F.col("below").cast("double") + F.col("n_c").cast("double") / 2.0
+    tests = _placements(counts, g).where(F.col("variant") != CONTROL).groupBy(*g, "variant").agg(
+        F.sum("n").cast("double").alias("n1"), F.sum(F.col("n").cast("double") * placement).alias("u1"),
+        F.sum(cubed(F.col("n") + F.col("n_c")) - cubed(F.col("n_c"))).alias("__more"))
+    tests = tests.join(control, g, "left").select(
+        *g, "variant", "n1", F.coalesce("__n2", F.lit(0.0)).alias("n2"), "u1",
+        (F.coalesce("__ties", F.lit(0.0)) + F.col("__more")).alias("tie_term"))
     n1, n2 = F.col("n1"), F.col("n2")
     n = n1 + n2
-    u1 = F.col("r1") - n1 * (n1 + 1.0) / 2.0
-    u = F.greatest(u1, n1 * n2 - u1)
-    s = F.sqrt(n1 * n2 / 12.0 * ((n + 1.0) - F.col("tie_term") / (n * (n - 1.0))))
+    u = F.greatest(F.col("u1"), n1 * n2 - F.col("u1"))
+    s = F.sqrt(n1 * n2 / 12.0 * ((n + 1.0) - F.try_divide("tie_term", n * (n - 1.0))))
     z = (u - n1 * n2 / 2.0 - 0.5) / F.nullif(s, F.lit(0.0))
     p_asym = F.when(s == 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * norm_sf(z))))
     exact = (F.least(n1, n2) <= cfg.exact_max_n) & (F.col("tie_term") == 0)
     valid = (n1 > 0) & (n2 > 0)
-    stats = agg.select(
-        *g, "variant", u1.alias("u_statistic"), "n1", "n2", "tie_term",
+    of_exact = lambda c: F.when(valid & exact, c.cast("bigint"))
+    found = tests.select(
+        *g, "variant", F.col("u1").alias("u_statistic"), "n1", "n2", "tie_term",
         F.when(valid, F.when(exact, F.lit("exact")).otherwise(F.lit("asymptotic"))).alias("method"),
         F.when(valid & ~exact, p_asym).alias("__p_asym"),
-        u.alias("__u"),
-    )
-    p_exact = exact_mwu_pvalue(F.col("__u"), F.col("n1"), F.col("n2"), F.col("method") == "exact")
-    p = F.when(F.col("method") == "exact", p_exact).otherwise(F.col("__p_asym"))
-    return stats.select(
+        of_exact(F.least(n1, n2)).alias("__m"), of_exact(F.greatest(n1, n2)).alias("__n"), of_exact(u).alias("__u"))
+    # Few sizes need the distribution; where none does, the adaptive planner drops these steps.
+    sizes = found.where("__m is not null").select(F.col("__m").alias("m"), F.col("__n").alias("n")).distinct()
+    dist = u_distribution(sizes, cfg.exact_max_n)
+    joined = found.join(dist, (found["__m"] == dist["m"]) & (found["__n"] == dist["n"]) & (found["__u"] == dist["u"]), "left")
+    p = F.when(F.col("__m").isNotNull(), F.least(F.lit(1.0), 2.0 * F.col("p_upper"))).otherwise(F.col("__p_asym"))
+    return joined.select(
         *g, "variant", F.col("n1").cast("bigint").alias("n1"), F.col("n2").cast("bigint").alias("n2"),
         "u_statistic", "tie_term", "method", round_half_even(p, 4).alias("p_value"))
 

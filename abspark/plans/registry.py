@@ -16,7 +16,7 @@ from abspark.config import FIXTURE_CONFIG, PipelineConfig
 from abspark.functions.columns import rings_wkt
 from abspark.operators import orders, questions, stats, zone_cover
 from abspark.plans.pipeline import ExperimentPipeline
-from abspark.sources.tables import SourceTables, derive_from_star_schema, globe_sources
+from abspark.sources.tables import SourceTables, derive_from_star_schema, flat_views, globe_sources
 
 _CACHE: dict[tuple, ExperimentPipeline] = {}
 _SOURCES: dict[tuple, SourceTables] = {}
@@ -60,6 +60,12 @@ def orders_in_zone_geodesic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.orders_in_zone(sessions, grid, cover, warehouse, geodesic=True).drop("ring_tested")
 
 
+def mann_whitney_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rank test on many small samples without ties: the exact distribution decides nearly all of them."""
+    users = flat_views(spark, sf_dir, ("f_small_tests",))["f_small_tests"]
+    return stats.mann_whitney(users, "profit_per_user", FIXTURE_CONFIG)
+
+
 STEPS: dict[str, tuple[PipelineConfig, Callable[[ExperimentPipeline], DataFrame]]] = {
     "valid_experiments": (FIXTURE_CONFIG, lambda p: p.valid_experiments),
     "target_groups": (FIXTURE_CONFIG, lambda p: p.target_groups),
@@ -112,7 +118,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def make(cfg, fn):
         return lambda spark, sf_dir: fn(pipeline(spark, sf_dir, cfg))
     found = {name: make(cfg, fn) for name, (cfg, fn) in STEPS.items()}
-    return found | {"orders_in_zone_geodesic": orders_in_zone_geodesic}
+    return found | {"orders_in_zone_geodesic": orders_in_zone_geodesic, "mann_whitney_exact": mann_whitney_exact}
 
 
 FLAGSHIP = "significance_combined"

@@ -354,6 +354,16 @@ FROM (
 ) t
 """
 
+# Small tests for the exact rank distribution: each customer is a test, its
+# orders are the users, dealt to Control and two variants; totals in cents hardly
+# ever tie, and most samples have at most eight values.
+F_SMALL_TESTS = """
+SELECT CONCAT('N', CAST(o_custkey % 25 AS STRING)) AS entity_id, CAST(o_custkey AS BIGINT) AS test_id,
+       CASE o_orderkey % 3 WHEN 0 THEN 'Control' WHEN 1 THEN 'Variation1' ELSE 'Variation2' END AS variant,
+       FLOOR(o_totalprice * 100) / CAST(100 AS DOUBLE) AS profit_per_user
+FROM {orders}
+"""
+
 # Flat views in dependency order: (name, sql, placeholders).
 FLAT_VIEWS: list[tuple[str, str]] = [
     ("f_entities", F_ENTITIES),
@@ -370,6 +380,7 @@ FLAT_VIEWS: list[tuple[str, str]] = [
     ("f_session_zones", F_SESSION_ZONES),
     ("f_globe_points", F_GLOBE_POINTS),
     ("f_globe_orders", F_GLOBE_ORDERS),
+    ("f_small_tests", F_SMALL_TESTS),
 ]
 
 BASE_TABLES = ("supplier", "lineitem", "orders", "events")

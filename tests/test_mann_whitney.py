@@ -91,8 +91,37 @@ def test_missing_control_gives_null(spark):
 
 
 @pytest.mark.parametrize("m,n", [(1, 1), (2, 3), (3, 8), (8, 8), (4, 20)])
-def test_u_distribution_sums_to_one(m, n):
-    cdf = stats._u_cdf(m, n)
-    assert abs(cdf[-1] - 1.0) < 1e-12
-    pmf = np.diff(np.concatenate([[0.0], cdf]))
-    assert np.allclose(pmf, pmf[::-1])  # symmetric around mn/2
+def test_u_distribution_by_enumeration(spark, m, n):
+    sizes = spark.createDataFrame([(m, n), (1, 4)], "m long, n long")
+    got = {r.u: r.p_upper for r in stats.u_distribution(sizes, 8).where((F.col("m") == m) & (F.col("n") == n)).collect()}
+    counts = [0] * (m * n + 1)
+    for chosen in itertools.combinations(range(m + n), m):
+        counts[sum(chosen) - m * (m - 1) // 2] += 1
+    total = math.comb(m + n, m)
+    assert len(got) == m * n + 1
+    for u in range(m * n + 1):
+        assert abs(got[u] - sum(counts[u:]) / total) < 1e-12
+
+
+@pytest.mark.parametrize("power", [1, 6])
+def test_ranges_are_even_however_values_are_spread(spark, power):
+    """Heavy tails: equal widths would put nearly all values into one range."""
+    rows = spark.range(60_000).select(
+        F.lit("E").alias("g"), F.pow(F.rand(3), F.lit(-power)).alias("value"), F.lit(1).alias("n"))
+    sizes = stats.rank_ranges(rows, ["g"]).groupBy("__range").count()
+    most, ranges = sizes.agg(F.max("count"), F.count("*")).first()
+    assert most <= 4 * 60_000 / stats.RANK_RANGES and ranges == stats.RANK_RANGES
+    # Ranges follow the values' order.
+    ends = stats.rank_ranges(rows, ["g"]).groupBy("__range").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).orderBy("__range").collect()
+    assert all(a.hi < b.lo for a, b in zip(ends, ends[1:]))
+
+
+def test_many_values_in_many_ranges(spark):
+    """Ties within and across variants, spread over all ranges."""
+    rng = np.random.default_rng(8)
+    groups = [(list(np.round(rng.pareto(1, 700), 1)), list(np.round(rng.pareto(1, 900), 1))),
+              (list(np.round(rng.normal(0, 1, 500), 3)), list(np.round(rng.normal(0.2, 1, 400), 3)))]
+    out = {r.test_id: r for r in stats.mann_whitney(_frame(spark, groups), "m", PipelineConfig()).collect()}
+    for i, (x, y) in enumerate(groups):
+        assert abs(out[i].p_value - reference_p([float(v) for v in x], [float(v) for v in y])) < 1e-4 + 1e-9
+        assert out[i].u_statistic == sum((a > b) + (a == b) / 2 for a in x for b in y)

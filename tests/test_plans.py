@@ -35,12 +35,9 @@ def test_filters_reach_the_order_scan(pipe):
     assert any("IsNotNull(delivery_status)" in s and "GreaterThanOrEqual(created_date" in s for s in scans)
 
 
-def test_rank_test_has_no_python_on_the_data_path(pipe):
+def test_statistics_run_no_python(pipe):
     plan = _plan(pipe.significance_exp)
-    # the only Python node is the exact p-value UDF, applied after the per-pair aggregate
-    # (both KPIs and both granularities are tested in one stacked pass)
-    assert plan.count("ArrowEvalPython") >= 1
-    assert "BatchEvalPython" not in plan
+    assert "EvalPython" not in plan and "InPandas" not in plan
 
 
 def test_no_shuffle_of_a_fact_carries_a_polygon(pipe):
