@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from abspark.config import PipelineConfig
 from abspark.operators import kpis, orders, questions, sessions, setups, stats, zone_cover
 from abspark.session import ensure_checkpoint_dir
+from abspark.sources import versions
 from abspark.sources.tables import SourceTables
 
 
@@ -40,6 +41,16 @@ class ExperimentPipeline:
               "sessions_with_flag", "kpis_per_user", "treatment_order_share", "kpi_histogram", "significance_combined")
     # Session-grain tables are laid out by date, so date filters prune files on read.
     BY_DATE = ("experiment_sessions_stg", "experiment_sessions", "sessions_with_flag")
+    # Big tables are clustered in the order in which the study sorts them: rows of
+    # one test share row groups, so a filter on a test skips the others.
+    CLUSTERED = {
+        **dict.fromkeys(("experiment_orders", "order_profit", "clean_orders"), ("entity_id", "country_code", "experiment_id")),
+        **dict.fromkeys(("experiment_sessions_stg", "experiment_sessions", "session_treatment_flag", "sessions_with_flag",
+                         "users_per_test"), ("entity_id", "country_code", "test_id")),
+        "kpis_per_user": ("entity_id", "country_code", "test_id", "perseus_client_id", "variant", "target_group"),
+    }
+    # The result table has a few rows per test: sorted as a whole, one file.
+    SORTED = {"significance_combined": (*stats.SIG_KEYS, "granularity")}
 
     def __init__(self, src: SourceTables, cfg: PipelineConfig | None = None, out: str | None = None,
                  stage: bool = True):
@@ -55,15 +66,17 @@ class ExperimentPipeline:
             return df
         spark = df.sparkSession
         if final:
-            path = f"{self.out}/{name}"
-            written = df
+            written, by = df, ()
             if name == "kpis_per_user":
                 written = df.withColumn("data_pull_timestamp", F.current_timestamp())
             if name in self.BY_DATE:
                 # One date's rows meet in as many tasks as their size needs, not in every task.
-                written.hint("rebalance", "created_date").write.mode("overwrite").partitionBy("created_date").parquet(path)
-            else:
-                written.write.mode("overwrite").parquet(path)
+                written, by = written.hint("rebalance", "created_date"), ("created_date",)
+            if name in self.CLUSTERED:
+                written = written.sortWithinPartitions(*by, *[c for c in self.CLUSTERED[name] if c in df.columns])
+            if name in self.SORTED:
+                written = written.orderBy(*self.SORTED[name]).coalesce(1)
+            return versions.replace(written, f"{self.out}/{name}", by).select(*df.columns)
         else:
             if self._scratch is None:
                 self._scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/abspark-{uuid.uuid4().hex}"
@@ -208,8 +221,9 @@ class ExperimentPipeline:
     def write(self, tables: tuple[str, ...] | None = None) -> None:
         """Compute the stage tables (the study's persisted tables) into ``out``, each once, in order.
 
-        Each goes to its own folder and replaces what was there (the study's
-        CREATE OR REPLACE / WRITE_TRUNCATE).
+        Each replaces what its folder held (the study's CREATE OR REPLACE /
+        WRITE_TRUNCATE) at once: readers (:func:`abspark.sources.versions.read`)
+        see the old table until the new one is whole.
         """
         if self.out is None or not self.stage:
             raise ValueError("give the pipeline a folder: ExperimentPipeline(..., out=...)")

@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 from abspark.config import FIXTURE_CONFIG, PipelineConfig
 from abspark.operators import questions
 from abspark.plans.pipeline import ExperimentPipeline
+from abspark.sources import versions
 from abspark.sources.tables import derive_from_star_schema, from_catalog, from_parquet_dir
 
 QUESTIONS = ("overview_stats", "tests_per_entity", "tests_per_entity_vertical", "ts_exp_comparison",
@@ -48,7 +49,7 @@ def run(spark: SparkSession, out: str, sources: str | None = None, star_schema:
     p = ExperimentPipeline(src, cfg, out=f"{folder}/tables")
     p.write()
     for q in QUESTIONS:
-        questions.presented(q, p.question(q)).write.mode("overwrite").parquet(f"{folder}/questions/{q}")
+        versions.replace(questions.presented(q, p.question(q)), f"{folder}/questions/{q}")
     return p
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from abspark.operators import questions
 from abspark.plans import registry
+from abspark.sources import versions
 
 SF = "/root/testdata/sf0.01"
 
@@ -51,7 +52,7 @@ def test_one_pass_statistics_equal_per_granularity(pipe):
 
 
 def _read(spark, folder, name):
-    return spark.read.parquet(f"{folder}/tables/{name}")
+    return versions.read(spark, f"{folder}/tables/{name}")
 
 
 def test_runner_on_uris_writes_both_variants_side_by_side(spark, tmp_path):
@@ -72,8 +73,8 @@ def test_runner_on_uris_writes_both_variants_side_by_side(spark, tmp_path):
         for name in ExperimentPipeline.STAGE_TABLES:
             _read(spark, folder, name)
         for q in QUESTIONS:
-            spark.read.parquet(f"{folder}/questions/{q}")
-        bins = spark.read.parquet(f"{folder}/questions/treatment_share_bins").collect()
+            versions.read(spark, f"{folder}/questions/{q}")
+        bins = versions.read(spark, f"{folder}/questions/treatment_share_bins").collect()
         assert [r.bin for r in bins] == list(range(1, 21))
     assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
 
