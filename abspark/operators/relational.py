@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 # Largest side (bytes of its rows as text) that a join may broadcast after its size was checked.
@@ -38,12 +41,27 @@ def key_semi_join(df: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]])
     made distinct first and a NULL key never matches, which is what a
     ``CONCAT(k1, ' | ', k2 ...) IN (SELECT DISTINCT CONCAT(...))`` filter does
     (CONCAT is NULL when any part is NULL), without the string building.
+
+    A small key set is broadcast; where ``df`` is partitioned by one of the keys,
+    the broadcast also prunes partitions.  A larger one is joined on one hash of
+    the whole tuple (the parts are compared beside it), so that Spark's runtime
+    filter can build one Bloom filter of the tuples and apply it to ``df`` before
+    the shuffle.  Both kinds of runtime filter are only made from a side with a
+    selective predicate, hence the comparison on the first text key; it holds for
+    every value that is not NULL.
     """
-    k = broadcast_if_small(keys.select(*[F.col(r).alias(f"__k{i}") for i, (_, r) in enumerate(on)]).distinct())
-    cond = None
-    for i, (left, _) in enumerate(on):
-        c = df[left] == k[f"__k{i}"]
-        cond = c if cond is None else cond & c
+    k = keys.select(*[F.col(r).alias(f"__k{i}") for i, (_, r) in enumerate(on)])
+    texts = [f"__k{i}" for i, (_, r) in enumerate(on) if isinstance(keys.schema[r].dataType, StringType)]
+    if texts:
+        k = k.where(F.col(texts[0]) >= "")
+    pairs = [(df[left], f"__k{i}") for i, (left, _) in enumerate(on)]
+    if measured_bytes(k.distinct()) <= BROADCAST_MAX_BYTES:
+        k = F.broadcast(k.distinct())
+        cond = reduce(and_, [c == k[name] for c, name in pairs])
+    else:
+        cond = F.xxhash64(*[c for c, _ in pairs]) == F.xxhash64(*[k[name] for _, name in pairs])
+        for c, name in pairs:
+            cond = cond & F.coalesce(c == k[name], F.lit(False))
     return df.join(k, cond, "left_semi")
 
 

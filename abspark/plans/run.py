@@ -20,7 +20,7 @@ from abspark.config import FIXTURE_CONFIG, PipelineConfig
 from abspark.operators import questions
 from abspark.plans.pipeline import ExperimentPipeline
 from abspark.sources import versions
-from abspark.sources.tables import derive_from_star_schema, from_catalog, from_parquet_dir
+from abspark.sources.tables import derive_from_star_schema, from_catalog, from_parquet_dir, without_rejects
 
 QUESTIONS = ("overview_stats", "tests_per_entity", "tests_per_entity_vertical", "ts_exp_comparison",
              "direction_agreement", "significance_agreement", "records_in_treatment",
@@ -34,8 +34,12 @@ def variant_folder(out: str, cfg: PipelineConfig) -> str:
 
 
 def run(spark: SparkSession, out: str, sources: str | None = None, star_schema: str | None = None,
-        cfg: PipelineConfig | None = None, database: str | None = None) -> ExperimentPipeline:
-    """Write the stage tables and question tables of one variant under ``variant_folder(out, cfg)``."""
+        cfg: PipelineConfig | None = None, database: str | None = None, set_apart: bool = False) -> ExperimentPipeline:
+    """Write the stage tables and question tables of one variant under ``variant_folder(out, cfg)``.
+
+    ``set_apart``: source rows that break their contract's rules go to
+    ``rejects/<source>`` there, with the rules they break, and not into the study.
+    """
     if sum(x is not None for x in (sources, star_schema, database)) != 1:
         raise ValueError("give exactly one of sources / star_schema / database")
     # Dates are taken from timestamps: the study's warehouse works in UTC.
@@ -46,6 +50,10 @@ def run(spark: SparkSession, out: str, sources: str | None = None, star_schema:
         src = from_parquet_dir(spark, sources) if sources is not None else from_catalog(spark, database)
     cfg = cfg or (FIXTURE_CONFIG if star_schema is not None else PipelineConfig())
     folder = variant_folder(out, cfg)
+    if set_apart:
+        src, rejects = without_rejects(src)
+        for name, rows in rejects.items():
+            versions.replace(rows, f"{folder}/rejects/{name}")
     p = ExperimentPipeline(src, cfg, out=f"{folder}/tables")
     p.write()
     for q in QUESTIONS:
@@ -60,6 +68,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--star-schema", help="folder of the star-schema test tables to derive the sources from")
     ap.add_argument("--out", required=True)
     ap.add_argument("--all-verticals", action="store_true", help="turn the vertical-type filter off")
+    ap.add_argument("--set-apart", action="store_true", help="write source rows that break their rules to rejects/ and leave them out")
     ap.add_argument("--start-floor", help="first test start date / fact date (default 2021-01-01)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("abspark").getOrCreate()
@@ -68,7 +77,7 @@ def main(argv: list[str] | None = None) -> None:
         cfg = replace(cfg, sub_vertical_filter=False)
     if args.start_floor:
         cfg = replace(cfg, start_floor=args.start_floor)
-    run(spark, args.out, args.sources, args.star_schema, cfg, args.database)
+    run(spark, args.out, args.sources, args.star_schema, cfg, args.database, args.set_apart)
 
 
 if __name__ == "__main__":

@@ -74,5 +74,12 @@ def scale_conf(shuffled_bytes: int, target_partition_bytes: int = 256 << 20) ->
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.parquet.filterPushdown": "true",
+        # Key sets too large to broadcast: a Bloom filter of up to 16 MB on the fact's scan.
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "4g",
+        "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "10000000",
+        "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "10000000",
+        "spark.sql.optimizer.runtime.bloomFilter.numBits": str(1 << 27),
+        "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(1 << 27),
         "spark.sql.session.timeZone": "UTC",
     }

@@ -21,9 +21,10 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from abspark.session import ensure_checkpoint_dir
-from abspark.sources import fixtures
+from abspark.sources import fixtures, schemas
 
 SOURCE_NAMES = (
     "experiment_setups",
@@ -222,17 +223,66 @@ def globe_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return zones, orders, warehouse
 
 
+# Layouts of the facts.  Partitioned folders: the date floor prunes dates, and the
+# semi-join with the tests' keys prunes entities at run time.  Bucketed tables:
+# orders, warehouse and platform orders share buckets of (entity, order code) and
+# meet without a shuffle.
+PARTITIONS = {
+    "orders_sessions": ("created_date", "entity_id"),
+    "courier_timings": ("created_date", "entity_id"),
+    "logistics_orders": ("created_date",),
+    "platform_orders": ("created_date_utc",),
+    "ga_sessions": ("created_date", "entity_id"),
+}
+BUCKETS = {
+    "orders_sessions": ("entity_id", "platform_order_code"),
+    "warehouse_orders": ("global_entity_id", "order_id"),
+    "platform_orders": ("global_entity_id", "code"),
+}
+
+
+def _read_source(spark: SparkSession, path: str, name: str) -> DataFrame:
+    df = spark.read.parquet(path)
+    # A folder's partition values are text: the contract says of which type, not their look.
+    by = PARTITIONS.get(name, ())
+    if by and tuple(df.columns[-len(by):]) == by:
+        want = {f.name: f for f in schemas.source_schema(name).fields if f.name in by}
+        df = spark.read.schema(StructType([want.get(f.name, f) for f in df.schema.fields])).parquet(path)
+    return schemas.conform(df, name)
+
+
 def from_parquet_dir(spark: SparkSession, path: str) -> SourceTables:
     """Read sources written by :func:`write_sources` (or any producer of the same schemas); any Spark path."""
-    return SourceTables(**{n: spark.read.parquet(f"{path.rstrip('/')}/{n}") for n in SOURCE_NAMES})
+    return SourceTables(**{n: _read_source(spark, f"{path.rstrip('/')}/{n}", n) for n in SOURCE_NAMES})
 
 
 def from_catalog(spark: SparkSession, database: str, names: dict[str, str] | None = None) -> SourceTables:
     """Read the sources from catalog tables of ``database``; ``names`` maps a source to another table name."""
     names = names or {}
-    return SourceTables(**{n: spark.table(f"{database}.{names.get(n, n)}") for n in SOURCE_NAMES})
+    return SourceTables(**{n: schemas.conform(spark.table(f"{database}.{names.get(n, n)}"), n) for n in SOURCE_NAMES})
+
+
+def write_sources(tables: SourceTables, path: str, mode: str = "overwrite", partitioned: bool = False) -> None:
+    """One Parquet folder per source; ``partitioned``: the facts by ``PARTITIONS``."""
+    for name, df in tables.as_dict().items():
+        by = PARTITIONS.get(name, ()) if partitioned else ()
+        writer = (df.hint("rebalance", *by) if by else df).write.mode(mode)
+        (writer.partitionBy(*by) if by else writer).parquet(f"{path.rstrip('/')}/{name}")
+
 
+def write_catalog(tables: SourceTables, database: str, buckets: int = 64, mode: str = "overwrite") -> None:
+    """One catalog table per source; the order tables by ``BUCKETS``, sorted within.
 
-def write_sources(tables: SourceTables, path: str, mode: str = "overwrite") -> None:
+    Of one bucket number, so that their joins need no shuffle; choose it for
+    about a task's worth of the largest table in each bucket.
+    """
     for name, df in tables.as_dict().items():
-        df.write.mode(mode).parquet(f"{path.rstrip('/')}/{name}")
+        keys = BUCKETS.get(name)
+        writer = (df.repartition(buckets, *keys) if keys else df).write.mode(mode)
+        (writer.bucketBy(buckets, *keys).sortBy(*keys) if keys else writer).saveAsTable(f"{database}.{name}")
+
+
+def without_rejects(tables: SourceTables) -> tuple[SourceTables, dict[str, DataFrame]]:
+    """(the sources without rows that break their rules, those rows by source)."""
+    split = {name: schemas.split_rejects(df, name) for name, df in tables.as_dict().items()}
+    return SourceTables(**{n: good for n, (good, _) in split.items()}), {n: bad for n, (_, bad) in split.items()}
