@@ -17,6 +17,8 @@ from abspark.functions.columns import CONTROL, bin_edge, equal_width_bin, round_
 # Labels the study uses.
 OPPOSITE = "Delta - Opposite Direction"
 SAME = "Delta - Same Direction"
+ALL_TESTS = "All Experiments"
+OPPOSITE_TESTS = "Opposite Deltas"
 KPIS = ("order_count", "profit")
 SHARE_BIN_WIDTH = 0.05   # np.arange(0, 1.05, 0.05): 20 right-closed bins on (0, 1]
 SHARE_BINS = 20
@@ -37,6 +39,7 @@ ORDER = {
     "records_in_treatment_bins": ["bin"],
     "treatment_share_bins": ["bin"],
     "significance_by_length": ["kpi", "granularity", "test_length_bin", "sig_flag"],
+    "significance_by_length_wide": ["kpi", "test_length_bin"],
     "significance_by_share": ["kpi", "granularity", "share_bin", "sig_flag"],
 }
 
@@ -84,19 +87,9 @@ def ts_exp_comparison(p) -> DataFrame:
     a = p.analysis
     measures = ["avg_order_count_per_user_delta", "avg_profit_per_user_delta", "order_count_per_user_p_val",
                 "profit_per_user_p_val", "order_count_per_user_sig_flag", "profit_per_user_sig_flag"]
-    ts = a.where(F.col("granularity") == "ts").select(
-        *[F.col(k).alias(f"__t_{k}") for k in TS_EXP_KEYS], *[F.col(m).alias(f"{m}_ts") for m in measures])
-    ex = a.where(F.col("granularity") == "exp").select(
-        *[F.col(k).alias(f"__e_{k}") for k in TS_EXP_KEYS], *[F.col(m).alias(f"{m}_exp") for m in measures])
-    cond = None
-    for k in TS_EXP_KEYS:
-        c = F.col(f"__t_{k}").eqNullSafe(F.col(f"__e_{k}"))
-        cond = c if cond is None else cond & c
-    j = ts.join(ex, cond, "full_outer")
-    out = j.select(
-        *[F.coalesce(F.col(f"__t_{k}"), F.col(f"__e_{k}")).alias(k) for k in TS_EXP_KEYS],
-        *[F.col(f"{m}_{g}") for m in measures for g in ("ts", "exp")],
-    )
+    # One row per key and granularity: grouping by the keys (NULLs are equal) pairs them in one aggregate.
+    of = lambda m, g: F.max(F.when(F.col("granularity") == g, F.col(m))).alias(f"{m}_{g}")
+    out = a.groupBy(*TS_EXP_KEYS).agg(*[of(m, g) for m in measures for g in ("ts", "exp")])
     for kpi in KPIS:
         d_exp, d_ts = F.col(f"avg_{kpi}_per_user_delta_exp"), F.col(f"avg_{kpi}_per_user_delta_ts")
         opposite = ((d_exp < 0) & (d_ts > 0)) | ((d_exp > 0) & (d_ts < 0))
@@ -105,20 +98,23 @@ def ts_exp_comparison(p) -> DataFrame:
     return out
 
 
+def _by_kpi(comparison: DataFrame) -> DataFrame:
+    """The comparison with its KPIs as rows: (kpi, delta_direction, ts, exp), the flags at both granularities."""
+    rows = [F.struct(F.lit(k).alias("kpi"), F.col(f"{k}_delta_same_dir_flag").alias("delta_direction"),
+                     F.col(f"{k}_per_user_sig_flag_ts").alias("ts"), F.col(f"{k}_per_user_sig_flag_exp").alias("exp"))
+            for k in KPIS]
+    return comparison.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def direction_agreement(p, threshold: float | None = None) -> DataFrame:
     """Per KPI: how often the ts and exp deltas point in opposite directions, and the verdict."""
     threshold = p.cfg.opposite_threshold if threshold is None else threshold
-    comp = ts_exp_comparison(p)
-    parts = []
-    for kpi in KPIS:
-        flag = f"{kpi}_delta_same_dir_flag"
-        c = comp.groupBy(F.col(flag).alias("delta_direction")).agg(F.count(F.lit(1)).alias("freq"))
-        parts.append(c.select(F.lit(kpi).alias("kpi"), "*"))
-    counts = parts[0].unionByName(parts[1])
-    total = counts.groupBy("kpi").agg(
-        F.sum("freq").alias("__total"),
-        F.sum(F.when(F.col("delta_direction") == OPPOSITE, F.col("freq")).otherwise(0)).alias("__opp"))
-    return counts.join(total, "kpi").select(
+    count = lambda d: F.count_if(F.col("delta_direction") == d)
+    per_kpi = _by_kpi(p.ts_exp_comparison).groupBy("kpi").agg(
+        F.count(F.lit(1)).alias("__total"), count(OPPOSITE).alias("__opp"),
+        F.array(*[F.struct(F.lit(d).alias("delta_direction"), count(d).alias("freq")) for d in (OPPOSITE, SAME)]).alias("__rows"))
+    counts = per_kpi.select("kpi", "__total", "__opp", F.explode("__rows").alias("r")).select("*", "r.*").where("freq > 0")
+    return counts.select(
         "kpi", "delta_direction", "freq",
         round_half_even(F.col("freq") / F.col("__total"), 4).alias("share"),
         (round_half_even(F.col("__opp") / F.col("__total"), 4) > F.lit(threshold)).alias("many_opposite"),
@@ -126,23 +122,24 @@ def direction_agreement(p, threshold: float | None = None) -> DataFrame:
 
 
 def significance_agreement(p) -> DataFrame:
-    """2x2 Sig/Not Sig matrix of ts vs exp per KPI, over all tests and over opposite-delta tests."""
-    comp = ts_exp_comparison(p)
-    rows = []
-    for kpi in KPIS:
-        ts, ex = F.col(f"{kpi}_per_user_sig_flag_ts"), F.col(f"{kpi}_per_user_sig_flag_exp")
-        for cut, cond in (("All Experiments", F.lit(True)),
-                          ("Opposite Deltas", F.col(f"{kpi}_delta_same_dir_flag") == OPPOSITE)):
-            cells = []
-            for a in ("Not Sig", "Sig"):
-                for b in ("Not Sig", "Sig"):
-                    name = f"ts_{a.lower().replace(' ', '_')}_exp_{b.lower().replace(' ', '_')}"
-                    cells.append(F.count(F.when((ts == a) & (ex == b), 1)).alias(name))
-            rows.append(comp.where(cond).agg(*cells).select(F.lit(kpi).alias("kpi"), F.lit(cut).alias("data_cut"), "*"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    """2x2 Sig/Not Sig matrix of ts vs exp per KPI, over all tests and over opposite-delta tests.
+
+    One pass: grouping sets count every KPI as a whole and by direction, the
+    join adds the cuts that no test is in.
+    """
+    flags = ("Not Sig", "Sig")
+    name = lambda a, b: f"ts_{a.lower().replace(' ', '_')}_exp_{b.lower().replace(' ', '_')}"
+    cells = [F.count_if((F.col("ts") == a) & (F.col("exp") == b)).alias(name(a, b)) for a in flags for b in flags]
+    rows = _by_kpi(p.ts_exp_comparison)
+    counted = rows.groupingSets([["kpi"], ["kpi", "delta_direction"]], "kpi", "delta_direction").agg(
+        F.grouping("delta_direction").alias("__all"), *cells)
+    cut = F.when(F.col("__all") == 1, ALL_TESTS).when(F.col("delta_direction") == OPPOSITE, OPPOSITE_TESTS)
+    counted = counted.withColumn("data_cut", cut).where("data_cut is not null")
+    kpis = F.explode(F.array(*[F.lit(k) for k in KPIS])).alias("kpi")
+    grid = p.ts_exp_comparison.sparkSession.range(1).select(kpis).select(
+        "kpi", F.explode(F.array(F.lit(ALL_TESTS), F.lit(OPPOSITE_TESTS))).alias("data_cut"))
+    return grid.join(counted, ["kpi", "data_cut"], "left").select(
+        "kpi", "data_cut", *[F.coalesce(name(a, b), F.lit(0)).alias(name(a, b)) for a in flags for b in flags])
 
 
 # ---- Q1': share of records / orders in treatment ---------------------------------
@@ -242,6 +239,19 @@ def significance_by_length(p) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def significance_by_length_wide(p) -> DataFrame:
+    """The length table as the study shows it: a row per KPI and length bin, columns per granularity and flag.
+
+    The pivot's values are declared, so its columns do not depend on the data
+    and no job runs to find them; what never occurs is NULL.
+    """
+    long = significance_by_length(p)
+    cell = F.concat_ws("_", "granularity", F.lower(F.replace("sig_flag", F.lit(" "), F.lit("_"))))
+    cells = [f"{g}_{f}" for g in ("exp", "ts") for f in ("not_sig", "sig")]
+    return long.withColumn("cell", cell).groupBy("kpi", "test_length_bin", "length_lo", "length_hi").pivot("cell", cells).agg(
+        F.sum("freq").alias("freq"), F.sum("sig_pct").alias("sig_pct"))
+
+
 SHARE_LEVELS = ("(0, 0.2]", "(0.2, 0.5]", "(0.5, 1]")
 
 

@@ -38,7 +38,8 @@ class ExperimentPipeline:
     )
     # Tables that more than one later step reads.
     REUSED = ("target_groups", "variant_schemes", "zone_geography", "zone_grid", "zone_cover", "clean_orders", "experiment_sessions",
-              "sessions_with_flag", "kpis_per_user", "treatment_order_share", "kpi_histogram", "significance_combined")
+              "sessions_with_flag", "kpis_per_user", "treatment_order_share", "kpi_histogram", "significance_combined",
+              "ts_exp_comparison")
     # Session-grain tables are laid out by date, so date filters prune files on read.
     BY_DATE = ("experiment_sessions_stg", "experiment_sessions", "sessions_with_flag")
     # Big tables are clustered in the order in which the study sorts them: rows of
@@ -214,8 +215,13 @@ class ExperimentPipeline:
     def analysis(self) -> DataFrame:
         return questions.analysis_rows(self.significance_combined)
 
+    @cached_property
+    def ts_exp_comparison(self) -> DataFrame:
+        return self._stage(questions.ts_exp_comparison(self), "ts_exp_comparison")
+
     def question(self, name: str) -> DataFrame:
-        return getattr(questions, name)(self)
+        staged = {"ts_exp_comparison": lambda: self.ts_exp_comparison}
+        return staged.get(name, lambda: getattr(questions, name)(self))()
 
     # ---- sinks ---------------------------------------------------------------
     def write(self, tables: tuple[str, ...] | None = None) -> None:

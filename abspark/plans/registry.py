@@ -102,7 +102,8 @@ STEPS: dict[str, tuple[PipelineConfig, Callable[[ExperimentPipeline], DataFrame]
 # The variant with the vertical-type filter off, and the options, to the end.
 for _name in ("experiment_sessions", "clean_orders", "kpis_per_user", "treatment_order_share", "significance_combined"):
     STEPS[f"{_name}_all_verticals"] = (ALL_VERTICALS, lambda p, n=_name: getattr(p, n))
-for _name in ("order_profit", "experiment_sessions", "kpis_per_user"):
+for _name in ("order_profit", "experiment_sessions", "kpis_per_user", "clean_orders", "treatment_order_share",
+              "significance_combined"):
     STEPS[f"{_name}_multi_vertical"] = (MULTI_VERTICAL, lambda p, n=_name: getattr(p, n))
 STEPS["clean_orders_exact_scheme"] = (EXACT_SCHEME, lambda p: p.clean_orders)
 STEPS["clean_orders_geodesic"] = (GEODESIC, lambda p: p.clean_orders)
@@ -110,7 +111,7 @@ STEPS["order_profit_fee_fallback"] = (PROFIT_FALLBACK, lambda p: p.order_profit)
 for _name in ("overview_stats", "tests_per_entity", "tests_per_entity_vertical", "ts_exp_comparison",
               "direction_agreement", "significance_agreement", "records_in_treatment",
               "records_in_treatment_summary", "records_in_treatment_bins", "treatment_share_summary",
-              "treatment_share_bins", "significance_by_length", "significance_by_share"):
+              "treatment_share_bins", "significance_by_length", "significance_by_length_wide", "significance_by_share"):
     STEPS[_name] = (FIXTURE_CONFIG, getattr(questions, _name))
 
 

@@ -25,7 +25,8 @@ from abspark.sources.tables import derive_from_star_schema, from_catalog, from_p
 QUESTIONS = ("overview_stats", "tests_per_entity", "tests_per_entity_vertical", "ts_exp_comparison",
              "direction_agreement", "significance_agreement", "records_in_treatment",
              "records_in_treatment_summary", "records_in_treatment_bins", "treatment_share_summary",
-             "treatment_share_bins", "significance_by_length", "significance_by_share")
+             "treatment_share_bins", "significance_by_length", "significance_by_length_wide",
+             "significance_by_share")
 
 
 def variant_folder(out: str, cfg: PipelineConfig) -> str:

@@ -12,7 +12,8 @@ SF = "/root/testdata/sf0.001"
 KEYS = ["target_groups", "zone_geography", "orders_in_zone", "clean_orders", "experiment_sessions",
         "kpis_per_user", "significance_combined", "significance_by_length", "records_in_treatment_bins",
         "clean_orders_exact_scheme", "order_profit_fee_fallback", "kpis_per_user_all_verticals",
-        "order_profit_multi_vertical"]
+        "order_profit_multi_vertical", "orders_in_zone_geodesic", "clean_orders_geodesic", "mann_whitney_exact",
+        "significance_by_length_wide", "significance_agreement", "significance_combined_multi_vertical"]
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +33,12 @@ def test_matches_oracle(spark, con, key):
     assert rows_of(df.columns, df.collect()) == rows_of(o_cols, res.fetchall())
 
 
+def test_most_small_samples_take_the_exact_branch(spark):
+    rows = entry.queries()["mann_whitney_exact"](spark, SF).groupBy("method").count().collect()
+    counts = {r.method: r["count"] for r in rows}
+    assert counts["exact"] > 100 and counts["exact"] > counts.get("asymptotic", 0)
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     rows = df.collect()

@@ -21,7 +21,9 @@ def _row(test_id, length, gran, d_oc, p_oc, d_pr, p_pr, share, variant="Variatio
 
 
 def _pipe(spark, rows):
-    return SimpleNamespace(analysis=spark.createDataFrame(rows, SCHEMA), cfg=PipelineConfig())
+    pipe = SimpleNamespace(analysis=spark.createDataFrame(rows, SCHEMA), cfg=PipelineConfig())
+    pipe.ts_exp_comparison = questions.ts_exp_comparison(pipe)
+    return pipe
 
 
 def test_significance_by_length_odds(spark):
@@ -64,3 +66,28 @@ def test_direction_with_null_delta(spark):
     # only test 0 points opposite ways; a NULL or zero delta counts as the same direction
     assert out["Delta - Opposite Direction"].freq == 1 and out["Delta - Same Direction"].freq == 3
     assert out["Delta - Opposite Direction"].share == 0.25 and out["Delta - Opposite Direction"].many_opposite is False
+
+
+def test_agreement_in_one_pass_with_cuts_that_no_test_is_in(spark):
+    rows = [_row(1, 5, "exp", 0.1, 0.05, 0.1, 0.5, 0.3), _row(1, 5, "ts", -0.1, 0.05, 0.2, 0.01, 0.3),
+            _row(2, 5, "exp", 0.1, None, 0.1, 0.5, 0.3)]  # no ts row: its flags are NULL there
+    got = questions.significance_agreement(_pipe(spark, rows))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") == 1 and plan.count("Join") == 1
+    cells = {(r.kpi, r.data_cut): tuple(r)[2:] for r in got.collect()}
+    assert cells == {("order_count", "All Experiments"): (0, 0, 0, 1), ("order_count", "Opposite Deltas"): (0, 0, 0, 1),
+                     ("profit", "All Experiments"): (0, 0, 1, 0), ("profit", "Opposite Deltas"): (0, 0, 0, 0)}
+    none = questions.significance_agreement(_pipe(spark, [])).collect()
+    assert len(none) == 4 and all(tuple(r)[2:] == (0, 0, 0, 0) for r in none)
+
+
+def test_wide_length_table(spark):
+    rows = [_row(1, 5, "exp", 0.1, 0.05, 0.1, 0.5, 0.3), _row(2, 5, "exp", 0.1, 0.5, 0.1, 0.5, 0.3),
+            _row(3, 30, "exp", 0.1, 0.01, 0.1, 0.5, 0.3)]
+    got = questions.significance_by_length_wide(_pipe(spark, rows))
+    assert got.columns[4:] == [f"{g}_{f}_{v}" for g in ("exp", "ts") for f in ("not_sig", "sig") for v in ("freq", "sig_pct")]
+    by_bin = {r.test_length_bin: r for r in got.where("kpi = 'order_count'").collect()}
+    assert len(by_bin) == 11
+    assert (by_bin[1].exp_sig_freq, by_bin[1].exp_not_sig_freq, by_bin[1].exp_sig_sig_pct) == (1, 1, 1.0)
+    assert (by_bin[5].exp_sig_freq, by_bin[5].exp_sig_sig_pct) == (1, math.inf) and by_bin[2].exp_sig_freq == 0
+    assert all(r.ts_sig_freq is None for r in by_bin.values())  # no ts row at all
