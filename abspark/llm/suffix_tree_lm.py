@@ -2,26 +2,29 @@
 
 Symbols are the bytes of the normalised text: its words (`[^\\x20\\x09-\\x0D]+`,
 A-Z lower-cased), each closed by one space, and one end byte.  No token's bytes
-begin another's, so a token has the product of its bytes' probabilities.  The
-tree's contexts are of variable length, up to ``DEPTH`` bytes back into the text:
+begin another's, so a token has the product of its bytes' probabilities, and the
+probabilities of all possible tokens after a history sum to at most one: an unseen
+word costs what its spelling costs.  The tree's contexts are of variable length,
+up to ``DEPTH`` bytes back into the text:
 
 * counts of every context and next symbol, over all training texts;
 * a context is a candidate when it occurs ``MIN_COUNT`` times, however large the
-  corpus, so the tree grows with it; contexts of the largest counts, up to
-  ``TREE_ROOM`` pairs, are looked up in the tasks, and what may have a longer
-  context beyond them is scored by a join with the rest of the tree;
+  corpus, so the tree grows with it;
 * a candidate is retained when its next-symbol distribution diverges from its
-  suffix's by at least ``MIN_GAIN`` nats over its occurrences, and so are all
-  suffixes of a retained one;
-* a retained context's distribution is smoothed with its suffix's, weighted by
-  the number of its next symbols, down to the root's add-one counts.
-
-A symbol is scored in the longest retained suffix of what precedes it; a next
-symbol that was not seen there falls to the suffix's distribution with the
-smoothing weight.  Each token's probability is smoothed once more, with the
-word's own add-one share (the base score's) at weight ``WORD_SHARE``: the tree
-knows how unseen words are spelled, the counts know frequent words whole.  The
-score is the log10 probability of the whole text.
+  suffix's by at least ``MIN_GAIN`` nats over its occurrences;
+* a retained context's distribution is smoothed with that of its longest retained
+  suffix, weighted by the number of its next symbols (Witten and Bell), down to
+  the root's add-one counts.
+
+A symbol is scored in the longest retained suffix of what precedes it.  The score
+is the log10 probability of the whole text.
+
+Grams are dealt by the three bytes nearest to the symbol, in packed blocks, so a
+subtree lies in one task, which counts, tests and emits only what is retained: one
+shuffle.  Contexts of up to two bytes (at most 2**24 pairs) are tested on the
+driver.  Scoring looks up the contexts of the largest counts, up to ``TREE_ROOM``
+rows, in the tasks; a bit map of bounded size tells which grams may have a context
+in the rest of the tree, and those are scored by a join.
 
 The base score needs a count for every word, which grows with the corpus: the
 ``FREQUENT`` most frequent words (a bounded table) are looked up in the tasks,
@@ -30,33 +33,38 @@ all others by a join.  Words are keyed by a 64-bit hash.
 Defined cases: null, empty and white-space-only texts are the end token alone;
 a null doc_id counts as the text '' for the fold; with no training text every
 count is zero and the tree is the uniform root; repeated rows have equal
-results; other columns are not read.
+results; very long texts are counted and scored like any other, their words a
+batch at a time; ties do not occur (nothing is ranked); other columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abspark.llm.chunks import Chunks, ascii_words
-from abspark.llm.common import bounded_batches, new_folder, staged, thrifty
+from abspark.llm.common import bounded_batches, mix64, new_folder, staged, thrifty
 
 FOLDS, FOLD = 7, 2
 DEPTH = 6
-MIN_COUNT = 16
-TREE_ROOM = 2_000_000
+MIN_COUNT = 64
 MIN_GAIN = 8.0
-WORD_SHARE = 0.5
+TREE_ROOM = 2_000_000
 FREQUENT = 1 << 18
+TOP = 2  # contexts up to this length are tested on the driver
+BUCKETS = 4096  # parts of the subtrees
+BUCKET_GRAMS = 1_000_000  # counted grams of one subtree task, about
+MAP_BITS = 1 << 26
 END = 10  # no word holds a newline
 _MERGE = 4_000_000
+_CONTEXT = 1 << 60  # marks a context's key; a key holds its length above 56 bits
 
 
 def held_out(doc_id: Column) -> Column:
@@ -85,20 +93,20 @@ def symbols(cut: Chunks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def grams(stream: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Each symbol and the ``DEPTH`` bytes before it, nearest first, in 56 bits from the top.
+    """The ``DEPTH`` bytes before each symbol, nearest first, and the symbol in the lowest byte.
 
     END marks the text's begin, zeros what is before that.  A shorter context
     is a prefix of the number, so sorted grams are sorted at every length.
     """
     size = np.diff(begins)
     first = [begins[:-1][size > place] + place for place in range(DEPTH)]  # each text's first places
-    out = stream.astype(np.uint64) << np.uint64(8 * DEPTH)
+    out = stream.astype(np.uint64)
     for back in range(1, DEPTH + 1):
         byte = np.zeros(len(stream), np.uint64)
         byte[back:] = stream[:-back]
         for place in range(back):
             byte[first[place]] = END if place == back - 1 else 0
-        out |= byte << np.uint64(8 * (DEPTH - back))
+        out |= byte << np.uint64(8 * (DEPTH - back + 1))
     return out
 
 
@@ -108,223 +116,319 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 
 class _Counts:
-    """Counts by key of what was added; merged whenever the parts grow large."""
+    """Counts by key of what was added; ``full`` when so many distinct keys are held that they should go out."""
 
     def __init__(self):
-        self.keys, self.counts, self.held = [], [], 0
+        self.keys, self.counts, self.held, self.full = [], [], 0, False
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self.keys.append(keys)
         self.counts.append(counts)
         self.held += len(keys)
         if self.held > _MERGE:
-            self.merge()
-            # What is left is distinct; the next merge waits for as much again.
-            self.held = 0
+            self.held = len(self.merge()[0])
+            self.full = self.held > _MERGE // 2
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
         if not self.keys:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         key, count = _summed(self.keys, self.counts)
         self.keys, self.counts = [key], [count]
         return key, count
 
+    def taken(self) -> tuple[np.ndarray, np.ndarray]:
+        out = self.merge()
+        self.__init__()
+        return out
+
+
+def shorter(pair: np.ndarray) -> np.ndarray:
+    """Pairs (context, symbol) without the context's oldest byte."""
+    return (pair >> np.uint64(16) << np.uint64(8)) | (pair & np.uint64(255))
+
+
+def packed(key: np.ndarray, n: np.ndarray) -> bytes:
+    """Sorted keys as their differences, in the fewest bytes that hold the largest, and counts likewise."""
+    step = np.diff(key, prepend=np.uint64(0))
+    parts = [np.array([len(key)], "<u8").tobytes()]
+    for values in (step, n.astype(np.uint64)):
+        width = max(1, (int(values.max()).bit_length() + 7) // 8)
+        parts.append(bytes([width]) + values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())  # like bytes together
+    return b"".join(parts)
+
+
+def unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray]:
+    size, at, out = int(np.frombuffer(block, "<u8", 1)[0]), 8, []
+    for _ in range(2):
+        width = block[at]
+        raw = np.zeros((size, 8), np.uint8)
+        raw[:, :width] = np.frombuffer(block, np.uint8, size * width, at + 1).reshape(width, size).T
+        out.append(raw.reshape(-1).view("<u8"))
+        at += 1 + size * width
+    return np.cumsum(out[0], dtype=np.uint64), out[1].astype(np.int64)
+
+
+WORDS, SHORT, GRAMS = 0, 1, 2
+
 
 def corpus_counts(docs: DataFrame) -> DataFrame:
-    """(kind, key, n): kind 0 for words (hashes), kind 1 for grams; summed per task, to be summed over tasks."""
+    """(kind, key, n, block), summed per task: words by hash, short pairs, and grams in packed blocks (key: bucket, n: how many)."""
     bounded_batches(docs.sparkSession)
+    names = ["kind", "key", "n", "block"]
+
+    def plain_rows(kind: int, key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(key), 100_000):
+            k, c = key[at : at + 100_000], n[at : at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int8)), pa.array(k.view(np.int64)), pa.array(c), pa.nulls(len(k), pa.binary())], names=names)
+
+    def gram_rows(key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        short, at = np.unique((key >> np.uint64(8 * (DEPTH - TOP + 1)) << np.uint64(8)) | (key & np.uint64(255)), return_inverse=True)
+        yield from plain_rows(SHORT, short, np.bincount(at, weights=n, minlength=len(short)).astype(np.int64))
+        bucket = (mix64(key >> np.uint64(8 * (DEPTH - TOP))) % np.uint64(BUCKETS)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        key, n, bucket = key[order], n[order], bucket[order]
+        cut = np.concatenate([np.flatnonzero(np.diff(bucket, prepend=-1)), [len(key)]])
+        for at in range(0, len(cut) - 1, 512):
+            ends = list(zip(cut[at : at + 512], cut[at + 1 : at + 513], strict=False))
+            blocks = [packed(key[a:b], n[a:b]) for a, b in ends]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ends), GRAMS, np.int8)), pa.array([int(bucket[a]) for a, _ in ends], pa.int64()), pa.array([int(b - a) for a, b in ends], pa.int64()), pa.array(blocks, pa.binary())], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen = _Counts(), _Counts()
         for batch in thrifty(batches):
             cut = ascii_words(batch.column(0))
             count = np.bincount(cut.codes, minlength=len(cut.words))
-            words.add(word_hashes(cut.words)[count > 0], count[count > 0])
-            key, n = np.unique(grams(*symbols(cut)[:2]), return_counts=True)
-            seen.add(key.view(np.int64), n)
-        for kind, part in ((0, words), (1, seen)):
-            key, n = part.merge()
-            for at in range(0, len(key), 100_000):
-                k, c = key[at : at + 100_000], n[at : at + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int8)), pa.array(k), pa.array(c)], names=["kind", "key", "n"])
+            words.add(word_hashes(cut.words)[count > 0].view(np.uint64), count[count > 0])
+            seen.add(*np.unique(grams(*symbols(cut)[:2]), return_counts=True))
+            if words.full:
+                yield from plain_rows(WORDS, *words.taken())
+            if seen.full:
+                yield from gram_rows(*seen.taken())
+        yield from plain_rows(WORDS, *words.taken())
+        key, n = seen.taken()
+        if len(key):
+            yield from gram_rows(key, n)
 
-    return docs.select("text").mapInArrow(run, "kind byte, key long, n long")
+    return docs.select("text").mapInArrow(run, "kind byte, key long, n long, block binary")
 
 
 # -- the tree ----------------------------------------------------------------
-@dataclass
-class Level:
-    """Retained contexts of one length: log weights of falling to the suffix, and log probabilities of (context, symbol)."""
+def _sums(pair: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts of sorted pairs, where each begins, and its count."""
+    ctx = pair >> np.uint64(8)
+    first = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]])) if len(ctx) else np.zeros(0, np.int64)
+    return ctx[first], first, np.add.reduceat(n, first) if len(first) else np.zeros(0, np.int64)
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+def retained(k: int, pair: np.ndarray, n: np.ndarray, up: np.ndarray, up_n: np.ndarray, least: int, gain: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, values, counts) of the retained contexts of length ``k``.
+
+    ``pair``, ``n``: their pairs, sorted; ``up``, ``up_n``: the pairs one byte
+    shorter.  A context's value is the weight of falling to its suffix, a
+    pair's the probability of the symbol but for that.
+    """
+    ctx, first, c = _sums(pair, n)
+    size = np.diff(np.append(first, len(pair)))
+    up_ctx, _, up_c = _sums(up, up_n)
+    un = up_n[_find(up, shorter(pair) if k > 1 else pair & np.uint64(255))[0]]
+    uc = np.repeat(up_c[_find(up_ctx, ctx >> np.uint64(8))[0]], size)
+    each = np.repeat(c, size)
+    diverged = np.add.reduceat(n * np.log(n * (uc / un) / each), first) if len(first) else np.zeros(0)
+    keep = (c >= least) & (diverged >= gain) & (ctx & np.uint64(255) != 0)  # no contexts from before the text
+    on = np.repeat(keep, size)
+    d, c, each, size = size[keep], c[keep], each[on], np.repeat(size[keep], size[keep])
+    mark = np.uint64(k << 56)
+    keys = np.concatenate([ctx[keep] | mark | np.uint64(_CONTEXT), pair[on] | mark])
+    return keys, np.concatenate([d / (c + d), n[on] / (each + size)]), np.concatenate([c, each])
+
+
+def subtree_states(parts: DataFrame, short: tuple[np.ndarray, np.ndarray], least: int = MIN_COUNT, gain: float = MIN_GAIN) -> DataFrame:
+    """(key, v, c) of the retained contexts longer than ``TOP`` and their pairs, a subtree in one task."""
+    blocks = parts.filter(F.col("kind") == GRAMS)
+    many = blocks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    dealt = blocks.select(F.col("key").alias("bucket"), "block").repartition(min(BUCKETS, 1 + many // BUCKET_GRAMS), "bucket").sortWithinPartitions("bucket")
+
+    def states(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        pair, n = _summed([k for k, _ in held], [c for _, c in held])
+        levels = {DEPTH: (pair, n)}
+        for k in range(DEPTH, TOP + 1, -1):
+            levels[k - 1] = _summed([shorter(levels[k][0])], [levels[k][1]])
+        levels[TOP] = short
+        found = [retained(k, *levels[k], *levels[k - 1], least, gain) for k in range(TOP + 1, DEPTH + 1)]
+        key, v, c = (np.concatenate(x) for x in zip(*found, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(v.astype(np.float32)), pa.array(c)], names=["key", "v", "c"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in thrifty(batches):
+            for bucket, block in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if bucket != now and held:
+                    yield states(held)
+                    held = []
+                now = bucket
+                held.append(unpacked(block.as_py()))
+        if held:
+            yield states(held)
 
-    contexts: np.ndarray
-    fall: np.ndarray
-    pairs: np.ndarray
-    logp: np.ndarray
-    open: np.ndarray  # of each context: a longer one is in the rest of the tree
+    return dealt.mapInArrow(run, "key long, v float, c long")
 
 
 @dataclass
 class SuffixTree:
-    root: np.ndarray  # log10 probability of each byte
-    levels: list[Level] = field(default_factory=list)  # lengths 1, 2, ...
-    root_open: bool = False
+    root: np.ndarray  # probability of each byte
+    keys: np.ndarray  # contexts and pairs, sorted
+    values: np.ndarray
+    bits: np.ndarray | None = None  # bit map of the contexts in the rest of the tree
+
+    @classmethod
+    def of(cls, root: np.ndarray, keys: np.ndarray, values: np.ndarray) -> SuffixTree:
+        order = np.argsort(keys)
+        return cls(root, keys[order], values[order].astype(np.float32))
 
     def open(self, gram: np.ndarray) -> np.ndarray:
-        """Whether a longer context of each gram may be in the rest of the tree."""
-        out, todo = np.zeros(len(gram), bool), np.arange(len(gram))
-        for k in range(len(self.levels), 0, -1):
-            level = self.levels[k - 1]
-            if not len(level.contexts) or not len(todo):
-                continue
-            at, hit = _find(level.contexts, (gram[todo] >> np.uint64(8 * (DEPTH - k))) & np.uint64(_mask(k)))
-            out[todo[hit]] = level.open[at[hit]]
-            todo = todo[~hit]
-        out[todo] = self.root_open
+        """Whether the rest of the tree may hold a context of each gram."""
+        out = np.zeros(len(gram), bool)
+        if self.bits is not None:
+            for k in range(TOP + 1, DEPTH + 1):
+                out |= _bit(self.bits, context_key(gram, k))
         return out
 
-    def score(self, gram: np.ndarray) -> np.ndarray:
-        """log10 probability of each gram's symbol after its context (quickest for sorted grams)."""
-        out = np.zeros(len(gram))
-        todo = np.arange(len(gram))
-        for k in range(len(self.levels), 0, -1):
-            level = self.levels[k - 1]
-            if not len(level.contexts) or not len(todo):
-                continue
-            pair = gram[todo] >> np.uint64(8 * (DEPTH - k))
-            at, hit = _find(level.pairs, pair)
-            out[todo[hit]] += level.logp[at[hit]]
-            todo, pair = todo[~hit], pair[~hit]
-            at, hit = _find(level.contexts, pair & np.uint64(_mask(k)))
-            out[todo[hit]] += level.fall[at[hit]]
-        out[todo] += self.root[(gram[todo] >> np.uint64(8 * DEPTH)).astype(np.int64)]
-        return out
+    def score(self, gram: np.ndarray, more: dict[int, tuple[np.ndarray, ...]] | None = None) -> np.ndarray:
+        """log10 probability of each gram's symbol after its context (quickest for sorted grams).
 
+        ``more``: of a length, which grams have a context in the rest, its value and their pair's.
+        """
+        p = self.root[(gram & np.uint64(255)).astype(np.int64)]
+        for k in range(1, DEPTH + 1):
+            at, hit = _find(self.keys, context_key(gram, k))
+            on = np.flatnonzero(hit)
+            if len(on):
+                own, has = _find(self.keys, pair_key(gram[on], k))
+                p[on] = np.where(has, self.values[own], 0.0) + self.values[at[on]].astype(np.float64) * p[on]
+            if more and k in more:
+                on, fall, own = more[k]
+                p[on] = own + fall * p[on]
+        return np.log10(p)
 
-def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return at, keys[at] == wanted
 
+def context_key(gram: np.ndarray, k: int) -> np.ndarray:
+    return gram >> np.uint64(8 * (DEPTH - k + 1)) | np.uint64(_CONTEXT | k << 56)
 
-def _mask(k: int) -> int:
-    return (1 << 8 * k) - 1
-
-
-def grow(counts: DataFrame, depth: int = DEPTH, min_share: float = 0.0, min_gain: float = MIN_GAIN) -> SuffixTree:
-    """The whole tree of the summed gram counts (key, n), in memory."""
-    return grown(counts, depth, min_share, min_gain, None)[0]
-
-
-def grown(counts: DataFrame, depth: int, min_share: float, min_gain: float, room: int | None) -> tuple[SuffixTree, DataFrame | None]:
-    """The tree's most frequent contexts with ``room`` pairs (None: all), and the rest as a table (key, v)."""
-    spark = counts.sparkSession
-    folder = new_folder(spark, "suffix-tree")
-    by_byte = counts.groupBy(F.shiftright("key", 8 * DEPTH).alias("s")).agg(F.sum("n").alias("n")).collect()  # 256 rows at most
-    total = sum(r.n for r in by_byte)
-    root = np.ones(256)
-    for r in by_byte:
-        root[r.s] += r.n
-    root = np.log10(root / root.sum())
-    if not total:
-        return SuffixTree(root), None
-    least = max(MIN_COUNT, int(np.ceil(min_share * total)))
-    # Counts by level: contexts of length k with their next symbols; shorter ones are sums over the longer.
-    tables, gathered = {}, counts
-    for k in range(depth, 0, -1):
-        shorter = F.shiftright("key", 8 * (DEPTH - depth) if k == depth else 8)
-        gathered = staged(gathered.groupBy(shorter.alias("key")).agg(F.sum("n").alias("n")), f"grams-{k}", folder)
-        oldest = F.col("key").bitwiseAND(255)
-        tables[k] = gathered.filter(oldest != 0).select(F.col("key").bitwiseAND(_mask(k)).alias("ctx"), F.shiftright("key", 8 * k).alias("s"), "n")
-    tables[0] = spark.createDataFrame([(0, r.s, r.n) for r in by_byte], "ctx long, s long, n long")
-    kept = None
-    retained = {}
-    for k in range(depth, 0, -1):
-        t = tables[k]
-        sums = t.groupBy("ctx").agg(F.sum("n").alias("c")).filter(F.col("c") >= least)
-        up = tables[k - 1].withColumnRenamed("n", "un").withColumnRenamed("ctx", "up")
-        up_sums = up.groupBy("up").agg(F.sum("un").alias("uc"))
-        rows = t.join(sums, "ctx").withColumn("up", F.shiftright("ctx", 8))
-        rows = rows.join(up, ["up", "s"]).join(up_sums, "up")
-        gain = F.sum(F.col("n") * F.log((F.col("n") / F.col("c")) / (F.col("un") / F.col("uc"))))
-        tested = rows.groupBy("ctx").agg(gain.alias("gain")).filter(F.col("gain") >= min_gain).select("ctx")
-        if kept is not None:
-            tested = tested.unionAll(kept.select(F.shiftright("ctx", 8).alias("ctx"))).distinct()
-        kept = staged(tested, f"kept-{k}", folder)
-        retained[k] = kept
-    # Smoothed distributions from the root down; a symbol below the share is left to the suffix.
-    tree = SuffixTree(root)
-    sub = spark.createDataFrame([(0, i, float(10 ** root[i])) for i in range(256)], "ctx long, s long, p double")
-    few = max(1, least // 8)
-    states, subs = {}, {}
-    for k in range(1, depth + 1):
-        t = tables[k].join(retained[k], "ctx")
-        state = t.groupBy("ctx").agg(F.sum("n").alias("c"), F.sum(F.when(F.col("n") >= few, F.col("n")).otherwise(0)).alias("held"), F.count_if(F.col("n") >= few).alias("d"))
-        state = states[k] = staged(state.withColumn("w", F.col("d") + (F.col("c") - F.col("held")) + 1.0), f"state-{k}", folder)
-        rows = t.filter(F.col("n") >= few).join(state, "ctx").withColumn("up", F.shiftright("ctx", 8))
-        up = sub.select(F.col("ctx").alias("up"), "s", F.col("p").alias("q"))
-        rows = rows.join(up, ["up", "s"]).select("ctx", "s", "c", ((F.col("n") + F.col("w") * F.col("q")) / (F.col("held") + F.col("w"))).alias("p"))
-        sub = subs[k] = staged(rows, f"level-{k}", folder)
-    # A context is at most as frequent as its suffixes, so what a count cuts off leaves a tree.
+
+def pair_key(gram: np.ndarray, k: int) -> np.ndarray:
+    return (gram >> np.uint64(8 * (DEPTH - k + 1)) << np.uint64(8)) | (gram & np.uint64(255)) | np.uint64(k << 56)
+
+
+def _bit(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    at = mix64(key) % np.uint64(MAP_BITS)
+    return bits[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32) & np.uint32(1) > 0
+
+
+def bit_map(rest: DataFrame) -> np.ndarray:
+    """The contexts of ``rest`` in ``MAP_BITS`` bits, joined on Spark; a fixed size, however many there are."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(mix64(batch.column(0).to_numpy().view(np.uint64)) % np.uint64(MAP_BITS)).astype(np.int64)
+            word, where = np.unique(at >> 5, return_inverse=True)
+            bits = np.zeros(len(word), np.int64)
+            np.bitwise_or.at(bits, where, 1 << (at & 31))
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bits)], names=["word", "bits"])
+
+    found = rest.filter(F.col("key") >= _CONTEXT).select("key").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(MAP_BITS // 32, np.uint32)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
+    return out
+
+
+def grown(spark: SparkSession, parts: DataFrame, folder: str, least: int = MIN_COUNT, gain: float = MIN_GAIN, room: int | None = None) -> tuple[SuffixTree, DataFrame | None]:
+    """The tree's most frequent contexts with about ``room`` rows (None: all), and the rest as a table (key, v)."""
+    # At most 2**24 pairs of two bytes and a symbol.
+    top = parts.filter(F.col("kind") == SHORT).groupBy("key").agg(F.sum("n").alias("n")).orderBy("key").toArrow()
+    pair, n = top["key"].to_numpy().view(np.uint64), top["n"].to_numpy().astype(np.int64)
+    one = _summed([shorter(pair)], [n]) if len(pair) else (pair, n)
+    by_byte = np.bincount((pair & np.uint64(255)).astype(np.int64), weights=n, minlength=256)
+    root = (by_byte + 1) / (by_byte.sum() + 256)
+    if not len(pair):
+        return SuffixTree.of(root, np.zeros(0, np.uint64), np.zeros(0)), None
+    seen = np.flatnonzero(by_byte).astype(np.uint64)
+    found = [retained(1, *one, seen, by_byte[by_byte > 0].astype(np.int64), least, gain), retained(2, pair, n, *one, least, gain)]
+    states = staged(subtree_states(parts, (pair, n), least, gain), "states", folder)
     floor = 0
     if room is not None:
-        size = None
-        for k in states:
-            part = states[k].groupBy(F.floor(F.log2("c")).alias("band")).agg(F.sum(F.col("d") + 1).alias("n"))
-            size = part if size is None else size.unionAll(part)
-        bands = sorted(((r.band, r.n) for r in size.groupBy("band").agg(F.sum("n").alias("n")).collect()), reverse=True)
-        floor = 1 << 62
+        # A context and its pairs share its count, so whole contexts are cut off.
+        bands = sorted(((r.band, r["count"]) for r in states.groupBy(F.floor(F.log2("c")).alias("band")).count().collect()), reverse=True)
+        floor, left = 1 << 62, room
         for band, many in bands:
-            if many > room:
+            if many > left:
                 break
-            floor, room = 2**band, room - many
-    rest = None
-    fall = F.log10(F.col("w") / (F.col("held") + F.col("w"))).alias("fall")
-    for k in range(1, depth + 1):
-        top = F.col("c") >= floor
-        longer = states[k + 1].filter(~top).select(F.shiftright("ctx", 8).alias("ctx")).distinct() if k < depth else states[k].select("ctx").limit(0)
-        falls = states[k].filter(top).join(longer.withColumn("open", F.lit(True)), "ctx", "left").select("ctx", fall, F.coalesce("open", F.lit(False)).alias("open"))
-        tree.levels.append(_level(falls, subs[k].filter(top), k))
-        more = states[k].filter(~top).select(F.col("ctx").bitwiseOR(F.lit(1 << 60 | k << 56)).alias("key"), fall.alias("v"))
-        more = more.unionAll(subs[k].filter(~top).select(F.shiftleft("s", 8 * k).bitwiseOR(F.col("ctx")).bitwiseOR(F.lit(k << 56)), F.log10("p")))
-        rest = more if rest is None else rest.unionAll(more)
-    tree.root_open = not states[1].filter(F.col("c") < floor).isEmpty()
-    rest = staged(rest, "rest", folder)
-    return tree, None if rest.isEmpty() else rest
-
-
-def _level(falls: DataFrame, pairs: DataFrame, k: int) -> Level:
-    """Bring the frequent part of one level to the driver."""
-    f, p = falls.toArrow(), pairs.select(F.shiftleft("s", 8 * k).bitwiseOR(F.col("ctx")).alias("key"), F.log10("p").alias("logp")).toArrow()
-    ctx, fall = f["ctx"].to_numpy().view(np.uint64), f["fall"].to_numpy()
-    key, logp = p["key"].to_numpy().view(np.uint64), p["logp"].to_numpy()
-    a, b = np.argsort(ctx), np.argsort(key)
-    return Level(ctx[a], fall[a].astype(np.float32), key[b], logp[b].astype(np.float32), f["open"].to_numpy()[a].astype(bool))
-
-
-def looked_up(need: DataFrame, rest: DataFrame) -> DataFrame:
-    """(gram, full) of grams (gram, q), q by the frequent contexts: scored in the longest context of ``rest``, if any."""
+            floor, left = 2**band, left - many
+    near = states.filter(F.col("c") >= floor).select("key", "v").toArrow()
+    keys = np.concatenate([*(x[0] for x in found), near["key"].to_numpy().view(np.uint64)])
+    tree = SuffixTree.of(root, keys, np.concatenate([*(x[1] for x in found), near["v"].to_numpy()]))
+    rest = states.filter(F.col("c") < floor).select("key", "v")
+    if rest.isEmpty():
+        return tree, None
+    tree.bits = bit_map(rest)
+    return tree, rest
+
+
+def looked_up(need: DataFrame, rest: DataFrame, tree) -> DataFrame:
+    """(gram, logp) of distinct grams that may have a context in ``rest``; ``tree`` is the broadcast part."""
     probe = []
-    for k in range(1, DEPTH + 1):
-        pair = F.shiftright("gram", 8 * (DEPTH - k))
-        for context, key in ((False, pair.bitwiseOR(F.lit(k << 56))), (True, pair.bitwiseAND(F.lit(_mask(k))).bitwiseOR(F.lit(1 << 60 | k << 56)))):
-            probe.append(F.struct(F.lit(k).alias("k"), F.lit(context).alias("context"), key.alias("key")))
+    for k in range(TOP + 1, DEPTH + 1):
+        context = F.shiftrightunsigned("gram", 8 * (DEPTH - k + 1))
+        pair = F.shiftleft(context, 8).bitwiseOR(F.col("gram").bitwiseAND(255))
+        for is_context, key in ((True, context.bitwiseOR(F.lit(_CONTEXT | k << 56))), (False, pair.bitwiseOR(F.lit(k << 56)))):
+            probe.append(F.struct(F.lit(k).alias("k"), F.lit(is_context).alias("context"), key.alias("key")))
     hits = need.select("gram", F.explode(F.array(*probe)).alias("p")).select("gram", "p.*").join(rest, "key")
-    pair = F.when(~F.col("context"), F.col("k"))
-    hits = hits.groupBy("gram").agg(F.max(pair).alias("at"), F.max_by("v", pair).alias("own"), F.collect_list(F.when(F.col("context"), F.struct("k", "v"))).alias("falls"))
-    fell = F.aggregate(F.filter("falls", lambda x: x["k"] > F.coalesce(F.col("at"), F.lit(0))), F.lit(0.0), lambda a, x: a + x["v"])
-    hits = hits.select("gram", F.when(F.col("at").isNotNull(), F.col("own")).alias("own"), fell.alias("fell"))
-    return need.join(hits, "gram", "left").select("gram", (F.coalesce("own", "q") + F.coalesce("fell", F.lit(0.0))).alias("full"))
+    of = lambda k, c: F.max(F.when((F.col("k") == k) & (F.col("context") == c), F.col("v")))
+    lengths = range(TOP + 1, DEPTH + 1)
+    hits = hits.groupBy("gram").agg(*(of(k, c).alias(f"{'f' if c else 'a'}{k}") for k in lengths for c in (True, False)))
+    met = need.join(hits, "gram", "left").select("gram", *(f"{x}{k}" for k in lengths for x in "fa"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            gram = batch.column(0).to_numpy().view(np.uint64)
+            more = {}
+            for i, k in enumerate(lengths):
+                fall, own = (batch.column(1 + 2 * i + j).to_numpy(zero_copy_only=False).astype(np.float64) for j in (0, 1))
+                on = np.flatnonzero(~np.isnan(fall))
+                more[k] = (on, fall[on], np.nan_to_num(own[on]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tree.value[2].score(gram, more))], names=["gram", "logp"])
+
+    return met.mapInArrow(run, "gram long, logp double")
 
 
 # -- scoring -----------------------------------------------------------------
+def _lists(size: np.ndarray, fields: dict[str, np.ndarray]) -> pa.ListArray:
+    items = pa.StructArray.from_arrays([pa.array(x) for x in fields.values()], names=list(fields))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), items)
+
+
+def _per_text(of: np.ndarray, code: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct codes of each text with their number: (how many a text has, code, times)."""
+    if not len(of):
+        return np.zeros(n_texts, np.int64), code[:0], code[:0]
+    most = int(code.max()) + 1
+    pair, times = np.unique(of * most + code, return_counts=True)
+    return np.bincount(pair // most, minlength=n_texts), pair % most, times
+
+
 def score(docs: DataFrame, train: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs``, learned from ``train``."""
     spark = docs.sparkSession
     bounded_batches(spark)
     folder = new_folder(spark, "lm")
-    train.select("text").transform(corpus_counts).write.parquet(f"{folder}/parts")
-    parts = spark.read.schema("kind byte, key long, n long").parquet(f"{folder}/parts")
-    words = staged(parts.filter("kind = 0").groupBy("key").agg(F.sum("n").alias("c")), "words", folder)
-    tree, rest = grown(parts.filter("kind = 1").select("key", "n"), DEPTH, 0.0, MIN_GAIN, TREE_ROOM)
+    parts = staged(train.select("text").transform(corpus_counts), "parts", folder)
+    words = staged(parts.filter(F.col("kind") == WORDS).groupBy("key").agg(F.sum("n").alias("c")), "words", folder)
+    tree, rest = grown(spark, parts, folder, room=TREE_ROOM)
     texts = train.count()
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     tokens_, types = n + texts, v + (texts > 0)
@@ -342,7 +446,7 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
     base = lambda c: np.log10((c + 1.0) / (tokens_ + types + 1.0))
     end_score, end_known = float(base(texts)), int(texts > 0)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"row long, doc_id {kind}, n_tokens long, known long, base double, score double, rare array<struct<key:long,base:double,lp:double,open:array<struct<gram:long,q:double>>>>"
+    schema = f"row long, doc_id {kind}, n_tokens long, known long, base double, score double, rare array<struct<key:long,m:long>>, open array<struct<gram:long,m:long>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top, counted, tree = sent.value
@@ -350,68 +454,42 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
         for batch in thrifty(batches):
             cut = ascii_words(batch.column(1))
             n_texts = len(cut.starts) - 1
-            stream, begins, tokens = symbols(cut)
+            stream, begins, _ = symbols(cut)
             gram, at = np.unique(grams(stream, begins), return_inverse=True)
-            own_logp, more = tree.score(gram), tree.open(gram)
-            logp = np.concatenate([[0.0], np.cumsum(np.where(more, 0.0, own_logp)[at])])
-            lp = np.diff(logp[tokens])
+            more = tree.open(gram)
+            logp = np.concatenate([[0.0], np.cumsum(np.where(more, 0.0, tree.score(gram))[at])])
             later = np.flatnonzero(more[at])  # symbols for the rest of the tree
-            n_open = np.diff(np.searchsorted(later, tokens))
-            is_end = np.zeros(len(lp), bool)
-            is_end[cut.starts[1:] + np.arange(n_texts)] = True
+            n_open, open_gram, open_times = _per_text(np.searchsorted(begins, later, "right") - 1, at[later], n_texts)
             key = word_hashes(cut.words)
-            if len(top):
-                where = np.minimum(np.searchsorted(top, key), len(top) - 1)
-                hit = top[where] == key
-                own = np.where(hit, counted[where], 0)
-            else:
-                hit, own = np.zeros(len(key), bool), np.zeros(len(key), np.int64)
+            where, hit = _find(top, key)
+            own = np.where(hit, counted[where], 0) if len(top) else np.zeros(len(key), np.int64)
             text, code = cut.texts, cut.codes
-            known = np.bincount(text[hit[code]], minlength=n_texts) + end_known
-            # Of every token, ends too: its text, its word's share (NaN: by the join) and its key.
-            of, share, keys_ = np.zeros(len(lp), np.int64), np.full(len(lp), end_score), np.arange(len(lp)) + made
-            of[is_end], of[~is_end] = np.arange(n_texts), text
-            share[~is_end] = np.where(hit, base(own), np.nan)[code]
-            keys_[~is_end] = key[code]
-            seen = ~np.isnan(share)
-            done = seen & (n_open == 0)
-            # Without a row, bincount gives integers.
-            parts = np.bincount(of[seen], weights=share[seen], minlength=n_texts).astype(float)
-            mixed = np.bincount(of[done], weights=_mixed(share[done], lp[done]), minlength=n_texts).astype(float)
-            begin = np.concatenate([[0], np.cumsum(np.bincount(of[~done], minlength=n_texts))])
-            grams_ = pa.StructArray.from_arrays([pa.array(gram[at[later]].view(np.int64)), pa.array(own_logp[at[later]])], names=["gram", "q"])
-            open_ = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_open[~done])]), pa.int32()), grams_)
-            fields = [pa.array(keys_[~done]), pa.array(share[~done], mask=~seen[~done]), pa.array(lp[~done]), open_]
-            rare = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.StructArray.from_arrays(fields, names=["key", "base", "lp", "open"]))
+            seen = hit[code]
+            known = np.bincount(text[seen], minlength=n_texts) + end_known
+            shares = np.bincount(text[seen], weights=base(own[code[seen]]), minlength=n_texts) + end_score
+            n_rare, rare, times = _per_text(text[~seen], code[~seen], n_texts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(made + np.arange(n_texts)), batch.column(0), pa.array(np.diff(cut.starts) + 1), pa.array(known), pa.array(parts), pa.array(mixed), rare],
-                names=["row", "doc_id", "n_tokens", "known", "base", "score", "rare"],
-            )
+                [pa.array(made + np.arange(n_texts)), batch.column(0), pa.array(np.diff(cut.starts) + 1), pa.array(known), pa.array(shares.astype(float)),
+                 pa.array(np.diff(logp[begins])), _lists(n_rare, {"key": key[rare], "m": times}), _lists(n_open, {"gram": gram[open_gram].view(np.int64), "m": open_times})],
+                names=["row", "doc_id", "n_tokens", "known", "base", "score", "rare", "open"],
+            )
             made += n_texts
 
     rows = staged(docs.select("doc_id", "text").mapInArrow(run, schema), "rows", folder)
-    rare = rows.select("row", F.posexplode("rare").alias("pos", "r")).select("row", "pos", "r.*")
+    rare = rows.select("row", F.explode("rare").alias("r")).select("row", "r.*").join(words, "key", "left")
+    share = F.log10((F.coalesce("c", F.lit(0)) + 1.0) / (tokens_ + types + 1.0))
+    more = rare.groupBy("row").agg(F.sum(F.col("m") * share).alias("more"), F.sum(F.when(F.col("c") > 0, F.col("m"))).alias("found"))
+    out = rows.drop("rare", "open").join(more, "row", "left").withColumn("gain", F.lit(0.0))
     if rest is not None:
-        opened = rare.select("row", "pos", F.explode("open").alias("o")).select("row", "pos", "o.*")
-        full = staged(looked_up(opened.groupBy("gram").agg(F.max("q").alias("q")), rest), "full", folder)
-        full = opened.join(full, "gram").groupBy("row", "pos").agg(F.sum("full").alias("full"))
-        rare = rare.join(full, ["row", "pos"], "left").withColumn("lp", F.col("lp") + F.coalesce("full", F.lit(0.0)))
-    new = F.col("base").isNull()
-    rare = rare.drop("open").join(words, "key", "left").withColumn("b", F.coalesce("base", F.log10((F.coalesce("c", F.lit(0)) + 1.0) / (tokens_ + types + 1.0))))
-    top = F.greatest("b", "lp")
-    mix = top + F.log10(WORD_SHARE * F.pow(F.lit(10.0), F.col("b") - top) + (1 - WORD_SHARE) * F.pow(F.lit(10.0), F.col("lp") - top))
-    more = rare.groupBy("row").agg(F.sum(F.when(new, F.col("b"))).alias("more"), F.sum(mix).alias("gain"), F.count_if(new & (F.col("c") > 0)).alias("found"))
-    out = rows.drop("rare").join(more, "row", "left")
+        opened = rows.select("row", F.explode("open").alias("o")).select("row", "o.*")
+        full = staged(looked_up(opened.select("gram").distinct(), rest, sent), "full", folder)
+        gains = opened.join(full, "gram").groupBy("row").agg(F.sum(F.col("m") * F.col("logp")).alias("gain"))
+        out = out.drop("gain").join(gains, "row", "left")
     nothing = F.lit(0.0)
     return out.select("doc_id", "n_tokens", (F.col("known") + F.coalesce("found", F.lit(0))).alias("n_known"), F.lit(tokens_).cast("long").alias("train_tokens"),
                       (F.col("base") + F.coalesce("more", nothing)).alias("base_score"), (F.col("score") + F.coalesce("gain", nothing)).alias("score"))
 
 
-def _mixed(word: np.ndarray, tree: np.ndarray) -> np.ndarray:
-    top = np.maximum(word, tree)
-    return top + np.log10(WORD_SHARE * 10.0 ** (word - top) + (1 - WORD_SHARE) * 10.0 ** (tree - top))
-
-
 def op10_suffix_tree(docs: DataFrame) -> DataFrame:
     rows = score(docs, docs.filter(~held_out(F.col("doc_id"))))
     return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
