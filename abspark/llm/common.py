@@ -24,9 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Lower the session's Arrow batch size where it is larger than ``rows``."""
-    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> None:
+    """Lower the session's Arrow batch size where it is larger than ``rows`` or ``size`` bytes."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
         now = spark.conf.get(key)
         if not now.isdigit() or not 0 < int(now) <= most:
             spark.conf.set(key, str(most))

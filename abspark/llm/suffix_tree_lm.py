@@ -39,7 +39,7 @@ batch at a time; ties do not occur (nothing is ranked); other columns are not re
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -54,16 +54,17 @@ from abspark.llm.common import bounded_batches, mix64, new_folder, staged, thrif
 
 FOLDS, FOLD = 7, 2
 DEPTH = 6
-MIN_COUNT = 64
+MIN_COUNT = 256
 MIN_GAIN = 8.0
-TREE_ROOM = 2_000_000
+TREE_ROOM = 3_000_000
 FREQUENT = 1 << 18
 TOP = 2  # contexts up to this length are tested on the driver
 BUCKETS = 4096  # parts of the subtrees
 BUCKET_GRAMS = 1_000_000  # counted grams of one subtree task, about
 MAP_BITS = 1 << 26
 END = 10  # no word holds a newline
-_MERGE = 4_000_000
+BATCH_BYTES = 4 << 20
+_MERGE = 2_000_000
 _CONTEXT = 1 << 60  # marks a context's key; a key holds its length above 56 bits
 
 
@@ -111,8 +112,11 @@ def grams(stream: np.ndarray, begins: np.ndarray) -> np.ndarray:
 
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    key, at = np.unique(np.concatenate(keys), return_inverse=True)
-    return key, np.bincount(at, weights=np.concatenate(counts), minlength=len(key)).astype(np.int64)
+    key = np.concatenate(keys)
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else order
+    return key[first], np.add.reduceat(np.concatenate(counts)[order], first) if len(key) else np.zeros(0, np.int64)
 
 
 class _Counts:
@@ -172,26 +176,28 @@ WORDS, SHORT, GRAMS = 0, 1, 2
 
 
 def corpus_counts(docs: DataFrame) -> DataFrame:
-    """(kind, key, n, block), summed per task: words by hash, short pairs, and grams in packed blocks (key: bucket, n: how many)."""
-    bounded_batches(docs.sparkSession)
+    """(kind, key, n, block), summed per task: short pairs, and words (by hash) and grams in packed blocks (key: bucket, n: how many)."""
+    bounded_batches(docs.sparkSession, size=BATCH_BYTES)
     names = ["kind", "key", "n", "block"]
 
-    def plain_rows(kind: int, key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(key), 100_000):
-            k, c = key[at : at + 100_000], n[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int8)), pa.array(k.view(np.int64)), pa.array(c), pa.nulls(len(k), pa.binary())], names=names)
-
-    def gram_rows(key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        short, at = np.unique((key >> np.uint64(8 * (DEPTH - TOP + 1)) << np.uint64(8)) | (key & np.uint64(255)), return_inverse=True)
-        yield from plain_rows(SHORT, short, np.bincount(at, weights=n, minlength=len(short)).astype(np.int64))
-        bucket = (mix64(key >> np.uint64(8 * (DEPTH - TOP))) % np.uint64(BUCKETS)).astype(np.int64)
+    def block_rows(kind: int, key: np.ndarray, n: np.ndarray, bucket: np.ndarray) -> Iterator[pa.RecordBatch]:
         order = np.argsort(bucket, kind="stable")
         key, n, bucket = key[order], n[order], bucket[order]
         cut = np.concatenate([np.flatnonzero(np.diff(bucket, prepend=-1)), [len(key)]])
         for at in range(0, len(cut) - 1, 512):
             ends = list(zip(cut[at : at + 512], cut[at + 1 : at + 513], strict=False))
             blocks = [packed(key[a:b], n[a:b]) for a, b in ends]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ends), GRAMS, np.int8)), pa.array([int(bucket[a]) for a, _ in ends], pa.int64()), pa.array([int(b - a) for a, b in ends], pa.int64()), pa.array(blocks, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ends), kind, np.int8)), pa.array([int(bucket[a]) for a, _ in ends], pa.int64()), pa.array([int(b - a) for a, b in ends], pa.int64()), pa.array(blocks, pa.binary())], names=names)
+
+    def word_rows(key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        yield from block_rows(WORDS, key, n, (key % np.uint64(BUCKETS)).astype(np.int64))
+
+    def gram_rows(key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        short, c = _summed([(key >> np.uint64(8 * (DEPTH - TOP + 1)) << np.uint64(8)) | (key & np.uint64(255))], [n])
+        for at in range(0, len(short), 100_000):
+            part = short[at : at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), SHORT, np.int8)), pa.array(part.view(np.int64)), pa.array(c[at : at + 100_000]), pa.nulls(len(part), pa.binary())], names=names)
+        yield from block_rows(GRAMS, key, n, (mix64(key >> np.uint64(8 * (DEPTH - TOP))) % np.uint64(BUCKETS)).astype(np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen = _Counts(), _Counts()
@@ -201,17 +207,44 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
             words.add(word_hashes(cut.words)[count > 0].view(np.uint64), count[count > 0])
             seen.add(*np.unique(grams(*symbols(cut)[:2]), return_counts=True))
             if words.full:
-                yield from plain_rows(WORDS, *words.taken())
+                yield from word_rows(*words.taken())
             if seen.full:
                 yield from gram_rows(*seen.taken())
-        yield from plain_rows(WORDS, *words.taken())
-        key, n = seen.taken()
-        if len(key):
-            yield from gram_rows(key, n)
+        for rows, held in ((word_rows, words), (gram_rows, seen)):
+            key, n = held.taken()
+            if len(key):
+                yield from rows(key, n)
 
     return docs.select("text").mapInArrow(run, "kind byte, key long, n long, block binary")
 
 
+def by_bucket(parts: DataFrame, kind: int, make: Callable[[np.ndarray, np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
+    """``make(keys, counts)`` of the summed blocks of every bucket; all of a bucket in one task, one bucket at a time."""
+    blocks = parts.filter(F.col("kind") == kind)
+    many = blocks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    dealt = blocks.select(F.col("key").alias("bucket"), "block").repartition(min(BUCKETS, 1 + many // BUCKET_GRAMS), "bucket").sortWithinPartitions("bucket")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in thrifty(batches):
+            for bucket, block in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if bucket != now and held:
+                    yield make(*_summed(*zip(*held, strict=True)))
+                    held = []
+                now = bucket
+                held.append(unpacked(block.as_py()))
+        if held:
+            yield make(*_summed(*zip(*held, strict=True)))
+
+    return dealt.mapInArrow(run, schema)
+
+
+def word_counts(parts: DataFrame) -> DataFrame:
+    """(key, c) of every word."""
+    rows = lambda key, n: pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "c"])
+    return by_bucket(parts, WORDS, rows, "key long, c long")
+
+
 # -- the tree ----------------------------------------------------------------
 def _sums(pair: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Contexts of sorted pairs, where each begins, and its count."""
@@ -251,12 +284,7 @@ def retained(k: int, pair: np.ndarray, n: np.ndarray, up: np.ndarray, up_n: np.n
 
 def subtree_states(parts: DataFrame, short: tuple[np.ndarray, np.ndarray], least: int = MIN_COUNT, gain: float = MIN_GAIN) -> DataFrame:
     """(key, v, c) of the retained contexts longer than ``TOP`` and their pairs, a subtree in one task."""
-    blocks = parts.filter(F.col("kind") == GRAMS)
-    many = blocks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    dealt = blocks.select(F.col("key").alias("bucket"), "block").repartition(min(BUCKETS, 1 + many // BUCKET_GRAMS), "bucket").sortWithinPartitions("bucket")
-
-    def states(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        pair, n = _summed([k for k, _ in held], [c for _, c in held])
+    def states(pair: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         levels = {DEPTH: (pair, n)}
         for k in range(DEPTH, TOP + 1, -1):
             levels[k - 1] = _summed([shorter(levels[k][0])], [levels[k][1]])
@@ -265,32 +293,26 @@ def subtree_states(parts: DataFrame, short: tuple[np.ndarray, np.ndarray], least
         key, v, c = (np.concatenate(x) for x in zip(*found, strict=True))
         return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(v.astype(np.float32)), pa.array(c)], names=["key", "v", "c"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
-        for batch in thrifty(batches):
-            for bucket, block in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if bucket != now and held:
-                    yield states(held)
-                    held = []
-                now = bucket
-                held.append(unpacked(block.as_py()))
-        if held:
-            yield states(held)
-
-    return dealt.mapInArrow(run, "key long, v float, c long")
+    return by_bucket(parts, GRAMS, states, "key long, v float, c long")
 
 
 @dataclass
 class SuffixTree:
     root: np.ndarray  # probability of each byte
-    keys: np.ndarray  # contexts and pairs, sorted
-    values: np.ndarray
+    levels: dict[int, tuple[np.ndarray, ...]]  # of each length: contexts (sorted), their values, pairs (sorted), theirs
     bits: np.ndarray | None = None  # bit map of the contexts in the rest of the tree
 
     @classmethod
     def of(cls, root: np.ndarray, keys: np.ndarray, values: np.ndarray) -> SuffixTree:
         order = np.argsort(keys)
-        return cls(root, keys[order], values[order].astype(np.float32))
+        keys, values = keys[order], values[order].astype(np.float32)
+        at = np.searchsorted(keys, np.array([f | k << 56 for f in (0, _CONTEXT) for k in range(1, DEPTH + 2)], np.uint64))
+        part = lambda f, k: slice(at[f * (DEPTH + 1) + k - 1], at[f * (DEPTH + 1) + k])
+        return cls(root, {k: (keys[part(1, k)], values[part(1, k)], keys[part(0, k)], values[part(0, k)]) for k in range(1, DEPTH + 1)})
+
+    @property
+    def contexts(self) -> int:
+        return sum(len(level[0]) for level in self.levels.values())
 
     def open(self, gram: np.ndarray) -> np.ndarray:
         """Whether the rest of the tree may hold a context of each gram."""
@@ -307,11 +329,15 @@ class SuffixTree:
         """
         p = self.root[(gram & np.uint64(255)).astype(np.int64)]
         for k in range(1, DEPTH + 1):
-            at, hit = _find(self.keys, context_key(gram, k))
-            on = np.flatnonzero(hit)
+            contexts, falls, pairs, owns = self.levels[k]
+            ctx = context_key(gram, k)
+            first = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]])) if len(ctx) else np.zeros(0, np.int64)
+            at, hit = _find(contexts, ctx[first])  # each run of one context once
+            size = np.diff(np.append(first, len(ctx)))
+            on = np.flatnonzero(np.repeat(hit, size))
             if len(on):
-                own, has = _find(self.keys, pair_key(gram[on], k))
-                p[on] = np.where(has, self.values[own], 0.0) + self.values[at[on]].astype(np.float64) * p[on]
+                own, has = _find(pairs, pair_key(gram[on], k))
+                p[on] = np.where(has, owns[own] if len(owns) else 0.0, 0.0) + np.repeat(falls[at[hit]], size[hit]).astype(np.float64) * p[on]
             if more and k in more:
                 on, fall, own = more[k]
                 p[on] = own + fall * p[on]
@@ -327,22 +353,24 @@ def pair_key(gram: np.ndarray, k: int) -> np.ndarray:
 
 
 def _bit(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
-    at = mix64(key) % np.uint64(MAP_BITS)
+    at = mix64(key) % np.uint64(32 * len(bits))
     return bits[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32) & np.uint32(1) > 0
 
 
 def bit_map(rest: DataFrame) -> np.ndarray:
     """The contexts of ``rest`` in ``MAP_BITS`` bits, joined on Spark; a fixed size, however many there are."""
+    size = MAP_BITS
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.unique(mix64(batch.column(0).to_numpy().view(np.uint64)) % np.uint64(MAP_BITS)).astype(np.int64)
+            at = np.unique(mix64(batch.column(0).to_numpy().view(np.uint64)) % np.uint64(size)).astype(np.int64)
             word, where = np.unique(at >> 5, return_inverse=True)
             bits = np.zeros(len(word), np.int64)
             np.bitwise_or.at(bits, where, 1 << (at & 31))
             yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bits)], names=["word", "bits"])
 
     found = rest.filter(F.col("key") >= _CONTEXT).select("key").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(MAP_BITS // 32, np.uint32)
+    out = np.zeros(size // 32, np.uint32)
     out[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
     return out
 
@@ -424,10 +452,10 @@ def _per_text(of: np.ndarray, code: np.ndarray, n_texts: int) -> tuple[np.ndarra
 def score(docs: DataFrame, train: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs``, learned from ``train``."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, size=BATCH_BYTES)
     folder = new_folder(spark, "lm")
     parts = staged(train.select("text").transform(corpus_counts), "parts", folder)
-    words = staged(parts.filter(F.col("kind") == WORDS).groupBy("key").agg(F.sum("n").alias("c")), "words", folder)
+    words = staged(word_counts(parts), "words", folder)
     tree, rest = grown(spark, parts, folder, room=TREE_ROOM)
     texts = train.count()
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()

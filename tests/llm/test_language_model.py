@@ -78,12 +78,12 @@ def test_packed_blocks():
         assert (a == key).all() and (b == n).all()
 
 
-@pytest.mark.parametrize("merge", [4_000_000, 500])
+@pytest.mark.parametrize("merge", [2_000_000, 500])
 def test_tree_matches_the_plain_tree(spark, texts, tmp_path, monkeypatch, merge):
     monkeypatch.setattr(lm, "_MERGE", merge)  # small: partial counts leave a task early
     tree, rest = tree_of(spark, texts, tmp_path)
     kept, p = plain_tree(texts, lm.DEPTH, 16, 8.0)
-    assert rest is None and int((tree.keys >= lm._CONTEXT).sum()) == len(kept)
+    assert rest is None and tree.contexts == len(kept)
     assert max(map(len, kept)) == lm.DEPTH
     stream, begins, _ = lm.symbols(ascii_words(pa.array(["there sted qqq", prose(5, 30)])))
     got = tree.score(lm.grams(stream, begins))
@@ -137,7 +137,7 @@ def test_base_score_is_exact(spark, odd_docs, monkeypatch, frequent):
 def test_held_out_texts_score_better_than_the_base(spark):
     """On 25 MB; on much less the base's unseen words, one price for all of them together, beat any spelling."""
     rows = lm.op10_suffix_tree(spark.read.parquet("/root/testdata/sf0.1/documents.parquet").repartition(8)).filter("held_out").collect()
-    assert sum(r.score for r in rows) > 0.96 * sum(r.base_score for r in rows)
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
 def test_no_documents(no_docs, spark):
@@ -163,8 +163,8 @@ def test_rest_of_the_tree_is_joined(spark, texts, monkeypatch):
 
 
 def test_retention_does_not_rise_with_the_corpus():
-    """A context seen 80 times stays a context beside 50 million other symbols."""
+    """A context seen 300 times stays a context beside 50 million other symbols."""
     pair = np.array([ord("b") << 8 | ord("a"), ord("q") << 8 | ord("x")], np.uint64)
-    n = np.array([50_000_000, 80])
+    n = np.array([50_000_000, 300])
     keys, _, _ = lm.retained(1, pair, n, np.array([ord("a"), ord("x")], np.uint64), n, lm.MIN_COUNT, lm.MIN_GAIN)
     assert lm._CONTEXT | 1 << 56 | ord("q") in keys.tolist()
