@@ -63,7 +63,7 @@ BUCKETS = 4096  # parts of the subtrees
 BUCKET_GRAMS = 1_000_000  # counted grams of one subtree task, about
 MAP_BITS = 1 << 26
 END = 10  # no word holds a newline
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 _MERGE = 2_000_000
 _CONTEXT = 1 << 60  # marks a context's key; a key holds its length above 56 bits
 
@@ -201,7 +201,7 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen = _Counts(), _Counts()
-        for batch in thrifty(batches):
+        for batch in thrifty(batches, 2):
             cut = ascii_words(batch.column(0))
             count = np.bincount(cut.codes, minlength=len(cut.words))
             words.add(word_hashes(cut.words)[count > 0].view(np.uint64), count[count > 0])
@@ -260,36 +260,47 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted
 
 
-def retained(k: int, pair: np.ndarray, n: np.ndarray, up: np.ndarray, up_n: np.ndarray, least: int, gain: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, values, counts) of the retained contexts of length ``k``.
+@dataclass
+class Level:
+    """All pairs of one context length, sorted, with their counts and smoothed probabilities."""
+
+    pair: np.ndarray
+    n: np.ndarray
+    p: np.ndarray
+
+
+def retained(k: int, pair: np.ndarray, n: np.ndarray, up: Level, least: int, gain: float) -> tuple[Level, tuple[np.ndarray, ...]]:
+    """The level of the pairs of length ``k``, and (keys, values, counts) of its retained contexts and their pairs.
 
-    ``pair``, ``n``: their pairs, sorted; ``up``, ``up_n``: the pairs one byte
-    shorter.  A context's value is the weight of falling to its suffix, a
-    pair's the probability of the symbol but for that.
+    ``up`` is the level one byte shorter.  A context's value is the weight of
+    falling to its suffix, a pair's the smoothed probability.  The pairs of
+    contexts that are not retained have their suffix's probability.
     """
     ctx, first, c = _sums(pair, n)
     size = np.diff(np.append(first, len(pair)))
-    up_ctx, _, up_c = _sums(up, up_n)
-    un = up_n[_find(up, shorter(pair) if k > 1 else pair & np.uint64(255))[0]]
+    up_ctx, _, up_c = _sums(up.pair, up.n)
+    suffix = _find(up.pair, shorter(pair) if k > 1 else pair & np.uint64(255))[0]
     uc = np.repeat(up_c[_find(up_ctx, ctx >> np.uint64(8))[0]], size)
-    each = np.repeat(c, size)
-    diverged = np.add.reduceat(n * np.log(n * (uc / un) / each), first) if len(first) else np.zeros(0)
+    each, d = np.repeat(c, size), np.repeat(size, size)
+    diverged = np.add.reduceat(n * np.log(n * (uc / up.n[suffix]) / each), first) if len(first) else np.zeros(0)
     keep = (c >= least) & (diverged >= gain) & (ctx & np.uint64(255) != 0)  # no contexts from before the text
     on = np.repeat(keep, size)
-    d, c, each, size = size[keep], c[keep], each[on], np.repeat(size[keep], size[keep])
+    p = np.where(on, (n + d * up.p[suffix]) / (each + d), up.p[suffix])
     mark = np.uint64(k << 56)
     keys = np.concatenate([ctx[keep] | mark | np.uint64(_CONTEXT), pair[on] | mark])
-    return keys, np.concatenate([d / (c + d), n[on] / (each + size)]), np.concatenate([c, each])
+    return Level(pair, n, p), (keys, np.concatenate([(size / (c + size))[keep], p[on]]), np.concatenate([c[keep], each[on]]))
 
 
-def subtree_states(parts: DataFrame, short: tuple[np.ndarray, np.ndarray], least: int = MIN_COUNT, gain: float = MIN_GAIN) -> DataFrame:
+def subtree_states(parts: DataFrame, short: Level, least: int = MIN_COUNT, gain: float = MIN_GAIN) -> DataFrame:
     """(key, v, c) of the retained contexts longer than ``TOP`` and their pairs, a subtree in one task."""
     def states(pair: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        levels = {DEPTH: (pair, n)}
+        counted = {DEPTH: (pair, n)}
         for k in range(DEPTH, TOP + 1, -1):
-            levels[k - 1] = _summed([shorter(levels[k][0])], [levels[k][1]])
-        levels[TOP] = short
-        found = [retained(k, *levels[k], *levels[k - 1], least, gain) for k in range(TOP + 1, DEPTH + 1)]
+            counted[k - 1] = _summed([shorter(counted[k][0])], [counted[k][1]])
+        level, found = short, []
+        for k in range(TOP + 1, DEPTH + 1):
+            level, kept = retained(k, *counted[k], level, least, gain)
+            found.append(kept)
         key, v, c = (np.concatenate(x) for x in zip(*found, strict=True))
         return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(v.astype(np.float32)), pa.array(c)], names=["key", "v", "c"])
 
@@ -315,33 +326,41 @@ class SuffixTree:
         return sum(len(level[0]) for level in self.levels.values())
 
     def open(self, gram: np.ndarray) -> np.ndarray:
-        """Whether the rest of the tree may hold a context of each gram."""
-        out = np.zeros(len(gram), bool)
+        """The lengths at which the rest of the tree may hold a context of each gram, one bit a length."""
+        out = np.zeros(len(gram), np.int64)
         if self.bits is not None:
             for k in range(TOP + 1, DEPTH + 1):
-                out |= _bit(self.bits, context_key(gram, k))
+                out |= _bit(self.bits, context_key(gram, k)).astype(np.int64) << k
         return out
 
-    def score(self, gram: np.ndarray, more: dict[int, tuple[np.ndarray, ...]] | None = None) -> np.ndarray:
+    def score(self, gram: np.ndarray, more: dict[int, tuple[np.ndarray, np.ndarray]] | None = None) -> np.ndarray:
         """log10 probability of each gram's symbol after its context (quickest for sorted grams).
 
-        ``more``: of a length, which grams have a context in the rest, its value and their pair's.
+        From the longest context down: where the symbol was seen, its smoothed
+        probability ends the search, else the weight of falling is paid.
+        ``more``: of a length, each gram's context and pair values in the rest (NaN: none).
         """
-        p = self.root[(gram & np.uint64(255)).astype(np.int64)]
-        for k in range(1, DEPTH + 1):
+        out, todo = np.ones(len(gram)), np.arange(len(gram))
+        for k in range(DEPTH, 0, -1):
             contexts, falls, pairs, owns = self.levels[k]
-            ctx = context_key(gram, k)
+            ctx = context_key(gram[todo], k)
             first = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]])) if len(ctx) else np.zeros(0, np.int64)
             at, hit = _find(contexts, ctx[first])  # each run of one context once
             size = np.diff(np.append(first, len(ctx)))
+            fall, own = np.full(len(todo), np.nan), np.full(len(todo), np.nan)
             on = np.flatnonzero(np.repeat(hit, size))
             if len(on):
-                own, has = _find(pairs, pair_key(gram[on], k))
-                p[on] = np.where(has, owns[own] if len(owns) else 0.0, 0.0) + np.repeat(falls[at[hit]], size[hit]).astype(np.float64) * p[on]
+                fall[on] = np.repeat(falls[at[hit]], size[hit])
+                where, has = _find(pairs, pair_key(gram[todo[on]], k))
+                own[on[has]] = owns[where[has]]
             if more and k in more:
-                on, fall, own = more[k]
-                p[on] = own + fall * p[on]
-        return np.log10(p)
+                there = ~np.isnan(more[k][0][todo])
+                fall[there], own[there] = more[k][0][todo[there]], more[k][1][todo[there]]
+            seen = ~np.isnan(own)
+            out[todo] *= np.where(seen, own, np.where(np.isnan(fall), 1.0, fall))
+            todo = todo[~seen]
+        out[todo] *= self.root[(gram[todo] & np.uint64(255)).astype(np.int64)]
+        return np.log10(out)
 
 
 def context_key(gram: np.ndarray, k: int) -> np.ndarray:
@@ -385,18 +404,20 @@ def grown(spark: SparkSession, parts: DataFrame, folder: str, least: int = MIN_C
     root = (by_byte + 1) / (by_byte.sum() + 256)
     if not len(pair):
         return SuffixTree.of(root, np.zeros(0, np.uint64), np.zeros(0)), None
-    seen = np.flatnonzero(by_byte).astype(np.uint64)
-    found = [retained(1, *one, seen, by_byte[by_byte > 0].astype(np.int64), least, gain), retained(2, pair, n, *one, least, gain)]
-    states = staged(subtree_states(parts, (pair, n), least, gain), "states", folder)
+    seen = np.flatnonzero(by_byte)
+    level, first = retained(1, *one, Level(seen.astype(np.uint64), by_byte[seen].astype(np.int64), root[seen]), least, gain)
+    level, second = retained(2, pair, n, level, least, gain)
+    found = [first, second]
+    states = staged(subtree_states(parts, level, least, gain), "states", folder)
     floor = 0
     if room is not None:
-        # A context and its pairs share its count, so whole contexts are cut off.
-        bands = sorted(((r.band, r["count"]) for r in states.groupBy(F.floor(F.log2("c")).alias("band")).count().collect()), reverse=True)
+        # A context and its pairs share its count, so whole contexts are cut off, in steps of a 32nd of an octave.
+        bands = sorted(((r.band, r["count"], r.least) for r in states.groupBy(F.floor(F.log2("c") * 32).alias("band")).agg(F.count("*").alias("count"), F.min("c").alias("least")).collect()), reverse=True)
         floor, left = 1 << 62, room
-        for band, many in bands:
+        for _, many, lowest in bands:
             if many > left:
                 break
-            floor, left = 2**band, left - many
+            floor, left = lowest, left - many
     near = states.filter(F.col("c") >= floor).select("key", "v").toArrow()
     keys = np.concatenate([*(x[0] for x in found), near["key"].to_numpy().view(np.uint64)])
     tree = SuffixTree.of(root, keys, np.concatenate([*(x[1] for x in found), near["v"].to_numpy()]))
@@ -408,14 +429,15 @@ def grown(spark: SparkSession, parts: DataFrame, folder: str, least: int = MIN_C
 
 
 def looked_up(need: DataFrame, rest: DataFrame, tree) -> DataFrame:
-    """(gram, logp) of distinct grams that may have a context in ``rest``; ``tree`` is the broadcast part."""
+    """(gram, logp) of distinct grams (gram, at), ``at`` the lengths of contexts they may have in ``rest``; ``tree`` is the broadcast part."""
     probe = []
     for k in range(TOP + 1, DEPTH + 1):
         context = F.shiftrightunsigned("gram", 8 * (DEPTH - k + 1))
         pair = F.shiftleft(context, 8).bitwiseOR(F.col("gram").bitwiseAND(255))
         for is_context, key in ((True, context.bitwiseOR(F.lit(_CONTEXT | k << 56))), (False, pair.bitwiseOR(F.lit(k << 56)))):
-            probe.append(F.struct(F.lit(k).alias("k"), F.lit(is_context).alias("context"), key.alias("key")))
-    hits = need.select("gram", F.explode(F.array(*probe)).alias("p")).select("gram", "p.*").join(rest, "key")
+            probe.append(F.struct(F.lit(k).alias("k"), F.lit(1 << k).cast("long").alias("bit"), F.lit(is_context).alias("context"), key.alias("key")))
+    asked = F.filter(F.array(*probe), lambda x: F.col("at").bitwiseAND(x["bit"]) != 0)
+    hits = need.select("gram", F.explode(asked).alias("p")).select("gram", "p.*").join(rest, "key")
     of = lambda k, c: F.max(F.when((F.col("k") == k) & (F.col("context") == c), F.col("v")))
     lengths = range(TOP + 1, DEPTH + 1)
     hits = hits.groupBy("gram").agg(*(of(k, c).alias(f"{'f' if c else 'a'}{k}") for k in lengths for c in (True, False)))
@@ -426,9 +448,7 @@ def looked_up(need: DataFrame, rest: DataFrame, tree) -> DataFrame:
             gram = batch.column(0).to_numpy().view(np.uint64)
             more = {}
             for i, k in enumerate(lengths):
-                fall, own = (batch.column(1 + 2 * i + j).to_numpy(zero_copy_only=False).astype(np.float64) for j in (0, 1))
-                on = np.flatnonzero(~np.isnan(fall))
-                more[k] = (on, fall[on], np.nan_to_num(own[on]))
+                more[k] = tuple(batch.column(1 + 2 * i + j).to_numpy(zero_copy_only=False).astype(np.float64) for j in (0, 1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tree.value[2].score(gram, more))], names=["gram", "logp"])
 
     return met.mapInArrow(run, "gram long, logp double")
@@ -474,19 +494,20 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
     base = lambda c: np.log10((c + 1.0) / (tokens_ + types + 1.0))
     end_score, end_known = float(base(texts)), int(texts > 0)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"row long, doc_id {kind}, n_tokens long, known long, base double, score double, rare array<struct<key:long,m:long>>, open array<struct<gram:long,m:long>>"
+    schema = f"row long, doc_id {kind}, n_tokens long, known long, base double, score double, rare array<struct<key:long,m:long>>, open array<struct<gram:long,at:long,m:long>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top, counted, tree = sent.value
         made = TaskContext.get().partitionId() << 33
-        for batch in thrifty(batches):
+        for batch in thrifty(batches, 2):
             cut = ascii_words(batch.column(1))
             n_texts = len(cut.starts) - 1
             stream, begins, _ = symbols(cut)
             gram, at = np.unique(grams(stream, begins), return_inverse=True)
-            more = tree.open(gram)
+            lengths = tree.open(gram)
+            more = lengths > 0
             logp = np.concatenate([[0.0], np.cumsum(np.where(more, 0.0, tree.score(gram))[at])])
-            later = np.flatnonzero(more[at])  # symbols for the rest of the tree
+            later = np.flatnonzero(more[at]) if more.any() else at[:0]  # symbols for the rest of the tree
             n_open, open_gram, open_times = _per_text(np.searchsorted(begins, later, "right") - 1, at[later], n_texts)
             key = word_hashes(cut.words)
             where, hit = _find(top, key)
@@ -498,7 +519,7 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
             n_rare, rare, times = _per_text(text[~seen], code[~seen], n_texts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(made + np.arange(n_texts)), batch.column(0), pa.array(np.diff(cut.starts) + 1), pa.array(known), pa.array(shares.astype(float)),
-                 pa.array(np.diff(logp[begins])), _lists(n_rare, {"key": key[rare], "m": times}), _lists(n_open, {"gram": gram[open_gram].view(np.int64), "m": open_times})],
+                 pa.array(np.diff(logp[begins])), _lists(n_rare, {"key": key[rare], "m": times}), _lists(n_open, {"gram": gram[open_gram].view(np.int64), "at": lengths[open_gram], "m": open_times})],
                 names=["row", "doc_id", "n_tokens", "known", "base", "score", "rare", "open"],
             )
             made += n_texts
@@ -510,7 +531,7 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
     out = rows.drop("rare", "open").join(more, "row", "left").withColumn("gain", F.lit(0.0))
     if rest is not None:
         opened = rows.select("row", F.explode("open").alias("o")).select("row", "o.*")
-        full = staged(looked_up(opened.select("gram").distinct(), rest, sent), "full", folder)
+        full = staged(looked_up(opened.select("gram", "at").distinct(), rest, sent), "full", folder)
         gains = opened.join(full, "gram").groupBy("row").agg(F.sum(F.col("m") * F.col("logp")).alias("gain"))
         out = out.drop("gain").join(gains, "row", "left")
     nothing = F.lit(0.0)

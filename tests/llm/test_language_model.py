@@ -166,5 +166,6 @@ def test_retention_does_not_rise_with_the_corpus():
     """A context seen 300 times stays a context beside 50 million other symbols."""
     pair = np.array([ord("b") << 8 | ord("a"), ord("q") << 8 | ord("x")], np.uint64)
     n = np.array([50_000_000, 300])
-    keys, _, _ = lm.retained(1, pair, n, np.array([ord("a"), ord("x")], np.uint64), n, lm.MIN_COUNT, lm.MIN_GAIN)
+    up = lm.Level(np.array([ord("a"), ord("x")], np.uint64), n, n / n.sum())
+    _, (keys, _, _) = lm.retained(1, pair, n, up, lm.MIN_COUNT, lm.MIN_GAIN)
     assert lm._CONTEXT | 1 << 56 | ord("q") in keys.tolist()
