@@ -44,6 +44,8 @@ from abspark.llm.common import bounded_batches, new_folder, staged
 
 FRAME = 1 << 20
 BUNDLE = 64 << 20
+READ_BYTES = 8 << 20  # of records that one reading task unpacks, about
+MOST_TASKS = 20_000
 LEVEL = 3
 REVISIT_BYTES = 1000
 DATE = "2024-01-01T00:00:00Z"
@@ -230,6 +232,10 @@ def _described(headers: dict[str, str], block: bytes) -> tuple:
     return _page_id(headers["WARC-Record-ID"]), length, digest.hex(), kind, _page_id(headers["WARC-Refers-To"]) if kind == "revisit" else None
 
 
+def _tasks(size: int) -> int:
+    return min(MOST_TASKS, 1 + size // READ_BYTES)
+
+
 def read_archive(index: DataFrame, folder: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of every record, from the committed bundles themselves."""
     kind = index.schema["page_id"].dataType.simpleString()
@@ -244,8 +250,10 @@ def read_archive(index: DataFrame, folder: str) -> DataFrame:
                 types = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["id", "payload_bytes", "payload_digest", "record_type", "first"])
 
-    frames = index.select("bundle", "frame").distinct()
-    out = frames.mapInArrow(run, "id string, payload_bytes long, payload_digest string, record_type string, first string")
+    frames = index.groupBy("bundle", "frame").agg(F.sum("length").alias("bytes"))
+    # The list is short, what it stands for is not: as many tasks as the bytes ask for.
+    tasks = _tasks(frames.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0])
+    out = frames.select("bundle", "frame").repartition(tasks, "bundle", "frame").mapInArrow(run, "id string, payload_bytes long, payload_digest string, record_type string, first string")
     return out.select(F.col("id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("first").cast(kind).alias("refers_to"))
 
 
@@ -256,14 +264,18 @@ def fetch(index: DataFrame, folder: str, page_ids: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, path = open_folder(f"{folder}/bundles")
         for batch in batches:
-            out = []
+            out, held, data = [], None, b""
             for _, bundle, frame, offset, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                with files.open_input_file(f"{path}/{bundle}") as source:
-                    out.append(BundleReader(source).frame(frame)[offset : offset + length])
+                if (bundle, frame) != held:
+                    with files.open_input_file(f"{path}/{bundle}") as source:
+                        held, data = (bundle, frame), BundleReader(source).frame(frame)
+                out.append(data[offset : offset + length])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["page_id", "record"])
 
     schema = T.StructType([index.schema["page_id"], T.StructField("record", T.BinaryType())])
-    return wanted.select("page_id", "bundle", "frame", "offset", "length").mapInArrow(run, schema)
+    wanted = staged(wanted.select("page_id", "bundle", "frame", "offset", "length"), "wanted")
+    tasks = _tasks(wanted.select("bundle", "frame").distinct().count() * FRAME)
+    return wanted.repartition(tasks, "bundle", "frame").sortWithinPartitions("bundle", "frame").mapInArrow(run, schema)
 
 
 def op7_warc_bundles(pages: DataFrame) -> DataFrame:

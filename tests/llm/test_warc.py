@@ -53,6 +53,21 @@ def test_index_finds_every_record_in_its_frame(spark):
     assert headers["WARC-Target-URI"] == "http://h0/%C3%A4%0D%0AX:%203" and block.endswith(b"<p>3</p>" * 21)
 
 
+def test_reading_takes_as_many_tasks_as_the_bytes_ask_for(spark, monkeypatch):
+    """The frame list is tiny; adaptive planning must not make one task of it."""
+    monkeypatch.setattr(w, "FRAME", 2000)
+    monkeypatch.setattr(w, "READ_BYTES", 4000)
+    docs = pages(spark, 200)
+    folder, index = w.write_archive(docs)
+    size = index.agg({"length": "sum"}).first()[0]
+    assert size > 10 * w.READ_BYTES
+    read = w.read_archive(index, folder)
+    assert read.rdd.getNumPartitions() == 1 + size // w.READ_BYTES
+    assert read.count() == docs.count()
+    got = w.fetch(index, folder, docs.select("page_id"))
+    assert got.rdd.getNumPartitions() > 10 and got.count() == docs.filter("page_id is not null").count()
+
+
 class Source(io.BytesIO):
     def size(self):
         return len(self.getvalue())
