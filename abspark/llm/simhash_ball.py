@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abspark.llm.common import bounded_batches, fold_text, new_folder, staged, word_blocks
@@ -184,13 +184,13 @@ def _linked(rows: DataFrame, rest: int, max_bits: int) -> DataFrame:
     return rows.groupBy("prefix").applyInPandas(meet, "a long, b long")
 
 
-def simhash_groups(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> tuple[DataFrame, DataFrame]:
-    """(rows, groups): rows (doc_id, fp) of every document; groups (fp, component_id) of every distinct fingerprint."""
+def simhash_groups(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, marks: tuple[Column, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(rows, groups): rows (doc_id, marks, fp) of every document; groups (fp, component_id, root) of every distinct fingerprint."""
     if max_bits % 2 or max_bits < 0:
         raise ValueError("max_bits is twice the ball radius")
     bounded_batches(docs.sparkSession)
     folder = new_folder(docs.sparkSession, "simhash")
-    rows = staged(docs.select("doc_id", fingerprints(words)("text").alias("fp")), "rows", folder)
+    rows = staged(docs.select("doc_id", *marks, fingerprints(words)("text").alias("fp")), "rows", folder)
     distinct = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct", folder)
     roots = components(ball_links(distinct.select("fp"), max_bits).distinct())
     grouped = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
@@ -211,10 +211,16 @@ def op6_simhash_ball(docs: DataFrame) -> DataFrame:
 
 def simhash_keep(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each group of near copies: that of the smallest doc_id (of repeated ids, the smallest text)."""
-    _, groups = simhash_groups(docs.select("doc_id", "text"), words, max_bits)
+    # Fingerprints are the dear part: each is made once, and rows are found again by their id and a 128-bit hash of the text.
+    def hashes(text: Column) -> tuple[Column, Column]:
+        text = F.coalesce(text, F.lit(""))
+        return F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text, F.lit(2)).alias("h2")
+
+    rows, groups = simhash_groups(docs.select("doc_id", "text"), words, max_bits, hashes(F.col("text")))
     groups = groups.select(F.col("fp").alias("f"), "component_id", "root")
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    rows = rows.withColumn("fp", fingerprints(words)(F.col("row.text")))
-    kept = rows.join(groups, F.col("fp") == F.col("f")).filter(F.col("row.doc_id").eqNullSafe(F.col("component_id")))
+    first = rows.join(groups, F.col("fp") == F.col("f")).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "h1", "h2", "root").distinct()
+    every = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    every = every.select("row", *hashes(F.col("row.text"))).withColumnsRenamed({"h1": "r1", "h2": "r2"})
+    kept = every.join(first, F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("r1") == F.col("h1")) & (F.col("r2") == F.col("h2")))
     one = kept.groupBy("root").agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row"))
     return one.select("row.*")

@@ -52,7 +52,7 @@ def test_stages_match_brute_force(spark, tmp_path):
 
 def test_every_operator_is_registered():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names}
+    assert {f"op{n}" for n in range(1, 14)} <= {x.split("_")[0] for x in names}
     assert "pipeline" in names and set(entry.oracle_sql()) <= names
 
 
@@ -61,7 +61,7 @@ def test_sql_agrees(spark):
 
     d = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet')")
     for name, sql in registry.oracle_sql().items():
         want = con.execute(sql)
@@ -76,3 +76,25 @@ def test_short_shared_texts_stay_and_letterless_ones_go(spark):
     ids = lambda d: sorted(r.doc_id for r in corpus_pipeline.language_id(spark, d, "").collect())
     assert ids(docs) == list(range(20))
     assert ids(docs.selectExpr("doc_id", "text", "cast(null as string) lang")) == list(range(20))
+
+
+def test_texts_are_fingerprinted_once(spark, monkeypatch, tmp_path):
+    """Nulls, empty texts, repeated ids and rows: one row a group; the costly function runs once a row in all plans."""
+    from abspark.llm import simhash_ball
+
+    long = prose(3, 80)
+    rows = [(1, long, "a"), (1, long, "a"), (2, long + " x", "b"), (1, "other " + prose(4, 60), "c"), (3, None, "d"), (4, "", "e"), (None, prose(5, 40), "f"), (None, prose(5, 40), "f"), (6, "word " * 30_000, "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, h1 string")
+    calls = []
+    made = simhash_ball.fingerprints
+    monkeypatch.setattr(simhash_ball, "fingerprints", lambda words: calls.append(words) or made(words))
+    got = simhash_ball.simhash_keep(docs)
+    assert len(calls) == 1 and "EvalPython" not in got._jdf.queryExecution().optimizedPlan().toString()
+    label = brute_components([i for i, *_ in rows], [plain_fingerprint(t) for _, t, _ in rows])
+    want = {(i, t or "") for (i, t, _), c in zip(rows, label, strict=True) if i == c}
+    groups = len({c for c in label}) if None not in label else None
+    kept = got.collect()
+    assert got.columns == docs.columns and {(r.doc_id, r.text or "") for r in kept} <= want
+    assert sum(r.doc_id in (3, 4) for r in kept) == 1 and sum(r.doc_id is None for r in kept) == 1 and (groups is None or len(kept) == groups)
+    empty = simhash_ball.simhash_keep(docs.limit(0))
+    assert empty.collect() == [] and empty.columns == docs.columns
