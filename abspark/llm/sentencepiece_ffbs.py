@@ -81,8 +81,11 @@ class Sampler:
         p = np.exp(alpha[e.start] + logw - alpha[e.end])
         end, nodes = e.end, int(e.nodes[-1])
         first = np.searchsorted(end, np.arange(nodes + 1))
-        cum = np.cumsum(p)
-        cum -= np.concatenate([[0.0], cum])[first[end]]
+        # Summed node by node: a word's bounds do not depend on the words beside it.
+        cum, width = p, np.diff(first)
+        for k in range(1, int(width.max(initial=0))):
+            at = first[:-1][width > k] + k
+            cum[at] += cum[at - 1]
         cum[first[1:][first[1:] > first[:-1]] - 1] = 2.0  # a node's last edge takes what rounding leaves
         return e.nodes[1:] - 1, first[1:], cum.astype(np.float32), e.size.astype(np.int8), e.piece.astype(np.int32)
 

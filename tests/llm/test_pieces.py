@@ -124,3 +124,16 @@ def test_odd_texts_have_defined_languages(odd_docs, no_docs):
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "some words", None)], "doc_id long, text string, lang string")
     assert lid.op2_marginal_unigrams(docs).first().lang_pred == "und"
+
+
+def test_bounds_do_not_depend_on_other_words():
+    words = [" " + w for w in dict.fromkeys(prose(11, 400).split() + ["ab" * 200, "漢字", "x"])]
+    together = Sampler()
+    together._add(words)
+    for i in (0, 1, 7, len(words) // 2, len(words) - 3, len(words) - 1):
+        alone = Sampler()
+        alone._add([words[i]])
+        begin = 0 if i == 0 else int(together.edge_of[together.last[i - 1] + 1])
+        stop = int(together.edge_of[together.last[i] + 1])
+        for a, b in ((alone.upto, together.upto), (alone.size, together.size), (alone.piece, together.piece)):
+            assert np.array_equal(a, b[begin:stop])
