@@ -51,6 +51,7 @@ RULES = (
     Rule("hex", "1", r"[0-9a-f]{16,}"),
 )
 PLACEHOLDER = "[REDACTED]"
+BLOCK = 1024
 
 
 def blob_of(text: Column) -> Column:
@@ -129,30 +130,63 @@ class SecretLedger:
         counts = [F.count_if(F.col("kind") == r.kind).alias(f"n_{r.kind}") for r in self.rules]
         return rows.groupBy("blob").agg(*counts, text.alias("spans"))
 
+    def cuts(self) -> DataFrame:
+        """(blob, cuts): the union of the findings of this ledger's rules, as disjoint (start, end) in order."""
+        rows = self.findings().filter(F.col("rule").isin([r.name for r in self.rules]))
+        # At most as many rows a content as it has characters; findings that touch are one range.
+        before = F.expr("max(`end`) over (partition by blob order by start, `end` rows between unbounded preceding and 1 preceding)")
+        rows = rows.select("blob", "start", "end", (F.col("start") > F.coalesce(before, F.lit(-1))).cast("long").alias("opens"))
+        rows = rows.withColumn("range", F.expr("sum(opens) over (partition by blob order by start, `end` rows unbounded preceding)"))
+        ranges = rows.groupBy("blob", "range").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+        return ranges.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts"))
+
+    def _found(self, rows: DataFrame, blob: str, found: DataFrame) -> DataFrame:
+        # Written first, and merged at any size: copies of one content in many rows can be split over tasks.
+        found = staged(found, "secret-found").withColumnRenamed("blob", "__found").hint("merge")
+        return rows.join(found, F.col(blob) == F.col("__found"), "left").drop("__found")
+
     def joined(self, rows: DataFrame, blob: str) -> DataFrame:
         """``rows`` with columns n_<kind>... and spans of the content whose address is in column ``blob``."""
-        # Written first, and merged at any size: copies of one content in many rows can be split over tasks.
-        found = staged(self.summary(), "secret-summary").withColumnRenamed("blob", "__found").hint("merge")
-        rows = rows.join(found, F.col(blob) == F.col("__found"), "left")
+        rows = self._found(rows, blob, self.summary())
         counts = {f"n_{r.kind}": F.coalesce(f"n_{r.kind}", F.lit(0)).cast("long") for r in self.rules}
-        return rows.withColumns(counts | {"spans": F.coalesce("spans", F.lit(""))}).drop("__found")
+        return rows.withColumns(counts | {"spans": F.coalesce("spans", F.lit(""))})
 
     def per_row(self, docs: DataFrame) -> DataFrame:
         """Columns (row, n_<kind>..., spans) for every row of ``docs``; rows without findings have zeros and ''."""
-        rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), blob_of(docs["text"]).alias("__blob"))
-        return self.joined(rows, "__blob").drop("__blob")
-
-
-def redact(text: Column, rules: tuple[Rule, ...] = RULES, placeholder: str = PLACEHOLDER) -> Column:
-    """``text`` with every finding replaced, one rule after the other (linear in the text)."""
-    def replaced(text: Column, rule: Rule) -> Column:
-        whole = F.zip_with(_matches(text, rule), _matches(text, rule, rule.value_group),
-                           lambda m, v: F.when(F.length(v) >= rule.min_value, F.lit(placeholder)).otherwise(m))
-        return F.array_join(F.zip_with(F.split(text, rule.pattern, -1), whole, lambda gap, m: F.concat(gap, F.coalesce(m, F.lit("")))), "")
-
-    for rule in rules:
-        text = replaced(text, rule)
-    return text
+        return self.joined(self._rows(docs), "__blob").drop("__blob")
+
+    def redacted(self, docs: DataFrame) -> DataFrame:
+        """Columns (row, redacted) for every row of ``docs``: its text with every finding replaced, null if it has none."""
+        rows = self._found(self._rows(docs), "__blob", self.cuts())
+        return rows.select("row", F.when(F.col("cuts").isNotNull(), redact(F.col("row.text"), F.col("cuts"))).alias("redacted"))
+
+    def _rows(self, docs: DataFrame) -> DataFrame:
+        return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), blob_of(docs["text"]).alias("__blob"))
+
+
+def redact(text: Column, cuts: Column, placeholder: str = PLACEHOLDER) -> Column:
+    """``text`` with every range of ``cuts`` replaced: disjoint (start, end) in code points, in order.
+
+    The text is cut into blocks of ``BLOCK`` code points first, so that a range
+    costs its own length and a block, wherever in the text it lies.
+    """
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    begins = F.concat(F.array(F.lit(0).cast("long")), F.transform(cuts, lambda c: c["end"]))
+    ends = F.concat(F.transform(cuts, lambda c: c["start"]), F.array(F.char_length(text).cast("long")))
+
+    def between(blocks: Column, gap: Column) -> Column:
+        a, b = gap["begins"], gap["ends"]
+        first, last = F.floor(a / BLOCK).cast("int"), F.floor((b - 1) / BLOCK).cast("int")
+        at = (a - first * BLOCK).cast("int")
+        part = lambda i, start, n: F.substring(F.get(blocks, i), start, n)
+        inner = F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        many = F.concat(part(first, at + 1, F.lit(BLOCK)), inner, part(last, F.lit(1), (b - last * BLOCK).cast("int")))
+        return F.when(a >= b, F.lit("")).when(first == last, part(first, at + 1, (b - a).cast("int"))).otherwise(many)
+
+    # As the one element of an array the blocks are a lambda's variable: made once, whatever the plan does with columns.
+    gaps = F.arrays_zip(begins.alias("begins"), ends.alias("ends"))
+    pieces = F.transform(F.array(F.struct(blocks.alias("blocks"), gaps.alias("gaps"))), lambda x: F.transform(x["gaps"], lambda g: between(x["blocks"], g)))
+    return F.array_join(F.get(pieces, F.lit(0)), placeholder)
 
 
 def op9_secret_ledger(docs: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from abspark.llm.common import new_folder, staged, table
 from abspark.llm.kk_packing import pack
 from abspark.llm.language_id import known_language
 from abspark.llm.line_dedup import line_dedup
-from abspark.llm.secret_ledger import SecretLedger, redact
+from abspark.llm.secret_ledger import SecretLedger
 from abspark.llm.simhash_ball import simhash_keep
 
 #: Sampled packing and fingerprints are not expressible in SQL; tests hold run() against brute force.
@@ -46,8 +46,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Findings are replaced in the texts that have any; other texts stay as they are."""
     ledger = SecretLedger(spark)
     ledger.scan(docs.select("text"))
-    text = F.when(F.col("spans") != "", redact(F.col("row.text"))).otherwise(F.col("row.text"))
-    return ledger.per_row(docs).select(*_with_text("row", text, docs))
+    return ledger.redacted(docs).select(*_with_text("row", F.coalesce("redacted", "row.text"), docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from abspark.llm.secret_ledger import RULES, Rule, SecretLedger, blob_of, op9_secret_ledger, redact
+from abspark.llm.secret_ledger import BLOCK, PLACEHOLDER, RULES, Rule, SecretLedger, op9_secret_ledger
 
 PATTERNS = {
     "assign": re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII),
@@ -70,10 +70,39 @@ def test_only_unseen_pairs_are_scanned(spark):
     assert rows == {i: expected(i, t)[-1] for i, t in enumerate(TEXTS * 2)}
 
 
+def cut(text):
+    """``text`` without the union of its base spans."""
+    out, at = [], 0
+    ranges = []
+    for a, _, _, b in base(text):
+        if ranges and a <= ranges[-1][1]:
+            ranges[-1][1] = max(b, ranges[-1][1])
+        else:
+            ranges.append([a, b])
+    for a, b in ranges:
+        out.append(text[at:a])
+        at = b
+    return PLACEHOLDER.join([*out, text[at:]])
+
+
 def test_redaction_leaves_no_finding_and_other_text(spark):
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*TEXTS, "clean text", ""])], "doc_id long, text string")
-    rows = docs.select("doc_id", "text", redact(F.col("text")).alias("new"), blob_of(F.col("text")).alias("b")).collect()
+    edge = "ab1😀" * (BLOCK // 4)  # blocks of code points, cut at and across their borders
+    long = f"{edge}AKIA{'A' * 3000}😀 token={edge[:-1]} x {edge * 3}password={'p' * BLOCK}" + " 漢 0123456789abcdef" * 500
+    overlap = "0123456789abcdeapi_key=abcdefghijkl"
+    texts = [*TEXTS, "clean text", "", None, edge, long, overlap, "x" * (BLOCK - 6) + "token=" + "Z" * 12, "0123456789abcdef"]
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts * 2)], "doc_id long, text string, cuts string")
+    ledger = SecretLedger(spark)
+    ledger.scan(docs)
+    got = ledger.redacted(docs)
+    rows = got.collect()
+    assert len(rows) == 2 * len(texts)
     for r in rows:
-        assert base(r.new) == []
-        assert (r.new == r.text) == (base(r.text) == [])
-    assert rows[1].new == "token: api_key: 'AAAAAAAAAAAAAAAA' [REDACTED]"
+        old = r.row.text
+        assert r.redacted == (cut(old) if base(old) else None)
+        assert r.redacted is None or base(r.redacted) == []
+    new = {r.row.doc_id: r.redacted for r in rows}
+    assert new[1] == "token: api_key: 'AAAAAAAAAAAAAAAA' [REDACTED]"
+    assert new[texts.index(overlap)] == PLACEHOLDER
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and "split(" not in plan
+    assert ledger.redacted(docs.limit(0)).collect() == []
