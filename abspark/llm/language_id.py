@@ -206,11 +206,18 @@ def op2_marginal_unigrams(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
-def known_language(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text op2 does not call ``und``; with no label to learn from, those with a letter."""
+def known_language(docs: DataFrame, languages: tuple[str, ...] | None = None) -> DataFrame:
+    """The rows of ``docs`` whose text op2 does not call ``und``; a null lang becomes the prediction.
+
+    With ``languages`` only rows predicted as one of them stay.  With no label to
+    learn from there is no prediction: texts with a letter stay as they are.
+    """
     model = train(docs.filter(~held_out(F.col("doc_id"))))
     if not model.langs:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    kept = rows.withColumn("p", predict(model, docs.sparkSession)(F.col("row.text"))).filter(F.col("p.lang_pred") != UNKNOWN)
-    return kept.select("row.*")
+    # Not deterministic to the optimiser, which would otherwise predict again for the filter.
+    rows = rows.withColumn("p", predict(model, docs.sparkSession).asNondeterministic()(F.col("row.text")))
+    kept = rows.filter(F.col("p.lang_pred") != UNKNOWN if languages is None else F.col("p.lang_pred").isin(*languages))
+    new = {"lang": F.coalesce("row.lang", "p.lang_pred")}
+    return kept.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

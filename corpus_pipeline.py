@@ -1,7 +1,7 @@
 """Corpus preparation: language ID, line dedup, near-dedup, secret redaction, packing.
 
 Every stage works on all rows its predecessor kept and takes effect: texts
-without a known language go, common lines are cut out, one document of each
+without a known language go (a missing label is filled with the prediction), common lines are cut out, one document of each
 group of near copies stays, secrets are replaced, and what is left is packed.
 All stages but the last return the columns of ``documents``.
 """

@@ -3,6 +3,7 @@
 import __spark_entry__ as entry
 import corpus_pipeline
 from abspark.llm import registry
+from abspark.llm.language_id import known_language
 
 from .conftest import prose
 from .test_lines_and_copies import brute_components, plain_fingerprint
@@ -78,6 +79,20 @@ def test_short_shared_texts_stay_and_letterless_ones_go(spark):
     assert ids(docs.selectExpr("doc_id", "text", "cast(null as string) lang")) == list(range(20))
 
 
+def test_null_labels_are_filled_and_languages_chosen(spark):
+    rows = [(i, prose(i, 60, ("en", "de")[i % 2]), None if i % 10 > 7 else ("en", "de")[i % 2], "clash", i) for i in range(80)]
+    rows += [(None, prose(500, 60), None, "x", 0), (90, "12 !", None, "x", 0), (91, None, "de", "x", 0), (7, rows[7][1], None, "copy", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, p string, row long")
+    got = known_language(docs)
+    assert got.columns == docs.columns
+    want = sorted(((i, t, l or ("en" if i is None else ("en", "de")[i % 2]), p, r) for i, t, l, p, r in rows if i not in (90, 91)), key=str)
+    assert sorted(map(tuple, got.collect()), key=str) == want
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    only = known_language(docs, ("de",)).collect()
+    assert {r.doc_id for r in only} == {i for i in range(80) if i % 2} and {r.lang for r in only} == {"de"}
+    assert known_language(docs.limit(0)).collect() == []
+
+
 def test_texts_are_fingerprinted_once(spark, monkeypatch, tmp_path):
     """Nulls, empty texts, repeated ids and rows: one row a group; the costly function runs once a row in all plans."""
     from abspark.llm import simhash_ball
