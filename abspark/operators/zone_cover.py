@@ -2,10 +2,10 @@
 
 Every distinct zone shape gets a grid of ``COARSE`` x ``COARSE`` cells over its
 box, each of ``FINE`` x ``FINE`` subcells.  A cover row (shape, cell) says of each
-subcell whether it is inside, outside or on the border; cells that are wholly
-outside have no row.  An order finds its zone's grid by the zone key (numbers
+subcell whether it is inside, outside or on the border, as bits of two numbers;
+cells that are wholly outside have no row.  An order finds its zone's grid by the zone key (numbers
 only), computes its cell and meets the cover by an equi-join on (shape, cell): the
-mark decides, and only border subcells cast the ray, over those edges that a ray
+bits decide, and only border subcells cast the ray, over those edges that a ray
 from that cell can meet.  No polygon travels with the orders, and the work per
 order does not grow with a zone's outline.
 
@@ -25,7 +25,9 @@ from abspark.operators.relational import broadcast_if_small
 
 COARSE = 8
 FINE = 4
-INSIDE, OUTSIDE, BORDER = "i", "o", "b"
+SIDE = COARSE * FINE  # subcells along a side of the box; a row of them is the bits of one number
+# An edge that climbs less than this part of a subcell is taken with its whole width.
+LEVEL = 0.01
 # Cells are looked at a little enlarged, so that a point that rounding puts into
 # the next cell is still decided rightly.
 MARGIN = 1e-6
@@ -58,15 +60,6 @@ def odd_crossings(edges: Column, x: Column, y: Column) -> Column:
     return F.aggregate(edges, F.lit(False), lambda odd, e: odd != crosses(e))
 
 
-def _touches(e: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
-    """Does edge ``e`` meet the box?  Boxes overlap, and the corners are not all on one side of the edge's line."""
-    overlap = (F.greatest(e["ax"], e["bx"]) >= x0) & (F.least(e["ax"], e["bx"]) <= x1) & (
-        F.greatest(e["ay"], e["by"]) >= y0) & (F.least(e["ay"], e["by"]) <= y1)
-    side = lambda x, y: (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])
-    corners = [side(x, y) for x in (x0, x1) for y in (y0, y1)]
-    return overlap & (F.least(*corners) <= 0) & (F.greatest(*corners) >= 0)
-
-
 def zone_shapes(geo: DataFrame, geodesic: bool = False) -> DataFrame:
     """One row per distinct shape: shape_id, its grid (x0, y0, x1, y1, dx, dy), its frame if geodesic, and its edges."""
     shapes = geo.where(F.col("zone_shape").isNotNull()).groupBy(shape_id(F.col("zone_shape")).alias("shape_id")).agg(
@@ -89,36 +82,65 @@ def zone_grid(geo: DataFrame, geodesic: bool = False) -> DataFrame:
     return keys.join(zone_shapes(geo, geodesic).drop("edges"), "shape_id", "left")
 
 
+def _edge_rows(shapes: DataFrame) -> DataFrame:
+    """(shape_id, j, border, toggled): what each edge does to each row ``j`` of subcells that it reaches.
+
+    Bit ``i`` of ``border``: the edge meets subcell (i, j), a little enlarged.
+    ``toggled``: the subcells whose ray from the centre towards +x crosses it.
+    """
+    e = shapes.select("shape_id", "x0", "y0", (F.col("dx") / FINE).alias("width"), (F.col("dy") / FINE).alias("height"),
+                      (F.col("dx") * MARGIN).alias("mx"), (F.col("dy") * MARGIN).alias("my"), F.explode("edges").alias("e"))
+    e = e.select(*[c for c in e.columns if c != "e"], "e.*").withColumns({
+        "low": F.least("ay", "by"), "high": F.greatest("ay", "by"), "left": F.least("ax", "bx"), "right": F.greatest("ax", "bx")})
+    at = lambda v, start, step: F.least(F.greatest(F.floor((v - F.col(start)) / F.col(step)), F.lit(0)), F.lit(SIDE - 1)).cast("int")
+    rows = F.sequence(at(F.col("low") - F.col("my"), "y0", "height"), at(F.col("high") + F.col("my"), "y0", "height"))
+    e = e.select("*", F.explode(rows).alias("j"))
+    bottom = F.col("y0") + F.col("j") * F.col("height")
+    # The part of the edge within the row; of a nearly level edge all of it, whose slope says too little.
+    along = lambda y: F.col("ax") + (F.col("bx") - F.col("ax")) * (y - F.col("ay")) / F.nullif(F.col("by") - F.col("ay"), F.lit(0.0))
+    e = e.withColumns({"enter": along(F.greatest("low", bottom - F.col("my"))),
+                       "leave": along(F.least("high", bottom + F.col("height") + F.col("my"))),
+                       "steep": F.col("high") - F.col("low") > F.col("height") * LEVEL,
+                       "middle": bottom + F.col("height") / 2})
+    e = e.withColumns({"first": at(F.when(F.col("steep"), F.least("enter", "leave")).otherwise(F.col("left")) - F.col("mx"), "x0", "width"),
+                       "last": at(F.when(F.col("steep"), F.greatest("enter", "leave")).otherwise(F.col("right")) + F.col("mx"), "x0", "width")})
+    across = (F.col("ay") > F.col("middle")) != (F.col("by") > F.col("middle"))
+    before = F.ceil((along(F.col("middle")) - F.col("x0")) / F.col("width") - 0.5)
+    e = e.withColumn("before", F.when(across, F.least(F.greatest(before, F.lit(0)), F.lit(SIDE)).cast("int")).otherwise(0))
+    return e.select("shape_id", "j", F.expr("shiftleft(1L, last + 1) - shiftleft(1L, first)").alias("border"),
+                    F.expr("shiftleft(1L, before) - 1L").alias("toggled"))
+
+
 def zone_cover(geo: DataFrame, geodesic: bool = False) -> DataFrame:
-    """(shape_id, cell, marks, edges): the cells that are not wholly outside."""
+    """(shape_id, cell, border, inside, edges): the cells that are not wholly outside; bit ``j * FINE + i`` of a mark is a subcell's.
+
+    An edge is dealt to the rows of subcells that it reaches, where it is a span
+    of border bits and a prefix of crossed rays.  OR and XOR over the edges of a row
+    give all of its marks at once, so a shape costs its edges, not cells x edges.
+    """
     # Few bytes but much arithmetic: dealt to every core, whatever the adaptive planner makes of the size.
-    shapes = zone_shapes(geo, geodesic).repartition(geo.sparkSession.sparkContext.defaultParallelism, "shape_id")
-    cells = shapes.select("*", F.explode(F.sequence(F.lit(0), F.lit(COARSE * COARSE - 1))).alias("cell"))
+    shapes = zone_shapes(geo, geodesic).where("dx > 0 and dy > 0").select("shape_id", "x0", "y0", "dx", "dy", "edges").repartition(
+        geo.sparkSession.sparkContext.defaultParallelism, "shape_id")
+    marks = []
+    for r in range(FINE):
+        own = F.col("j") % FINE == r
+        marks += [F.coalesce(F.bit_or(F.when(own, F.col("border"))), F.lit(0)).alias(f"b{r}"),
+                  F.coalesce(F.bit_xor(F.when(own, F.col("toggled"))), F.lit(0)).alias(f"t{r}")]
+    bands = _edge_rows(shapes).groupBy("shape_id", F.expr(f"j div {FINE}").cast("int").alias("band")).agg(*marks)
+    bands = bands.join(shapes, "shape_id").withColumn("cy", F.col("y0") + F.col("band") * F.col("dy"))
     mx, my = F.col("dx") * MARGIN, F.col("dy") * MARGIN
-    cells = cells.withColumn("cx", F.col("x0") + F.expr(f"cell div {COARSE}") * F.col("dx")).withColumn(
-        "cy", F.col("y0") + F.col("cell") % COARSE * F.col("dy"))
-    # Edges that a ray from the cell towards +x can meet.
-    near = F.filter("edges", lambda e: (F.greatest(e["ay"], e["by"]) >= F.col("cy") - my) & (
-        F.least(e["ay"], e["by"]) <= F.col("cy") + F.col("dy") + my) & (F.greatest(e["ax"], e["bx"]) >= F.col("cx") - mx))
-    cells = cells.withColumn("near", near)
-    width, height = F.col("dx") / FINE, F.col("dy") / FINE
-
-    def mark(s: Column) -> Column:
-        x, y = F.col("cx") + F.floor(s / FINE) * width, F.col("cy") + s % FINE * height
-        border = F.exists("near", lambda e: _touches(e, x - mx, y - my, x + width + mx, y + height + my))
-        inside = odd_crossings(F.col("near"), x + width / 2, y + height / 2)
-        return F.when(border, F.lit(BORDER)).when(inside, F.lit(INSIDE)).otherwise(F.lit(OUTSIDE))
-
-    # A cell that no edge meets is inside or outside as a whole.
-    x, y = F.col("cx"), F.col("cy")
-    met = F.exists("near", lambda e: _touches(e, x - mx, y - my, x + F.col("dx") + mx, y + F.col("dy") + my))
-    centre_inside = odd_crossings(F.col("near"), x + F.col("dx") / 2, y + F.col("dy") / 2)
-    whole = F.when(centre_inside, F.lit(INSIDE * (FINE * FINE))).otherwise(F.lit(OUTSIDE * (FINE * FINE)))
-    each = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(FINE * FINE - 1)), mark), "")
-    marked = cells.withColumn("marks", F.when(met, each).otherwise(whole)).where(F.col("marks") != OUTSIDE * (FINE * FINE))
-    return marked.select(
-        "shape_id", "cell", "marks",
-        F.when(F.instr("marks", BORDER) > 0, F.col("near")).otherwise(F.slice("near", 1, 0)).alias("edges"))
+    # Edges that a ray from the cell towards +x can meet: first those of the band, then those of the cell.
+    level = F.filter("edges", lambda e: (F.greatest(e["ay"], e["by"]) >= F.col("cy") - my) & (
+        F.least(e["ay"], e["by"]) <= F.col("cy") + F.col("dy") + my))
+    bands = bands.withColumn("level", level)
+    cells = bands.select("*", F.explode(F.sequence(F.lit(0), F.lit(COARSE - 1))).alias("i"))
+    part = lambda c, r: f"shiftleft(shiftright({c}{r}, i * {FINE}) & {2**FINE - 1}L, {r * FINE})"
+    joined = lambda c: F.expr(" | ".join(part(c, r) for r in range(FINE))).cast("int")
+    cells = cells.withColumns({"border": joined("b"), "toggled": joined("t")}).withColumn("inside", F.expr("toggled & ~border"))
+    near = F.filter("level", lambda e: F.greatest(e["ax"], e["bx"]) >= F.col("x0") + F.col("i") * F.col("dx") - mx)
+    return cells.where("(border | inside) != 0").select(
+        "shape_id", (F.col("i") * COARSE + F.col("band")).cast("int").alias("cell"), "border", "inside",
+        F.when(F.col("border") != 0, near).otherwise(F.slice("level", 1, 0)).alias("edges"))
 
 
 def locate(orders: DataFrame, grid: DataFrame, cover: DataFrame, on: dict[str, str], lon: str, lat: str,
@@ -146,13 +168,14 @@ def locate(orders: DataFrame, grid: DataFrame, cover: DataFrame, on: dict[str, s
     met = met.withColumns({"__i": at("__x", "x0", "dx", FINE), "__j": at("__y", "y0", "dy", FINE)})
     met = met.withColumns({
         "__cell": (F.expr(f"__i div {FINE}") * COARSE + F.expr(f"__j div {FINE}")).cast("int"),
-        "__sub": (F.col("__i") % FINE * FINE + F.col("__j") % FINE).cast("int")})
-    c = broadcast_if_small(cover.select(F.col("shape_id").alias("__c_shape"), F.col("cell").alias("__c_cell"), "marks", "edges"))
+        "__sub": (F.col("__j") % FINE * FINE + F.col("__i") % FINE).cast("int")})
+    c = broadcast_if_small(cover.select(F.col("shape_id").alias("__c_shape"), F.col("cell").alias("__c_cell"),
+                                           F.col("border").alias("__border"), F.col("inside").alias("__inside"), F.col("edges").alias("__edges")))
     met = met.join(c, (met[names["shape_id"]] == c["__c_shape"]) & (met["__cell"] == c["__c_cell"]), "left" if keep_outside else "inner")
-    mark = F.substring(F.col("marks"), F.col("__sub") + 1, F.lit(1))
-    found = F.when(mark == BORDER, odd_crossings(F.col("edges"), F.col("__x"), F.col("__y"))).otherwise(F.coalesce(mark == INSIDE, F.lit(False)))
+    on_border, inside = (F.expr(f"coalesce(shiftright({m}, __sub) & 1, 0) = 1") for m in ("__border", "__inside"))
+    found = F.when(on_border, odd_crossings(F.col("__edges"), F.col("__x"), F.col("__y"))).otherwise(inside)
     if keep_outside:
         out = met.withColumn("in_zone", F.when(col("has_shape") & F.col(lon).isNotNull() & F.col(lat).isNotNull(), found))
     else:
         out = met.where(found).withColumn("in_zone", F.lit(True))
-    return out.select(*orders.columns, "in_zone", (F.coalesce(mark == BORDER, F.lit(False))).alias("ring_tested"))
+    return out.select(*orders.columns, "in_zone", on_border.alias("ring_tested"))

@@ -125,3 +125,25 @@ def test_zone_of_a_hemisphere_contains_nothing(spark):
     geo = spark.createDataFrame([("e", "c", 1, 0, [ring])], GEO)
     orders = spark.createDataFrame([("e", "c", 1, 0, 1, 0.0, 80.0)], ORDERS)
     assert [r.in_zone for r in zc.locate(orders, zc.zone_grid(geo, True), zc.zone_cover(geo, True), KEY, "lon", "lat", True, True).collect()] == [False]
+
+
+def test_cover_is_made_per_edge_and_its_bits_are_right(spark):
+    """A subcell without border bit is inside as a whole or outside as a whole; no lambda runs per cell and edge."""
+    rows = [r for r in zones(11, 8) if r[2] < 900]
+    geo = spark.createDataFrame(rows, GEO)
+    cover = zc.zone_cover(geo)
+    plan = cover._jdf.queryExecution().optimizedPlan().toString()
+    assert "exists(" not in plan and "aggregate(" not in plan
+    marks = {(r.shape_id, r.cell): (r.border, r.inside) for r in cover.collect()}
+    rng, pts = random.Random(5), []
+    for g in zc.zone_grid(geo).distinct().collect():
+        for cell in range(zc.COARSE**2):
+            border, inside = marks.get((g.shape_id, cell), (0, 0))
+            for sub in range(zc.FINE**2):
+                if not border >> sub & 1:
+                    i, j = cell // zc.COARSE * zc.FINE + sub % zc.FINE, cell % zc.COARSE * zc.FINE + sub // zc.FINE
+                    x, y = (low + (k + rng.random()) * step / zc.FINE for low, k, step in ((g.x0, i, g.dx), (g.y0, j, g.dy)))
+                    pts.append((g.zone_id, g.test_id, x, y, bool(inside >> sub & 1)))
+    at = spark.createDataFrame(pts, "zone_id long, test_id long, x double, y double, want boolean")
+    wrong = at.join(geo.distinct(), ["zone_id", "test_id"]).where(point_in_rings("zone_shape", "x", "y") != F.col("want"))
+    assert len(pts) > 3000 and wrong.count() == 0
