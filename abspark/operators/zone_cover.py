@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abspark.functions.geodesy import centre, frame, in_plane, projected_rings, unit_vector
-from abspark.operators.relational import broadcast_if_small
+from abspark.operators.relational import NULL_KEY_BUCKETS, broadcast_if_small
 
 COARSE = 8
 FINE = 4
@@ -169,6 +169,10 @@ def locate(orders: DataFrame, grid: DataFrame, cover: DataFrame, on: dict[str, s
     met = met.withColumns({
         "__cell": (F.expr(f"__i div {FINE}") * COARSE + F.expr(f"__j div {FINE}")).cast("int"),
         "__sub": (F.col("__j") % FINE * FINE + F.col("__i") % FINE).cast("int")})
+    if keep_outside:
+        # No cell, no match: such rows get numbers that no cell has instead of meeting in one task.
+        spread = -1 - F.pmod(F.xxhash64(*(F.col(c) for c in orders.columns)), F.lit(NULL_KEY_BUCKETS))
+        met = met.withColumn("__cell", F.coalesce("__cell", spread.cast("int")))
     c = broadcast_if_small(cover.select(F.col("shape_id").alias("__c_shape"), F.col("cell").alias("__c_cell"),
                                            F.col("border").alias("__border"), F.col("inside").alias("__inside"), F.col("edges").alias("__edges")))
     met = met.join(c, (met[names["shape_id"]] == c["__c_shape"]) & (met["__cell"] == c["__c_cell"]), "left" if keep_outside else "inner")

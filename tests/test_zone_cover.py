@@ -147,3 +147,20 @@ def test_cover_is_made_per_edge_and_its_bits_are_right(spark):
     at = spark.createDataFrame(pts, "zone_id long, test_id long, x double, y double, want boolean")
     wrong = at.join(geo.distinct(), ["zone_id", "test_id"]).where(point_in_rings("zone_shape", "x", "y") != F.col("want"))
     assert len(pts) > 3000 and wrong.count() == 0
+
+
+def test_orders_without_a_cell_do_not_meet_in_one_task(spark, monkeypatch):
+    geo = spark.createDataFrame([("e", "c", 1, 0, [[(0.0, 0.0), (1.0, 0.0), (0.5, 1.0)]])], GEO)
+    far = [("e", "c", 1, 0, i, 5.0, 5.0 + i) for i in range(500)] + [("e", "c", 1, 0, 500 + i, None, None) for i in range(500)]
+    monkeypatch.setattr(zc, "broadcast_if_small", lambda df: df)
+    plain = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in plain}
+    try:
+        for k, v in plain.items():
+            spark.conf.set(k, v)
+        got = zc.locate(spark.createDataFrame(far, ORDERS), zc.zone_grid(geo), zc.zone_cover(geo), KEY, "lon", "lat", keep_outside=True)
+        rows = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(r["count"] for r in rows) == 1000 and max(r["count"] for r in rows) < 500
