@@ -6,8 +6,9 @@ test zones) runs first, on the columns that are used later, so the fact is
 reduced and narrow before it meets the other big tables.  The warehouse join
 (big, keyed by entity + order code) brings the delivery point; only then does
 the zone's cell index decide (:mod:`abspark.operators.zone_cover`), and the
-point is dropped at once.  Then come the left joins to platform orders (same
-partitioning) and delivery costs, and the small per-test lookups.
+point is dropped at once.  Platform orders are joined before that, in the same
+partitioning; then come the left join to delivery costs and the small per-test
+lookups.
 """
 
 from __future__ import annotations
@@ -113,19 +114,20 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
         F.col("value.mov_customer_fee_local").alias("sof_local_cdwh"),
         F.col("delivery_location.longitude").alias("__lon"), F.col("delivery_location.latitude").alias("__lat"))
     a = a.join(dwh, (a.entity_id == dwh.__d_entity) & (a.platform_order_code == dwh.__d_code), "inner")
-    a = locate(a, grid, cover, {"entity_id": "entity_id", "country_code": "country_code", "zone_id": "zone_id",
-                                "test_id": "experiment_id"}, "__lon", "__lat", cfg.geodesic)
-    a = a.select(*ORDER_COLUMNS, "sof_local_cdwh")
-
     # Platform fees are looked up by (entity, order code, date): join them on
     # (entity, order code), the key the warehouse join already partitioned
     # the fact by, and keep the date equality as a residual condition, so the
-    # fact is not shuffled again for this lookup.
+    # fact is not shuffled again for this lookup.  It comes before the zones:
+    # a cover too large to broadcast deals the fact by cell.
     pd_ = src.platform_orders.select(
         F.col("global_entity_id").alias("__p_entity"), F.col("code").alias("__p_code"),
         F.col("created_date_utc").alias("__p_date"), F.col("delivery_fee_local").alias("__pd_fee"))
     a = a.join(pd_, (a.entity_id == pd_.__p_entity) & (a.platform_order_code == pd_.__p_code)
                & _residual_eq(a.created_date, pd_.__p_date), "left")
+    a = locate(a, grid, cover, {"entity_id": "entity_id", "country_code": "country_code", "zone_id": "zone_id",
+                                "test_id": "experiment_id"}, "__lon", "__lat", cfg.geodesic)
+    a = a.select(*ORDER_COLUMNS, "sof_local_cdwh", "__pd_fee")
+
     cst = costs.select(F.col("entity_id").alias("__c_entity"), F.col("order_id").alias("__c_order"),
                        F.col("country_code").alias("__c_country"), "delivery_costs_local")
     # NULL order ids (never matched) are spread over many partitions

@@ -137,14 +137,15 @@ def derive_from_star_schema(spark: SparkSession, sf_dir: str) -> SourceTables:
             F.col("city_active").alias("is_active"), F.col("zones")))).alias("cities")
     ).select("country_code", F.array(F.struct(F.col("entity_id"))).alias("platforms"), "cities")
 
+    # Distinct rows are found where the keys that the study joins them on put them: one shuffle serves both.
     o = v["f_orders"]
     courier_timings = o.select(
         "entity_id", "country_code", "order_id", "created_date",
         F.col("delivery_costs_local").alias("costs"),
         (F.col("delivery_costs_local") / F.lit(2.0)).alias("costs_eur"))
-    logistics_orders = o.select(
-        F.struct(F.col("entity_id").alias("id")).alias("entity"), "order_id", "platform_order_code",
-        "created_date").distinct()
+    logistics_orders = o.select("entity_id", "order_id", "platform_order_code", "created_date").repartition(
+        "entity_id", "order_id").distinct().select(
+        F.struct(F.col("entity_id").alias("id")).alias("entity"), "order_id", "platform_order_code", "created_date")
     entities = v["f_entities"].select(
         "region", F.col("country_code").alias("country_iso"), "country_name",
         F.array(F.struct(F.col("entity_id"))).alias("platforms"))
@@ -162,11 +163,11 @@ def derive_from_star_schema(spark: SparkSession, sf_dir: str) -> SourceTables:
         F.col("entity_id").alias("global_entity_id"), F.col("platform_order_code").alias("order_id"),
         F.struct(F.col("mov_customer_fee_local")).alias("value"),
         F.struct(F.col("lon").alias("longitude"), F.col("lat").alias("latitude")).alias("delivery_location"),
-    ).distinct()
+    ).repartition("global_entity_id", "order_id").distinct()
     platform_orders = o.where("in_pd_orders").select(
         F.col("entity_id").alias("global_entity_id"), F.col("platform_order_code").alias("code"),
         F.col("created_date").alias("created_date_utc"), F.col("pd_delivery_fee_local").alias("delivery_fee_local"),
-    ).distinct()
+    ).repartition("global_entity_id", "code").distinct()
 
     # ga_sessions: one row per GA session with nested events and zones.
     ev = v["f_session_events"]

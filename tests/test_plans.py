@@ -64,3 +64,21 @@ def test_statistics_scan_the_kpi_table_once(pipe):
     plan = _plan(stats.kpi_histogram(pipe.gated_kpis_exp))
     assert plan.count("orders_sessions") == _plan(pipe.kpis_per_user).count("orders_sessions") + _plan(
         pipe.treatment_order_share).count("orders_sessions")
+
+
+def test_a_derived_order_table_is_shuffled_once_for_its_join(spark):
+    """Its distinct rows are found in the partitions that the join needs."""
+    src = derive_from_star_schema(spark, SF)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a, d, p = src.orders_sessions, src.warehouse_orders, src.platform_orders
+        met = a.join(d, (a.entity_id == d.global_entity_id) & (a.platform_order_code == d.order_id))
+        assert _plan(met).count("Exchange hashpartitioning") == 2
+        met = a.join(p, (a.entity_id == p.global_entity_id) & (a.platform_order_code == p.code))
+        assert _plan(met).count("Exchange hashpartitioning") == 2
+        o = src.logistics_orders.selectExpr("entity.id as e", "order_id as o")
+        met = a.join(o, (a.entity_id == o.e) & (a.order_id == o.o))
+        assert _plan(met).count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
