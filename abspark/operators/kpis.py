@@ -68,7 +68,7 @@ def kpis_per_user(users: DataFrame, clean_orders: DataFrame) -> DataFrame:
         F.sum("gross_profit_local").alias("__profit"),
     )
     per_key = per_key.select(*[F.col(k).alias(f"__o_{k}") for k in ORDER_KEYS], "__orders", "__revenue", "__profit")
-    j = left_join_spread_null_keys(u, per_key, [(k, f"__o_{k}") for k in ORDER_KEYS],
+    j = left_join_spread_null_keys(u, per_key, [(k, f"__o_{k}") for k in ("perseus_client_id", *(k for k in ORDER_KEYS if k != "perseus_client_id"))],
                                    spread_by=("session_in_treatment_flag",))
     return apply_contract(j.select(
         *USER_COLS,

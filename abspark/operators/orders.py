@@ -57,7 +57,7 @@ def delivery_costs(courier_timings: DataFrame, logistics_orders: DataFrame, cfg:
          .agg(F.sum("costs").alias("__costs"), F.sum("costs_eur").alias("__costs_eur")))
     o = logistics_orders.where(F.col("created_date") >= _floor(cfg)).select(
         F.col("entity.id").alias("__o_entity"), F.col("order_id").alias("__o_order"), "platform_order_code")
-    j = p.join(o, (p.entity_id == o.__o_entity) & (p.order_id == o.__o_order), "inner")
+    j = p.join(o, (p.order_id == o.__o_order) & (p.entity_id == o.__o_entity), "inner")
     # An order bridged by several rows counts its costs once for each, as in the study.
     return j.groupBy("entity_id", "country_code", "order_id", "platform_order_code").agg(
         F.sum("__costs").alias("delivery_costs_local"), F.sum("__costs_eur").alias("delivery_costs_eur"))
@@ -86,7 +86,7 @@ def orders_in_zone(orders_sessions: DataFrame, grid: DataFrame, cover: DataFrame
     d = warehouse_orders.select(
         F.col("global_entity_id").alias("__d_entity"), F.col("order_id").alias("__d_code"),
         F.col("delivery_location.longitude").alias("longitude"), F.col("delivery_location.latitude").alias("latitude"))
-    j = a.join(d, (a.entity_id == d.__d_entity) & (a.platform_order_code == d.__d_code), "inner")
+    j = a.join(d, (a.platform_order_code == d.__d_code) & (a.entity_id == d.__d_entity), "inner")
     j = j.select(*ZONE_KEY, "order_id", "longitude", "latitude")
     return locate(j, grid, cover, {c: c for c in ZONE_KEY}, "longitude", "latitude", geodesic, keep_outside=True)
 
@@ -113,7 +113,7 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
         F.col("global_entity_id").alias("__d_entity"), F.col("order_id").alias("__d_code"),
         F.col("value.mov_customer_fee_local").alias("sof_local_cdwh"),
         F.col("delivery_location.longitude").alias("__lon"), F.col("delivery_location.latitude").alias("__lat"))
-    a = a.join(dwh, (a.entity_id == dwh.__d_entity) & (a.platform_order_code == dwh.__d_code), "inner")
+    a = a.join(dwh, (a.platform_order_code == dwh.__d_code) & (a.entity_id == dwh.__d_entity), "inner")
     # Platform fees are looked up by (entity, order code, date): join them on
     # (entity, order code), the key the warehouse join already partitioned
     # the fact by, and keep the date equality as a residual condition, so the
@@ -122,7 +122,7 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
     pd_ = src.platform_orders.select(
         F.col("global_entity_id").alias("__p_entity"), F.col("code").alias("__p_code"),
         F.col("created_date_utc").alias("__p_date"), F.col("delivery_fee_local").alias("__pd_fee"))
-    a = a.join(pd_, (a.entity_id == pd_.__p_entity) & (a.platform_order_code == pd_.__p_code)
+    a = a.join(pd_, (a.platform_order_code == pd_.__p_code) & (a.entity_id == pd_.__p_entity)
                & _residual_eq(a.created_date, pd_.__p_date), "left")
     a = locate(a, grid, cover, {"entity_id": "entity_id", "country_code": "country_code", "zone_id": "zone_id",
                                 "test_id": "experiment_id"}, "__lon", "__lat", cfg.geodesic)
@@ -132,7 +132,7 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
                        F.col("country_code").alias("__c_country"), "delivery_costs_local")
     # NULL order ids (never matched) are spread over many partitions
     # instead of landing on one reducer.
-    a = left_join_spread_null_keys(a, cst, [("entity_id", "__c_entity"), ("order_id", "__c_order"),
+    a = left_join_spread_null_keys(a, cst, [("order_id", "__c_order"), ("entity_id", "__c_entity"),
                                             ("country_code", "__c_country")],
                                    spread_by=("platform_order_code", "perseus_client_id"))
 

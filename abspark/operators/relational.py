@@ -104,9 +104,8 @@ def left_join_spread_null_keys(left: DataFrame, right: DataFrame, pairs: Sequenc
     salt = F.when(has_null, F.pmod(F.xxhash64(*spread), F.lit(NULL_KEY_BUCKETS)) + 1).otherwise(F.lit(0)).cast("bigint")
     lft = left.withColumn("__null_salt", salt)
     rgt = right.withColumn("__null_salt_r", F.pmod(F.xxhash64(*[right[rk] for _, rk in pairs]), F.lit(1)).cast("bigint"))
-    on = lft["__null_salt"] == rgt["__null_salt_r"]
-    for lk, rk in pairs:
-        on = on & (lft[lk] == rgt[rk])
+    # The salt comes last: both sides are sorted by the keys in this order, and a first key of one value decides nothing.
+    on = reduce(and_, [lft[lk] == rgt[rk] for lk, rk in pairs]) & (lft["__null_salt"] == rgt["__null_salt_r"])
     return lft.join(rgt, on, "left").drop("__null_salt", "__null_salt_r")
 
 

@@ -16,17 +16,22 @@ run under the session's ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from abspark.config import PipelineConfig
-from abspark.operators import kpis, orders, questions, sessions, setups, stats, zone_cover
+from abspark.operators import kpis, orders, questions, relational, sessions, setups, stats, zone_cover
 from abspark.session import ensure_checkpoint_dir
 from abspark.sources import versions
 from abspark.sources.tables import SourceTables
 
+TEST = ("entity_id", "test_id")
+# Setups beyond this part of what may be broadcast are reduced first: a zone's cover has up to 64 rows.
+SETUP_PARTS = 64
+
 
 class ExperimentPipeline:
     # The study's persisted tables.
@@ -37,8 +42,9 @@ class ExperimentPipeline:
         "treatment_order_share", "significance_combined",
     )
     # Tables that more than one later step reads.
-    REUSED = ("target_groups", "variant_schemes", "zone_geography", "zone_grid", "zone_cover", "clean_orders", "experiment_sessions",
-              "sessions_with_flag", "kpis_per_user", "treatment_order_share", "kpi_histogram", "significance_combined",
+    REUSED = ("target_groups", "variant_schemes", "zone_geography", "order_zones", "ordered_geography", "zone_grid", "zone_cover",
+              "ordered_groups", "ordered_schemes", "session_tests", "visited_groups", "visited_schemes", "visited_geography",
+              "clean_orders", "experiment_sessions", "sessions_with_flag", "kpis_per_user", "treatment_order_share", "kpi_histogram", "significance_combined",
               "ts_exp_comparison")
     # Session-grain tables are laid out by date, so date filters prune files on read.
     BY_DATE = ("experiment_sessions_stg", "experiment_sessions", "sessions_with_flag")
@@ -110,13 +116,69 @@ class ExperimentPipeline:
     def zone_geography(self) -> DataFrame:
         return self._stage(setups.zone_geography(self.src.countries, self.experiment_zones), "zone_geography")
 
+    # ---- setups that a fact refers to -------------------------------------
+    @cached_property
+    def many_setups(self) -> bool:
+        """Are the setups so large that a fact's own keys are worth a look before the setups meet it?"""
+        limit = relational.BROADCAST_MAX_BYTES // SETUP_PARTS
+        return relational.measured_bytes(self.zone_geography) + relational.measured_bytes(self.target_groups) > limit
+
+    @cached_property
+    def order_zones(self) -> DataFrame:
+        """The zones and tests that orders name: one map-side aggregate over four columns."""
+        keys = self.src.orders_sessions.select("entity_id", "country_code", "zone_id", F.col("experiment_id").alias("test_id"))
+        return self._stage(keys.distinct(), "order_zones")
+
+    @cached_property
+    def session_tests(self) -> DataFrame:
+        """The tests that sessions name."""
+        keys = self.src.ga_sessions.select("entity_id", F.col("sessions.experiment_id").alias("test_id"))
+        return self._stage(keys.distinct(), "session_tests")
+
+    def _named_by(self, fact_keys: str, df: DataFrame, on: Sequence[str], name: str | None = None) -> DataFrame:
+        """``df`` without the setups that the fact never names, if the setups are many.
+
+        Such rows meet nothing.  Without them a key set or lookup stays small
+        enough to be broadcast as long as the fact names few, and the fact is not
+        shuffled by its few tests and zones.
+        """
+        if not self.many_setups:
+            return df
+        named = relational.key_semi_join(df, getattr(self, fact_keys).select(*on).distinct(), [(c, c) for c in on])
+        return self._stage(named, name) if name else named
+
+    @cached_property
+    def ordered_geography(self) -> DataFrame:
+        return self._named_by("order_zones", self.zone_geography, zone_cover.ZONE_KEY, "ordered_geography")
+
+    @cached_property
+    def ordered_groups(self) -> DataFrame:
+        return self._named_by("order_zones", self.target_groups, TEST, "ordered_groups")
+
+    @cached_property
+    def ordered_schemes(self) -> DataFrame:
+        return self._named_by("order_zones", self.variant_schemes, TEST, "ordered_schemes")
+
+    @cached_property
+    def visited_geography(self) -> DataFrame:
+        keys = self.zone_geography.select(*zone_cover.ZONE_KEY)
+        return self._named_by("session_tests", keys, TEST, "visited_geography")
+
+    @cached_property
+    def visited_groups(self) -> DataFrame:
+        return self._named_by("session_tests", self.target_groups, TEST, "visited_groups")
+
+    @cached_property
+    def visited_schemes(self) -> DataFrame:
+        return self._named_by("session_tests", self.variant_schemes, TEST, "visited_schemes")
+
     @cached_property
     def zone_grid(self) -> DataFrame:
-        return self._stage(zone_cover.zone_grid(self.zone_geography, self.cfg.geodesic), "zone_grid")
+        return self._stage(zone_cover.zone_grid(self.ordered_geography, self.cfg.geodesic), "zone_grid")
 
     @cached_property
     def zone_cover(self) -> DataFrame:
-        return self._stage(zone_cover.zone_cover(self.zone_geography, self.cfg.geodesic), "zone_cover")
+        return self._stage(zone_cover.zone_cover(self.ordered_geography, self.cfg.geodesic), "zone_cover")
 
     # ---- orders (S6-S8) -------------------------------------------------
     @cached_property
@@ -126,12 +188,13 @@ class ExperimentPipeline:
     @cached_property
     def experiment_orders(self) -> DataFrame:
         return self._stage(orders.experiment_orders(
-            self.src, self.target_groups, self.variant_schemes, self.variant_scheme_concat,
-            self.zone_grid, self.zone_cover, self.experiment_zones, self.delivery_costs, self.cfg), "experiment_orders")
+            self.src, self.ordered_groups, self.ordered_schemes, self._named_by("order_zones", self.variant_scheme_concat, TEST),
+            self.zone_grid, self.zone_cover, self._named_by("order_zones", self.experiment_zones, TEST),
+            self.delivery_costs, self.cfg), "experiment_orders")
 
     @cached_property
     def order_profit(self) -> DataFrame:
-        return self._stage(orders.with_profit(self.experiment_orders, self.target_groups, self.cfg), "order_profit")
+        return self._stage(orders.with_profit(self.experiment_orders, self.ordered_groups, self.cfg), "order_profit")
 
     @cached_property
     def clean_orders(self) -> DataFrame:
@@ -141,12 +204,12 @@ class ExperimentPipeline:
     @cached_property
     def experiment_sessions_stg(self) -> DataFrame:
         return self._stage(sessions.session_events(
-            self.src.ga_sessions, self.zone_geography, self.target_groups, self.variant_schemes, self.cfg),
+            self.src.ga_sessions, self.visited_geography, self.visited_groups, self.visited_schemes, self.cfg),
             "experiment_sessions_stg")
 
     @cached_property
     def experiment_sessions(self) -> DataFrame:
-        return self._stage(sessions.parent_vertical_filter(self.experiment_sessions_stg, self.target_groups),
+        return self._stage(sessions.parent_vertical_filter(self.experiment_sessions_stg, self.visited_groups),
                            "experiment_sessions")
 
     @cached_property
@@ -160,7 +223,7 @@ class ExperimentPipeline:
     # ---- users and KPIs (S11-S12) ----------------------------------------
     @cached_property
     def users_per_test(self) -> DataFrame:
-        return self._stage(kpis.users_per_test(self.sessions_with_flag, self.target_groups), "users_per_test")
+        return self._stage(kpis.users_per_test(self.sessions_with_flag, self.visited_groups), "users_per_test")
 
     @cached_property
     def kpis_per_user(self) -> DataFrame:

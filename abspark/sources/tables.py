@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +57,20 @@ class SourceTables:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
 
+class DerivedTables(SourceTables):
+    """Sources whose sessions are derived when they are first read: the order steps never read them."""
+
+    @property
+    def ga_sessions(self) -> DataFrame:
+        if callable(self._sessions):
+            self._sessions = self._sessions()
+        return self._sessions
+
+    @ga_sessions.setter
+    def ga_sessions(self, sessions: DataFrame | Callable[[], DataFrame]) -> None:
+        self._sessions = sessions
+
+
 def read_star_schema(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")) for name in fixtures.BASE_TABLES}
 
@@ -87,8 +102,14 @@ def _point(x, y):
     return F.struct(x.alias("x"), y.alias("y"))
 
 
+# The flat views that each part of the sources is made of.
+SETUP_AND_ORDER_VIEWS = ("f_entities", "f_vendors", "f_setups", "f_setup_vendors", "f_setup_parents", "f_setup_zones", "f_zones",
+                         "f_zone_points", "f_orders")
+SESSION_VIEWS = ("f_session_events", "f_sessions", "f_session_zones")
+
+
 def derive_from_star_schema(spark: SparkSession, sf_dir: str) -> SourceTables:
-    v = flat_views(spark, sf_dir)
+    v = flat_views(spark, sf_dir, SETUP_AND_ORDER_VIEWS)
 
     # experiment_setups: one row per setup row with its vendor, parent-vertical and zone lists.
     vendor_lists = v["f_setup_vendors"].groupBy("e", F.col("list_id").alias("vendor_list_id")).agg(
@@ -138,13 +159,14 @@ def derive_from_star_schema(spark: SparkSession, sf_dir: str) -> SourceTables:
     ).select("country_code", F.array(F.struct(F.col("entity_id"))).alias("platforms"), "cities")
 
     # Distinct rows are found where the keys that the study joins them on put them: one shuffle serves both.
+    # The key of many values comes first: a sort for the join then rarely compares more than its first bytes.
     o = v["f_orders"]
     courier_timings = o.select(
         "entity_id", "country_code", "order_id", "created_date",
         F.col("delivery_costs_local").alias("costs"),
         (F.col("delivery_costs_local") / F.lit(2.0)).alias("costs_eur"))
     logistics_orders = o.select("entity_id", "order_id", "platform_order_code", "created_date").repartition(
-        "entity_id", "order_id").distinct().select(
+        "order_id", "entity_id").distinct().select(
         F.struct(F.col("entity_id").alias("id")).alias("entity"), "order_id", "platform_order_code", "created_date")
     entities = v["f_entities"].select(
         "region", F.col("country_code").alias("country_iso"), "country_name",
@@ -163,13 +185,22 @@ def derive_from_star_schema(spark: SparkSession, sf_dir: str) -> SourceTables:
         F.col("entity_id").alias("global_entity_id"), F.col("platform_order_code").alias("order_id"),
         F.struct(F.col("mov_customer_fee_local")).alias("value"),
         F.struct(F.col("lon").alias("longitude"), F.col("lat").alias("latitude")).alias("delivery_location"),
-    ).repartition("global_entity_id", "order_id").distinct()
+    ).repartition("order_id", "global_entity_id").distinct()
     platform_orders = o.where("in_pd_orders").select(
         F.col("entity_id").alias("global_entity_id"), F.col("platform_order_code").alias("code"),
         F.col("created_date").alias("created_date_utc"), F.col("pd_delivery_fee_local").alias("delivery_fee_local"),
-    ).repartition("global_entity_id", "code").distinct()
+    ).repartition("code", "global_entity_id").distinct()
+
+    return DerivedTables(
+        experiment_setups=setups, vendors=vendors, countries=countries, courier_timings=courier_timings,
+        logistics_orders=logistics_orders, entities=entities, orders_sessions=orders_sessions,
+        warehouse_orders=warehouse_orders, platform_orders=platform_orders, ga_sessions=lambda: derive_sessions(spark, sf_dir),
+    )
+
 
-    # ga_sessions: one row per GA session with nested events and zones.
+def derive_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ga_sessions: one row per GA session with nested events and zones."""
+    v = flat_views(spark, sf_dir, SESSION_VIEWS)
     ev = v["f_session_events"]
     events = ev.groupBy("ga_session_id").agg(F.array_sort(F.collect_list(F.struct(
         "event_time", "event_action", "vendor_code", "vertical_type", "transaction_id", "expedition_type",
@@ -180,7 +211,7 @@ def derive_from_star_schema(spark: SparkSession, sf_dir: str) -> SourceTables:
         "timezone")))
         .alias("dps_zone"))
     s = v["f_sessions"]
-    ga_sessions = (
+    return (
         s.join(events, ["events_ga_session_id"], "left")
         .join(dps_zone, ["events_ga_session_id"], "left")
         .select(
@@ -201,11 +232,6 @@ def derive_from_star_schema(spark: SparkSession, sf_dir: str) -> SourceTables:
             ).alias("dps_zone"),
         )
     )
-    return SourceTables(
-        experiment_setups=setups, vendors=vendors, countries=countries, courier_timings=courier_timings,
-        logistics_orders=logistics_orders, entities=entities, orders_sessions=orders_sessions,
-        warehouse_orders=warehouse_orders, platform_orders=platform_orders, ga_sessions=ga_sessions,
-    )
 
 
 def globe_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
