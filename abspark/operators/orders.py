@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from abspark.config import PipelineConfig
 from abspark.functions.columns import NON_TG, normalize_vertical
-from abspark.operators.relational import broadcast_if_small, key_flag, key_semi_join, left_join_spread_null_keys
+from abspark.operators.relational import broadcast_if_small, key_flag, key_semi_join, left_join_on_leading_keys
 from abspark.operators.zone_cover import ZONE_KEY, locate
 from abspark.sources.tables import SourceTables
 
@@ -51,8 +51,14 @@ def _floor(cfg: PipelineConfig):
 
 
 def delivery_costs(courier_timings: DataFrame, logistics_orders: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """Delivery cost per order: courier cost rows summed per order, then bridged to the order code."""
-    p = (courier_timings.where(F.col("created_date") >= _floor(cfg))
+    """Delivery cost per order: courier cost rows summed per order, then bridged to the order code.
+
+    The courier rows are dealt by the bridge's key before they are summed, so that one
+    shuffle serves both (an order has few courier rows: summing them first saves little).
+    Rows without such a key reach no order code.
+    """
+    p = (courier_timings.where((F.col("created_date") >= _floor(cfg)) & F.col("order_id").isNotNull() & F.col("entity_id").isNotNull())
+         .select("entity_id", "country_code", "order_id", "costs", "costs_eur").repartition("order_id", "entity_id")
          .groupBy("entity_id", "country_code", "order_id")
          .agg(F.sum("costs").alias("__costs"), F.sum("costs_eur").alias("__costs_eur")))
     o = logistics_orders.where(F.col("created_date") >= _floor(cfg)).select(
@@ -73,6 +79,11 @@ def platform_entities(entities: DataFrame) -> DataFrame:
     return ent.where(cond)
 
 
+def order_entities(entities: DataFrame, schemes: DataFrame) -> DataFrame:
+    """The entities whose orders can reach the result: platform entities that have a test variant."""
+    return key_semi_join(platform_entities(entities).select("entity_id").distinct(), schemes, [("entity_id", "entity_id")])
+
+
 def orders_in_zone(orders_sessions: DataFrame, grid: DataFrame, cover: DataFrame, warehouse_orders: DataFrame,
                    geodesic: bool = False) -> DataFrame:
     """Spatial join: each order of a test zone with its delivery point, and whether that lies in the zone.
@@ -94,9 +105,15 @@ def orders_in_zone(orders_sessions: DataFrame, grid: DataFrame, cover: DataFrame
 def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, scheme_concat: DataFrame,
                       grid: DataFrame, cover: DataFrame, zones: DataFrame, costs: DataFrame,
                       cfg: PipelineConfig) -> DataFrame:
-    """Completed orders of valid test variants, inside a test zone, with fee components and keep/drop flag."""
+    """Completed orders of valid test variants, inside a test zone, with fee components and keep/drop flag.
+
+    Every table that the orders meet is looked up by entity: rows of entities that the
+    last join (platform entities) or the first (test variants) drops are left out of all.
+    """
+    known = order_entities(src.entities, schemes)
     a = src.orders_sessions.where(
         (F.col("created_date") >= _floor(cfg)) & (F.col("delivery_status") == "completed"))
+    a = key_semi_join(a, known, [("entity_id", "entity_id")])
     a = key_semi_join(a, schemes, [("entity_id", "entity_id"), ("country_code", "country_code"),
                                    ("experiment_id", "test_id"), ("variant", "variant")])
     test_key = [("entity_id", "entity_id"), ("country_code", "country_code"), ("experiment_id", "test_id")]
@@ -109,7 +126,7 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
 
     a = key_semi_join(a, grid, test_key + [("zone_id", "zone_id")])
     a = a.select(*ORDER_COLUMNS)
-    dwh = src.warehouse_orders.select(
+    dwh = key_semi_join(src.warehouse_orders, known, [("global_entity_id", "entity_id")]).select(
         F.col("global_entity_id").alias("__d_entity"), F.col("order_id").alias("__d_code"),
         F.col("value.mov_customer_fee_local").alias("sof_local_cdwh"),
         F.col("delivery_location.longitude").alias("__lon"), F.col("delivery_location.latitude").alias("__lat"))
@@ -119,7 +136,7 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
     # the fact by, and keep the date equality as a residual condition, so the
     # fact is not shuffled again for this lookup.  It comes before the zones:
     # a cover too large to broadcast deals the fact by cell.
-    pd_ = src.platform_orders.select(
+    pd_ = key_semi_join(src.platform_orders, known, [("global_entity_id", "entity_id")]).select(
         F.col("global_entity_id").alias("__p_entity"), F.col("code").alias("__p_code"),
         F.col("created_date_utc").alias("__p_date"), F.col("delivery_fee_local").alias("__pd_fee"))
     a = a.join(pd_, (a.platform_order_code == pd_.__p_code) & (a.entity_id == pd_.__p_entity)
@@ -130,11 +147,10 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
 
     cst = costs.select(F.col("entity_id").alias("__c_entity"), F.col("order_id").alias("__c_order"),
                        F.col("country_code").alias("__c_country"), "delivery_costs_local")
-    # NULL order ids (never matched) are spread over many partitions
-    # instead of landing on one reducer.
-    a = left_join_spread_null_keys(a, cst, [("order_id", "__c_order"), ("entity_id", "__c_entity"),
-                                            ("country_code", "__c_country")],
-                                   spread_by=("platform_order_code", "perseus_client_id"))
+    # The costs lie by (order id, entity) already and are not shuffled again; NULL
+    # order ids (never matched) are spread instead of landing on one reducer.
+    a = left_join_on_leading_keys(a, cst, [("order_id", "__c_order"), ("entity_id", "__c_entity")],
+                                  [("country_code", "__c_country")], spread_by=("platform_order_code", "perseus_client_id"))
 
     t = broadcast_if_small(tg.select(F.col("entity_id").alias("__t_entity"), F.col("vendor_code").alias("__t_vendor"),
                                      F.col("test_id").alias("__t_test"), "tg_name", "parent_vertical_concat"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -109,6 +109,31 @@ def left_join_spread_null_keys(left: DataFrame, right: DataFrame, pairs: Sequenc
     return lft.join(rgt, on, "left").drop("__null_salt", "__null_salt_r")
 
 
+def left_join_on_leading_keys(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
+                              residual: Sequence[tuple[str, str]], spread_by: Sequence[str] = ()) -> DataFrame:
+    """As :func:`left_join_spread_null_keys`, for a ``right`` that already lies by the columns of ``pairs``.
+
+    Only those are join keys, as they are on the right, so that it needs no
+    shuffle; ``residual`` pairs are compared beside them.  ``pairs`` starts with a
+    whole number: where any key is NULL it becomes a number out of
+    NULL_KEY_BUCKETS, other NULL keys of ``pairs`` an empty text, and the
+    comparison of the real keys beside the join keys keeps such rows unmatched.
+    """
+    every = [*pairs, *residual]
+    has_null = reduce(or_, [left[lk].isNull() for lk, _ in every])
+    spread = [left[c] for c in dict.fromkeys([*(lk for lk, _ in every), *spread_by])]
+    salt = F.pmod(F.xxhash64(*spread), F.lit(NULL_KEY_BUCKETS))
+    (first, first_right), *others = pairs
+    lft = left.withColumn("__spread_key", F.when(has_null, -1 - salt).otherwise(left[first]).cast(left.schema[first].dataType))
+    on = lft["__spread_key"] == right[first_right]
+    for i, (lk, rk) in enumerate(others):
+        lft = lft.withColumn(f"__spread_key{i}", F.coalesce(lft[lk], F.lit("")))
+        on = on & (lft[f"__spread_key{i}"] == right[rk])
+    # A comparison with NULL is no match; the coalesce keeps it out of the join keys.
+    on = reduce(and_, [F.coalesce(lft[lk] == right[rk], F.lit(False)) for lk, rk in every], on)
+    return lft.join(right, on, "left").drop("__spread_key", *[f"__spread_key{i}" for i in range(len(others))])
+
+
 def first_row_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per ``keys``: the row that sorts first on ``order`` (ascending, NULLs first).
 

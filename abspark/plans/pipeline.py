@@ -185,12 +185,19 @@ class ExperimentPipeline:
     def delivery_costs(self) -> DataFrame:
         return orders.delivery_costs(self.src.courier_timings, self.src.logistics_orders, self.cfg)
 
+    @cached_property
+    def order_costs(self) -> DataFrame:
+        """The delivery costs of the entities whose orders can reach the result."""
+        known = orders.order_entities(self.src.entities, self.ordered_schemes)
+        return orders.delivery_costs(relational.key_semi_join(self.src.courier_timings, known, [("entity_id", "entity_id")]),
+                                     relational.key_semi_join(self.src.logistics_orders, known, [("entity.id", "entity_id")]), self.cfg)
+
     @cached_property
     def experiment_orders(self) -> DataFrame:
         return self._stage(orders.experiment_orders(
             self.src, self.ordered_groups, self.ordered_schemes, self._named_by("order_zones", self.variant_scheme_concat, TEST),
             self.zone_grid, self.zone_cover, self._named_by("order_zones", self.experiment_zones, TEST),
-            self.delivery_costs, self.cfg), "experiment_orders")
+            self.order_costs, self.cfg), "experiment_orders")
 
     @cached_property
     def order_profit(self) -> DataFrame:
