@@ -47,6 +47,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+# HotSpot never compiles a method of more bytes: a stage whose generated code is longer
+# would be interpreted row by row.  Beyond it Spark runs the stage's operators one by one,
+# their expressions split into methods that are compiled.
+COMPILED_METHOD_BYTES = "8000"
+
+
+def limit_methods(spark: SparkSession) -> None:
+    """Generated stages only up to the size that the JVM compiles (wide derived orders, great-circle zones)."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", COMPILED_METHOD_BYTES)
+
+
 # More shuffle partitions than this cost the driver more in map-output
 # bookkeeping than they save; AQE splits what is still too large.
 MAX_SHUFFLE_PARTITIONS = 20_000
@@ -74,6 +85,7 @@ def scale_conf(shuffled_bytes: int, target_partition_bytes: int = 256 << 20) ->
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.codegen.hugeMethodLimit": COMPILED_METHOD_BYTES,
         # Key sets too large to broadcast: a Bloom filter of up to 16 MB on the fact's scan.
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
         "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "4g",

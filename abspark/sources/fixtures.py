@@ -385,6 +385,12 @@ FLAT_VIEWS: list[tuple[str, str]] = [
 
 BASE_TABLES = ("supplier", "lineitem", "orders", "events")
 
+# The joins under F_ORDERS.  Spark keeps the joined lines, of the columns that the
+# view names, instead of the view's own wide rows.
+ORDER_LINES = """FROM {lineitem} l
+JOIN {orders} o ON l.l_orderkey = o.o_orderkey
+JOIN {f_entities} en ON en.e = CAST(l.l_suppkey % 5 AS INT)"""
+
 
 def duckdb_ctes() -> list[tuple[str, str]]:
     """The flat views as (name, sql) pairs for a DuckDB WITH clause."""

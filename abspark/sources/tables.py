@@ -16,6 +16,7 @@ parent record, never by the size of a table.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, fields
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from abspark.session import ensure_checkpoint_dir
+from abspark.session import ensure_checkpoint_dir, limit_methods
 from abspark.sources import fixtures, schemas
 
 SOURCE_NAMES = (
@@ -75,26 +76,47 @@ def read_star_schema(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")) for name in fixtures.BASE_TABLES}
 
 
-# Views that several sources are made of: derived once, kept as parquet.
-SHARED_VIEWS = ("f_orders", "f_session_events", "f_sessions")
+# Views that several sources are made of: derived once, kept as parquet.  Of
+# f_orders the joined lines are kept: every source computes its own columns from
+# those few numbers, which costs less than to write and read the wide rows.
+SHARED_VIEWS = ("f_session_events", "f_sessions")
+
+
+def order_lines() -> tuple[str, str]:
+    """``F_ORDERS`` in two steps: its joins with the columns that it names, and its expressions over their rows."""
+    named = sorted(set(re.findall(r"\b(l|o|en)\.(\w+)", fixtures.F_ORDERS.replace(fixtures.ORDER_LINES, ""))))
+    lines = f"SELECT {', '.join(f'{t}.{c} AS {t}__{c}' for t, c in named)} {fixtures.ORDER_LINES}"
+    part = lambda table: f"NAMED_STRUCT({', '.join(f"'{c}', {t}__{c}" for t, c in named if t == table)}) AS {table}"
+    rows = f"FROM (SELECT {part('l')}, {part('o')}, {part('en')} FROM {{order_lines}})"
+    return lines, fixtures.F_ORDERS.replace(fixtures.ORDER_LINES, rows)
 
 
 def flat_views(spark: SparkSession, sf_dir: str, only: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
     """Run the shared fixture SQL in Spark; returns every flat view by name (``only`` those, with what they need)."""
+    limit_methods(spark)
     wanted = set(only or [name for name, _ in fixtures.FLAT_VIEWS])
     for name, sql in reversed(fixtures.FLAT_VIEWS):
         if name in wanted:
             wanted |= {other for other, _ in fixtures.FLAT_VIEWS if "{" + other + "}" in sql}
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fixture-{uuid.uuid4().hex}"
     frames: dict[str, DataFrame] = read_star_schema(spark, sf_dir)
+
+    def needed(sql: str) -> dict[str, DataFrame]:
+        return {k: v for k, v in frames.items() if "{" + k + "}" in sql}
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
     for name, sql in fixtures.FLAT_VIEWS:
         if name not in wanted:
             continue
-        needed = {k: v for k, v in frames.items() if "{" + k + "}" in sql}
-        frames[name] = spark.sql(sql, **needed)
+        if name == "f_orders":
+            lines, sql = order_lines()
+            frames["order_lines"] = kept(spark.sql(lines, **needed(lines)), "order_lines")
+        frames[name] = spark.sql(sql, **needed(sql))
         if name in SHARED_VIEWS:
-            frames[name].write.parquet(f"{folder}/{name}")
-            frames[name] = spark.read.schema(frames[name].schema).parquet(f"{folder}/{name}")
+            frames[name] = kept(frames[name], name)
     return frames
 
 
