@@ -7,8 +7,8 @@ reduced and narrow before it meets the other big tables.  The warehouse join
 (big, keyed by entity + order code) brings the delivery point; only then does
 the zone's cell index decide (:mod:`abspark.operators.zone_cover`), and the
 point is dropped at once.  Platform orders are joined before that, in the same
-partitioning; then come the left join to delivery costs and the small per-test
-lookups.
+partitioning; then comes the left join to delivery costs.  The lookups that
+decide whether an order is kept precede all of these joins.
 """
 
 from __future__ import annotations
@@ -104,9 +104,10 @@ def orders_in_zone(orders_sessions: DataFrame, grid: DataFrame, cover: DataFrame
 
 def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, scheme_concat: DataFrame,
                       grid: DataFrame, cover: DataFrame, zones: DataFrame, costs: DataFrame,
-                      cfg: PipelineConfig) -> DataFrame:
+                      cfg: PipelineConfig, of_test_parents: bool = False) -> DataFrame:
     """Completed orders of valid test variants, inside a test zone, with fee components and keep/drop flag.
 
+    ``of_test_parents`` leaves out at once the orders that :func:`with_profit` leaves out.
     Every table that the orders meet is looked up by entity: rows of entities that the
     last join (platform entities) or the first (test variants) drops are left out of all.
     """
@@ -125,7 +126,34 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
         a = key_semi_join(a, tg, test_key)
 
     a = key_semi_join(a, grid, test_key + [("zone_id", "zone_id")])
-    a = a.select(*ORDER_COLUMNS)
+    if of_test_parents:
+        a = key_semi_join(a.withColumn("__parent", normalize_vertical("vendor_vertical_parent")), parent_verticals(tg),
+                          test_key + [("__parent", "pv")])
+    # What decides whether an order is kept comes before the joins with other facts: a step that reads
+    # kept orders only has its filter here, and no other order is shuffled.
+    t = broadcast_if_small(tg.select(F.col("entity_id").alias("__t_entity"), F.col("vendor_code").alias("__t_vendor"),
+                                     F.col("test_id").alias("__t_test"), "tg_name", "parent_vertical_concat"))
+    a = a.join(t, (a.entity_id == t.__t_entity) & (a.vendor_id == t.__t_vendor) & (a.experiment_id == t.__t_test),
+               "left")
+    vs = broadcast_if_small(scheme_concat.select(F.col("entity_id").alias("__v_entity"), F.col("country_code").alias("__v_country"),
+                              F.col("test_id").alias("__v_test"), "tg_var_scheme_concat"))
+    a = a.join(vs, (a.entity_id == vs.__v_entity) & (a.country_code == vs.__v_country)
+               & (a.experiment_id == vs.__v_test), "left")
+    target_group = F.coalesce(F.col("tg_name"), F.lit(NON_TG))
+    if cfg.exact_scheme_match:
+        keys = schemes.select("entity_id", "country_code", "test_id", "target_group", "variant", "price_scheme_id")
+        a = a.withColumn("__tg", target_group)
+        a = key_flag(a, keys, [("entity_id", "entity_id"), ("country_code", "country_code"),
+                               ("experiment_id", "test_id"), ("__tg", "target_group"), ("variant", "variant"),
+                               ("scheme_id", "price_scheme_id")], "__scheme_ok")
+        scheme_ok = F.col("__scheme_ok")
+    else:
+        pattern = F.concat(F.lit("%"), target_group, F.lit(" | "), F.col("variant"), F.lit(" | "),
+                           F.col("scheme_id"), F.lit("%"))
+        scheme_ok = F.like(F.col("tg_var_scheme_concat"), pattern)
+    keep = F.when((target_group == NON_TG) | scheme_ok, "Keep").otherwise("Drop")
+    a = a.select(*ORDER_COLUMNS, "parent_vertical_concat", target_group.alias("target_group"), keep.alias("keep_drop_flag"))
+    decided = a.columns
     dwh = key_semi_join(src.warehouse_orders, known, [("global_entity_id", "entity_id")]).select(
         F.col("global_entity_id").alias("__d_entity"), F.col("order_id").alias("__d_code"),
         F.col("value.mov_customer_fee_local").alias("sof_local_cdwh"),
@@ -143,7 +171,7 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
                & _residual_eq(a.created_date, pd_.__p_date), "left")
     a = locate(a, grid, cover, {"entity_id": "entity_id", "country_code": "country_code", "zone_id": "zone_id",
                                 "test_id": "experiment_id"}, "__lon", "__lat", cfg.geodesic)
-    a = a.select(*ORDER_COLUMNS, "sof_local_cdwh", "__pd_fee")
+    a = a.select(*decided, "sof_local_cdwh", "__pd_fee")
 
     cst = costs.select(F.col("entity_id").alias("__c_entity"), F.col("order_id").alias("__c_order"),
                        F.col("country_code").alias("__c_country"), "delivery_costs_local")
@@ -152,24 +180,15 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
     a = left_join_on_leading_keys(a, cst, [("order_id", "__c_order"), ("entity_id", "__c_entity")],
                                   [("country_code", "__c_country")], spread_by=("platform_order_code", "perseus_client_id"))
 
-    t = broadcast_if_small(tg.select(F.col("entity_id").alias("__t_entity"), F.col("vendor_code").alias("__t_vendor"),
-                                     F.col("test_id").alias("__t_test"), "tg_name", "parent_vertical_concat"))
-    a = a.join(t, (a.entity_id == t.__t_entity) & (a.vendor_id == t.__t_vendor) & (a.experiment_id == t.__t_test),
-               "left")
     dat = broadcast_if_small(zones.select(F.col("entity_id").alias("__s_entity"), F.col("country_code").alias("__s_country"),
                        F.col("test_id").alias("__s_test"), "test_start_date", "test_end_date",
                        F.col("test_name").alias("__s_name")).distinct())
     a = a.join(dat, (a.entity_id == dat.__s_entity) & (a.country_code == dat.__s_country)
                & (a.experiment_id == dat.__s_test), "left")
-    vs = broadcast_if_small(scheme_concat.select(F.col("entity_id").alias("__v_entity"), F.col("country_code").alias("__v_country"),
-                              F.col("test_id").alias("__v_test"), "tg_var_scheme_concat"))
-    a = a.join(vs, (a.entity_id == vs.__v_entity) & (a.country_code == vs.__v_country)
-               & (a.experiment_id == vs.__v_test), "left")
     ent = broadcast_if_small(platform_entities(src.entities).select(F.col("entity_id").alias("__e_entity"),
                                                                F.col("region").alias("__e_region")))
     a = a.join(ent, a.entity_id == ent.__e_entity, "inner")
 
-    target_group = F.coalesce(F.col("tg_name"), F.lit(NON_TG))
     covered = (F.col("is_delivery_fee_covered_by_discount") == F.lit(True)) | (
         F.col("is_delivery_fee_covered_by_voucher") == F.lit(True))
     fee_fallback = F.when(covered, F.lit(0.0)).otherwise(F.col("delivery_fee_local"))
@@ -183,32 +202,28 @@ def experiment_orders(src: SourceTables, tg: DataFrame, schemes: DataFrame, sche
     )
     sof_local = F.when(F.col("gfv_local") - F.col("dps_minimum_order_value_local") >= 0, F.lit(0.0)).otherwise(
         F.coalesce(F.col("sof_local_cdwh"), F.col("dps_minimum_order_value_local") - F.col("gfv_local")))
-    if cfg.exact_scheme_match:
-        keys = schemes.select("entity_id", "country_code", "test_id", "target_group", "variant", "price_scheme_id")
-        a = a.withColumn("__tg", target_group)
-        a = key_flag(a, keys, [("entity_id", "entity_id"), ("country_code", "country_code"),
-                               ("experiment_id", "test_id"), ("__tg", "target_group"), ("variant", "variant"),
-                               ("scheme_id", "price_scheme_id")], "__scheme_ok")
-        scheme_ok = F.col("__scheme_ok")
-    else:
-        pattern = F.concat(F.lit("%"), target_group, F.lit(" | "), F.col("variant"), F.lit(" | "),
-                           F.col("scheme_id"), F.lit("%"))
-        scheme_ok = F.like(F.col("tg_var_scheme_concat"), pattern)
-    keep = F.when((target_group == NON_TG) | scheme_ok, "Keep").otherwise("Drop")
-
     # The result table's column names.
     return a.select(
         "created_date", "order_placed_at", "region", "entity_id", "country_code", "city_name", "city_id",
         "zone_name", "zone_id", "variant", F.col("experiment_id").alias("test_id"), "test_start_date",
         "test_end_date", "perseus_client_id", "ga_session_id", "dps_sessionid", "dps_customer_tag", "order_id",
         "platform_order_code", "scheme_id", "vendor_price_scheme_type", "vendor_id",
-        target_group.alias("target_group"), "chain_id", "chain_name", "vertical_type",
+        "target_group", "chain_id", "chain_name", "vertical_type",
         normalize_vertical("vendor_vertical_parent").alias("vendor_vertical_parent"), "delivery_status",
         "is_own_delivery", "exchange_rate", "dps_delivery_fee_local", "delivery_fee_local", "commission_local",
         "joker_vendor_fee_local", F.coalesce(F.col("service_fee"), F.lit(0.0)).alias("service_fee_local"),
         "sof_local_cdwh", sof_local.alias("sof_local"), "delivery_costs_local",
         actual_df.alias("actual_df_paid_by_customer"), "is_delivery_fee_covered_by_discount",
-        "is_delivery_fee_covered_by_voucher", "parent_vertical_concat", keep.alias("keep_drop_flag"),
+        "is_delivery_fee_covered_by_voucher", "parent_vertical_concat", "keep_drop_flag",
+    )
+
+
+def parent_verticals(tg: DataFrame) -> DataFrame:
+    """The parent verticals (``pv``) of each test."""
+    return (
+        tg.select("entity_id", "country_code", "test_id", F.col("first_parent_vertical").alias("pv"))
+        .unionByName(tg.select("entity_id", "country_code", "test_id", F.col("second_parent_vertical").alias("pv")))
+        .where(F.col("pv").isNotNull())
     )
 
 
@@ -224,13 +239,8 @@ def with_profit(orders: DataFrame, tg: DataFrame, cfg: PipelineConfig) -> DataFr
     # same column twice in its COALESCE); fix_profit_fallback adds it.
     profit_sof = F.col("sof_local") if cfg.fix_profit_fallback else F.col("sof_local_cdwh")
     profit = base + F.coalesce(F.col("sof_local_cdwh"), profit_sof) - F.col("delivery_costs_local")
-    parents = (
-        tg.select("entity_id", "country_code", "test_id", F.col("first_parent_vertical").alias("pv"))
-        .unionByName(tg.select("entity_id", "country_code", "test_id", F.col("second_parent_vertical").alias("pv")))
-        .where(F.col("pv").isNotNull())
-    )
     out = orders.select("*", revenue.alias("revenue_local"), profit.alias("gross_profit_local"))
-    return key_semi_join(out, parents, [("entity_id", "entity_id"), ("country_code", "country_code"),
+    return key_semi_join(out, parent_verticals(tg), [("entity_id", "entity_id"), ("country_code", "country_code"),
                                         ("test_id", "test_id"), ("vendor_vertical_parent", "pv")])
 
 

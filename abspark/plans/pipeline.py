@@ -192,16 +192,21 @@ class ExperimentPipeline:
         return orders.delivery_costs(relational.key_semi_join(self.src.courier_timings, known, [("entity_id", "entity_id")]),
                                      relational.key_semi_join(self.src.logistics_orders, known, [("entity.id", "entity_id")]), self.cfg)
 
-    @cached_property
-    def experiment_orders(self) -> DataFrame:
-        return self._stage(orders.experiment_orders(
+    def _experiment_orders(self, of_test_parents: bool = False) -> DataFrame:
+        return orders.experiment_orders(
             self.src, self.ordered_groups, self.ordered_schemes, self._named_by("order_zones", self.variant_scheme_concat, TEST),
             self.zone_grid, self.zone_cover, self._named_by("order_zones", self.experiment_zones, TEST),
-            self.order_costs, self.cfg), "experiment_orders")
+            self.order_costs, self.cfg, of_test_parents)
+
+    @cached_property
+    def experiment_orders(self) -> DataFrame:
+        return self._stage(self._experiment_orders(), "experiment_orders")
 
     @cached_property
     def order_profit(self) -> DataFrame:
-        return self._stage(orders.with_profit(self.experiment_orders, self.ordered_groups, self.cfg), "order_profit")
+        # Where the orders are no table of their own, those that the profit step leaves out are never joined.
+        found = self.experiment_orders if self.out and self.stage else self._experiment_orders(of_test_parents=True)
+        return self._stage(orders.with_profit(found, self.ordered_groups, self.cfg), "order_profit")
 
     @cached_property
     def clean_orders(self) -> DataFrame:
