@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from abspark.config import PipelineConfig
 from abspark.functions.columns import NON_TG, UNKNOWN_TG, normalize_vertical, point_wkt
-from abspark.operators.relational import broadcast_if_small, key_flag, key_semi_join
+from abspark.operators.relational import broadcast_if_small, key_flag, key_semi_join, left_join_spread_null_keys
 
 SESSION_KEYS = ["created_date", "entity_id", "country_code", "test_id", "variant", "events_ga_session_id"]
 TG_PATTERN = r"TG\d+"
@@ -53,8 +53,9 @@ def session_events(ga_sessions: DataFrame, geo: DataFrame, tg: DataFrame, scheme
     x = x.select("*", F.col("e.vendor_code").alias("vendor_code"), F.col("e.vertical_type").alias("vertical_type"))
     t = broadcast_if_small(tg.select(F.col("entity_id").alias("__t_entity"), F.col("vendor_code").alias("__t_vendor"),
                                      F.col("test_id").alias("__t_test"), "tg_name", "parent_vertical_concat"))
-    x = x.join(t, (x.entity_id == t.__t_entity) & (x.vendor_code == t.__t_vendor) & (x.test_id == t.__t_test),
-               "left")
+    # Many events have no vendor: where the lookup is too large to broadcast they are spread, not dealt to one task.
+    x = left_join_spread_null_keys(x, t, [("vendor_code", "__t_vendor"), ("entity_id", "__t_entity"), ("test_id", "__t_test")],
+                                   spread_by=("events_ga_session_id", "e"))
     if cfg.sub_vertical_filter:
         x = key_flag(x, tg, [("entity_id", "entity_id"), ("country_code", "country_code"), ("test_id", "test_id"),
                              ("vertical_type", "vertical_type")], "__vt_ok")
