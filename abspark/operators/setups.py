@@ -137,11 +137,13 @@ def zone_geography(countries: DataFrame, zones: DataFrame) -> DataFrame:
         countries
         .select("country_code", F.explode_outer("platforms").alias("p"), "cities")
         .select("country_code", F.col("p.entity_id").alias("entity_id"), F.explode_outer("cities").alias("ci"))
-        .select("country_code", "entity_id", "ci", F.explode_outer("ci.zones").alias("zo"))
-        .where(F.col("zo.is_active") & F.col("ci.is_active"))
+        # The city's fields apart from its zones, so that no zone's row carries the whole list.
+        .select("country_code", "entity_id", F.col("ci.name").alias("city_name"), F.col("ci.id").alias("city_id"),
+                F.col("ci.is_active").alias("city_active"), F.col("ci.zones").alias("zones"))
+        .select("country_code", "entity_id", "city_name", "city_id", "city_active", F.explode_outer("zones").alias("zo"))
+        .where(F.col("zo.is_active") & F.col("city_active"))
         .select(
-            "entity_id", "country_code",
-            F.col("ci.name").alias("city_name"), F.col("ci.id").alias("city_id"),
+            "entity_id", "country_code", "city_name", "city_id",
             F.col("zo.shape").alias("zone_shape"), F.col("zo.name").alias("zone_name"),
             F.col("zo.id").alias("zone_id"),
         )
